@@ -28,7 +28,7 @@ def time_bins(flows: DataFrame, interval: timedelta, label: str = "logicalClass"
     keyed = flows.select(
         time_bin("timestamp", interval).alias("timeBin"),
         "mac",
-        F.concat_ws("-", "side", "appName").alias("appName"),
+        F.concat("side", F.lit("-"), "appName").alias("appName"),
         "side",
         "uuid",
         F.col(label).alias("label"),
