@@ -92,14 +92,18 @@ def trailing_window(
 
 def nested_usage(windowed: DataFrame, keys: Sequence[str] = DEVICE_KEYS) -> DataFrame:
     """One row per device with its apps as a list sorted by name."""
-    app = F.struct(
+    return windowed.groupBy(*keys).agg(F.sort_array(F.collect_list(nested_app())).alias("apps"))
+
+
+def nested_app() -> Column:
+    """The window measures of one app as a struct."""
+    return F.struct(
         "appName",
         F.col("clientBytesWindow").alias("totalClientBytes"),
         F.col("serverBytesWindow").alias("totalServerBytes"),
         F.col("totalBytesWindow").alias("totalBytes"),
         F.col("numFlowsWindow").alias("numFlows"),
     )
-    return windowed.groupBy(*keys).agg(F.sort_array(F.collect_list(app)).alias("apps"))
 
 
 def _sum(c: str) -> Column:

@@ -1,0 +1,166 @@
+"""Clustering of endpoints by the features of their snapshots."""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from typing import NamedTuple
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tidemark.functions.vectors import AttributeSlice
+from tidemark.operators.cluster import dbscan, expand_clusters
+from tidemark.operators.features import vector_sum
+from tidemark.operators.metrics import cluster_quality, latest_known_labels, pivot_metrics
+from tidemark.operators.similarity import dedupe_vectors, unit_vectors
+from tidemark.session import cut_lineage
+
+# The grid of neighbour distances and the distance functions.
+EPS_GRID = (0.001, 0.01, 0.015, 0.065, 0.115, 0.165, 0.215, 0.265)
+DISTANCES = ("global", "per_attribute")
+METRIC_NAMES = (
+    "clustered", "clusters", "completeness", "epsilon", "homogeneity", "minSamples", "noise", "purity",
+)
+
+
+@dataclass(frozen=True)
+class ClusterParams:
+    """Settings of one clustering."""
+
+    eps: float = 0.115
+    min_samples: int = 5
+    distance: str = "global"
+    layout: Sequence[AttributeSlice] = ()
+    euclidean: bool = False
+    cells: str = "prefix"
+    faithful_zero_distance: bool = False
+
+
+class Clustering(NamedTuple):
+    """Results of a clustering."""
+
+    snapshots: DataFrame
+    endpoints: DataFrame
+    metrics: DataFrame
+    per_cluster: DataFrame
+
+
+def cluster_endpoints(
+    snapshots: DataFrame,
+    params: ClusterParams,
+    *,
+    label: str | None = None,
+    vector_col: str = "sparseFeatures",
+) -> Clustering:
+    """Cluster endpoints and carry the cluster to each of their snapshots.
+
+    ``snapshots`` has ``endpoint``, ``snapshotTimestamp`` and a vector column;
+    with a ``label`` column the clusters are compared with the newest known label
+    of each endpoint. Endpoints without a cluster get a null ``clusterId``.
+    """
+    features = vector_sum(snapshots, "endpoint", vector_col)
+    endpoints = cut_lineage(
+        _assigned(features, params, [params.eps]).drop("eps")
+    )
+    metrics, per_cluster = cluster_quality(endpoints, _labels(snapshots, label))
+    settings = snapshots.sparkSession.createDataFrame(
+        [("epsilon", float(params.eps)), ("minSamples", float(params.min_samples))],
+        "name string, value double",
+    )
+    return Clustering(
+        snapshots.join(endpoints, "endpoint"), endpoints, metrics.unionByName(settings), per_cluster
+    )
+
+
+def grid_search(
+    snapshots: DataFrame,
+    label: str,
+    layout: Sequence[AttributeSlice],
+    *,
+    min_samples: int,
+    metric: str = "homogeneity",
+    eps_grid: Sequence[float] = EPS_GRID,
+    distances: Sequence[str] = DISTANCES,
+    default: ClusterParams | None = None,
+    euclidean: bool = False,
+    cells: str = "prefix",
+    vector_col: str = "sparseFeatures",
+) -> tuple[ClusterParams, DataFrame]:
+    """Parameters with the best metric, and one row of metrics per grid point.
+
+    All eps of a distance share one comparison of the vectors. Of equal scores the
+    first grid point wins; without any score the default parameters are returned.
+    Euclidean clustering only tries the global distance.
+    """
+    if euclidean:
+        distances = [d for d in distances if d == "global"]
+    features = cut_lineage(vector_sum(snapshots, "endpoint", vector_col))
+    labels = _labels(snapshots, label)
+    spark = snapshots.sparkSession
+    parts = []
+    for distance in distances:
+        params = ClusterParams(
+            min_samples=min_samples, distance=distance, layout=layout, euclidean=euclidean, cells=cells
+        )
+        metrics, _ = cluster_quality(_assigned(features, params, eps_grid), labels, by=["eps"])
+        parts.append(metrics.withColumn("distance", F.lit(distance)))
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.unionByName(part)
+    points = [
+        (f"eps={e},min_samples={min_samples},distance={d}", float(e), d, n)
+        for n, (e, d) in enumerate((e, d) for e in eps_grid for d in distances)
+    ]
+    grid = spark.createDataFrame(points, "param string, eps double, distance string, position int")
+    settings = grid.select(
+        "param",
+        F.explode(
+            F.create_map(
+                F.lit("epsilon"), F.col("eps"), F.lit("minSamples"), F.lit(float(min_samples))
+            )
+        ).alias("name", "value"),
+    )
+    long = found.join(grid, ["eps", "distance"]).select("param", "name", "value")
+    wide = cut_lineage(pivot_metrics(long.unionByName(settings), "param", METRIC_NAMES))
+    best = (
+        wide.join(grid, "param")
+        .where(F.col(metric).isNotNull())
+        .orderBy(F.desc(metric), "position")
+        .select("eps", "distance")
+        .first()
+    )
+    if best is None:
+        return default or ClusterParams(min_samples=min_samples, layout=layout), wide
+    chosen = ClusterParams(
+        eps=best["eps"], min_samples=min_samples, distance=best["distance"], layout=layout,
+        euclidean=euclidean, cells=cells,
+    )
+    return chosen, wide
+
+
+def _assigned(features: DataFrame, params: ClusterParams, eps: Sequence[float]) -> DataFrame:
+    if params.distance not in DISTANCES:
+        raise ValueError(f"distance must be one of {DISTANCES}")
+    if params.distance == "per_attribute" and params.euclidean:
+        raise ValueError("euclidean clustering supports the global distance only")
+    if params.distance == "per_attribute" and not params.layout:
+        raise ValueError("the per-attribute distance needs an attribute layout")
+    layout = params.layout if params.distance == "per_attribute" else None
+    vectors = cut_lineage(unit_vectors(features, "endpoint", "features", layout))
+    points = dedupe_vectors(vectors)
+    clusters = dbscan(
+        points, eps, params.min_samples,
+        metric="euclidean" if params.euclidean else "cosine",
+        cells=params.cells,
+        faithful_zero_distance=params.faithful_zero_distance,
+    )
+    return expand_clusters(clusters, vectors, points)
+
+
+def _labels(snapshots: DataFrame, label: str | None) -> DataFrame:
+    if label is None:
+        none = F.lit(None).cast("string").alias("label")
+        return snapshots.select("endpoint", none).limit(0)
+    known = latest_known_labels(snapshots, label)
+    return known.select("endpoint", F.col(label).alias("label"))
