@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -147,27 +146,34 @@ def _small_star(edges: DataFrame, by: list[str]) -> DataFrame:
     return pointed.unionByName(least.select(*by, "u", F.col("m").alias("v"))).distinct()
 
 
-def _neighbour_weights(block: _Block, near) -> pd.DataFrame:
+def _neighbour_weights(block: _Block, near) -> dict[str, np.ndarray]:
     masks = near(block)
-    left, right = (b["weight"].to_numpy(dtype="int64") for b in (block.left, block.right))
-    parts = [(block.left["id"], np.stack([m @ right for m in masks], axis=1))]
+    left, right = block.left("weight"), block.right("weight")
+    ids = [block.left("id")]
+    counts = [np.stack([m @ right for m in masks], axis=1)]
     if not block.diagonal:
-        parts.append((block.right["id"], np.stack([m.T @ left for m in masks], axis=1)))
-    ids = np.concatenate([i.to_numpy() for i, _ in parts])
-    counts = np.concatenate([c for _, c in parts])
+        ids.append(block.right("id"))
+        counts.append(np.stack([m.T @ left for m in masks], axis=1))
+    ids, counts = np.concatenate(ids), np.concatenate(counts).astype("int64")
     met = counts.any(axis=1)
-    rows = pd.Series(list(counts[met].astype("int64")), dtype=object)
-    return pd.DataFrame({"id": ids[met], "counts": rows})
+    return {"id": ids[met], "counts": counts[met]}
 
 
-def _links(block: _Block, near) -> pd.DataFrame:
+def _links(block: _Block, near) -> dict[str, np.ndarray]:
     """Per eps: the local root of each core point, and roots next to other points."""
     sides = [block.left] if block.diagonal else [block.left, block.right]
-    ids = np.concatenate([s["id"].to_numpy() for s in sides])
+    ids = np.concatenate([side("id") for side in sides])
     order = np.argsort(ids, kind="stable")
     ids = ids[order]
-    cores = np.stack([np.asarray(c, dtype=bool) for s in sides for c in s["core"]])[order]
-    out = []
+    cores = np.stack([np.asarray(c, dtype=bool) for side in sides for c in side("core")])[order]
+    k_parts, id_parts, root_parts, core_parts = [], [], [], []
+
+    def emit(k: int, members: np.ndarray, roots: np.ndarray, core: bool) -> None:
+        k_parts.append(np.full(len(members), k, dtype="int32"))
+        id_parts.append(ids[members])
+        root_parts.append(ids[roots])
+        core_parts.append(np.full(len(members), core))
+
     for k, mask in enumerate(near(block)):
         adjacent = mask
         if not block.diagonal:
@@ -175,21 +181,20 @@ def _links(block: _Block, near) -> pd.DataFrame:
             adjacent = np.zeros((n + m, n + m), dtype=bool)
             adjacent[:n, n:], adjacent[n:, :n] = mask, mask.T
         adjacent = adjacent[np.ix_(order, order)]
-        core = cores[:, k]
-        inner = np.flatnonzero(core)
+        inner, outer = np.flatnonzero(cores[:, k]), np.flatnonzero(~cores[:, k])
         root = inner[_local_roots(adjacent[np.ix_(inner, inner)])]
         away = root != inner
-        out.append(_link_rows(k, ids[inner[away]], ids[root[away]], True))
-        outer = np.flatnonzero(~core)
+        emit(k, inner[away], root[away], True)
         rows, cols = np.nonzero(adjacent[np.ix_(outer, inner)])
         if rows.size:
             touching = np.unique(np.stack([outer[rows], root[cols]], axis=1), axis=0)
-            out.append(_link_rows(k, ids[touching[:, 0]], ids[touching[:, 1]], False))
-    return pd.concat(out, ignore_index=True)
-
-
-def _link_rows(k: int, ids, roots, core: bool) -> pd.DataFrame:
-    return pd.DataFrame({"k": k, "id": ids, "root": roots, "core": core})
+            emit(k, touching[:, 0], touching[:, 1], False)
+    return {
+        "k": np.concatenate(k_parts),
+        "id": np.concatenate(id_parts),
+        "root": np.concatenate(root_parts),
+        "core": np.concatenate(core_parts),
+    }
 
 
 def _local_roots(adjacent: np.ndarray) -> np.ndarray:

@@ -137,7 +137,7 @@ def resolve_app_names(
 
 def single_ports(registry: DataFrame, port: str = "port") -> DataFrame:
     """Registry entries of one port each; ranges such as ``8000-8010`` are dropped."""
-    return registry.where(~F.col(port).contains("-")).withColumn(port, F.col(port).cast("long"))
+    return registry.where(~F.col(port).contains("-")).withColumn(port, F.col(port).try_cast("long"))
 
 
 def port_based_apps(

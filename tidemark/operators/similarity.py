@@ -19,6 +19,7 @@ from tidemark.functions.vectors import (
     AttributeSlice,
     as_array,
     attribute_entries,
+    l2_norm,
     unit_entries,
 )
 from tidemark.session import cut_lineage
@@ -48,6 +49,19 @@ def unit_vectors(
     return df.select(F.col(id_col).alias("id"), entries.alias("entries"))
 
 
+def unit_vectors_long(df: DataFrame, id_col: str, dim_col: str, value_col: str) -> DataFrame:
+    """``(id, entries)`` from ``(id, dim, value)`` rows, one per non-zero dimension."""
+    entry = F.struct(F.col(dim_col).cast("int").alias("dim"), F.col(value_col).cast("double").alias("val"))
+    rows = df.where(F.col(value_col) != 0).groupBy(F.col(id_col).alias("id")).agg(
+        F.sort_array(F.collect_list(entry)).alias("entries")
+    )
+    norm = l2_norm(F.col("entries.val"))
+    scaled = F.transform(
+        "entries", lambda e: F.struct(e["dim"].alias("dim"), (e["val"] / norm).alias("val"))
+    )
+    return rows.select("id", scaled.alias("entries"))
+
+
 def dedupe_vectors(vectors: DataFrame) -> DataFrame:
     """``(id, entries, weight)``: the least id per distinct vector and its multiplicity."""
     return vectors.groupBy("entries").agg(
@@ -81,19 +95,17 @@ def cosine_pairs(
     id_type = points.schema["id"].dataType.simpleString()
     near = _nearness("cosine", [eps], faithful_zero_distance)
 
-    def pairs(block: _Block) -> pd.DataFrame:
+    def pairs(block: _Block) -> dict[str, np.ndarray]:
         rows, cols = np.nonzero(near(block)[0])
         if block.diagonal:
             rows, cols = rows[rows < cols], cols[rows < cols]
-        i, j = block.left["id"].to_numpy()[rows], block.right["id"].to_numpy()[cols]
+        i, j = block.left("id")[rows], block.right("id")[cols]
         swap = i > j
-        return pd.DataFrame(
-            {
-                "i": np.where(swap, j, i),
-                "j": np.where(swap, i, j),
-                "dist": block.rounded()[rows, cols],
-            }
-        )
+        return {
+            "i": np.where(swap, j, i),
+            "j": np.where(swap, i, j),
+            "dist": block.rounded()[rows, cols],
+        }
 
     return compare_blocks(points, pairs, f"i {id_type}, j {id_type}, dist double", block_rows)
 
@@ -142,11 +154,15 @@ def assign_cells(
 
 def compare_blocks(
     points: DataFrame,
-    kernel: Callable[[_Block], pd.DataFrame],
+    kernel: Callable[[_Block], dict[str, np.ndarray]],
     schema: str,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Run ``kernel`` on every pair of blocks of every cell."""
+    """Run ``kernel`` on every pair of blocks of every cell.
+
+    Cells that fit one block are bundled by hash, about ``block_rows`` rows to a
+    group; each block pair of a larger cell is a group of its own.
+    """
     extra = [c for c in points.columns if c not in ("entries", "cells", "prefix")]
     placed = points.select(
         *extra,
@@ -161,10 +177,14 @@ def compare_blocks(
     sizes = (
         points.select(F.explode("cells").alias("at"))
         .groupBy(F.col("at.cell").alias("cell"))
-        .agg(
-            F.ceil(F.count_if(F.col("at.home")) / block_rows).cast("int").alias("homes"),
-            F.ceil(F.count_if(~F.col("at.home")) / block_rows).cast("int").alias("outers"),
-        )
+        .agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("at.home")).alias("home_rows"))
+        .where("rows > 1 and home_rows > 0")
+    )
+    bundles = sizes.agg(F.greatest(F.ceil(F.sum("rows") / block_rows), F.lit(1))).scalar()
+    blocks = sizes.select(
+        "cell",
+        F.ceil(F.col("home_rows") / block_rows).cast("int").alias("homes"),
+        F.ceil((F.col("rows") - F.col("home_rows")) / block_rows).cast("int").alias("outers"),
     )
     spread = F.xxhash64("id")
     own = F.pmod(spread, F.when(F.col("home"), F.col("homes")).otherwise(F.col("outers")))
@@ -175,66 +195,94 @@ def compare_blocks(
     to_outer = F.transform(_numbers("outers"), lambda n: _task(F.col("own"), n, True, F.lit(False)))
     to_homes = F.transform(_numbers("homes"), lambda n: _task(n, F.col("own"), True, F.lit(True)))
     tasks = F.when(F.col("home"), F.concat(within, to_outer)).otherwise(to_homes)
+    fits = (F.col("homes") == 1) & (F.col("outers") <= 1)
     jobs = (
-        placed.join(sizes, "cell")
+        placed.join(blocks, "cell")
         .withColumn("own", own.cast("int"))
-        .select("cell", *extra, "dims", "vals", "earlier", F.explode(tasks).alias("task"))
-        .select("cell", "task.*", *extra, "dims", "vals", "earlier")
+        .select(
+            "cell", *extra, "dims", "vals", "earlier",
+            fits.alias("fits"), F.explode(tasks).alias("task"),
+        )
+        .select("cell", "task.*", *extra, "dims", "vals", "earlier", "fits")
+        .withColumn(
+            "bundle",
+            F.when(F.col("fits"), F.pmod(F.xxhash64("cell"), bundles)).otherwise(F.xxhash64(*_TASK)),
+        )
+        .drop("fits")
     )
     columns = [part.strip().split()[0] for part in schema.split(",")]
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        block = _Block(pdf)
-        if block.empty:
+        found = []
+        for key, rows in pdf.groupby(_TASK, sort=False):
+            block = _Block(rows, diagonal=not key[3] and key[1] == key[2])
+            if block.compare():
+                found.append(kernel(block))
+        if not found:
             return pd.DataFrame(columns=columns)
-        return kernel(block)[columns]
+        return pd.DataFrame({c: _column([f[c] for f in found]) for c in columns})
 
-    return jobs.groupBy(*_TASK).applyInPandas(run, schema)
+    return jobs.groupBy("bundle").applyInPandas(run, schema)
 
 
 class _Block:
     """Two blocks of one cell (the same block twice on the diagonal)."""
 
-    def __init__(self, pdf: pd.DataFrame):
-        first = pdf.iloc[0]
-        self.diagonal = not first["outside"] and first["p"] == first["q"]
-        self.left = pdf[~pdf["second"]].sort_values("id", ignore_index=True)
-        self.right = (
-            self.left if self.diagonal else pdf[pdf["second"]].sort_values("id", ignore_index=True)
-        )
-        self.empty = self.left.empty or self.right.empty
-        if not self.empty:
-            self._compare()
+    def __init__(self, rows: pd.DataFrame, diagonal: bool):
+        self.diagonal = diagonal
+        second = rows["second"].to_numpy()
+        self._sides = [rows] if diagonal else [rows[~second], rows[second]]
+
+    def left(self, col: str) -> np.ndarray:
+        return self._sides[0][col].to_numpy()
 
-    def _compare(self) -> None:
+    def right(self, col: str) -> np.ndarray:
+        return self._sides[-1][col].to_numpy()
+
+    def compare(self) -> bool:
+        """Compute all distances; false if there is nothing to compare."""
+        if min(map(len, self._sides)) < (2 if self.diagonal else 1):
+            return False
         self.distance = 1.0 - self._product("dims", "vals")
         if self.distance.min() < -1e-5:
             raise ValueError("vectors are longer than one")
         self.valid = np.ones(self.distance.shape, dtype=bool)
-        if self.left["earlier"].notna().all():
+        if self._sides[0]["earlier"].notna().all():
             # A pair that shares an earlier cell is reported there.
             self.valid = self._product("earlier", None) == 0
         if self.diagonal:
             np.fill_diagonal(self.valid, False)
+        return True
 
     def rounded(self) -> np.ndarray:
         return np.round(np.maximum(self.distance, 0.0), DECIMALS)
 
     def _product(self, dims: str, vals: str | None) -> np.ndarray:
-        sides = (self.left,) if self.diagonal else (self.left, self.right)
-        used = np.unique(np.concatenate([np.concatenate(s[dims].to_list()) for s in sides]))
-        dense = [_dense(s[dims], s[vals] if vals else None, used) for s in sides]
+        lists = [list(s[dims]) for s in self._sides]
+        used = np.unique(np.concatenate([x for side in lists for x in side]))
+        values = [list(s[vals]) if vals else None for s in self._sides]
+        dense = [_dense(d, v, used) for d, v in zip(lists, values)]
         return dense[0] @ dense[-1].T
 
 
-def _dense(dims: pd.Series, vals: pd.Series | None, used: np.ndarray) -> np.ndarray:
+def _dense(dims: list, vals: list | None, used: np.ndarray) -> np.ndarray:
+    """Rows of (dims, vals) over the sorted dimensions ``used``; others are left out."""
     matrix = np.zeros((len(dims), len(used)))
-    rows = np.repeat(np.arange(len(dims)), dims.map(len))
-    cols = np.searchsorted(used, np.concatenate(dims.to_list()))
-    matrix[rows, cols] = 1.0 if vals is None else np.concatenate(vals.to_list())
+    if not len(used):
+        return matrix
+    flat = np.concatenate(dims)
+    rows = np.repeat(np.arange(len(dims)), [len(d) for d in dims])
+    cols = np.minimum(np.searchsorted(used, flat), len(used) - 1)
+    hit = used[cols] == flat
+    matrix[rows[hit], cols[hit]] = 1.0 if vals is None else np.concatenate(vals)[hit]
     return matrix
 
 
+def _column(parts: list[np.ndarray]):
+    whole = np.concatenate(parts)
+    return pd.Series(list(whole), dtype=object) if whole.ndim > 1 else whole
+
+
 def _nearness(
     metric: str, eps_values: Sequence[float], faithful: bool
 ) -> Callable[[_Block], list[np.ndarray]]:
@@ -295,7 +343,7 @@ def _anchor_cells(points: DataFrame, radius: float, anchors: int) -> DataFrame:
     ).toPandas()
     used = np.unique(np.concatenate(rows["dims"].to_list()))
     rows = rows.head(max(1, MAX_ANCHOR_VALUES // len(used)))
-    matrix = _dense(rows["dims"], rows["vals"], used)
+    matrix = _dense(list(rows["dims"]), list(rows["vals"]), used)
     apart = np.sqrt(np.maximum(2.0 - 2.0 * matrix @ matrix.T, 0.0))
     reach = np.sqrt(2.0 * radius)
 
@@ -304,7 +352,7 @@ def _anchor_cells(points: DataFrame, radius: float, anchors: int) -> DataFrame:
         out = []
         step = max(1, MAX_ANCHOR_VALUES // len(used))
         for at in range(0, len(dims), step):
-            alike = _similar(dims.iloc[at : at + step], vals.iloc[at : at + step])
+            alike = _dense(list(dims[at : at + step]), list(vals[at : at + step]), used) @ matrix.T
             home = alike.argmax(axis=1)
             gap = alike.max(axis=1, keepdims=True) - alike
             # Distance to the border of another anchor's region, as similarity.
@@ -314,15 +362,6 @@ def _anchor_cells(points: DataFrame, radius: float, anchors: int) -> DataFrame:
                 out.append([{"cell": int(h), "home": True}, *({"cell": c, "home": False} for c in others)])
         return pd.Series(out)
 
-    def _similar(dims: pd.Series, vals: pd.Series) -> np.ndarray:
-        flat = np.concatenate(dims.to_list())
-        rows = np.repeat(np.arange(len(dims)), dims.map(len))
-        cols = np.minimum(np.searchsorted(used, flat), len(used) - 1)
-        hit = used[cols] == flat
-        dense = np.zeros((len(dims), len(used)))
-        dense[rows[hit], cols[hit]] = np.concatenate(vals.to_list())[hit]
-        return dense @ matrix.T
-
     return points.select(
         "*", cells(F.col("entries.dim"), F.col("entries.val")).alias("cells"), _no_prefix()
     )
