@@ -75,10 +75,22 @@ def attribute_entries(values: Column, layout: Sequence[AttributeSlice]) -> Colum
     return F.concat(*blocks)
 
 
+def scaled_entries(entries: Column, factor: Column) -> Column:
+    """Multiply all values of ``(dim, val)`` entries by one factor per row."""
+    # Bound as a lambda variable, the factor is computed once per row, not per entry.
+    return F.get(
+        F.transform(
+            F.array(factor),
+            lambda f: F.transform(
+                entries, lambda e: F.struct(e["dim"].alias("dim"), (e["val"] * f).alias("val"))
+            ),
+        ),
+        F.lit(0),
+    )
+
+
 def _entries(values: Column, offset: Column, scale: Column) -> Column:
     indexed = F.transform(values, lambda x, n: F.struct((n + offset).alias("dim"), x.alias("val")))
     present = F.filter(indexed, lambda e: e["val"] != 0)
     norm = l2_norm(values)
-    return F.transform(
-        present, lambda e: F.struct(e["dim"].alias("dim"), (e["val"] / norm * scale).alias("val"))
-    )
+    return scaled_entries(present, F.when(norm > 0, scale / norm))

@@ -99,8 +99,8 @@ def connected_components(edges: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """``(*by, node, component)`` for undirected edges ``(*by, u, v)``.
 
     Alternates large-star and small-star steps (Kiveris et al., SoCC 2014) until
-    every node points at the least node of its component; each round is written to
-    the checkpoint folder.
+    every other node points at the least node of its component and at nothing else;
+    each round is written to the checkpoint folder.
     """
     by = list(by)
     current = cut_lineage(
@@ -108,14 +108,7 @@ def connected_components(edges: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         .select(*by, F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         .distinct()
     )
-    before = None
-    while True:
-        mark = current.agg(
-            F.count(F.lit(1)), F.bit_xor(F.xxhash64(*by, "u", "v")), F.bit_xor(F.xxhash64("v", "u", *by))
-        ).first()
-        if mark == before:
-            break
-        before = mark
+    while not _is_star_forest(current, by):
         current = cut_lineage(_small_star(_large_star(current, by), by))
     roots = current.select(*by, F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return current.select(*by, F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
@@ -132,6 +125,17 @@ def expand_clusters(
     )
 
 
+def _is_star_forest(edges: DataFrame, by: list[str]) -> bool:
+    one, none = F.lit(1).alias("below"), F.lit(0).alias("below")
+    ends = edges.select(*by, F.col("u").alias("node"), one).unionByName(
+        edges.select(*by, F.col("v").alias("node"), none)
+    )
+    uses = ends.groupBy(*by, "node").agg(
+        F.sum("below").alias("below"), F.min("below").alias("least")
+    )
+    return uses.where("below > 1 or (below = 1 and least = 0)").isEmpty()
+
+
 def _large_star(edges: DataFrame, by: list[str]) -> DataFrame:
     both = edges.unionByName(edges.select(*by, F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy(*by, "u").agg(F.least(F.min("v"), F.first("u")).alias("m"))

@@ -1,10 +1,12 @@
-"""Deduplication. Every variant is one aggregate, so copies are combined map-side."""
+"""Deduplication. Copies of a key are reduced before the shuffle in every variant:
+``row_number() = 1`` keeps one row per key and map task (a window group limit),
+and the aggregates combine map-side."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -16,10 +18,9 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.distinct()
-    order = [c for c in order_by if c in rest]
-    ranked = [*order, *[c for c in rest if c not in order]]
-    least = df.groupBy(*keys).agg(F.min(F.struct(*ranked)).alias("__row"))
-    return least.select(*keys, "__row.*").select(*df.columns)
+    order = dict.fromkeys([*[c for c in order_by if c in rest], *rest])
+    ranked = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("__rank", F.row_number().over(ranked)).where("__rank = 1").drop("__rank")
 
 
 def collapse_quasi_duplicates(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.features import OUT_OF_VOCAB
@@ -15,12 +15,12 @@ def latest_per_key(
 ) -> DataFrame:
     """Columns of the newest row per key.
 
-    An aggregate rather than a ranking, so a hot key is reduced before the shuffle.
-    Equal timestamps are decided by the greatest ``tie_break``, then ``cols``.
+    Only one row per key and map task is shuffled (a window group limit). Equal
+    timestamps are decided by the greatest ``tie_break``, then ``cols``.
     """
-    ranked = list(dict.fromkeys([ts, *tie_break, *cols]))
-    newest = df.groupBy(key).agg(F.max(F.struct(*ranked)).alias("__row"))
-    return newest.select(key, *[F.col("__row")[c].alias(c) for c in cols])
+    order = [F.desc(c) for c in dict.fromkeys([ts, *tie_break, *cols])]
+    rank = F.row_number().over(Window.partitionBy(key).orderBy(*order))
+    return df.withColumn("__rank", rank).where("__rank = 1").select(key, *cols)
 
 
 def latest_known_labels(

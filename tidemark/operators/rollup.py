@@ -68,7 +68,8 @@ def trailing_window(
 
     The window ends with the latest complete bin, is at most ``window`` long and
     starts no earlier than the first complete bin. Without a complete bin the
-    result is empty.
+    result is empty. ``bins`` should be a stored table: it is read for the bounds
+    and again for the sums.
     """
     done = complete_bins(bins, interval, last)
     bounds = done.agg(

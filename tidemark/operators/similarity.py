@@ -20,6 +20,7 @@ from tidemark.functions.vectors import (
     as_array,
     attribute_entries,
     l2_norm,
+    scaled_entries,
     unit_entries,
 )
 from tidemark.session import cut_lineage
@@ -35,6 +36,14 @@ MAX_ANCHORS = 1024
 MAX_ANCHOR_VALUES = 4_000_000
 
 _TASK = ["cell", "p", "q", "outside"]
+_NUMBERS = "if({0} > 0, sequence(0, {0} - 1), cast(array() as array<int>))"
+_HOMES, _OUTERS = _NUMBERS.format("homes"), _NUMBERS.format("outers")
+_TASKS = f"""if(home,
+    concat(
+        transform({_HOMES}, n -> named_struct(
+            'p', least(n, own), 'q', greatest(n, own), 'outside', false, 'second', own > n)),
+        transform({_OUTERS}, n -> named_struct('p', own, 'q', n, 'outside', true, 'second', false))),
+    transform({_HOMES}, n -> named_struct('p', n, 'q', own, 'outside', true, 'second', true)))"""
 
 
 def unit_vectors(
@@ -55,11 +64,8 @@ def unit_vectors_long(df: DataFrame, id_col: str, dim_col: str, value_col: str)
     rows = df.where(F.col(value_col) != 0).groupBy(F.col(id_col).alias("id")).agg(
         F.sort_array(F.collect_list(entry)).alias("entries")
     )
-    norm = l2_norm(F.col("entries.val"))
-    scaled = F.transform(
-        "entries", lambda e: F.struct(e["dim"].alias("dim"), (e["val"] / norm).alias("val"))
-    )
-    return rows.select("id", scaled.alias("entries"))
+    unit = scaled_entries(F.col("entries"), 1 / l2_norm(F.col("entries.val")))
+    return rows.select("id", unit.alias("entries"))
 
 
 def dedupe_vectors(vectors: DataFrame) -> DataFrame:
@@ -90,7 +96,7 @@ def cosine_pairs(
     ``faithful_zero_distance`` pairs at distance 0 are left out.
     """
     points = assign_cells(
-        vectors.withColumn("weight", F.lit(1)), cosine_radius(eps), cells=cells, anchors=anchors
+        cut_lineage(vectors.select("id", "entries")), cosine_radius(eps), cells=cells, anchors=anchors
     )
     id_type = points.schema["id"].dataType.simpleString()
     near = _nearness("cosine", [eps], faithful_zero_distance)
@@ -127,8 +133,10 @@ def euclidean_radius(eps: float) -> float:
 def assign_cells(
     points: DataFrame, radius: float, *, cells: str = "anchors", anchors: int | None = None
 ) -> DataFrame:
-    """Add ``cells``, such that points within ``radius`` share one; written to the
-    checkpoint folder, since every pass over the blocks starts from here.
+    """Add ``cells``, such that points within ``radius`` share one.
+
+    ``points`` should be stored, since they are read several times; the result is
+    written to the checkpoint folder where it takes work to find.
 
     ``cells="prefix"`` is for sparse vectors: a point joins the cells of its rarest
     dimensions, as many as are needed before the rest is too short to reach the
@@ -143,7 +151,6 @@ def assign_cells(
         return cut_lineage(_prefix_cells(points, radius))
     if cells != "anchors":
         raise ValueError("cells must be 'anchors' or 'prefix'")
-    points = cut_lineage(points)
     if anchors is None:
         anchors = min(MAX_ANCHORS, points.count() // ROWS_PER_CELL)
     if anchors < 2:
@@ -164,46 +171,32 @@ def compare_blocks(
     group; each block pair of a larger cell is a group of its own.
     """
     extra = [c for c in points.columns if c not in ("entries", "cells", "prefix")]
-    placed = points.select(
-        *extra,
-        F.col("entries.dim").alias("dims"),
-        F.col("entries.val").alias("vals"),
-        "prefix",
-        F.posexplode("cells").alias("pos", "at"),
-    ).select(
-        *extra, "dims", "vals", "at.cell", "at.home",
-        F.when(F.col("prefix").isNotNull(), F.slice("prefix", 1, F.col("pos"))).alias("earlier"),
-    )
     sizes = (
         points.select(F.explode("cells").alias("at"))
         .groupBy(F.col("at.cell").alias("cell"))
-        .agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("at.home")).alias("home_rows"))
+        .agg(F.expr("count(*) rows"), F.expr("count_if(at.home) home_rows"))
         .where("rows > 1 and home_rows > 0")
     )
     bundles = sizes.agg(F.greatest(F.ceil(F.sum("rows") / block_rows), F.lit(1))).scalar()
-    blocks = sizes.select(
+    blocks = sizes.selectExpr(
         "cell",
-        F.ceil(F.col("home_rows") / block_rows).cast("int").alias("homes"),
-        F.ceil((F.col("rows") - F.col("home_rows")) / block_rows).cast("int").alias("outers"),
+        f"cast(ceil(home_rows / {block_rows}) as int) homes",
+        f"cast(ceil((rows - home_rows) / {block_rows}) as int) outers",
     )
-    spread = F.xxhash64("id")
-    own = F.pmod(spread, F.when(F.col("home"), F.col("homes")).otherwise(F.col("outers")))
-    within = F.transform(
-        _numbers("homes"),
-        lambda n: _task(F.least(n, F.col("own")), F.greatest(n, F.col("own")), False, F.col("own") > n),
+    # A home block meets all home blocks of its cell, in a fixed order, and all outer ones.
+    placed = points.selectExpr(
+        *extra, "entries.dim dims", "entries.val vals", "prefix", "posexplode(cells) as (pos, at)"
+    ).selectExpr(
+        *extra, "dims", "vals", "at.cell", "at.home",
+        "if(prefix is null, null, slice(prefix, 1, pos)) earlier",
     )
-    to_outer = F.transform(_numbers("outers"), lambda n: _task(F.col("own"), n, True, F.lit(False)))
-    to_homes = F.transform(_numbers("homes"), lambda n: _task(n, F.col("own"), True, F.lit(True)))
-    tasks = F.when(F.col("home"), F.concat(within, to_outer)).otherwise(to_homes)
-    fits = (F.col("homes") == 1) & (F.col("outers") <= 1)
     jobs = (
         placed.join(blocks, "cell")
-        .withColumn("own", own.cast("int"))
-        .select(
-            "cell", *extra, "dims", "vals", "earlier",
-            fits.alias("fits"), F.explode(tasks).alias("task"),
+        .withColumn("own", F.expr("cast(pmod(xxhash64(id), if(home, homes, outers)) as int)"))
+        .selectExpr("*", f"explode({_TASKS}) task")
+        .selectExpr(
+            "cell", "task.*", *extra, "dims", "vals", "earlier", "homes = 1 and outers <= 1 as fits"
         )
-        .select("cell", "task.*", *extra, "dims", "vals", "earlier", "fits")
         .withColumn(
             "bundle",
             F.when(F.col("fits"), F.pmod(F.xxhash64("cell"), bundles)).otherwise(F.xxhash64(*_TASK)),
@@ -213,31 +206,39 @@ def compare_blocks(
     columns = [part.strip().split()[0] for part in schema.split(",")]
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(_TASK, ignore_index=True)
+        keys = pdf[_TASK].to_numpy(dtype="int64")
+        starts = np.flatnonzero(np.any(keys[1:] != keys[:-1], axis=1)) + 1
+        cols = {c: pdf[c].to_numpy() for c in pdf.columns}
         found = []
-        for key, rows in pdf.groupby(_TASK, sort=False):
-            block = _Block(rows, diagonal=not key[3] and key[1] == key[2])
+        for rows in np.split(np.arange(len(pdf)), starts):
+            _, p, q, outside = keys[rows[0]]
+            block = _Block(cols, rows, diagonal=not outside and p == q)
             if block.compare():
                 found.append(kernel(block))
         if not found:
             return pd.DataFrame(columns=columns)
         return pd.DataFrame({c: _column([f[c] for f in found]) for c in columns})
 
-    return jobs.groupBy("bundle").applyInPandas(run, schema)
+    # Little data but much work: keep the groups spread over all shuffle partitions.
+    partitions = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return jobs.repartition(partitions, "bundle").groupBy("bundle").applyInPandas(run, schema)
 
 
 class _Block:
     """Two blocks of one cell (the same block twice on the diagonal)."""
 
-    def __init__(self, rows: pd.DataFrame, diagonal: bool):
+    def __init__(self, cols: dict[str, np.ndarray], rows: np.ndarray, diagonal: bool):
         self.diagonal = diagonal
-        second = rows["second"].to_numpy()
+        self._cols = cols
+        second = cols["second"][rows]
         self._sides = [rows] if diagonal else [rows[~second], rows[second]]
 
     def left(self, col: str) -> np.ndarray:
-        return self._sides[0][col].to_numpy()
+        return self._cols[col][self._sides[0]]
 
     def right(self, col: str) -> np.ndarray:
-        return self._sides[-1][col].to_numpy()
+        return self._cols[col][self._sides[-1]]
 
     def compare(self) -> bool:
         """Compute all distances; false if there is nothing to compare."""
@@ -247,7 +248,7 @@ class _Block:
         if self.distance.min() < -1e-5:
             raise ValueError("vectors are longer than one")
         self.valid = np.ones(self.distance.shape, dtype=bool)
-        if self._sides[0]["earlier"].notna().all():
+        if self._cols["earlier"][self._sides[0][0]] is not None:
             # A pair that shares an earlier cell is reported there.
             self.valid = self._product("earlier", None) == 0
         if self.diagonal:
@@ -258,9 +259,9 @@ class _Block:
         return np.round(np.maximum(self.distance, 0.0), DECIMALS)
 
     def _product(self, dims: str, vals: str | None) -> np.ndarray:
-        lists = [list(s[dims]) for s in self._sides]
+        lists = [list(self._cols[dims][s]) for s in self._sides]
         used = np.unique(np.concatenate([x for side in lists for x in side]))
-        values = [list(s[vals]) if vals else None for s in self._sides]
+        values = [list(self._cols[vals][s]) if vals else None for s in self._sides]
         dense = [_dense(d, v, used) for d, v in zip(lists, values)]
         return dense[0] @ dense[-1].T
 
@@ -299,17 +300,6 @@ def _nearness(
     return near
 
 
-def _task(p: Column, q: Column, outside: bool, second: Column) -> Column:
-    return F.struct(
-        p.alias("p"), q.alias("q"), F.lit(outside).alias("outside"), second.alias("second")
-    )
-
-
-def _numbers(count: str) -> Column:
-    none = F.array().cast("array<int>")
-    return F.when(F.col(count) > 0, F.sequence(F.lit(0), F.col(count) - 1)).otherwise(none)
-
-
 def _no_prefix() -> Column:
     return F.lit(None).cast("array<int>").alias("prefix")
 

@@ -17,6 +17,7 @@ from tidemark.operators.enrich import (
     unpivot_sides,
 )
 from tidemark.operators.rollup import last_record, nested_usage, time_bins, trailing_window
+from tidemark.session import cut_lineage
 
 # Columns of a flow record.
 FLOW_COLUMNS = (
@@ -77,9 +78,12 @@ def device_usage(
     params: UsageParams = UsageParams(),
 ) -> tuple[DataFrame, DataFrame]:
     """``(usage, new bins)``: nested usage of the trailing window and the partial
-    bins of these flows, which are the state to keep."""
-    bins = time_bins(
-        resolved_flows(flows, endpoints, taxonomy, registry, params), params.interval, params.label
+    bins of these flows, which are the state to keep. The bins are stored at once,
+    as the window needs their bounds before their rows."""
+    bins = cut_lineage(
+        time_bins(
+            resolved_flows(flows, endpoints, taxonomy, registry, params), params.interval, params.label
+        )
     )
     every = bins if stored_bins is None else bins.unionByName(stored_bins, allowMissingColumns=True)
     windowed = trailing_window(every, params.interval, params.window, last_record(bins))

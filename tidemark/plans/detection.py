@@ -18,6 +18,7 @@ from tidemark.operators.learning import positives, score_classes
 from tidemark.operators.metrics import detection_metrics, merge_metrics, out_of_vocab_metrics
 from tidemark.operators.rollup import last_record, recent_bins, time_bins, trailing_window
 from tidemark.plans.dataset import UsageParams, resolved_flows
+from tidemark.session import cut_lineage
 from tidemark.sources.raw import (
     ENDPOINT_ENTITY,
     FLOW_ENTITY,
@@ -84,7 +85,7 @@ def score_usage(
         [(label, word) for label, m in models.items() for word in m.vocabulary],
         "label string, word string",
     )
-    words = device_words(windowed.where(F.col("label").isin(*models)), vocabulary)
+    words = cut_lineage(device_words(windowed.where(F.col("label").isin(*models)), vocabulary))
     scored = score_classes(words, {label: _Scorer(m) for label, m in models.items()})
     detections = positives(scored, DETECTION_COLUMNS)
     return detections, merge_metrics(out_of_vocab_metrics(words), detection_metrics(detections))
@@ -112,7 +113,6 @@ def run_detection(
             spark, job.raw_root, customer, entity, schema, start, end, watermark, fmt=job.fmt
         )
 
-    stored = None
     fresh = endpoint_rows(raw(ENDPOINT_ENTITY, job.endpoint_schema), list(job.endpoint_keys))
     classed = assign_class(fresh, job.class_rules, params.label)
     known = read_state(

@@ -18,6 +18,7 @@ from tidemark.plans.detection import ClassModel, score_usage
 from tidemark.queries import inputs
 from tidemark.queries.inputs import table
 from tidemark.queries.usage import _WORDS, _windowed
+from tidemark.session import cut_lineage
 
 
 def _training(spark, sf_dir):
@@ -77,6 +78,7 @@ def _class_models(spark, sf_dir):
     heavy = F.aggregate(
         "apps", F.lit(0).cast("long"), lambda acc, a: acc + a["totalClientBytes"] - a["totalServerBytes"]
     )
+    words = cut_lineage(words)
     rows = words_to_vector(words, _WORDS).select("label", "features", (heavy > 0).cast("int").alias("target"))
     clf = boosting(label="target", weight=None, n_estimators=2, max_depth=2)
     models = {

@@ -20,6 +20,7 @@ from tidemark.operators.rollup import (
 from tidemark.plans.dataset import UsageParams, device_usage, resolved_flows
 from tidemark.queries import inputs
 from tidemark.queries.inputs import BINS_SQL, RESOLVED_SQL, WINDOW_SQL
+from tidemark.session import cut_lineage
 
 _QUARTER, _DAY = timedelta(minutes=15), timedelta(days=1)
 _WORDS = ["client-http", "client-https", "client-purchase", "server-http", *OUT_OF_VOCAB.values()]
@@ -53,7 +54,7 @@ def _bins(spark, sf_dir):
 
 
 def _windowed(spark, sf_dir):
-    bins = _bins(spark, sf_dir)
+    bins = cut_lineage(_bins(spark, sf_dir))
     return trailing_window(bins, _QUARTER, _DAY, last_record(bins))
 
 
@@ -114,7 +115,7 @@ def merged_partials(spark, sf_dir):
     resolved = _resolved(spark, sf_dir)
     late = F.col("clientBytesSent") < F.col("serverBytesSent")
     first, second = (time_bins(resolved.where(c), _QUARTER) for c in (late, ~late))
-    both = first.unionByName(second)
+    both = cut_lineage(first.unionByName(second))
     return _plain_window(trailing_window(both, _QUARTER, _DAY, last_record(both)))
 
 
@@ -125,7 +126,7 @@ def recent_state(spark, sf_dir):
 
 
 def complete_only(spark, sf_dir):
-    bins = _bins(spark, sf_dir)
+    bins = cut_lineage(_bins(spark, sf_dir))
     return _plain_bins(complete_bins(bins, _QUARTER, last_record(bins)))
 
 

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.metrics import latest_per_key
+
 # Fixed value: reference times sort as text.
 REF_TIME = "yyyy-MM-dd'T'HH-mm-ss.SSS"
 
@@ -128,8 +130,7 @@ def merge_endpoints(new: DataFrame, stored: DataFrame, key: str = "macAddress",
     """Newest record per device over stored and new endpoints."""
     both = stored.select(*new.columns).unionByName(new)
     rest = [c for c in new.columns if c not in (key, ts)]
-    newest = both.groupBy(key).agg(F.max(F.struct(ts, *rest)).alias("__row"))
-    return newest.select(key, "__row.*").select(*new.columns)
+    return latest_per_key(both, key, ts, [ts, *rest]).select(*new.columns)
 
 
 def _path(root: str, entity: str) -> str:
