@@ -22,7 +22,7 @@ from tidemark.operators.similarity import (
     cosine_radius,
     euclidean_radius,
 )
-from tidemark.session import cut_lineage
+from tidemark.session import cut_lineage, splittable
 
 
 def dbscan(
@@ -137,10 +137,10 @@ def _is_star_forest(edges: DataFrame, by: list[str]) -> bool:
 
 
 def _large_star(edges: DataFrame, by: list[str]) -> DataFrame:
-    both = edges.unionByName(edges.select(*by, F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy(*by, "u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-    moved = both.where("v > u").join(least, [*by, "u"])
-    return moved.select(*by, F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    """Point every child at the least parent of its parent (a root keeps its children)."""
+    least = edges.groupBy(*by, F.col("u").alias("v")).agg(F.min("v").alias("m"))
+    moved = edges.join(splittable(least, "m"), [*by, "v"], "left")
+    return moved.select(*by, "u", F.coalesce("m", "v").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame, by: list[str]) -> DataFrame:

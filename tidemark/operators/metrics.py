@@ -85,9 +85,9 @@ def cluster_quality(
     if by:
         wide = noise.join(totals, by, "left").join(columns, by, "left")
     else:
-        one = F.lit(0).alias("__one")
-        wide = noise.select("*", one).join(totals.select("*", one), "__one")
-        wide = wide.join(columns.select("*", one), "__one").drop("__one")
+        wide = noise.select("*", _only_row(totals).alias("totals"), _only_row(columns).alias("columns")).select(
+            "noise", "totals.*", "columns.*"
+        )
     n = F.col("labelled")
     label_entropy = F.log(n) - F.col("columns") / n
     cluster_entropy = F.log(n) - F.col("rows") / n
@@ -139,6 +139,11 @@ def _known(expr: str):
     return F.when(F.col("label").isNotNull(), F.expr(expr))
 
 
+def _only_row(df: DataFrame):
+    """The single row of ``df`` as a struct, by scalar subquery."""
+    return df.select(F.struct(*df.columns)).scalar()
+
+
 def _n_log_n(c: str):
     return F.when(F.col(c) > 0, F.col(c) * F.log(F.col(c).cast("double"))).otherwise(0.0)
 

@@ -48,3 +48,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and continue from there."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def splittable(df: DataFrame, *cols: str) -> DataFrame:
+    """Move an aggregate away from its keys before a join on them.
+
+    Adaptive execution splits a hot join key only if both sides are shuffled for
+    the join, and an aggregate on the join keys would not be.
+    """
+    return df.repartition(*cols)
