@@ -139,7 +139,7 @@ def _is_star_forest(edges: DataFrame, by: list[str]) -> bool:
 def _large_star(edges: DataFrame, by: list[str]) -> DataFrame:
     """Point every child at the least parent of its parent (a root keeps its children)."""
     least = edges.groupBy(*by, F.col("u").alias("v")).agg(F.min("v").alias("m"))
-    moved = edges.join(splittable(least, "m"), [*by, "v"], "left")
+    moved = edges.join(splittable(least), [*by, "v"], "left")
     return moved.select(*by, "u", F.coalesce("m", "v").alias("v")).distinct()
 
 

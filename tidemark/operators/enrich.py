@@ -1,8 +1,8 @@
 """Flattening, filtering and lookups of flow and endpoint records.
 
 Lookup tables are joined without a hint: Spark broadcasts one only where its
-size stays under ``spark.sql.autoBroadcastJoinThreshold`` and otherwise falls
-back to a shuffled join whose hot keys adaptive execution splits.
+size stays under ``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles
+both sides, where adaptive execution splits hot keys.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.names import UNKNOWN, UNKNOWN_NAMES, resolved_app_name
+from tidemark.session import splittable
 
 # Fields of an endpoint record that carry no device attribute.
 ENDPOINT_DROPPED = ("matchedRules", "logicalProfile", "classificationTimestamp", "macRandomData")
@@ -84,7 +85,7 @@ def byte_threshold_filter(
     other = ((c >= default_client) & (s >= default_server)) | (
         (c >= default_server) & (s >= default_client)
     )
-    joined = df.join(limits, looked_up == F.col("__app"), "left")
+    joined = df.join(splittable(limits), looked_up == F.col("__app"), "left")
     keep = F.when(F.col("__app").isNotNull(), listed).otherwise(other)
     return joined.where(keep).select(*df.columns)
 
@@ -94,7 +95,7 @@ def lookup_flag(
 ) -> DataFrame:
     """Left lookup of a flag; rows without an entry get ``default``."""
     entries = table.groupBy(F.col(key).alias("__key")).agg(F.max(flag).alias(flag))
-    joined = df.join(entries, F.col(key) == F.col("__key"), "left")
+    joined = df.join(splittable(entries), F.col(key) == F.col("__key"), "left")
     return joined.select(*df.columns, F.coalesce(F.col(flag), F.lit(default)).alias(flag))
 
 
@@ -118,7 +119,7 @@ def lookup_overwrite(
     )
     on = [F.col(k) == F.col(f"__k_{k}") for k in keys]
     new = F.when(when, F.col("__value")).otherwise(F.col(col))
-    out = df.join(entries, on, "left").select(
+    out = df.join(splittable(entries), on, "left").select(
         *[new.alias(c) if c == col else F.col(c) for c in df.columns]
     )
     return out.where(F.col(col).isNotNull()) if drop_null else out

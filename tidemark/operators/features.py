@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.rollup import DEVICE_KEYS, nested_app
+from tidemark.session import literal_table, splittable
 
 # Vocabulary words that stand for unknown apps of either side.
 OUT_OF_VOCAB = {"client": "client-out-of-vocab", "server": "server-out-of-vocab"}
@@ -72,8 +73,7 @@ def multi_hot(
     missing = set(OUT_OF_VOCAB.values()) - set(vocabulary)
     if missing:
         raise ValueError(f"vocabulary lacks {sorted(missing)}")
-    spark = usage.sparkSession
-    table = spark.createDataFrame([(w,) for w in vocabulary], "word string")
+    table = literal_table(usage.sparkSession, [(w,) for w in vocabulary], "word string")
     return words_to_vector(vocabulary_words(usage, table, keys, apps), vocabulary)
 
 
@@ -93,4 +93,5 @@ def _with_word(df: DataFrame, vocabulary: DataFrame) -> DataFrame:
     word = F.when(F.col("__known"), name)
     for side, flag in OUT_OF_VOCAB.items():
         word = word.when(name.startswith(side), flag)
-    return df.join(known, [*by_label, "__used"], "left").withColumn("__word", word)
+    joined = df.join(splittable(known), [*by_label, "__used"], "left")
+    return joined.withColumn("__word", word)

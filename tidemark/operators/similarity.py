@@ -78,7 +78,7 @@ def dedupe_vectors(vectors: DataFrame) -> DataFrame:
 def vector_members(vectors: DataFrame, points: DataFrame) -> DataFrame:
     """``(id, point)``: the representative of every vector."""
     reps = points.select(F.col("id").alias("point"), "entries")
-    return vectors.join(splittable(reps, "point"), "entries").select("id", "point")
+    return vectors.join(splittable(reps), "entries").select("id", "point")
 
 
 def cosine_pairs(
@@ -191,7 +191,7 @@ def compare_blocks(
         "if(prefix is null, null, slice(prefix, 1, pos)) earlier",
     )
     jobs = (
-        placed.join(splittable(blocks, "homes", "outers"), "cell")
+        placed.join(splittable(blocks), "cell")
         .withColumn("own", F.expr("cast(pmod(xxhash64(id), if(home, homes, outers)) as int)"))
         .selectExpr("*", f"explode({_TASKS}) task")
         .selectExpr(
@@ -313,7 +313,7 @@ def _prefix_cells(points: DataFrame, radius: float) -> DataFrame:
         .rowsBetween(Window.currentRow, Window.unboundedFollowing)
     )
     needed = (
-        entries.join(splittable(rarity, "rarity"), "dim")
+        entries.join(splittable(rarity), "dim")
         .withColumn("rest", F.sqrt(F.sum(F.col("val") * F.col("val")).over(rest)))
         .where(F.col("rest") >= 1 - radius - 1e-9)
         .groupBy("id")

@@ -14,7 +14,7 @@ from tidemark.operators.cluster import dbscan, expand_clusters
 from tidemark.operators.features import vector_sum
 from tidemark.operators.metrics import cluster_quality, latest_known_labels, pivot_metrics
 from tidemark.operators.similarity import dedupe_vectors, unit_vectors
-from tidemark.session import cut_lineage
+from tidemark.session import cut_lineage, literal_table
 
 # The grid of neighbour distances and the distance functions.
 EPS_GRID = (0.001, 0.01, 0.015, 0.065, 0.115, 0.165, 0.215, 0.265)
@@ -64,7 +64,8 @@ def cluster_endpoints(
         _assigned(features, params, [params.eps]).drop("eps")
     )
     metrics, per_cluster = cluster_quality(endpoints, _labels(snapshots, label))
-    settings = snapshots.sparkSession.createDataFrame(
+    settings = literal_table(
+        snapshots.sparkSession,
         [("epsilon", float(params.eps)), ("minSamples", float(params.min_samples))],
         "name string, value double",
     )
@@ -112,7 +113,7 @@ def grid_search(
         (f"eps={e},min_samples={min_samples},distance={d}", float(e), d, n)
         for n, (e, d) in enumerate((e, d) for e in eps_grid for d in distances)
     ]
-    grid = spark.createDataFrame(points, "param string, eps double, distance string, position int")
+    grid = literal_table(spark, points, "param string, eps double, distance string, position int")
     settings = grid.select(
         "param",
         F.explode(

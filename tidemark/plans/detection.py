@@ -18,7 +18,7 @@ from tidemark.operators.learning import positives, score_classes
 from tidemark.operators.metrics import detection_metrics, merge_metrics, out_of_vocab_metrics
 from tidemark.operators.rollup import last_record, recent_bins, time_bins, trailing_window
 from tidemark.plans.dataset import UsageParams, resolved_flows
-from tidemark.session import cut_lineage
+from tidemark.session import cut_lineage, literal_table
 from tidemark.sources.raw import (
     ENDPOINT_ENTITY,
     FLOW_ENTITY,
@@ -80,8 +80,8 @@ def score_usage(
     windowed: DataFrame, models: Mapping[str, ClassModel]
 ) -> tuple[DataFrame, DataFrame]:
     """``(detections, metrics per label)`` of a trailing window."""
-    spark = windowed.sparkSession
-    vocabulary = spark.createDataFrame(
+    vocabulary = literal_table(
+        windowed.sparkSession,
         [(label, word) for label, m in models.items() for word in m.vocabulary],
         "label string, word string",
     )

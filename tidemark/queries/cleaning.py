@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions.names import resolved_app_name
+from tidemark.functions.times import to_ms
 from tidemark.operators.dedupe import collapse_quasi_duplicates, earliest_per_key, first_per_key
 from tidemark.operators.enrich import (
     assign_class,
@@ -21,7 +22,7 @@ from tidemark.operators.enrich import (
 )
 from tidemark.queries import inputs
 from tidemark.queries.inputs import FLOWS_SQL, NAME_RULES_SQL, table
-from tidemark.functions.times import to_ms
+from tidemark.session import literal_table
 
 _KEY = ["l_orderkey", "l_linenumber"]
 
@@ -107,8 +108,8 @@ def class_assignment(spark, sf_dir):
 
 
 def threshold_filter(spark, sf_dir):
-    limits = spark.createDataFrame(
-        [("view", 3000, 200), ("unknown", 100, 400)],
+    limits = literal_table(
+        spark, [("view", 3000, 200), ("unknown", 100, 400)],
         "app string, minFlowClientBytes long, minFlowServerBytes long",
     )
     flows = inputs.flows(spark, sf_dir).select(

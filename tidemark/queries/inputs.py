@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import to_ms
+from tidemark.session import literal_table
 
 DAY_MS = 86_400_000
 
@@ -90,8 +91,8 @@ def endpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def taxonomy(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        [("purchase", True), ("http-click", True), ("view", False)],
+    return literal_table(
+        spark, [("purchase", True), ("http-click", True), ("view", False)],
         "appName string, isInTaxonomy boolean",
     )
 

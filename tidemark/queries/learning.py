@@ -18,7 +18,7 @@ from tidemark.plans.detection import ClassModel, score_usage
 from tidemark.queries import inputs
 from tidemark.queries.inputs import table
 from tidemark.queries.usage import _WORDS, _windowed
-from tidemark.session import cut_lineage
+from tidemark.session import cut_lineage, literal_table
 
 
 def _training(spark, sf_dir):
@@ -55,7 +55,7 @@ def boosted(spark, sf_dir):
 def boosting_f1(spark, sf_dir):
     """Weighted F1 of the fitted model, by Spark's evaluator."""
     scored = boosted(spark, sf_dir)
-    return spark.createDataFrame([(weighted_f1().evaluate(scored),)], "f1 double")
+    return literal_table(spark, [(weighted_f1().evaluate(scored),)], "f1 double")
 
 
 def boosting_search(spark, sf_dir):
@@ -63,7 +63,7 @@ def boosting_search(spark, sf_dir):
         _training(spark, sf_dir), {"n_estimators": [2], "max_depth": [2, 3]}, k=2
     )
     scores = [(float(n), float(m)) for n, m in enumerate(search.avgMetrics)]
-    return spark.createDataFrame(scores, "point double, f1 double").withColumn(
+    return literal_table(spark, scores, "point double, f1 double").withColumn(
         "best_depth", F.lit(float(best["max_depth"]))
     )
 
@@ -71,8 +71,8 @@ def boosting_search(spark, sf_dir):
 def _class_models(spark, sf_dir):
     """One small model per class: does a device send more than it receives?"""
     windowed = _windowed(spark, sf_dir)
-    vocabulary = spark.createDataFrame(
-        [(label, w) for label in _CLASSES for w in _WORDS], "label string, word string"
+    vocabulary = literal_table(
+        spark, [(label, w) for label in _CLASSES for w in _WORDS], "label string, word string"
     )
     words = device_words(windowed.where(F.col("label").isin(*_CLASSES)), vocabulary)
     heavy = F.aggregate(

@@ -20,7 +20,7 @@ from tidemark.operators.rollup import (
 from tidemark.plans.dataset import UsageParams, device_usage, resolved_flows
 from tidemark.queries import inputs
 from tidemark.queries.inputs import BINS_SQL, RESOLVED_SQL, WINDOW_SQL
-from tidemark.session import cut_lineage
+from tidemark.session import cut_lineage, literal_table
 
 _QUARTER, _DAY = timedelta(minutes=15), timedelta(days=1)
 _WORDS = ["client-http", "client-https", "client-purchase", "server-http", *OUT_OF_VOCAB.values()]
@@ -141,7 +141,7 @@ def device_usage_query(spark, sf_dir):
 
 def multi_hot_words(spark, sf_dir):
     usage = nested_usage(_windowed(spark, sf_dir))
-    table = spark.createDataFrame([(w,) for w in _WORDS], "word string")
+    table = literal_table(spark, [(w,) for w in _WORDS], "word string")
     return vocabulary_words(usage, table).select("mac", "label", "uuid", F.concat_ws(",", "words").alias("words"))
 
 
@@ -154,8 +154,8 @@ def multi_hot_vectors(spark, sf_dir):
 
 
 def out_of_vocab(spark, sf_dir):
-    vocabulary = spark.createDataFrame(
-        [(label, w) for label in inputs.ACTIVE_CLASSES for w in _WORDS], "label string, word string"
+    vocabulary = literal_table(
+        spark, [(label, w) for label in inputs.ACTIVE_CLASSES for w in _WORDS], "label string, word string"
     )
     return out_of_vocab_metrics(device_words(_windowed(spark, sf_dir), vocabulary)).select(
         "label", F.col("numDevices").alias("devices"), F.col("numOutOfVocab").alias("out_of_vocab")

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterable, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def get_spark(master: str | None = None, app: str = "tidemark", **conf: str) -> SparkSession:
@@ -50,10 +53,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def splittable(df: DataFrame, *cols: str) -> DataFrame:
+def splittable(df: DataFrame) -> DataFrame:
     """Move an aggregate away from its keys before a join on them.
 
     Adaptive execution splits a hot join key only if both sides are shuffled for
     the join, and an aggregate on the join keys would not be.
     """
-    return df.repartition(*cols)
+    return df.repartition(F.xxhash64(*df.columns))
+
+
+def literal_table(spark: SparkSession, rows: Iterable[Sequence], schema: str) -> DataFrame:
+    """A small table of given rows whose size the optimizer knows, so that it is
+    broadcast rather than shuffled against."""
+    names = [part.split()[0] for part in schema.split(",")]
+    columns = list(zip(*rows)) or [()] * len(names)
+    return spark.createDataFrame(pa.table({n: list(c) for n, c in zip(names, columns)}), schema)
