@@ -51,9 +51,12 @@ def last_record(bins: DataFrame) -> Column:
     return bins.agg(F.max("lastTimestamp")).scalar()
 
 
-def recent_bins(bins: DataFrame, end: Column, window: timedelta) -> DataFrame:
-    """State that can still fall into a window ending at ``end``."""
-    return bins.where(F.col("timeBin") > end - interval_literal(window))
+def recent_bins(
+    bins: DataFrame, end: Column, window: timedelta, fresh: Column | None = None
+) -> DataFrame:
+    """State that can still fall into a window ending at ``end``, and all ``fresh`` rows."""
+    recent = F.col("timeBin") > end - interval_literal(window)
+    return bins.where(recent if fresh is None else fresh | recent)
 
 
 def complete_bins(bins: DataFrame, interval: timedelta, last: Column) -> DataFrame:

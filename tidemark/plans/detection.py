@@ -34,6 +34,7 @@ from tidemark.sources.state import (
     merge_endpoints,
     read_state,
     read_watermark,
+    ref_time,
     write_state,
     write_watermark,
 )
@@ -113,8 +114,8 @@ def run_detection(
             spark, job.raw_root, customer, entity, schema, start, end, watermark, fmt=job.fmt
         )
 
-    fresh = endpoint_rows(raw(ENDPOINT_ENTITY, job.endpoint_schema), list(job.endpoint_keys))
-    classed = assign_class(fresh, job.class_rules, params.label)
+    arrived = endpoint_rows(raw(ENDPOINT_ENTITY, job.endpoint_schema), list(job.endpoint_keys))
+    classed = assign_class(arrived, job.class_rules, params.label)
     known = read_state(
         spark, job.state_root, "endpoint", customer, classed.schema, latest_only=True
     )
@@ -130,9 +131,9 @@ def run_detection(
     resolved = resolved_flows(flows, endpoints, job.taxonomy, job.registry, params)
     write_state(time_bins(resolved, params.interval, params.label), job.state_root, "etlBins", customer, upto)
     stored = read_state(spark, job.state_root, "etlBins", customer, BINS_SCHEMA)
-    newest = read_state(spark, job.state_root, "etlBins", customer, BINS_SCHEMA, latest_only=True)
-    bins = recent_bins(stored, F.lit(end), params.window)
-    windowed = trailing_window(bins, params.interval, params.window, last_record(newest))
+    fresh = F.col("refTs") == ref_time(upto)
+    bins = recent_bins(stored, F.lit(end), params.window, fresh)
+    windowed = trailing_window(bins, params.interval, params.window, last_record(stored.where(fresh)))
 
     detections, metrics = score_usage(windowed, job.models)
     write_state(detections, job.state_root, "detections", customer, upto)

@@ -21,9 +21,8 @@ def write_state(
     df: DataFrame, root: str, entity: str, customer: str, ref_ts: datetime | Column, mode: str = "overwrite"
 ) -> None:
     """Write one snapshot; the same customer and time overwrite each other only."""
-    ref = ref_ts if isinstance(ref_ts, Column) else F.lit(ref_ts)
     (
-        df.withColumns({"customer": F.lit(customer), "refTs": F.date_format(ref, REF_TIME)})
+        df.withColumns({"customer": F.lit(customer), "refTs": ref_time(ref_ts)})
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("customer", "refTs")
@@ -58,6 +57,11 @@ def read_state(
     return latest_partition(rows, "refTs") if latest_only else rows
 
 
+def ref_time(ts: datetime | Column) -> Column:
+    """A reference time as it is written in the partition column."""
+    return F.date_format(ts if isinstance(ts, Column) else F.lit(ts), REF_TIME)
+
+
 def latest_partition(df: DataFrame, col: str) -> DataFrame:
     """Rows with the greatest value of a (partition) column."""
     return df.where(F.col(col) == df.agg(F.max(col)).scalar())
@@ -85,7 +89,7 @@ def archive(
 
     Files are left in place for the storage owner to expire.
     """
-    cut = F.date_format(F.lit(limit), REF_TIME)
+    cut = ref_time(limit)
     (
         df.where(F.col("refTs") < cut)
         .write.mode("overwrite")

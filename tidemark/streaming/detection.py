@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.times import interval_literal
-from tidemark.operators.rollup import last_record, trailing_window
+from tidemark.operators.rollup import last_record, recent_bins, trailing_window
 
 OnWindow = Callable[[DataFrame, int], None]
 
@@ -36,13 +36,14 @@ def window_of_batch(
 ) -> DataFrame:
     """Trailing window up to the last record of a batch.
 
-    Only days that can reach into the window are read.
+    Of earlier batches, only days that can reach into the window are read.
     """
     stored = spark.read.schema(schema).parquet(path).where(F.col("batchId") <= batch_id)
-    last = last_record(stored.where(F.col("batchId") == batch_id))
-    oldest = last - interval_literal(window) - interval_literal(interval)
-    near = stored.where((F.col("binDate") >= F.to_date(oldest)) & (F.col("timeBin") > oldest))
-    return trailing_window(near, interval, window, last)
+    fresh = F.col("batchId") == batch_id
+    last = last_record(stored.where(fresh))
+    oldest = last - interval_literal(interval)
+    near = stored.where(fresh | (F.col("binDate") >= F.to_date(oldest - interval_literal(window))))
+    return trailing_window(recent_bins(near, oldest, window, fresh), interval, window, last)
 
 
 def run_partial_bins(
