@@ -154,6 +154,17 @@ def test_tie_break_and_left_copies(spark, options):
     assert [(r["tag"], r["v"]) for r in single.collect()] == [("p", "zz")]
 
 
+@pytest.mark.parametrize("options", STRATEGIES)
+def test_skip_empty(spark, left, options):
+    right = right_of(spark, "df2").withColumn("none", F.lit(None).cast("int"))
+    maps = {**MAPS, "right_map": {**MAPS["right_map"], "none": "none"}}
+    df = asof_join(left, right, ["key"], lookback_ms=10, right_cols=["none", "col2", "col3"], skip_empty=True, **maps, **options)
+    assert df.columns == ["key", "col1", "ts", "none", "col2", "col3"]
+    assert values(df) == dict(zip(POINTS, EXPECTED["df2"])) and df.where("none is not null").count() == 0
+    only = asof_join(left, right, ["key"], right_cols=["none"], skip_empty=True, **maps, **options)
+    assert only.count() == len(LEFT) and only.columns[-1] == "none"
+
+
 def test_errors(spark, left):
     right = right_of(spark, "df2")
     with pytest.raises(ValueError, match="both sides"):

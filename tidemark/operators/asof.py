@@ -36,6 +36,7 @@ def asof_join(
     tie_break: Sequence[str] = (),
     null_safe_keys: bool = False,
     collapse_left: bool = False,
+    skip_empty: bool = False,
 ) -> DataFrame:
     """Attach to each left row the closest right value of every column.
 
@@ -47,7 +48,8 @@ def asof_join(
     the greatest ``tie_break`` columns, then the greatest value.
     ``left_map``/``right_map`` select and rename columns (source to target, the
     timestamp is always kept). ``collapse_left`` keeps one row per keys and
-    timestamp.
+    timestamp. ``skip_empty`` first counts the values of every right column, in one
+    job, and leaves columns without any out of the join; they come out null.
 
     ``strategy="bucketed"`` splits every key into time buckets of ``bucket_ms``
     and carries only the last value of a bucket into later ones, so that no task
@@ -63,15 +65,29 @@ def asof_join(
     left = left.where(F.col(ts).isNotNull())
     if collapse_left:
         left = _one_per_timestamp(left, keys, ts)
+    empty = {}
+    if skip_empty:
+        counts = non_null_counts(right, values).first()
+        empty = {c: F.lit(None).cast(right.schema[c].dataType) for c in values if counts[c] == 0}
+    names, values = values, [c for c in values if c not in empty]
+    if not values:
+        return left.select("*", *[empty[c].alias(c) for c in names])
     right = right.where(F.col(ts).isNotNull()).select(
         *keys, ts, *dict.fromkeys([*values, *tie_break])
     )
     if not null_safe_keys:
         right = right.where(_all_known(keys))
+    args = (left, right, keys, ts, values, lookback_ms, match, tie_break, null_safe_keys)
     if strategy == "window":
-        return _by_window(left, right, keys, ts, values, lookback_ms, match, tie_break, null_safe_keys)
-    width = bucket_ms or lookback_ms or DEFAULT_LOOKBACK_MS
-    return _by_bucket(left, right, keys, ts, values, lookback_ms, match, tie_break, null_safe_keys, width)
+        joined = _by_window(*args)
+    else:
+        joined = _by_bucket(*args, bucket_ms or lookback_ms or DEFAULT_LOOKBACK_MS)
+    return joined.withColumns(empty).select(*left.columns, *names) if empty else joined
+
+
+def non_null_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """One row with the number of known values of each column."""
+    return df.agg(*[F.count(c).alias(c) for c in cols])
 
 
 def interval_join(

@@ -75,7 +75,7 @@ def dbscan(
         ).distinct()
     )
     edges = links.where("core").select("k", F.col("id").alias("u"), F.col("root").alias("v"))
-    component = connected_components(edges, by=["k"])
+    component = _components(edges, ["k"])
 
     flags = cores.select("id", F.posexplode("core").alias("k", "core"))
     named = (
@@ -103,11 +103,13 @@ def connected_components(edges: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     each round is written to the checkpoint folder.
     """
     by = list(by)
-    current = cut_lineage(
-        edges.where("u <> v")
-        .select(*by, F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        .distinct()
-    )
+    return _components(cut_lineage(edges.select(*by, "u", "v").distinct()), by)
+
+
+def _components(stored: DataFrame, by: list[str]) -> DataFrame:
+    current = stored.where("u <> v").select(
+        *by, F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")
+    ).distinct()
     while not _is_star_forest(current, by):
         current = cut_lineage(_small_star(_large_star(current, by), by))
     roots = current.select(*by, F.col("v").alias("node"), F.col("v").alias("component")).distinct()

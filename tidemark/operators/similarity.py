@@ -29,7 +29,8 @@ from tidemark.session import cut_lineage, splittable
 DECIMALS = 4
 ROUNDING = 0.00005
 
-BLOCK_ROWS = 1024
+# Two blocks make a 2048 x 2048 matrix of 32 MB in a task.
+BLOCK_ROWS = 2048
 ROWS_PER_CELL = 4096
 MAX_ANCHORS = 1024
 # Anchor matrices travel to every task; 4 million doubles are 32 MB.

@@ -57,6 +57,14 @@ def asof_two_keys(spark, sf_dir):
     return asof_join(left, right, ["user_id", "half"], lookback_ms=_LOOKBACK, tie_break=["amount"])
 
 
+def asof_skip_empty(spark, sf_dir):
+    """A right column without any value is left out of the join."""
+    signals = _signals(spark, sf_dir).withColumn("last_call", F.lit(None).cast("double"))
+    return asof_join(
+        _purchases(spark, sf_dir), signals, ["user_id"], lookback_ms=_LOOKBACK, skip_empty=True
+    )
+
+
 def asof_one_per_timestamp(spark, sf_dir):
     """Per user and day: one row, with the last values up to that day."""
     day = (F.col("ts") / DAY_MS).cast("long") * DAY_MS
@@ -86,6 +94,7 @@ QUERIES = {
     "asof_unbounded": _asof(lookback_ms=None, bucket_ms=DAY_MS),
     "asof_renamed": asof_renamed,
     "asof_two_keys": asof_two_keys,
+    "asof_skip_empty": asof_skip_empty,
     "asof_one_per_timestamp": asof_one_per_timestamp,
     "range_join_pairs": range_join_pairs,
 }
@@ -128,6 +137,9 @@ SQL = {
     ),
     "asof_next": _asof_sql("first_value", f"CURRENT ROW AND {_LOOKBACK} FOLLOWING", _ALL),
     "asof_unbounded": _asof_sql("last_value", "UNBOUNDED PRECEDING AND CURRENT ROW", _ALL),
+    "asof_skip_empty": _asof_sql(
+        "last_value", f"{_LOOKBACK} PRECEDING AND CURRENT ROW", f"{_ALL}, NULL::DOUBLE AS last_call"
+    ),
     "asof_renamed": _asof_sql(
         "last_value", f"{_LOOKBACK} PRECEDING AND CURRENT ROW",
         "user_id AS user, event_id AS purchase, ts AS at, last_view AS seen",

@@ -19,6 +19,7 @@ from tidemark.plans.clustering import ClusterParams, cluster_endpoints, grid_sea
 from tidemark.queries.inputs import table
 
 _EPS, _MIN = 0.65, 3
+_GRID = (0.5, 0.6, 0.65)
 _SPARSE_EPS = 0.45
 _EUCLID = 0.999
 _COPY = 10_000_000
@@ -153,10 +154,9 @@ def per_cluster_metrics(spark, sf_dir):
 def grid(spark, sf_dir):
     """Metrics of all grid points over three eps and both distances."""
     _, metrics = grid_search(
-        _snapshots(spark, sf_dir), "label", _LAYOUT,
-        min_samples=_MIN, eps_grid=(0.5, 0.6, 0.65), cells="anchors",
+        _snapshots(spark, sf_dir), "label", _LAYOUT, min_samples=_MIN, eps_grid=_GRID, cells="anchors"
     )
-    return metrics
+    return metrics.select("param", *[F.round(c, 6).alias(c) for c in metrics.columns if c != "param"])
 
 
 QUERIES = {
@@ -181,19 +181,15 @@ QUERIES = {
 _UNIT = """
 u AS (
   SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE) / sqrt(list_dot_product(
-    CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])))) AS v FROM embeddings
+    CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])))) AS v,
+    list_transform(CAST(embedding[1:32] AS DOUBLE[]), lambda x: x / sqrt(list_dot_product(
+      CAST(embedding[1:32] AS DOUBLE[]), CAST(embedding[1:32] AS DOUBLE[])))) AS f,
+    list_transform(CAST(embedding[33:64] AS DOUBLE[]), lambda x: x / sqrt(list_dot_product(
+      CAST(embedding[33:64] AS DOUBLE[]), CAST(embedding[33:64] AS DOUBLE[])))) AS b
+  FROM embeddings
 )"""
 
 
-def _slice(part: str) -> str:
-    return f"CAST(embedding{part} AS DOUBLE[])"
-
-
-def _unit_slice(part: str) -> str:
-    s = _slice(part)
-    return f"list_transform({s}, lambda x: x / sqrt(list_dot_product({s}, {s})))"
-
-
 def _cluster_sql(near: str, minimum: int, weight: int = 1) -> str:
     """Clusters over pairs ``(i, j)`` of both directions, named after the least core id."""
     return f"""
@@ -225,15 +221,44 @@ clusters AS (
 _DOT = "list_dot_product(a.v, b.v)"
 _NEAR = f"round(greatest(1 - {_DOT}, 0), 4) < {_EPS}"
 _CLUSTERS = _cluster_sql(_NEAR, _MIN)
+_DISTANCE = {
+    "global": f"1 - {_DOT}",
+    "per_attribute": "1 - (2 * list_dot_product(a.f, b.f) + list_dot_product(a.b, b.b)) / 3",
+}
+
+
+def _grid_row(eps: float, distance: str) -> str:
+    """One row of metrics: clusters at ``eps``, compared with the labels."""
+    clusters = _cluster_sql(f"round(greatest({_DISTANCE[distance]}, 0), 4) < {eps}", _MIN)
+    return f"""
+SELECT * FROM ({clusters},
+t AS (SELECT cluster, label, CAST(count(*) AS DOUBLE) AS n FROM clusters WHERE cluster IS NOT NULL GROUP BY ALL),
+c AS (SELECT cluster, sum(n) AS n, max(n) AS top FROM t GROUP BY ALL),
+l AS (SELECT label, sum(n) AS n FROM t GROUP BY ALL),
+s AS (
+  SELECT (SELECT sum(n) FROM t) AS total, (SELECT sum(top) FROM c) AS top,
+    (SELECT sum(n * ln(n)) FROM t) AS cells, (SELECT sum(n * ln(n)) FROM c) AS rs, (SELECT sum(n * ln(n)) FROM l) AS cs
+),
+h AS (SELECT *, ln(total) - cs / total AS hl, ln(total) - rs / total AS hc FROM s)
+SELECT 'eps={eps},min_samples={_MIN},distance={distance}' AS param, coalesce(total, 0) AS clustered,
+  CAST((SELECT count(*) FROM c) AS DOUBLE) AS clusters,
+  round(CASE WHEN hc <= 1e-12 THEN 1 ELSE 1 - ((cs - cells) / total) / hc END, 6) AS completeness,
+  CAST({eps} AS DOUBLE) AS epsilon,
+  round(CASE WHEN hl <= 1e-12 THEN 1 ELSE 1 - ((rs - cells) / total) / hl END, 6) AS homogeneity,
+  CAST({_MIN} AS DOUBLE) AS "minSamples",
+  CAST((SELECT count(*) FROM clusters WHERE cluster IS NULL) AS DOUBLE) AS noise,
+  round(top / total, 6) AS purity
+FROM h)"""
 
 SQL = {
     "vector_sum": """
 SELECT label, CAST(dim - 1 AS INTEGER) AS dim, round(sum(CAST(x AS DOUBLE)), 4) AS total FROM (
   SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS dim FROM embeddings)
 GROUP BY ALL""",
-    "vector_norms": f"""
+    "vector_norms": """
 SELECT vec_id, CAST(len(embedding) AS INTEGER) AS size,
-  round(sqrt(list_dot_product({_slice("")}, {_slice("")})), 6) AS norm FROM embeddings""",
+  round(sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))), 6) AS norm
+FROM embeddings""",
     "attribute_norms": """
 SELECT vec_id, front, CASE WHEN front THEN round(2.0::DOUBLE / 3, 6) ELSE round(1.0::DOUBLE / 3, 6) END AS share
 FROM embeddings CROSS JOIN (VALUES (true), (false)) t(front)""",
@@ -246,10 +271,9 @@ SELECT * FROM (
   SELECT a.vec_id AS i, b.vec_id AS j, round(greatest(1 - {_DOT}, 0), 4) AS dist
   FROM u a JOIN u b ON a.vec_id < b.vec_id) WHERE dist < {_EPS}""",
     "attribute_pairs": f"""
-WITH u AS (SELECT vec_id, {_unit_slice("[1:32]")} AS f, {_unit_slice("[33:64]")} AS b FROM embeddings)
+WITH {_UNIT}
 SELECT * FROM (
-  SELECT a.vec_id AS i, b.vec_id AS j, round(greatest(
-    1 - (2 * list_dot_product(a.f, b.f) + list_dot_product(a.b, b.b)) / 3, 0), 4) AS dist
+  SELECT a.vec_id AS i, b.vec_id AS j, round(greatest({_DISTANCE["per_attribute"]}, 0), 4) AS dist
   FROM u a JOIN u b ON a.vec_id < b.vec_id) WHERE dist < {_EPS}""",
     "cosine_pairs_sparse": f"""
 WITH q AS (SELECT l_orderkey AS id, l_partkey AS dim, sum(l_quantity) AS val FROM lineitem GROUP BY ALL HAVING val <> 0),
@@ -276,6 +300,9 @@ SELECT node, min(name) AS component FROM reach GROUP BY node""",
     "cluster_assignments": f"""{_CLUSTERS}
 SELECT vec_id AS endpoint, 1 AS snapshotTimestamp, CAST(label AS VARCHAR) AS label, cluster AS clusterId FROM clusters
 UNION ALL SELECT vec_id, 2, 'unknown', cluster FROM clusters""",
+    "grid_search": " UNION ALL ".join(
+        _grid_row(eps, distance) for eps in _GRID for distance in ("global", "per_attribute")
+    ),
     "cluster_metrics": f"""{_CLUSTERS},
 t AS (SELECT cluster, label, CAST(count(*) AS DOUBLE) AS n FROM clusters WHERE cluster IS NOT NULL GROUP BY ALL),
 c AS (SELECT cluster, sum(n) AS n, max(n) AS top FROM t GROUP BY ALL),

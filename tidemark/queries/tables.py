@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import to_ms
+from tidemark.operators.asof import non_null_counts as count_known
 from tidemark.operators.metrics import (
     detection_metrics,
     latest_known_labels,
@@ -78,7 +79,7 @@ def non_null_counts(spark, sf_dir):
         F.when(kind == "none", F.col("value")).alias("nothing"),
         "props",
     )
-    return events.agg(*[F.count(c).alias(c) for c in events.columns])
+    return count_known(events, events.columns)
 
 
 def endpoint_merge(spark, sf_dir):
