@@ -6,14 +6,14 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from tidemark.functions.vectors import attribute_layout
-from tidemark.operators.cluster import connected_components, dbscan
+from tidemark.operators.cluster import _ball_radius, connected_components, dbscan
 from tidemark.operators.metrics import (
     cluster_quality,
     latest_known_labels,
     merge_metrics,
     pivot_metrics,
 )
-from tidemark.operators.similarity import dedupe_vectors, unit_vectors
+from tidemark.operators.similarity import assign_cells, cosine_radius, dedupe_vectors, unit_vectors
 from tidemark.plans.clustering import ClusterParams, cluster_endpoints, grid_search
 
 OPTIONS = [{}, {"block_rows": 6}, {"anchors": 5, "block_rows": 9}, {"cells": "prefix"}]
@@ -104,6 +104,39 @@ def test_copies_make_a_core_and_zero_vectors_stay_alone(spark):
     assert got == {1: (1, True), 3: (None, False), 4: (4, True)}
 
 
+@pytest.mark.parametrize("metric", ["cosine", "euclidean"])
+def test_dense_balls_are_not_compared_and_stay_exact(spark, metric):
+    rng = np.random.default_rng(7)
+    centres = np.abs(rng.normal(size=(5, 4)))
+    sizes = [60, 25, 12, 3, 1]
+    points = [
+        (centres[c] + rng.normal(size=4) * rng.choice([0.002, 0.05])).tolist()
+        for c, size in enumerate(sizes) for _ in range(size)
+    ]
+    points = list(enumerate(points))
+    vectors = frame(spark, points).withColumn("weight", F.lit(1).cast("long"))
+    eps_values = [0.06, 0.1] if metric == "euclidean" else [0.002, 0.005]
+
+    def euclidean_near(eps):
+        def near(a, b):
+            x, y = np.array(a) / np.linalg.norm(a), np.array(b) / np.linalg.norm(b)
+            return float(np.linalg.norm(x - y)) <= eps
+
+        return near
+
+    near_of = euclidean_near if metric == "euclidean" else cosine_near
+    got = dbscan(vectors, eps_values, 6, metric=metric, anchors=30, block_rows=8).collect()
+    for eps in eps_values:
+        want, core = brute([p for _, p in points], [1] * len(points), near_of(eps), 6)
+        rows = sorted((r for r in got if r["eps"] == eps), key=lambda r: r["id"])
+        assert [r["core"] for r in rows] == core
+        assert {r["id"]: r["cluster"] for r in rows} == want
+
+    reach = _ball_radius(metric, eps_values[0])
+    placed = assign_cells(vectors, cosine_radius(0.005), anchors=30, dense=(reach, 6))
+    assert placed.where("leader is not null").count() >= 40
+
+
 def test_invariant_to_renaming(spark):
     points = points_of(60, seed=3)
     names = random.Random(4).sample(range(1000), 60)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.similarity import (
     BLOCK_ROWS,
+    ROUNDING,
     _Block,
     _nearness,
     assign_cells,
@@ -51,29 +52,37 @@ def dbscan(
     near = _nearness(metric, eps_values, faithful_zero_distance)
 
     points = cut_lineage(points.select("id", "entries", F.col("weight").cast("long").alias("weight")))
-    placed = assign_cells(points, radius, cells=cells, anchors=anchors)
+    reach = _ball_radius(metric, eps_values[0])
+    dense = None if faithful_zero_distance or reach <= 0 else (reach, min_samples)
+    placed = assign_cells(points, radius, cells=cells, anchors=anchors, dense=dense)
     counts = compare_blocks(
-        placed.select("id", "weight", "entries", "cells", "prefix"),
+        placed,
         lambda block: _neighbour_weights(block, near),
         f"id {id_type}, counts array<bigint>",
         block_rows,
     )
+    # Points of a dense ball are core at every eps, as they are near each other.
+    enough = F.array(*[F.lit(min_samples).cast("long")] * len(eps_values)).alias("counts")
+    inner = placed.where(F.col("leader").isNotNull())
     sums = [F.sum(F.col("counts")[k]) for k in range(len(eps_values))]
-    totals = counts.groupBy("id").agg(F.array(*sums).alias("counts"))
+    totals = counts.unionByName(inner.select("id", enough)).groupBy("id").agg(
+        F.array(*sums).alias("counts")
+    )
     alone = F.array(*[F.lit(0).cast("long")] * len(eps_values))
     core = F.transform(
         F.coalesce("counts", alone), lambda c: c + F.col("weight") >= F.lit(min_samples)
     )
     cores = cut_lineage(points.join(totals, "id", "left").select("id", core.alias("core")))
 
-    links = cut_lineage(
-        compare_blocks(
-            placed.select("id", "entries", "cells", "prefix").join(cores, "id"),
-            lambda block: _links(block, near),
-            f"k int, id {id_type}, root {id_type}, core boolean",
-            block_rows,
-        ).distinct()
+    found = compare_blocks(
+        placed.drop("weight").join(cores, "id"),
+        lambda block: _links(block, near),
+        f"k int, id {id_type}, root {id_type}, core boolean",
+        block_rows,
     )
+    every = F.explode(F.sequence(F.lit(0), F.lit(len(eps_values) - 1))).alias("k")
+    balls = inner.select(every, "id", F.col("leader").alias("root"), F.lit(True).alias("core"))
+    links = cut_lineage(found.unionByName(balls).distinct())
     edges = links.where("core").select("k", F.col("id").alias("u"), F.col("root").alias("v"))
     component = _components(edges, ["k"])
 
@@ -116,6 +125,13 @@ def _components(stored: DataFrame, by: list[str]) -> DataFrame:
     return current.select(*by, F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 
 
+def _ball_radius(metric: str, eps: float) -> float:
+    """Euclidean distance from a centre within which points are surely neighbours."""
+    if metric == "euclidean":
+        return eps / 2 - 1e-6
+    return float(np.sqrt(max(0.0, 2.0 * (eps - ROUNDING)))) / 2 - 1e-6
+
+
 def expand_clusters(
     clusters: DataFrame, vectors: DataFrame, points: DataFrame, id_col: str = "endpoint"
 ) -> DataFrame:

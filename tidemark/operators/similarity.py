@@ -36,15 +36,35 @@ MAX_ANCHORS = 1024
 # Anchor matrices travel to every task; 4 million doubles are 32 MB.
 MAX_ANCHOR_VALUES = 4_000_000
 
-_TASK = ["cell", "p", "q", "outside"]
-_NUMBERS = "if({0} > 0, sequence(0, {0} - 1), cast(array() as array<int>))"
-_HOMES, _OUTERS = _NUMBERS.format("homes"), _NUMBERS.format("outers")
-_TASKS = f"""if(home,
-    concat(
-        transform({_HOMES}, n -> named_struct(
-            'p', least(n, own), 'q', greatest(n, own), 'outside', false, 'second', own > n)),
-        transform({_OUTERS}, n -> named_struct('p', own, 'q', n, 'outside', true, 'second', false))),
-    transform({_HOMES}, n -> named_struct('p', n, 'q', own, 'outside', true, 'second', true)))"""
+# Roles of a point in a cell, and the pairs of roles that are compared there. Points
+# at home meet all others; inner points are known to be near each other; points from
+# outside meet each other in another cell.
+_HOME, _INNER, _OUTER = 0, 1, 2
+_TASK = ["cell", "kind", "p", "q"]
+
+
+def _meetings(role: int, others: str, kind: int, first: bool) -> str:
+    """SQL for the tasks of a block with all blocks of another role."""
+    p, q = ("own", "n") if first else ("n", "own")
+    if role == _HOME and others == "homes":
+        p, q, second = "least(n, own)", "greatest(n, own)", "own > n"
+    else:
+        second = str(not first).lower()
+    numbers = f"if({others} > 0, sequence(0, {others} - 1), cast(array() as array<int>))"
+    return f"transform({numbers}, n -> named_struct('kind', {kind}, 'p', {p}, 'q', {q}, 'second', {second}))"
+
+
+_TASKS = f"""case role
+    when {_HOME} then concat(
+        {_meetings(_HOME, "homes", 0, True)},
+        {_meetings(_HOME, "inners", 1, True)},
+        {_meetings(_HOME, "outers", 2, True)})
+    when {_INNER} then concat(
+        {_meetings(_INNER, "homes", 1, False)},
+        {_meetings(_INNER, "outers", 3, True)})
+    else concat(
+        {_meetings(_OUTER, "homes", 2, False)},
+        {_meetings(_OUTER, "inners", 3, False)}) end"""
 
 
 def unit_vectors(
@@ -132,9 +152,14 @@ def euclidean_radius(eps: float) -> float:
 
 
 def assign_cells(
-    points: DataFrame, radius: float, *, cells: str = "anchors", anchors: int | None = None
+    points: DataFrame,
+    radius: float,
+    *,
+    cells: str = "anchors",
+    anchors: int | None = None,
+    dense: tuple[float, int] | None = None,
 ) -> DataFrame:
-    """Add ``cells``, such that points within ``radius`` share one.
+    """Add ``cells``, such that points within ``radius`` share one, and ``leader``.
 
     ``points`` should be stored, since they are read several times; the result is
     written to the checkpoint folder where it takes work to find.
@@ -146,6 +171,10 @@ def assign_cells(
     anchor and is copied to other anchors whose region comes within the radius
     (ClusterJoin, Das Sarma et al., VLDB 2014). Zero vectors have no neighbours and
     get no cell.
+
+    ``dense=(reach, weight)`` spares the comparisons within a dense ball: points
+    closer than ``reach`` to their anchor, if their weights add up to ``weight``, are
+    not compared with each other and name the least of them as ``leader``.
     """
     points = points.where(F.size("entries") > 0)
     if cells == "prefix":
@@ -155,9 +184,9 @@ def assign_cells(
     if anchors is None:
         anchors = min(MAX_ANCHORS, points.count() // ROWS_PER_CELL)
     if anchors < 2:
-        home = F.array(F.struct(F.lit(0).alias("cell"), F.lit(True).alias("home")))
-        return points.select("*", home.alias("cells"), _no_prefix())
-    return cut_lineage(_anchor_cells(points, radius, anchors))
+        home = F.array(F.struct(F.lit(0).alias("cell"), F.lit(_HOME).alias("role")))
+        return points.select("*", home.alias("cells"), _no_prefix(), _no_leader(points))
+    return cut_lineage(_anchor_cells(points, radius, anchors, dense))
 
 
 def compare_blocks(
@@ -171,32 +200,37 @@ def compare_blocks(
     Cells that fit one block are bundled by hash, about ``block_rows`` rows to a
     group; each block pair of a larger cell is a group of its own.
     """
-    extra = [c for c in points.columns if c not in ("entries", "cells", "prefix")]
+    extra = [c for c in points.columns if c not in ("entries", "cells", "prefix", "leader")]
     sizes = (
         points.select(F.explode("cells").alias("at"))
         .groupBy(F.col("at.cell").alias("cell"))
-        .agg(F.expr("count(*) rows"), F.expr("count_if(at.home) home_rows"))
-        .where("rows > 1 and home_rows > 0")
+        .agg(
+            F.expr("count(*) rows"),
+            F.expr(f"count_if(at.role = {_HOME}) home_rows"),
+            F.expr(f"count_if(at.role = {_INNER}) inner_rows"),
+        )
+        .where("rows > 1 and home_rows + inner_rows > 0")
     )
     bundles = sizes.agg(F.greatest(F.ceil(F.sum("rows") / block_rows), F.lit(1))).scalar()
     blocks = sizes.selectExpr(
         "cell",
         f"cast(ceil(home_rows / {block_rows}) as int) homes",
-        f"cast(ceil((rows - home_rows) / {block_rows}) as int) outers",
+        f"cast(ceil(inner_rows / {block_rows}) as int) inners",
+        f"cast(ceil((rows - home_rows - inner_rows) / {block_rows}) as int) outers",
     )
-    # A home block meets all home blocks of its cell, in a fixed order, and all outer ones.
     placed = points.selectExpr(
         *extra, "entries.dim dims", "entries.val vals", "prefix", "posexplode(cells) as (pos, at)"
     ).selectExpr(
-        *extra, "dims", "vals", "at.cell", "at.home",
+        *extra, "dims", "vals", "at.cell", "at.role",
         "if(prefix is null, null, slice(prefix, 1, pos)) earlier",
     )
+    own = f"case role when {_HOME} then homes when {_INNER} then inners else outers end"
     jobs = (
         placed.join(splittable(blocks), "cell")
-        .withColumn("own", F.expr("cast(pmod(xxhash64(id), if(home, homes, outers)) as int)"))
+        .withColumn("own", F.expr(f"cast(pmod(xxhash64(id), {own}) as int)"))
         .selectExpr("*", f"explode({_TASKS}) task")
         .selectExpr(
-            "cell", "task.*", *extra, "dims", "vals", "earlier", "homes = 1 and outers <= 1 as fits"
+            "cell", "task.*", *extra, "dims", "vals", "earlier", "greatest(homes, inners, outers) = 1 as fits"
         )
         .withColumn(
             "bundle",
@@ -213,8 +247,8 @@ def compare_blocks(
         cols = {c: pdf[c].to_numpy() for c in pdf.columns}
         found = []
         for rows in np.split(np.arange(len(pdf)), starts):
-            _, p, q, outside = keys[rows[0]]
-            block = _Block(cols, rows, diagonal=not outside and p == q)
+            _, kind, p, q = keys[rows[0]]
+            block = _Block(cols, rows, diagonal=kind == 0 and p == q)
             if block.compare():
                 found.append(kernel(block))
         if not found:
@@ -305,6 +339,10 @@ def _no_prefix() -> Column:
     return F.lit(None).cast("array<int>").alias("prefix")
 
 
+def _no_leader(points: DataFrame) -> Column:
+    return F.lit(None).cast(points.schema["id"].dataType).alias("leader")
+
+
 def _prefix_cells(points: DataFrame, radius: float) -> DataFrame:
     entries = points.select("id", F.explode("entries").alias("e")).select("id", "e.*")
     rarity = entries.groupBy("dim").agg(F.count(F.lit(1)).alias("rarity"))
@@ -322,12 +360,16 @@ def _prefix_cells(points: DataFrame, radius: float) -> DataFrame:
         .select("id", F.col("order.dim").alias("prefix"))
     )
     cells = F.transform(
-        "prefix", lambda d: F.struct(d.alias("cell"), F.lit(True).alias("home"))
+        "prefix", lambda d: F.struct(d.alias("cell"), F.lit(_HOME).alias("role"))
+    )
+    return points.join(needed, "id").select(
+        *points.columns, cells.alias("cells"), "prefix", _no_leader(points)
     )
-    return points.join(needed, "id").select(*points.columns, cells.alias("cells"), "prefix")
 
 
-def _anchor_cells(points: DataFrame, radius: float, anchors: int) -> DataFrame:
+def _anchor_cells(
+    points: DataFrame, radius: float, anchors: int, dense: tuple[float, int] | None
+) -> DataFrame:
     ranked = points.orderBy(F.xxhash64("id"), "id").limit(anchors)
     rows = ranked.select(
         F.col("entries.dim").alias("dims"), F.col("entries.val").alias("vals")
@@ -335,24 +377,57 @@ def _anchor_cells(points: DataFrame, radius: float, anchors: int) -> DataFrame:
     used = np.unique(np.concatenate(rows["dims"].to_list()))
     rows = rows.head(max(1, MAX_ANCHOR_VALUES // len(used)))
     matrix = _dense(list(rows["dims"]), list(rows["vals"]), used)
-    apart = np.sqrt(np.maximum(2.0 - 2.0 * matrix @ matrix.T, 0.0))
+    if dense is not None:
+        matrix = _thinned(matrix, dense[0])
+    apart = _apart(matrix @ matrix.T)
     reach = np.sqrt(2.0 * radius)
 
-    @F.pandas_udf("array<struct<cell:int,home:boolean>>")
-    def cells(dims: pd.Series, vals: pd.Series) -> pd.Series:
-        out = []
+    @F.pandas_udf("cells array<struct<cell:int,role:int>>, gap double")
+    def place(dims: pd.Series, vals: pd.Series) -> pd.DataFrame:
+        out, gaps = [], []
         step = max(1, MAX_ANCHOR_VALUES // len(used))
         for at in range(0, len(dims), step):
             alike = _dense(list(dims[at : at + step]), list(vals[at : at + step]), used) @ matrix.T
-            home = alike.argmax(axis=1)
-            gap = alike.max(axis=1, keepdims=True) - alike
+            home, best = alike.argmax(axis=1), alike.max(axis=1)
+            gaps.append(_apart(best))
             # Distance to the border of another anchor's region, as similarity.
-            near = gap <= reach * apart[home] + 1e-9
+            near = best[:, None] - alike <= reach * apart[home] + 1e-9
             for h, row in zip(home, near):
-                others = [int(c) for c in np.flatnonzero(row) if c < h]
-                out.append([{"cell": int(h), "home": True}, *({"cell": c, "home": False} for c in others)])
-        return pd.Series(out)
+                others = [{"cell": int(c), "role": _OUTER} for c in np.flatnonzero(row) if c < h]
+                out.append([{"cell": int(h), "role": _HOME}, *others])
+        return pd.DataFrame({"cells": out, "gap": np.concatenate(gaps) if gaps else []})
 
-    return points.select(
-        "*", cells(F.col("entries.dim"), F.col("entries.val")).alias("cells"), _no_prefix()
+    placed = points.withColumn("at", place(F.col("entries.dim"), F.col("entries.val"))).select(
+        *points.columns, "at.cells", "at.gap"
+    )
+    if dense is None:
+        return placed.select(*points.columns, "cells", _no_prefix(), _no_leader(points))
+    placed = cut_lineage(placed).withColumn(
+        "ball", F.when(F.col("gap") <= dense[0], F.col("cells")[0]["cell"])
+    )
+    balls = (
+        placed.where(F.col("ball").isNotNull())
+        .groupBy("ball")
+        .agg(F.min("id").alias("leader"), F.sum("weight").alias("total"))
+        .where(F.col("total") >= dense[1])
+        .select("ball", "leader")
+    )
+    inner = F.expr(f"transform(cells, c -> named_struct('cell', c.cell, 'role', "
+                   f"if(c.role = {_HOME} and leader is not null, {_INNER}, c.role)))")
+    return placed.join(splittable(balls), "ball", "left").select(
+        *points.columns, inner.alias("cells"), _no_prefix(), "leader"
     )
+
+
+def _apart(similarity: np.ndarray) -> np.ndarray:
+    """Euclidean distance of unit vectors."""
+    return np.sqrt(np.maximum(2.0 - 2.0 * similarity, 0.0))
+
+
+def _thinned(anchors: np.ndarray, reach: float) -> np.ndarray:
+    """Anchors that lie further than ``reach`` from all kept before them."""
+    kept = [0]
+    for n in range(1, len(anchors)):
+        if _apart(anchors[kept] @ anchors[n]).min() > reach:
+            kept.append(n)
+    return anchors[kept]
