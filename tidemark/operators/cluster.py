@@ -59,6 +59,7 @@ def dbscan(
         placed,
         lambda block: _neighbour_weights(block, near),
         f"id {id_type}, counts array<bigint>",
+        radius,
         block_rows,
     )
     # Points of a dense ball are core at every eps, as they are near each other.
@@ -78,6 +79,7 @@ def dbscan(
         placed.drop("weight").join(cores, "id"),
         lambda block: _links(block, near),
         f"k int, id {id_type}, root {id_type}, core boolean",
+        radius,
         block_rows,
     )
     every = F.explode(F.sequence(F.lit(0), F.lit(len(eps_values) - 1))).alias("k")
@@ -169,66 +171,64 @@ def _small_star(edges: DataFrame, by: list[str]) -> DataFrame:
 
 
 def _neighbour_weights(block: _Block, near) -> dict[str, np.ndarray]:
-    masks = near(block)
     left, right = block.left("weight"), block.right("weight")
-    ids = [block.left("id")]
-    counts = [np.stack([m @ right for m in masks], axis=1)]
-    if not block.diagonal:
-        ids.append(block.right("id"))
-        counts.append(np.stack([m.T @ left for m in masks], axis=1))
-    ids, counts = np.concatenate(ids), np.concatenate(counts).astype("int64")
+    seen_left, seen_right = [], []
+    for hit in near(block):
+        rows, cols = block.rows[hit], block.cols[hit]
+        seen_left.append(np.bincount(rows, right[cols], len(left)))
+        seen_right.append(np.bincount(cols, left[rows], len(right)))
+    ids = np.concatenate([block.left("id"), block.right("id")])
+    counts = np.concatenate([np.stack(seen_left, axis=1), np.stack(seen_right, axis=1)])
     met = counts.any(axis=1)
-    return {"id": ids[met], "counts": counts[met]}
+    return {"id": ids[met], "counts": counts[met].astype("int64")}
 
 
 def _links(block: _Block, near) -> dict[str, np.ndarray]:
     """Per eps: the local root of each core point, and roots next to other points."""
-    sides = [block.left] if block.diagonal else [block.left, block.right]
-    ids = np.concatenate([side("id") for side in sides])
+    ids, cores = block.left("id"), block.left("core")
+    shift = 0
+    if not block.diagonal:
+        shift = len(ids)
+        ids = np.concatenate([ids, block.right("id")])
+        cores = np.concatenate([cores, block.right("core")])
     order = np.argsort(ids, kind="stable")
+    place = np.empty_like(order)
+    place[order] = np.arange(len(order))
     ids = ids[order]
-    cores = np.stack([np.asarray(c, dtype=bool) for side in sides for c in side("core")])[order]
-    k_parts, id_parts, root_parts, core_parts = [], [], [], []
+    cores = np.stack(list(cores[order])).astype(bool)
+    out = {"k": [], "id": [], "root": [], "core": []}
 
     def emit(k: int, members: np.ndarray, roots: np.ndarray, core: bool) -> None:
-        k_parts.append(np.full(len(members), k, dtype="int32"))
-        id_parts.append(ids[members])
-        root_parts.append(ids[roots])
-        core_parts.append(np.full(len(members), core))
-
-    for k, mask in enumerate(near(block)):
-        adjacent = mask
-        if not block.diagonal:
-            n, m = mask.shape
-            adjacent = np.zeros((n + m, n + m), dtype=bool)
-            adjacent[:n, n:], adjacent[n:, :n] = mask, mask.T
-        adjacent = adjacent[np.ix_(order, order)]
-        inner, outer = np.flatnonzero(cores[:, k]), np.flatnonzero(~cores[:, k])
-        root = inner[_local_roots(adjacent[np.ix_(inner, inner)])]
-        away = root != inner
-        emit(k, inner[away], root[away], True)
-        rows, cols = np.nonzero(adjacent[np.ix_(outer, inner)])
-        if rows.size:
-            touching = np.unique(np.stack([outer[rows], root[cols]], axis=1), axis=0)
-            emit(k, touching[:, 0], touching[:, 1], False)
-    return {
-        "k": np.concatenate(k_parts),
-        "id": np.concatenate(id_parts),
-        "root": np.concatenate(root_parts),
-        "core": np.concatenate(core_parts),
-    }
-
-
-def _local_roots(adjacent: np.ndarray) -> np.ndarray:
-    """Position of the first node of each node's component."""
-    root = np.full(len(adjacent), -1)
-    for seed in range(len(adjacent)):
-        if root[seed] >= 0:
-            continue
-        root[seed] = seed
-        front = np.array([seed])
-        while front.size:
-            reached = adjacent[front].any(axis=0) & (root < 0)
-            root[reached] = seed
-            front = np.flatnonzero(reached)
-    return root
+        out["k"].append(np.full(len(members), k, dtype="int32"))
+        out["id"].append(ids[members])
+        out["root"].append(ids[roots])
+        out["core"].append(np.full(len(members), core))
+
+    for k, hit in enumerate(near(block)):
+        u, v = place[block.rows[hit]], place[block.cols[hit] + shift]
+        core = cores[:, k]
+        both = core[u] & core[v]
+        root = _local_roots(len(ids), u[both], v[both])
+        away = np.flatnonzero(root != np.arange(len(ids)))
+        emit(k, away, root[away], True)
+        members = np.concatenate([u[core[v] & ~core[u]], v[core[u] & ~core[v]]])
+        inside = np.concatenate([v[core[v] & ~core[u]], u[core[u] & ~core[v]]])
+        touching = np.unique(np.stack([members, root[inside]], axis=1), axis=0)
+        emit(k, touching[:, 0], touching[:, 1], False)
+    return {name: np.concatenate(parts) for name, parts in out.items()}
+
+
+def _local_roots(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """The least node of each node's component, by hooking and pointer jumping."""
+    root = np.arange(n)
+    while True:
+        ends = root[u], root[v]
+        low = np.minimum(*ends)
+        after = root.copy()
+        for end in ends:
+            np.minimum.at(after, end, low)
+        while not np.array_equal(after, after[after]):
+            after = after[after]
+        if np.array_equal(after, root):
+            return root
+        root = after

@@ -31,7 +31,7 @@ ROUNDING = 0.00005
 
 # Two blocks make a 2048 x 2048 matrix of 32 MB in a task.
 BLOCK_ROWS = 2048
-ROWS_PER_CELL = 4096
+ROWS_PER_CELL = 1024
 MAX_ANCHORS = 1024
 # Anchor matrices travel to every task; 4 million doubles are 32 MB.
 MAX_ANCHOR_VALUES = 4_000_000
@@ -116,25 +116,25 @@ def cosine_pairs(
     ``dist`` is the cosine distance rounded to four decimals. With
     ``faithful_zero_distance`` pairs at distance 0 are left out.
     """
+    radius = cosine_radius(eps)
     points = assign_cells(
-        cut_lineage(vectors.select("id", "entries")), cosine_radius(eps), cells=cells, anchors=anchors
+        cut_lineage(vectors.select("id", "entries")), radius, cells=cells, anchors=anchors
     )
     id_type = points.schema["id"].dataType.simpleString()
     near = _nearness("cosine", [eps], faithful_zero_distance)
 
     def pairs(block: _Block) -> dict[str, np.ndarray]:
-        rows, cols = np.nonzero(near(block)[0])
-        if block.diagonal:
-            rows, cols = rows[rows < cols], cols[rows < cols]
-        i, j = block.left("id")[rows], block.right("id")[cols]
+        (hit,) = near(block)
+        i, j = block.left("id")[block.rows[hit]], block.right("id")[block.cols[hit]]
         swap = i > j
         return {
             "i": np.where(swap, j, i),
             "j": np.where(swap, i, j),
-            "dist": block.rounded()[rows, cols],
+            "dist": block.rounded()[hit],
         }
 
-    return compare_blocks(points, pairs, f"i {id_type}, j {id_type}, dist double", block_rows)
+    schema = f"i {id_type}, j {id_type}, dist double"
+    return compare_blocks(points, pairs, schema, radius, block_rows)
 
 
 def cosine_radius(eps: float) -> float:
@@ -193,9 +193,10 @@ def compare_blocks(
     points: DataFrame,
     kernel: Callable[[_Block], dict[str, np.ndarray]],
     schema: str,
+    radius: float,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Run ``kernel`` on every pair of blocks of every cell.
+    """Run ``kernel`` on every pair of blocks of every cell with its pairs within ``radius``.
 
     Cells that fit one block are bundled by hash, about ``block_rows`` rows to a
     group; each block pair of a larger cell is a group of its own.
@@ -249,7 +250,7 @@ def compare_blocks(
         for rows in np.split(np.arange(len(pdf)), starts):
             _, kind, p, q = keys[rows[0]]
             block = _Block(cols, rows, diagonal=kind == 0 and p == q)
-            if block.compare():
+            if block.compare(radius):
                 found.append(kernel(block))
         if not found:
             return pd.DataFrame(columns=columns)
@@ -275,20 +276,24 @@ class _Block:
     def right(self, col: str) -> np.ndarray:
         return self._cols[col][self._sides[-1]]
 
-    def compare(self) -> bool:
-        """Compute all distances; false if there is nothing to compare."""
+    def compare(self, radius: float) -> bool:
+        """Find the pairs ``(rows, cols)`` within the radius, each once; false if none."""
         if min(map(len, self._sides)) < (2 if self.diagonal else 1):
             return False
-        self.distance = 1.0 - self._product("dims", "vals")
-        if self.distance.min() < -1e-5:
+        similarity = self._product("dims", "vals")
+        if similarity.max() > 1 + 1e-5:
             raise ValueError("vectors are longer than one")
-        self.valid = np.ones(self.distance.shape, dtype=bool)
-        if self._cols["earlier"][self._sides[0][0]] is not None:
-            # A pair that shares an earlier cell is reported there.
-            self.valid = self._product("earlier", None) == 0
+        rows, cols = np.nonzero(similarity >= 1 - radius - 1e-9)
         if self.diagonal:
-            np.fill_diagonal(self.valid, False)
-        return True
+            once = rows < cols
+            rows, cols = rows[once], cols[once]
+        if len(rows) and self._cols["earlier"][self._sides[0][0]] is not None:
+            # A pair that shares an earlier cell is reported there.
+            here = self._product("earlier", None)[rows, cols] == 0
+            rows, cols = rows[here], cols[here]
+        self.rows, self.cols = rows, cols
+        self.distance = 1.0 - similarity[rows, cols]
+        return len(rows) > 0
 
     def rounded(self) -> np.ndarray:
         return np.round(np.maximum(self.distance, 0.0), DECIMALS)
@@ -322,15 +327,15 @@ def _column(parts: list[np.ndarray]):
 def _nearness(
     metric: str, eps_values: Sequence[float], faithful: bool
 ) -> Callable[[_Block], list[np.ndarray]]:
-    """Neighbour masks of a block, one per eps."""
+    """Which pairs of a block are neighbours, one mask per eps."""
 
     def near(block: _Block) -> list[np.ndarray]:
         if metric == "euclidean":
             apart = np.sqrt(np.maximum(2.0 * block.distance, 0.0))
-            return [(apart <= eps) & block.valid for eps in eps_values]
+            return [apart <= eps for eps in eps_values]
         dist = block.rounded()
-        valid = block.valid & (dist > 0) if faithful else block.valid
-        return [(dist < eps) & valid for eps in eps_values]
+        least = 0.0 if faithful else -1.0
+        return [(dist < eps) & (dist > least) for eps in eps_values]
 
     return near
 

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from tidemark.operators.features import OUT_OF_VOCAB, device_words, words_to_vector
+from tidemark.operators.features import device_words, words_to_vector
 from tidemark.operators.learning import (
     boosting,
     fit_boosting,
-    score_classes,
     search_boosting,
     stratified_group_folds,
     weighted_f1,
@@ -17,7 +17,7 @@ from tidemark.operators.learning import (
 from tidemark.plans.detection import ClassModel, score_usage
 from tidemark.queries import inputs
 from tidemark.queries.inputs import table
-from tidemark.queries.usage import _WORDS, _windowed
+from tidemark.queries.usage import _WITH_WORDS, _WORDS, _windowed
 from tidemark.session import cut_lineage, literal_table
 
 
@@ -101,6 +101,31 @@ def scoring_metrics(spark, sf_dir):
     return metrics
 
 
+def _rule_models():
+    """Models of every class that flag devices with at least three known words."""
+    rule = SQLTransformer(
+        statement="SELECT *, CAST(size(words) >= 3 AS DOUBLE) AS prediction FROM __THIS__"
+    )
+    return {label: ClassModel(_WORDS, rule) for label in inputs.ACTIVE_CLASSES}
+
+
+def scoring_rule(spark, sf_dir):
+    """Detections of a rule in place of a trained model."""
+    detections, _ = score_usage(_windowed(spark, sf_dir), _rule_models())
+    return detections.select(
+        "mac", "label", "uuid", F.unix_millis("windowStart").alias("start_ms"),
+        F.unix_millis("windowEnd").alias("end_ms"), F.size("apps").cast("long").alias("num_apps"),
+    )
+
+
+def scoring_rule_metrics(spark, sf_dir):
+    _, metrics = score_usage(_windowed(spark, sf_dir), _rule_models())
+    return metrics.select(
+        "label", F.col("numDevices").alias("devices"), F.col("numOutOfVocab").alias("out_of_vocab"),
+        F.col("numDetections").alias("detections"),
+    )
+
+
 QUERIES = {
     "group_folds": group_folds,
     "fold_shares": fold_shares,
@@ -109,9 +134,28 @@ QUERIES = {
     "boosting_search": boosting_search,
     "scoring": scoring,
     "scoring_metrics": scoring_metrics,
+    "scoring_rule": scoring_rule,
+    "scoring_rule_metrics": scoring_rule_metrics,
 }
 
+_DEVICES_SQL = f"""{_WITH_WORDS},
+devices AS (
+  SELECT w.mac, w.label, w.uuid, w.windowStart, w.windowEnd, count(DISTINCT w.appName) AS num_apps,
+    any_value(d.num_words) AS num_words, any_value(d.oov) AS oov
+  FROM windowed w JOIN (
+    SELECT mac, label, uuid, count(*) AS num_words, bool_or(contains(word, 'out-of-vocab')) AS oov
+    FROM words GROUP BY ALL) d ON w.mac = d.mac AND w.label = d.label AND w.uuid = d.uuid
+  GROUP BY ALL
+)"""
+
 SQL = {
+    "scoring_rule": f"""{_DEVICES_SQL}
+SELECT mac, label, uuid, (epoch_us(windowStart) // 1000) AS start_ms, (epoch_us(windowEnd) // 1000) AS end_ms,
+  num_apps FROM devices WHERE num_words >= 3""",
+    "scoring_rule_metrics": f"""{_DEVICES_SQL}
+SELECT label, count(*) AS devices, count(*) FILTER (WHERE oov) AS out_of_vocab,
+  CASE WHEN count(*) FILTER (WHERE num_words >= 3) > 0 THEN count(*) FILTER (WHERE num_words >= 3) END AS detections
+FROM devices GROUP BY label""",
     "group_folds": """
 SELECT 'g' || CAST(vec_id // 5 AS VARCHAR) AS "group", count(*) AS "rows", CAST(1 AS BIGINT) AS folds
 FROM embeddings GROUP BY ALL""",

@@ -6,6 +6,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from tidemark.functions.vectors import as_array, attribute_layout, l2_norm, vector_size
+from tidemark.operators.asof import asof_join
 from tidemark.operators.cluster import connected_components, dbscan, expand_clusters
 from tidemark.operators.features import vector_sum
 from tidemark.operators.similarity import (
@@ -16,9 +17,10 @@ from tidemark.operators.similarity import (
     vector_members,
 )
 from tidemark.plans.clustering import ClusterParams, cluster_endpoints, grid_search
-from tidemark.queries.inputs import table
+from tidemark.queries.inputs import events_ms, table
 
 _EPS, _MIN = 0.65, 3
+_PAUSE = 21_600_000
 _GRID = (0.5, 0.6, 0.65)
 _SPARSE_EPS = 0.45
 _EUCLID = 0.999
@@ -125,12 +127,12 @@ def dbscan_euclidean(spark, sf_dir):
 
 
 def components(spark, sf_dir):
-    """Parts linked by the suppliers of their line items at most 25 dollars' worth."""
-    items = table(spark, sf_dir, "lineitem").where("l_discount >= 0.1 and l_tax >= 0.08")
-    edges = items.select(
-        (-F.col("l_suppkey") - 1).alias("u"), F.col("l_partkey").alias("v")
-    )
-    return connected_components(edges)
+    """Sessions: chains of a user's events, each at most six hours after the one before."""
+    events = events_ms(spark, sf_dir).select("user_id", "ts", "event_id")
+    earlier = events.select("user_id", (F.col("ts") + 1).alias("ts"), F.col("event_id").alias("before"))
+    linked = asof_join(events, earlier, ["user_id"], lookback_ms=_PAUSE, bucket_ms=_PAUSE)
+    edges = linked.where(F.col("before").isNotNull())
+    return connected_components(edges.select(F.col("event_id").alias("u"), F.col("before").alias("v")))
 
 
 def cluster_assignments(spark, sf_dir):
@@ -287,8 +289,11 @@ SELECT vec_id, cluster FROM clusters UNION ALL SELECT vec_id + {_COPY}, cluster
     "dbscan_euclidean": f"""{_cluster_sql(f"sqrt(greatest(2 - 2 * {_DOT}, 0)) <= {_EUCLID}", 2)}
 SELECT vec_id, cluster FROM clusters""",
     "connected_components": """
-WITH RECURSIVE edges AS MATERIALIZED (
-  SELECT DISTINCT -l_suppkey - 1 AS u, l_partkey AS v FROM lineitem WHERE l_discount >= 0.1 AND l_tax >= 0.08
+WITH RECURSIVE e AS (SELECT event_id, user_id, epoch_us(ts) // 1000 AS ms FROM events),
+r AS (SELECT user_id, ms + 1 AS ms, max(event_id) AS before FROM e GROUP BY ALL),
+edges AS MATERIALIZED (
+  SELECT event_id AS u, before AS v FROM e ASOF JOIN r ON e.user_id = r.user_id AND e.ms >= r.ms
+  WHERE e.ms - r.ms <= 21600000
 ),
 both_ways AS MATERIALIZED (SELECT u, v FROM edges UNION ALL SELECT v, u FROM edges),
 reach(node, name) AS (

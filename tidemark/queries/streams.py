@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.rollup import last_record, nested_usage, time_bins, trailing_window
 from tidemark.plans.dataset import resolved_flows
 from tidemark.queries import inputs
-from tidemark.queries.inputs import BINS_SQL, FLOW_COLUMNS, RESOLVED_SQL, WINDOW_SQL
+from tidemark.queries.inputs import FLOW_COLUMNS
 from tidemark.queries.usage import (
     PARAMS,
     SQL as USAGE_SQL,
