@@ -115,12 +115,19 @@ def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return codes, rows[0], rows[1]
 
 
+def _codes(text: np.ndarray) -> np.ndarray:
+    """Bytes, or code points, as scattered numbers."""
+    if text.dtype == np.uint8:
+        return _tables()[0][text]
+    return mix((text.astype(np.uint64) + np.uint64(1)) * np.uint64(_STEP))
+
+
 def span_hashes(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte span, from running sums of a polynomial in an odd step.
+    """A 64-bit hash of each span of bytes or code points, from running sums of a polynomial in an odd step.
 
     Spans come in order and do not overlap. Equal spans have equal hashes wherever they stand.
     """
-    codes, powers, backs = _tables()
+    _, powers, backs = _tables()
     hashes = np.zeros(len(begins), np.uint64)
     first = 0
     while first < len(begins):
@@ -130,12 +137,12 @@ def span_hashes(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.nd
         if len(text) > CHUNK_BYTES:
             value = 0
             for k in range(0, len(text), CHUNK_BYTES):
-                part = codes[text[k : k + CHUNK_BYTES]]
+                part = _codes(text[k : k + CHUNK_BYTES])
                 value += int((part * powers[: len(part)]).sum()) * pow(_STEP, k, 1 << 64)
             hashes[first] = value & _ALL
         else:
             total = np.zeros(len(text) + 1, np.uint64)
-            np.cumsum(codes[text] * powers[: len(text)], out=total[1:])
+            np.cumsum(_codes(text) * powers[: len(text)], out=total[1:])
             a, b = begins[first:last] - base, ends[first:last] - base
             hashes[first:last] = (total[b] - total[a]) * backs[a]
         first = last

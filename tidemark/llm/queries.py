@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm.language import identify_languages
 from tidemark.llm.quality import POLICIES, apply_policy, measure
 from tidemark.llm.secret_scan import scan_secrets
+from tidemark.llm.token_count import count_tokens
 from tidemark.llm.wildcards import UrlRule, judge_urls, prefix_rules
 
 
@@ -32,6 +35,10 @@ def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES).drop("glob")
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(table(spark, sf_dir, "documents"))
+
+
 def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"))
 
@@ -40,10 +47,16 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_policy(measure(table(spark, sf_dir, "documents")), POLICIES["v2"]).drop("n_lines")
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES = {
     "op5_url_filters": op5_url_filters,
+    "op6_language_id": op6_language_id,
     "op7_secret_scans": op7_secret_scans,
     "op8_quality_rules": op8_quality_rules,
+    "op10_token_counts": op10_token_counts,
 }
 
 SQL = {
