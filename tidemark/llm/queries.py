@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm.decontaminate import find_contamination
 from tidemark.llm.language import identify_languages
 from tidemark.llm.quality import POLICIES, apply_policy, measure
 from tidemark.llm.secret_scan import scan_secrets
@@ -16,6 +17,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 #: The stated rules, then globs that judge urls which no stated rule fits.
 URL_RULES = (
     *prefix_rules("allow", "org/"),
@@ -52,6 +57,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op5_url_filters": op5_url_filters,
     "op6_language_id": op6_language_id,
     "op7_secret_scans": op7_secret_scans,
@@ -60,6 +66,34 @@ QUERIES = {
 }
 
 SQL = {
+    "op1_benchmark_decontamination": r"""
+WITH items AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM benchmark
+), windows AS (
+  SELECT DISTINCT item, least(10, len(words)) AS size, array_to_string(words[i:i + least(10, len(words)) - 1], ' ') AS w
+  FROM (SELECT item, words, unnest(range(1, len(words) - least(10, len(words)) + 2)) AS i FROM items WHERE len(words) > 0)
+), docs AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), sizes AS (SELECT list(DISTINCT size) AS sizes FROM windows),
+starts AS (
+  SELECT doc_id, words, size, unnest(range(1, len(words) - size + 2)) AS i
+  FROM (SELECT doc_id, words, unnest(sizes) AS size FROM docs, sizes)
+), found AS (
+  SELECT DISTINCT s.doc_id, s.i, s.size, w.item
+  FROM (SELECT doc_id, i, size, array_to_string(words[i:i + size - 1], ' ') AS w FROM starts) s JOIN windows w ON w.w = s.w AND w.size = s.size
+), hit AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(i, i + size)) AS p FROM found) GROUP BY doc_id
+), named AS (
+  SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(n.n_items, 0) AS n_items,
+  sha256(coalesce(n.items, '')) AS items_sha256, coalesce(h.n_hit, 0) > 0 AS contaminated
+FROM docs d LEFT JOIN hit h USING (doc_id) LEFT JOIN named n USING (doc_id)""",
     "op5_url_filters": r"""
 WITH rest AS (
   SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
