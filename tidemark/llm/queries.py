@@ -10,6 +10,7 @@ from tidemark.llm.language import identify_languages
 from tidemark.llm.quality import POLICIES, apply_policy, measure
 from tidemark.llm.secret_scan import scan_secrets
 from tidemark.llm.token_count import count_tokens
+from tidemark.llm.warc import round_trip
 from tidemark.llm.wildcards import UrlRule, judge_urls, prefix_rules
 
 
@@ -21,6 +22,10 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "pages"))
+
+
 #: The stated rules, then globs that judge urls which no stated rule fits.
 URL_RULES = (
     *prefix_rules("allow", "org/"),
@@ -58,6 +63,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
+    "op2_warc_round_trip": op2_warc_round_trip,
     "op5_url_filters": op5_url_filters,
     "op6_language_id": op6_language_id,
     "op7_secret_scans": op7_secret_scans,
@@ -94,6 +100,20 @@ starts AS (
 SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(n.n_items, 0) AS n_items,
   sha256(coalesce(n.items, '')) AS items_sha256, coalesce(h.n_hit, 0) > 0 AS contaminated
 FROM docs d LEFT JOIN hit h USING (doc_id) LEFT JOIN named n USING (doc_id)""",
+    "op2_warc_round_trip": """
+WITH digests AS (
+  SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages
+), letters AS (
+  SELECT *, list_transform(range(0, 32), lambda k:
+    (CAST('0x' || substr(hex, CAST(k // 4 AS INT) * 5 + 1, 5) AS INTEGER) >> (15 - 5 * CAST(k % 4 AS INT))) & 31) AS fives,
+    max(page_id) OVER (PARTITION BY hex) AS newest
+  FROM digests
+)
+SELECT page_id, payload_bytes,
+  array_to_string(list_transform(fives, lambda v: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', v + 1, 1)), '') AS payload_digest,
+  CASE WHEN page_id = newest THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> newest THEN newest END AS refers_to, TRUE AS intact
+FROM letters""",
     "op5_url_filters": r"""
 WITH rest AS (
   SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
