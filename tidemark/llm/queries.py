@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm.decontaminate import find_contamination
 from tidemark.llm.language import identify_languages
+from tidemark.llm.packing import attention_cost, pack_documents, word_count
 from tidemark.llm.quality import POLICIES, apply_policy, measure
 from tidemark.llm.secret_scan import scan_secrets
 from tidemark.llm.token_count import count_tokens
@@ -57,6 +59,14 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_policy(measure(table(spark, sf_dir, "documents")), POLICIES["v2"]).drop("n_lines")
 
 
+#: Permitted sequence lengths, in words.
+BIN_SIZES = tuple(attention_cost(capacity) for capacity in (512, 1024, 2048, 4096))
+
+
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), word_count(F.col("text")), BIN_SIZES)
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -68,6 +78,7 @@ QUERIES = {
     "op6_language_id": op6_language_id,
     "op7_secret_scans": op7_secret_scans,
     "op8_quality_rules": op8_quality_rules,
+    "op9_best_fit_packing": op9_best_fit_packing,
     "op10_token_counts": op10_token_counts,
 }
 
