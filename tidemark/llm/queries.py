@@ -12,6 +12,7 @@ from tidemark.llm.packing import attention_cost, pack_documents, word_count
 from tidemark.llm.quality import POLICIES, apply_policy, measure
 from tidemark.llm.secret_scan import scan_secrets
 from tidemark.llm.token_count import count_tokens
+from tidemark.llm.toxicity import score_toxicity
 from tidemark.llm.warc import round_trip
 from tidemark.llm.wildcards import UrlRule, judge_urls, prefix_rules
 
@@ -28,6 +29,10 @@ def op2_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "pages"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 #: The stated rules, then globs that judge urls which no stated rule fits.
 URL_RULES = (
     *prefix_rules("allow", "org/"),
@@ -74,6 +79,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_warc_round_trip": op2_warc_round_trip,
+    "op3_toxicity": op3_toxicity,
     "op5_url_filters": op5_url_filters,
     "op6_language_id": op6_language_id,
     "op7_secret_scans": op7_secret_scans,
