@@ -27,13 +27,13 @@ LEET = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "*": "abcdefghijklmnopqrstuvwxyz",
 }
-#: Costs, in nats, of reading a sign as a letter, a run as one letter, and of dropping a gap.
-LEET_COST, WILD_COST, RUN_COST, GAP_COST = 1.0, 2.5, 0.5, 0.3
+#: Costs, in nats, of reading a sign as a letter or as a break, a run as one letter, and of dropping a gap.
+LEET_COST, WILD_COST, BREAK_COST, RUN_COST, GAP_COST = 1.0, 2.5, 4.0, 0.5, 0.3
 #: Signs that a lattice spans; a longer span is read in parts.
 LATTICE = 64
 #: Labelled texts that enter the training, about; and the least share and count of a feature.
 TRAINING_TEXTS = 20_000
-LEAST_SHARE, LEAST_TEXTS, PRIOR_TEXTS = 0.6, 8, 3.0
+LEAST_SHARE, LEAST_TEXTS, PRIOR_TEXTS = 0.5, 8, 3.0
 #: Lengths in bytes of the beginnings of words that are features beside whole words.
 PREFIXES = (5, 6, 7, 8)
 #: Readings that a task remembers.
@@ -172,7 +172,7 @@ def _signs(span: bytes) -> list[tuple[tuple[str, float], ...]]:
             end += 1
         if char in LEET:
             cost = WILD_COST if char == "*" else LEET_COST
-            signs += [(*((c, cost) for c in LEET[char]), (" ", 2 * LEET_COST))] * min(end - k, LATTICE)
+            signs += [(*((c, cost) for c in LEET[char]), (" ", BREAK_COST))] * min(end - k, LATTICE)
         elif span[k] >= 128:
             signs += [((char, 0.0),)] * (end - k)
         elif char.isalpha():
@@ -254,61 +254,83 @@ def features(words: set[str]) -> set[str]:
 
 @dataclass
 class ToxicityModel:
-    """The trigram model, the share of toxic texts by feature, and the share without any."""
+    """The trigram model, the share of toxic texts by feature, and weights of a text's evidence."""
 
     trigrams: list[float]
     shares: dict[str, float]
-    rest: float
+    weights: tuple[float, ...] = ()
     _search: ahocorasick.Automaton | None = field(default=None, repr=False)
 
     def __getstate__(self):
-        return {"trigrams": self.trigrams, "shares": self.shares, "rest": self.rest, "_search": None}
+        return {"trigrams": self.trigrams, "shares": self.shares, "weights": self.weights, "_search": None}
 
-    def _hits(self, text: str) -> Iterator[tuple[int, int, str]]:
+    def _hits(self, text: str, bytes_: np.ndarray) -> dict[int, float]:
+        """By the beginning of a word, the share of the most that is known of it."""
         if self._search is None:
             self._search = ahocorasick.Automaton()
-            stems: dict[str, list[str]] = {}
-            for name in self.shares:
-                stems.setdefault(name.rstrip(" "), []).append(name)
-            for stem, names in stems.items():
-                self._search.add_word(stem, (len(stem), names))
+            stems: dict[str, dict[bool, float]] = {}
+            for name, share in self.shares.items():
+                stems.setdefault(name.rstrip(" "), {})[name[-1] == " "] = share
+            for stem, share in stems.items():
+                self._search.add_word(stem, (len(stem), share))
             self._search.make_automaton()
-        letter = _T["letter"]
-        for last, (size, names) in self._search.iter(text) if self.shares else ():
+        letter, found = _T["letter"], {}
+        # Ends come in order, so later finds at a beginning are longer.
+        for last, (size, share) in self._search.iter(text) if self.shares else ():
             begin = last + 1 - size
-            for name in names:
-                closed = last + 1 == len(text) or not letter[ord(text[last + 1])]
-                if closed == (name[-1] == " "):
-                    yield begin, last + 1, name
-
-    def scores(self, texts: pa.Array, restorer: Restorer) -> np.ndarray:
+            if begin and letter[bytes_[begin - 1]]:
+                continue
+            closed = last + 1 == len(text) or not letter[bytes_[last + 1]]
+            if closed in share:
+                found[begin] = share[closed]
+        return found
+
+    def evidence(self, texts: pa.Array, restorer: Restorer) -> np.ndarray:
+        """Per text: one, the best feature's log odds, and logarithms of the toxic words and the length."""
         data, offsets, readings = restorer.restore(texts)
-        found: dict[int, set[str]] = {}
-        # A blank between texts keeps words of different rows apart.
         lengths = np.diff(offsets)
+        # A blank between texts keeps words of different rows apart.
         spread = np.full(len(data) + len(lengths), 32, np.uint8)
         spread[np.arange(len(data)) + np.repeat(np.arange(len(lengths)), lengths)] = data
         starts = offsets + np.arange(len(offsets))
-        text = spread.tobytes().decode("latin-1")
-        letter = _T["letter"]
-        for begin, _, name in self._hits(text):
-            if not begin or not letter[spread[begin - 1]]:
-                found.setdefault(int(np.searchsorted(starts, begin, "right")) - 1, set()).add(name)
+        shares: dict[int, list[float]] = {}
+        for begin, share in self._hits(spread.tobytes().decode("latin-1"), spread).items():
+            shares.setdefault(int(np.searchsorted(starts, begin, "right")) - 1, []).append(share)
         for row, reading in readings:
-            for begin, _, name in self._hits(reading):
-                if not begin or not letter[ord(reading[begin - 1])]:
-                    found.setdefault(row, set()).add(name)
-        scores = np.full(len(texts), self.rest)
-        for row, names in found.items():
-            best = max(self.shares[n] for n in names)
-            scores[row] = 1 - (1 - best) / (1 + 0.5 * math.log(len(names)))
-        return scores
+            found = self._hits(reading, np.frombuffer(reading.encode("latin-1"), np.uint8))
+            shares.setdefault(row, []).extend(found.values())
+        rows = np.zeros((len(texts), 4))
+        rows[:, 0], rows[:, 3] = 1, np.log1p(lengths)
+        for row, found in shares.items():
+            odds = [math.log(p / (1 - p)) for p in (min(max(x, 1e-3), 1 - 1e-3) for x in found)]
+            rows[row, 1] = max([0.0, *odds])
+            rows[row, 2] = math.log1p(sum(o > 0 for o in odds))
+        return rows
+
+    def scores(self, texts: pa.Array, restorer: Restorer) -> np.ndarray:
+        return 1 / (1 + np.exp(-self.evidence(texts, restorer) @ np.array(self.weights)))
+
+
+def fit_weights(evidence: np.ndarray, toxic: np.ndarray, ridge: float = 1e-2) -> tuple[float, ...]:
+    """Logistic regression by Newton steps; without rows all weights but a low constant are zero."""
+    weights = np.zeros(evidence.shape[1])
+    weights[0] = -3.0
+    for _ in range(50 if len(toxic) else 0):
+        share = 1 / (1 + np.exp(-np.clip(evidence @ weights, -30, 30)))
+        slope = evidence.T @ (share - toxic) + ridge * weights
+        bend = (evidence * (share * (1 - share))[:, None]).T @ evidence + ridge * np.eye(len(weights))
+        step = np.linalg.solve(bend, slope)
+        weights -= np.clip(step, -2, 2)
+        if np.abs(step).max() < 1e-8:
+            break
+    return tuple(weights.tolist())
 
 
 def train(docs: DataFrame, labels: DataFrame, trigrams: list[float], *, id_col: str, text_col: str, label_col: str) -> ToxicityModel:
     """Learn shares of features from a bounded sample of labelled texts, drawn by id hash.
 
-    About ``TRAINING_TEXTS`` texts enter; the driver gets the features that are toxic enough.
+    About ``TRAINING_TEXTS`` texts enter. The driver gets the features that are toxic
+    enough, with the words that begin so, and four numbers per text for the weights.
     """
     draw = F.pmod(F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit(""))), F.lit(1 << 30)) / (1 << 30)
     marked = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(id_col).agg(F.max(label_col).alias("label"))
@@ -337,12 +359,28 @@ def train(docs: DataFrame, labels: DataFrame, trigrams: list[float], *, id_col:
         columns += [pa.array([c[n] for n in names], pa.int64()) for c in (every, toxic)]
         yield pa.RecordBatch.from_arrays(columns, ["feature", "n", "toxic"])
 
-    base = sample.agg(F.avg(F.col("label").cast("double"))).first()[0] or 0.0
+    base = float(sample.agg(F.avg(F.col("label").cast("double"))).first()[0] or 0.0)
     sums = sample.mapInArrow(count, "feature binary, n long, toxic long").groupBy("feature").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
     smoothed = (F.col("toxic") + PRIOR_TEXTS * F.lit(base)) / (F.col("n") + PRIOR_TEXTS)
-    rows = sums.where((F.col("n") >= LEAST_TEXTS) & (smoothed >= LEAST_SHARE)).select("feature", smoothed.alias("share")).collect()
+    known = stored(sums.where(F.col("n") >= LEAST_TEXTS).select("feature", smoothed.alias("share")), "features")
+    toxic = known.where(F.col("share") >= LEAST_SHARE)
+    stems = toxic.select(F.col("feature").alias("stem"))
+    begins = F.explode(F.array(*[F.substring("feature", 1, size) for size in PREFIXES]))
+    words = known.select("feature", "share", begins.alias("stem")).join(stems, "stem", "left_semi").select("feature", "share")
+    rows = toxic.unionByName(words).distinct().collect()
     shares = {bytes(r["feature"]).decode("latin-1"): float(r["share"]) for r in sorted(rows, key=lambda r: bytes(r["feature"]))}
-    return ToxicityModel(trigrams, shares, 0.2 * float(base))
+    draft = docs.sparkSession.sparkContext.broadcast(ToxicityModel(trigrams, shares))
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        restorer = Restorer(draft.value.trigrams)
+        for batch in chunks(batches, 0):
+            columns = [*draft.value.evidence(batch.column(0), restorer).T, batch.column(1)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["a", "b", "c", "d", "label"])
+
+    seen = sample.mapInArrow(weigh, "a double, b double, c double, d double, label boolean").toPandas()
+    seen = seen.sort_values(list(seen.columns))
+    weights = fit_weights(seen[["a", "b", "c", "d"]].to_numpy(), seen["label"].to_numpy(float))
+    return ToxicityModel(trigrams, shares, weights)
 
 
 def score_toxicity(
@@ -360,9 +398,8 @@ def score_toxicity(
     """``(id_col, held_out, score, predicted, *keep)``, one row per document.
 
     Learns labels from documents whose id's crc32 modulo ``folds`` is not ``held_out``; the
-    trigram model counts all texts. The score, 0 to 1, is the highest share among the
-    features that occur, raised a little by further ones; without any, as for a null or
-    empty text, it is a fifth of the share of toxic labels. Null labels and labels of null
+    trigram model counts all texts. The score, 0 to 1, is a logistic regression on the best
+    feature, the number of toxic words and the length; null and empty texts have it too. Null labels and labels of null
     ids are not learned; of repeated labels of an id the highest counts. Repeated rows and
     null ids are scored like any others. ``keep`` names further columns of ``docs`` to return.
     """
