@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.decontaminate import find_contamination
+from tidemark.llm.jaccard import jaccard_components
 from tidemark.llm.language import identify_languages
 from tidemark.llm.packing import attention_cost, pack_documents, word_count
 from tidemark.llm.quality import POLICIES, apply_policy, measure
@@ -33,6 +34,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 #: The stated rules, then globs that judge urls which no stated rule fits.
 URL_RULES = (
     *prefix_rules("allow", "org/"),
@@ -80,6 +85,7 @@ QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_warc_round_trip": op2_warc_round_trip,
     "op3_toxicity": op3_toxicity,
+    "op4_ngram_jaccard": op4_ngram_jaccard,
     "op5_url_filters": op5_url_filters,
     "op6_language_id": op6_language_id,
     "op7_secret_scans": op7_secret_scans,
@@ -131,6 +137,27 @@ SELECT page_id, payload_bytes,
   CASE WHEN page_id = newest THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id <> newest THEN newest END AS refers_to, TRUE AS intact
 FROM letters""",
+    "op4_ngram_jaccard": r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM words WHERE len(w) > 0)
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (
+  SELECT a.doc_id AS u, b.doc_id AS v, any_value(x.n) + any_value(y.n) AS n, count(*) AS o
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+  WHERE 4 * x.n >= 3 * y.n AND 4 * y.n >= 3 * x.n
+  GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 75 * (any_value(x.n) + any_value(y.n) - count(*))
+), reach AS (
+  SELECT doc_id, doc_id AS r FROM sizes
+  UNION
+  SELECT l.u, reach.r FROM reach JOIN links l ON l.v = reach.doc_id
+), least AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id)
+SELECT w.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(l.component_id, w.doc_id) AS component_id
+FROM words w LEFT JOIN sizes s USING (doc_id) LEFT JOIN least l USING (doc_id)""",
     "op5_url_filters": r"""
 WITH rest AS (
   SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
