@@ -39,6 +39,63 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+#: Bits per key, and at most in all, of a filter sent to all tasks.
+FILTER_BITS = 64
+MOST_BITS = 1 << 26
+
+
+def bit_filter(keys: DataFrame, column: str) -> np.ndarray:
+    """Bits of 64-bit keys by their lowest places, in a size that is bounded whatever their number."""
+    count = keys.agg(F.approx_count_distinct(column)).first()[0]
+    bits = 1 << max(16, min(MOST_BITS, FILTER_BITS * max(1, count)).bit_length() - 1)
+    slots = keys.select(F.col(column).bitwiseAND(F.lit(bits - 1)).alias("slot"))
+    words = slots.groupBy(F.expr("cast(slot div 32 AS int) AS word")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(slot % 32 AS int))) AS bits")
+    )
+    rows = words.toPandas()
+    found = np.zeros(bits // 32, np.uint32)
+    found[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).astype(np.uint32)
+    return found
+
+
+def may_contain(found: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether the filter has each key; true for all keys put in, and for few others."""
+    slot = keys.view(np.uint64) & np.uint64(len(found) * 32 - 1)
+    return ((found[(slot >> np.uint64(5)).astype(np.int64)] >> (slot & np.uint64(31)).astype(np.uint32)) & 1).astype(bool)
+
+
+def drop_rows(docs: DataFrame, keys: DataFrame, *, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` without the rows of ``keys``: ``(id, version, once)``, ``version`` being the xxhash64 of the text.
+
+    Of rows whose key has ``once``, one stays. A bit filter of bounded size lets all other
+    rows pass where they are, so only rows that may go are shuffled.
+    """
+    marked = keys.select("id", "version", "once", F.xxhash64(F.coalesce(F.col("id").cast("string"), F.lit("")), "version").alias("hash"))
+    marked = stored(marked, "dropped")
+    shared = docs.sparkSession.sparkContext.broadcast(bit_filter(marked, "hash"))
+    names = [f"c{k}" for k in range(len(docs.columns))]
+    plain = docs.toDF(*names)
+    id_name, text_name = names[docs.columns.index(id_col)], names[docs.columns.index(text_col)]
+    version = F.xxhash64(F.col(text_name))
+    key = F.xxhash64(F.coalesce(F.col(id_name).cast("string"), F.lit("")), version)
+    rows = plain.select(*names, version.alias("version"), key.alias("hash"))
+
+    def sift(wanted: bool):
+        def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                hit = may_contain(shared.value, batch.column(len(names) + 1).to_numpy())
+                yield batch.filter(pa.array(hit == wanted))
+
+        return rows.mapInArrow(passing, rows.schema)
+
+    doubtful, m = sift(True), marked.select(F.col("id").alias("marked_id"), F.col("version").alias("marked_version"), "once")
+    same = F.col(id_name).eqNullSafe(F.col("marked_id")) & (F.col("version") == F.col("marked_version"))
+    doubtful = doubtful.join(m, same, "left")
+    spared = doubtful.where(F.col("once").isNull()).select(*names)
+    once = doubtful.where("once").dropDuplicates([id_name, "version"]).select(*names)
+    return sift(False).select(*names).unionByName(spared).unionByName(once).toDF(*docs.columns)
+
+
 def byte_view(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string column and each row's offsets; null is empty."""
     if column.null_count:

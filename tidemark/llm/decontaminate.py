@@ -15,14 +15,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import byte_view, chunks, rows_of, runs, span_hashes, stored, window_hashes
+from tidemark.llm.common import bit_filter, byte_view, chunks, drop_rows, may_contain, rows_of, runs, span_hashes, stored, window_hashes
 
 #: Words of a window and, at most, of a shingle.
 WINDOW = 10
 SHINGLE = 5
-#: Bits per shingle of the benchmark, and at most in all, of the filter sent to all tasks.
-FILTER_BITS = 64
-MOST_BITS = 1 << 26
 
 
 @lru_cache(maxsize=1)
@@ -88,20 +85,6 @@ def benchmark_windows(benchmark: DataFrame, *, id_col: str = "item_id", text_col
     return rows.mapInArrow(cut, "item string, words string, size int, shingles array<bigint>").dropDuplicates(["item", "words"])
 
 
-def _filter(shingles: DataFrame) -> np.ndarray:
-    """Bits of the shingles that may matter, in a size that is bounded whatever the benchmark's."""
-    count = shingles.agg(F.approx_count_distinct("shingle")).first()[0]
-    bits = 1 << max(16, min(MOST_BITS, FILTER_BITS * max(1, count)).bit_length() - 1)
-    slots = shingles.select(F.col("shingle").bitwiseAND(F.lit(bits - 1)).alias("slot"))
-    words = slots.groupBy(F.expr("cast(slot div 32 AS int) AS word")).agg(
-        F.expr("bit_or(shiftleft(1L, cast(slot % 32 AS int))) AS bits")
-    )
-    rows = words.toPandas()
-    found = np.zeros(bits // 32, np.uint32)
-    found[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).astype(np.uint32)
-    return found
-
-
 def _hits(docs: DataFrame, wanted: np.ndarray, sizes: Sequence[int], text_col: str) -> DataFrame:
     """``docs`` without texts, with ``n_words`` and the shingles that pass the filter with words around."""
     shared = docs.sparkSession.sparkContext.broadcast(wanted)
@@ -111,14 +94,12 @@ def _hits(docs: DataFrame, wanted: np.ndarray, sizes: Sequence[int], text_col: s
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = shared.value
-        mask = np.uint64(len(wanted) * 32 - 1)
         for batch in chunks(batches, place):
             words = _Words(batch.column(place))
             found: list[list[dict]] = [[] for _ in range(batch.num_rows)]
             for size in sizes:
                 hashes, begins = words.shingles(size)
-                slot = hashes.view(np.uint64) & mask
-                passed = np.flatnonzero((wanted[(slot >> np.uint64(5)).astype(np.int64)] >> (slot & np.uint64(31)).astype(np.uint32)) & 1)
+                passed = np.flatnonzero(may_contain(wanted, hashes))
                 reach = WINDOW - size if size == SHINGLE else 0
                 for shingle, at in zip(hashes[passed].tolist(), begins[passed].tolist()):
                     row = int(words.row[at])
@@ -137,29 +118,15 @@ def _hits(docs: DataFrame, wanted: np.ndarray, sizes: Sequence[int], text_col: s
     return docs.mapInArrow(scan, f"{schema}, n_words long, hits {hits}")
 
 
-def find_contamination(
-    docs: DataFrame,
-    benchmark: DataFrame,
-    *,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    item_col: str = "item_id",
-    item_text_col: str = "text",
-) -> DataFrame:
-    """``(id_col, n_words, n_hit, n_items, items_sha256, contaminated)``, one row per document.
-
-    Words are runs of 0-9, A-Z in lower case, a-z and all beyond ASCII. A window is ten
-    consecutive words of an item, or all of an item with fewer. ``n_hit`` counts words
-    inside an occurrence of any window, ``n_items`` the items with occurring windows, and
-    ``items_sha256`` hashes their ids, sorted as strings and joined by commas. Null or
-    empty texts have no words and items without words no window; a null item id is listed
-    as empty text, a repeated item counts once. Repeated rows each get their result.
-    """
+def _contaminated(
+    docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str
+) -> tuple[DataFrame, DataFrame]:
+    """All rows as ``(id, version, n_words)``, and what was found as ``(found, of, n_hit, items)``."""
     windows = stored(benchmark_windows(benchmark, id_col=item_col, text_col=item_text_col), "windows")
     parts = windows.select("words", "size", F.posexplode("shingles").alias("offset", "shingle")).distinct()
     sizes = sorted(_shingle_size(r["size"]) for r in windows.select("size").distinct().collect())
     source = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("version"), F.col(text_col).alias("text"))
-    scanned = stored(_hits(source, _filter(parts), sorted(set(sizes)), "text"), "hits")
+    scanned = stored(_hits(source, bit_filter(parts, "shingle"), sorted(set(sizes)), "text"), "hits")
     hits = scanned.where(F.size("hits") > 0).select("id", "version", F.explode("hits").alias("hit"))
     hits = hits.select("id", "version", "hit.*")
 
@@ -204,7 +171,29 @@ def find_contamination(
         .select(F.col("h.id").alias("found"), F.col("h.version").alias("of"), "n_hit", "items"),
         "found",
     )
-    result = scanned.select("id", "version", "n_words").join(
+    return scanned.select("id", "version", "n_words"), found
+
+
+def find_contamination(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+) -> DataFrame:
+    """``(id_col, n_words, n_hit, n_items, items_sha256, contaminated)``, one row per document.
+
+    Words are runs of 0-9, A-Z in lower case, a-z and all beyond ASCII. A window is ten
+    consecutive words of an item, or all of an item with fewer. ``n_hit`` counts words
+    inside an occurrence of any window, ``n_items`` the items with occurring windows, and
+    ``items_sha256`` hashes their ids, sorted as strings and joined by commas. Null or
+    empty texts have no words and items without words no window; a null item id is listed
+    as empty text, a repeated item counts once. Repeated rows each get their result.
+    """
+    rows, found = _contaminated(docs, benchmark, id_col, text_col, item_col, item_text_col)
+    result = rows.join(
         found, F.col("id").eqNullSafe(F.col("found")) & (F.col("version") == F.col("of")), "left"
     )
     items = F.coalesce("items", F.array().cast("array<string>"))
@@ -216,3 +205,18 @@ def find_contamination(
         F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"),
         (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
     )
+
+
+def drop_contaminated(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+) -> DataFrame:
+    """``docs`` without the documents that hold a window of the benchmark; all columns stay."""
+    _, found = _contaminated(docs, benchmark, id_col, text_col, item_col, item_text_col)
+    keys = found.select(F.col("found").alias("id"), F.col("of").alias("version"), F.lit(False).alias("once"))
+    return drop_rows(docs, keys, id_col=id_col, text_col=text_col)

@@ -383,6 +383,22 @@ def train(docs: DataFrame, labels: DataFrame, trigrams: list[float], *, id_col:
     return ToxicityModel(trigrams, shares, weights)
 
 
+def learn_toxicity(
+    docs: DataFrame,
+    labels: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label_col: str = "toxic",
+    folds: int = 3,
+    held_out: int = 1,
+) -> ToxicityModel:
+    """Count trigrams of all texts, and learn labels of those ids that are not held out."""
+    fold = share_of(id_col, folds) == held_out
+    trigrams = surprise(count_trigrams(docs, text_col))
+    return train(docs.where(~fold), labels.where(~fold), trigrams, id_col=id_col, text_col=text_col, label_col=label_col)
+
+
 def score_toxicity(
     docs: DataFrame,
     labels: DataFrame,
@@ -393,21 +409,18 @@ def score_toxicity(
     folds: int = 3,
     held_out: int = 1,
     threshold: float = 0.7,
-    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """``(id_col, held_out, score, predicted, *keep)``, one row per document.
+    """``(id_col, held_out, score, predicted)``, one row per document.
 
     Learns labels from documents whose id's crc32 modulo ``folds`` is not ``held_out``; the
     trigram model counts all texts. The score, 0 to 1, is a logistic regression on the best
     feature, the number of toxic words and the length; null and empty texts have it too. Null labels and labels of null
     ids are not learned; of repeated labels of an id the highest counts. Repeated rows and
-    null ids are scored like any others. ``keep`` names further columns of ``docs`` to return.
+    null ids are scored like any others.
     """
     fold = share_of(id_col, folds) == held_out
-    trigrams = surprise(count_trigrams(docs, text_col))
-    model = train(docs.where(~fold), labels.where(~fold), trigrams, id_col=id_col, text_col=text_col, label_col=label_col)
+    model = learn_toxicity(docs, labels, id_col=id_col, text_col=text_col, label_col=label_col, folds=folds, held_out=held_out)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = [id_col, "held_out", "score", "predicted", *keep]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -415,10 +428,23 @@ def score_toxicity(
         for batch in chunks(batches, 2):
             scores = model.scores(batch.column(2), restorer)
             predicted = pa.array((scores >= threshold).astype(np.int32))
-            columns = [batch.column(0), batch.column(1), pa.array(scores), predicted, *batch.columns[3:]]
-            yield pa.RecordBatch.from_arrays(columns, names)
+            columns = [batch.column(0), batch.column(1), pa.array(scores), predicted]
+            yield pa.RecordBatch.from_arrays(columns, [id_col, "held_out", "score", "predicted"])
+
+    id_type = docs.schema[id_col].dataType.simpleString()
+    source = docs.select(F.col(id_col), fold.alias("held_out"), F.col(text_col))
+    return source.mapInArrow(score, f"`{id_col}` {id_type}, held_out boolean, score double, predicted int")
+
+
+def drop_toxic(docs: DataFrame, model: ToxicityModel, *, text_col: str = "text", threshold: float = 0.7) -> DataFrame:
+    """``docs`` without the documents that the model scores at the threshold or above; all columns stay."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    place = docs.columns.index(text_col)
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        restorer = Restorer(model.trigrams)
+        for batch in chunks(batches, place):
+            yield batch.filter(pa.array(model.scores(batch.column(place), restorer) < threshold))
 
-    types = {f.name: f.dataType.simpleString() for f in docs.schema}
-    kept = "".join(f", `{c}` {types[c]}" for c in keep)
-    source = docs.select(F.col(id_col), fold.alias("held_out"), F.col(text_col), *[F.col(c).alias(f"keep{k}") for k, c in enumerate(keep)])
-    return source.mapInArrow(score, f"`{id_col}` {types[id_col]}, held_out boolean, score double, predicted int{kept}")
+    return docs.mapInArrow(sift, docs.schema)
