@@ -59,12 +59,13 @@ def read_merges(path: str) -> MergeTable:
     """The merges of a word-end BPE vocabulary file; other kinds of tokenizer are refused."""
     with open(path, encoding="utf-8") as file:
         spec = json.load(file)
-    model, split = spec["model"], spec["pre_tokenizer"]["pretokenizers"]
+    model, steps = spec["model"], (spec["normalizer"] or {}).get("normalizers")
+    split = (spec["pre_tokenizer"] or {}).get("pretokenizers") or [{}]
     if (
-        model["end_of_word_suffix"] != "</w>"
-        or spec["normalizer"]["normalizers"] != _STEPS
-        or split[0]["pattern"]["Regex"] != _SPLIT
-        or split[1]["type"] != "ByteLevel"
+        model.get("end_of_word_suffix") != "</w>"
+        or steps != _STEPS
+        or [s.get("type") for s in split] != ["Split", "ByteLevel"]
+        or split[0]["pattern"] != {"Regex": _SPLIT}
         or any(t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"] for t in spec["added_tokens"])
     ):
         raise ValueError(f"{path} is not a word-end BPE tokenizer of the known form")
