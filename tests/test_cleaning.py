@@ -1,5 +1,3 @@
-import itertools
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -45,6 +43,26 @@ TCP, UDP = 6, 17
         ("dns", UDP, 53, True, "dns"),
         ("mystery", TCP, 99, False, "unknown"),
         ("foo.com", None, 443, False, "unknown"),
+        # A port of the web decides for server names and generated names, over TCP alone.
+        ("ssl-shop.org", TCP, 443, True, "https"),
+        ("http-shop.org", TCP, 80, True, "http"),
+        ("shop.org", UDP, 80, True, "shop.org"),
+        ("10.1.2.3:9_TCP", TCP, 80, True, "http"),
+        ("host:9_SCTP", TCP, 443, True, "host:9_SCTP"),
+        # Tunnels keep what they carry, cut after the mark; a prefix names the protocol.
+        ("mail-over-http:9", TCP, 5, False, "mail-over-http"),
+        ("mail.org-over-http", TCP, 443, False, "https"),
+        ("mail-over-http", None, 5, True, "unknown"),
+        ("ssl-over-http", TCP, 5, True, "sslover-http"),
+        # Prefixes beat the taxonomy over TCP; elsewhere the taxonomy decides.
+        ("http-mail", TCP, 5, True, "http"),
+        ("http-mail", UDP, 5, True, "http-mail"),
+        ("ssl-mail.org", TCP, 5, False, "ssl"),
+        # What is left: known names stay, server names over TCP are ssl, others unknown.
+        ("mail.org:7", TCP, 5, False, "unknown"),
+        ("mail.org", TCP, 5, True, "mail.org"),
+        ("mail", TCP, 443, True, "mail"),
+        ("mail", TCP, 443, None, "unknown"),
     ],
 )
 def test_app_names(spark, app, proto, port, known, want):
@@ -53,44 +71,6 @@ def test_app_names(spark, app, proto, port, known, want):
     assert df.select(name).first()[0] == want
 
 
-def step_by_step(app, proto, port, known):
-    """The rules as a sequence of overwrites, each seeing what the earlier ones left."""
-    import re
-
-    auto = re.match(r"^.*:\d+(?:_(?:UDP|TCP))?$", app) is not None
-    over, dotted, tcp = "over-http" in app, "." in app, proto == TCP
-    name = app
-    for prefix in ("http", "ssl"):
-        if tcp and name.startswith(prefix + "-"):
-            name, known = prefix, True
-    if over:
-        name, known = (name.split("over-http")[0] + "over-http" if tcp else "unknown"), True
-    for special, drop in ((auto, True), (dotted, False)):
-        for number, protocol in ((443, "https"), (80, "http")):
-            if special and tcp and port == number:
-                name, known = protocol, True
-        if not known and drop and auto:
-            name, known = "unknown", True
-    if not known and tcp and dotted:
-        name, known = "ssl", True
-    return name if known else "unknown"
-
-
-def test_app_names_equal_sequential_rules(spark, rows):
-    stems = ["x", "x.com", "http-x", "ssl-x", "http-x.com", "ssl-x.com"]
-    ends = ["", ":80", ":80_TCP", "-over-http", ".over-http-y", "-over-http:99"]
-    cases = [
-        (stem + end, proto, port, known)
-        for stem, end, proto, port, known in itertools.product(
-            stems, ends, (TCP, UDP), (80, 443, 99), (True, False)
-        )
-    ]
-    df = spark.createDataFrame(cases, "a string, p int, s long, k boolean")
-    name = resolved_app_name(F.col("a"), F.col("p"), F.col("s"), F.col("k")).alias("n")
-    for r in df.select("*", name).collect():
-        assert r["n"] == step_by_step(r["a"], r["p"], r["s"], r["k"]), r
-
-
 def test_resolve_and_name_by_port(spark, rows):
     flows = spark.createDataFrame(
         [(1, "dns", UDP, 53), (2, "odd", TCP, 22), (3, "odd", TCP, 23), (4, "odd", TCP, 8005), (5, "x.com", TCP, 443)],

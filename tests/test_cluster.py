@@ -14,7 +14,7 @@ from tidemark.operators.metrics import (
     pivot_metrics,
 )
 from tidemark.operators.similarity import assign_cells, cosine_radius, dedupe_vectors, unit_vectors
-from tidemark.plans.clustering import ClusterParams, cluster_endpoints, grid_search
+from tidemark.plans.groups import ClusterParams, cluster_endpoints, grid_search
 
 OPTIONS = [{}, {"block_rows": 6}, {"anchors": 5, "block_rows": 9}, {"cells": "prefix"}]
 

@@ -117,3 +117,46 @@ def test_a_failed_run_is_repeated(spark, job, tmp_path, monkeypatch):
             run_detection(spark, job, "c1", at(15))
     detections, _ = run_detection(spark, job, "c1", at(15))
     assert [(a["appName"], a["numFlows"]) for a in detections.first()["apps"]] == [("client-evil", 1)]
+
+
+def test_a_run_without_detections_finds_none(spark, job, tmp_path):
+    raw = tmp_path / "raw"
+    put(raw, at(3), "endpointclassification", [endpoint(at(2), "m1", "cam")])
+    put(raw, at(4), "netflowpacket", [flow(at(1), "m1", "evil"), flow(at(15), "m1", "web")])
+    first, _ = run_detection(spark, job, "c1", at(15))
+    assert first.count() == 1
+    put(raw, at(4, hour=14), "netflowpacket", [flow(at(1, hour=14), "m1", "web"), flow(at(15, hour=14), "m1", "web")])
+    second, metrics = run_detection(spark, job, "c1", at(15, hour=14))
+    assert second.count() == 0
+    assert [r["numDetections"] for r in metrics.collect()] == [None]
+    # The newest snapshot is the empty one; the older one is still there.
+    stored = first.schema
+    assert read_state(spark, job.state_root, "detections", "c1", stored, latest_only=True).count() == 0
+    assert read_state(spark, job.state_root, "detections", "c1", stored).count() == 1
+
+
+def test_a_device_can_lose_its_class(spark, job, tmp_path):
+    raw = tmp_path / "raw"
+    put(raw, at(3), "endpointclassification", [endpoint(at(2), "m1", "cam")])
+    put(raw, at(4), "netflowpacket", [flow(at(1), "m1", "evil"), flow(at(15), "m1", "web")])
+    assert run_detection(spark, job, "c1", at(15))[0].count() == 1
+    put(raw, at(18), "endpointclassification", [endpoint(at(17), "m1", "??")])
+    put(raw, at(19), "netflowpacket", [flow(at(16), "m1", "evil"), flow(at(31), "m1", "web")])
+    detections, metrics = run_detection(spark, job, "c1", at(30))
+    newest = {(r["mac"], r["windowEnd"]) for r in detections.collect()}
+    assert ("m1", at(30)) not in newest or detections.where("windowEnd > '2024-01-01 10:15:00'").count() == 0
+
+
+def test_old_snapshots_are_retired(spark, job, tmp_path):
+    from dataclasses import replace
+
+    job = replace(job, history_root=str(tmp_path / "history"), keep=timedelta(minutes=5))
+    raw = tmp_path / "raw"
+    put(raw, at(3), "endpointclassification", [endpoint(at(2), "m1", "cam")])
+    put(raw, at(4), "netflowpacket", [flow(at(1), "m1", "evil"), flow(at(15), "m1", "web")])
+    run_detection(spark, job, "c1", at(15))
+    put(raw, at(20), "netflowpacket", [flow(at(31), "m1", "web")])
+    run_detection(spark, job, "c1", at(30))
+    old = spark.read.parquet(str(tmp_path / "history" / "etlBins"))
+    assert old.select("refTs").distinct().count() == 1
+    assert spark.read.parquet(str(tmp_path / "history" / "detections")).count() == 1

@@ -158,3 +158,27 @@ def test_endpoint_merge(spark, rows):
 def test_checkpoints_go_to_the_named_folder(spark):
     named = spark.conf.get("spark.checkpoint.dir")
     assert named in shared_dir(spark)
+
+
+def test_files_that_land_after_the_listing_wait(spark, tmp_path):
+    from datetime import datetime, timedelta
+
+    from tidemark.sources.raw import read_raw
+
+    start = datetime(2024, 1, 1, 10)
+    for minute in (1, 2, 3):
+        folder = tmp_path / "c[1]" / "data" / f"2024-01-01T10-0{minute}-00.000Z" / "flows"
+        folder.mkdir(parents=True)
+        (folder / "part.json").write_text(f'{{"n": {minute}}}')
+    args = (spark, str(tmp_path), "c[1]", "flows", "n int", start, start + timedelta(minutes=9), start)
+    assert {r["n"] for r in read_raw(*args, fmt="json").collect()} == {1, 2, 3}
+    assert {r["n"] for r in read_raw(*args, start + timedelta(minutes=2), fmt="json").collect()} == {1, 2}
+
+
+def test_keys_are_cut_at_the_root_only(spark):
+    from tidemark.sources.listing import key_of
+
+    df = spark.createDataFrame([("s3://bucket/a/bucket/b.avro",), ("s3://other/bucket/b",), ("file:///t/x/y",)], "path string")
+    assert [r[0] for r in df.select(key_of("path", "s3://bucket/")).collect()] == ["a/bucket/b.avro", None, None]
+    assert [r[0] for r in df.select(key_of("path", "/t/x")).collect()] == [None, None, "y"]
+    assert [r[0] for r in df.select(key_of("path", "file:/t")).collect()] == [None, None, "x/y"]

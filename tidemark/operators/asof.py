@@ -16,6 +16,8 @@ from tidemark.functions.times import bucket_of
 
 # Fixed value: an hour plus twenty seconds, for sources that report hourly.
 DEFAULT_LOOKBACK_MS = 3_620_000
+#: Width of the buckets a key is split into, whatever the lookback: what is older is carried.
+DEFAULT_BUCKET_MS = 3_600_000
 
 _BUCKET, _PROBE = "__bucket", "__probe"
 
@@ -81,7 +83,7 @@ def asof_join(
     if strategy == "window":
         joined = _by_window(*args)
     else:
-        joined = _by_bucket(*args, bucket_ms or lookback_ms or DEFAULT_LOOKBACK_MS)
+        joined = _by_bucket(*args, bucket_ms or DEFAULT_BUCKET_MS)
     return joined.withColumns(empty).select(*left.columns, *names) if empty else joined
 
 
@@ -109,11 +111,12 @@ def interval_join(
     clash = (set(left.columns) & set(right.columns)) - {*keys, ts}
     if clash:
         raise ValueError(f"columns on both sides: {sorted(clash)}")
-    bucket = bucket_of(F.col(right_ts), lookback_ms)
+    width = max(1, lookback_ms)
+    bucket = bucket_of(F.col(right_ts), width)
     right = right.withColumnRenamed(ts, right_ts).withColumn(
         _BUCKET, F.explode(F.array(bucket, bucket + 1))
     )
-    left = left.withColumn(_BUCKET, bucket_of(F.col(ts), lookback_ms))
+    left = left.withColumn(_BUCKET, bucket_of(F.col(ts), width))
     r = right.select(
         *[F.col(k).alias(f"__r_{k}") for k in keys],
         F.col(_BUCKET).alias("__r_bucket"),

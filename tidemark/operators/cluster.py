@@ -1,4 +1,4 @@
-"""Weighted density clustering on cosine neighbours.
+"""Weighted density clusters from cosine neighbours.
 
 The neighbour graph is never written out: a first pass over the blocks sums each
 point's neighbour weights, a second one returns, per block, only which core points
@@ -96,7 +96,7 @@ def dbscan(
     )
     border = (
         links.where(~F.col("core"))
-        .join(named.select("k", F.col("id").alias("root"), "cluster"), ["k", "root"])
+        .join(splittable(named.select("k", F.col("id").alias("root"), "cluster")), ["k", "root"])
         .groupBy("k", "id")
         .agg(F.min("cluster").alias("cluster"))
     )
@@ -165,7 +165,7 @@ def _large_star(edges: DataFrame, by: list[str]) -> DataFrame:
 
 def _small_star(edges: DataFrame, by: list[str]) -> DataFrame:
     least = edges.groupBy(*by, "u").agg(F.min("v").alias("m"))
-    moved = edges.join(least, [*by, "u"]).where("v <> m")
+    moved = edges.join(splittable(least), [*by, "u"]).where("v <> m")
     pointed = moved.select(*by, F.col("v").alias("u"), F.col("m").alias("v"))
     return pointed.unionByName(least.select(*by, "u", F.col("m").alias("v"))).distinct()
 

@@ -8,7 +8,8 @@ are compared with a matrix product inside the task, and only results leave it.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import math
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -31,10 +32,10 @@ ROUNDING = 0.00005
 
 # Two blocks make a 2048 x 2048 matrix of 32 MB in a task.
 BLOCK_ROWS = 2048
-ROWS_PER_CELL = 1024
-MAX_ANCHORS = 1024
-# Anchor matrices travel to every task; 4 million doubles are 32 MB.
-MAX_ANCHOR_VALUES = 4_000_000
+# Values of a dense matrix that a task holds at a time: 32 MB of doubles.
+MATRIX_VALUES = 4_000_000
+# Groups per shuffle partition at least, as even few points can be much work.
+GROUPS_PER_PARTITION = 4
 
 # Roles of a point in a cell, and the pairs of roles that are compared there. Points
 # at home meet all others; inner points are known to be near each other; points from
@@ -169,8 +170,9 @@ def assign_cells(
     similarity alone (prefix filtering, Bayardo et al., WWW 2007).
     ``cells="anchors"`` is for dense ones: a point is at home with its most similar
     anchor and is copied to other anchors whose region comes within the radius
-    (ClusterJoin, Das Sarma et al., VLDB 2014). Zero vectors have no neighbours and
-    get no cell.
+    (ClusterJoin, Das Sarma et al., VLDB 2014) and whose points, all within a known
+    distance of their anchor, can be that near. There are as many anchors as the root
+    of the number of points. Zero vectors have no neighbours and get no cell.
 
     ``dense=(reach, weight)`` spares the comparisons within a dense ball: points
     closer than ``reach`` to their anchor, if their weights add up to ``weight``, are
@@ -182,10 +184,8 @@ def assign_cells(
     if cells != "anchors":
         raise ValueError("cells must be 'anchors' or 'prefix'")
     if anchors is None:
-        anchors = min(MAX_ANCHORS, points.count() // ROWS_PER_CELL)
-    if anchors < 2:
-        home = F.array(F.struct(F.lit(0).alias("cell"), F.lit(_HOME).alias("role")))
-        return points.select("*", home.alias("cells"), _no_prefix(), _no_leader(points))
+        # The square root balances the work of finding cells and of comparing within them.
+        anchors = max(1, math.isqrt(points.count()))
     return cut_lineage(_anchor_cells(points, radius, anchors, dense))
 
 
@@ -199,7 +199,8 @@ def compare_blocks(
     """Run ``kernel`` on every pair of blocks of every cell with its pairs within ``radius``.
 
     Cells that fit one block are bundled by hash, about ``block_rows`` rows to a
-    group; each block pair of a larger cell is a group of its own.
+    group, but into some groups per partition in any case; each block pair of a larger
+    cell is a group of its own.
     """
     extra = [c for c in points.columns if c not in ("entries", "cells", "prefix", "leader")]
     sizes = (
@@ -212,7 +213,9 @@ def compare_blocks(
         )
         .where("rows > 1 and home_rows + inner_rows > 0")
     )
-    bundles = sizes.agg(F.greatest(F.ceil(F.sum("rows") / block_rows), F.lit(1))).scalar()
+    partitions = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    least = F.lit(GROUPS_PER_PARTITION * partitions).cast("long")
+    bundles = sizes.agg(F.greatest(F.ceil(F.sum("rows") / block_rows), least)).scalar()
     blocks = sizes.selectExpr(
         "cell",
         f"cast(ceil(home_rows / {block_rows}) as int) homes",
@@ -257,7 +260,6 @@ def compare_blocks(
         return pd.DataFrame({c: _column([f[c] for f in found]) for c in columns})
 
     # Little data but much work: keep the groups spread over all shuffle partitions.
-    partitions = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return jobs.repartition(partitions, "bundle").groupBy("bundle").applyInPandas(run, schema)
 
 
@@ -299,11 +301,38 @@ class _Block:
         return np.round(np.maximum(self.distance, 0.0), DECIMALS)
 
     def _product(self, dims: str, vals: str | None) -> np.ndarray:
-        lists = [list(self._cols[dims][s]) for s in self._sides]
-        used = np.unique(np.concatenate([x for side in lists for x in side]))
-        values = [list(self._cols[vals][s]) if vals else None for s in self._sides]
-        dense = [_dense(d, v, used) for d, v in zip(lists, values)]
-        return dense[0] @ dense[-1].T
+        """The product of both sides, summed over slices of the dimensions they share."""
+        sides = [_Entries(self._cols[dims][s], self._cols[vals][s] if vals else None) for s in self._sides]
+        left, right = sides[0], sides[-1]
+        shared = np.intersect1d(left.dims, right.dims)
+        total = np.zeros((left.count, right.count))
+        step = max(1, MATRIX_VALUES // max(left.count, right.count))
+        for at in range(0, len(shared), step):
+            part = shared[at : at + step]
+            total += left.matrix(part) @ right.matrix(part).T
+        return total
+
+
+class _Entries:
+    """Sparse rows with their entries sorted by dimension."""
+
+    def __init__(self, dims: np.ndarray, vals: np.ndarray | None):
+        self.count = len(dims)
+        flat = np.concatenate([np.asarray(d, dtype="int64") for d in dims])
+        rows = np.repeat(np.arange(len(dims)), [len(d) for d in dims])
+        order = np.argsort(flat, kind="stable")
+        self.dims, self.rows = flat[order], rows[order]
+        self.vals = np.ones(len(flat)) if vals is None else np.concatenate(list(vals))[order]
+
+    def matrix(self, part: np.ndarray) -> np.ndarray:
+        """Dense rows over the sorted dimensions ``part``."""
+        out = np.zeros((self.count, len(part)))
+        at = slice(np.searchsorted(self.dims, part[0]), np.searchsorted(self.dims, part[-1], "right"))
+        dims = self.dims[at]
+        cols = np.searchsorted(part, dims)
+        hit = part[np.minimum(cols, len(part) - 1)] == dims
+        out[self.rows[at][hit], cols[hit]] = self.vals[at][hit]
+        return out
 
 
 def _dense(dims: list, vals: list | None, used: np.ndarray) -> np.ndarray:
@@ -379,36 +408,58 @@ def _anchor_cells(
     rows = ranked.select(
         F.col("entries.dim").alias("dims"), F.col("entries.val").alias("vals")
     ).toPandas()
-    used = np.unique(np.concatenate(rows["dims"].to_list()))
-    rows = rows.head(max(1, MAX_ANCHOR_VALUES // len(used)))
+    used = np.unique(np.concatenate([np.zeros(0, "int32"), *rows["dims"]]))
     matrix = _dense(list(rows["dims"]), list(rows["vals"]), used)
-    if dense is not None:
+    if dense is not None and len(matrix):
         matrix = _thinned(matrix, dense[0])
-    apart = _apart(matrix @ matrix.T)
+    context = points.sparkSession.sparkContext
+    sent = context.broadcast((used, matrix, _apart(matrix @ matrix.T)))
     reach = np.sqrt(2.0 * radius)
 
-    @F.pandas_udf("cells array<struct<cell:int,role:int>>, gap double")
-    def place(dims: pd.Series, vals: pd.Series) -> pd.DataFrame:
-        out, gaps = [], []
-        step = max(1, MAX_ANCHOR_VALUES // len(used))
+    def alike(dims: pd.Series, vals: pd.Series) -> Iterator[np.ndarray]:
+        used, matrix, _ = sent.value
+        step = max(1, MATRIX_VALUES // max(len(used), len(matrix)))
         for at in range(0, len(dims), step):
-            alike = _dense(list(dims[at : at + step]), list(vals[at : at + step]), used) @ matrix.T
-            home, best = alike.argmax(axis=1), alike.max(axis=1)
-            gaps.append(_apart(best))
-            # Distance to the border of another anchor's region, as similarity.
-            near = best[:, None] - alike <= reach * apart[home] + 1e-9
-            for h, row in zip(home, near):
-                others = [{"cell": int(c), "role": _OUTER} for c in np.flatnonzero(row) if c < h]
-                out.append([{"cell": int(h), "role": _HOME}, *others])
-        return pd.DataFrame({"cells": out, "gap": np.concatenate(gaps) if gaps else []})
-
-    placed = points.withColumn("at", place(F.col("entries.dim"), F.col("entries.val"))).select(
-        *points.columns, "at.cells", "at.gap"
+            yield _dense(list(dims[at : at + step]), list(vals[at : at + step]), used) @ matrix.T
+
+    @F.pandas_udf("home int, gap double")
+    def settle(dims: pd.Series, vals: pd.Series) -> pd.DataFrame:
+        parts = [(a.argmax(axis=1), _apart(a.max(axis=1))) for a in alike(dims, vals)]
+        home, gap = (np.concatenate(p) for p in zip(*parts)) if parts else ([], [])
+        return pd.DataFrame({"home": home, "gap": gap})
+
+    settled = points.withColumn("at", settle(F.col("entries.dim"), F.col("entries.val")))
+    settled = cut_lineage(settled.select(*points.columns, "at.home", "at.gap"))
+    widths = np.full(len(matrix), -np.inf)
+    for row in settled.groupBy("home").agg(F.max("gap").alias("width")).collect():
+        widths[row["home"]] = row["width"]
+    wide = context.broadcast(widths)
+
+    @F.pandas_udf("array<int>")
+    def visit(dims: pd.Series, vals: pd.Series, home: pd.Series) -> pd.Series:
+        _, _, between = sent.value
+        out, done = [], 0
+        for a in alike(dims, vals):
+            at_home = home.to_numpy()[done : done + len(a)]
+            done += len(a)
+            # The border with another region must be near, and so must that region's points.
+            border = a[np.arange(len(a)), at_home][:, None] - a <= reach * between[at_home] + 1e-9
+            inside = _apart(a) <= reach + wide.value + 1e-9
+            earlier = np.arange(a.shape[1]) < at_home[:, None]
+            rows, cells = np.nonzero(border & inside & earlier)
+            out += np.split(cells.astype("int32"), np.searchsorted(rows, np.arange(1, len(a))))
+        return pd.Series(out, dtype=object)
+
+    others = visit(F.col("entries.dim"), F.col("entries.val"), F.col("home"))
+    cells = (
+        f"concat(array(named_struct('cell', home, 'role', {_HOME})), "
+        f"transform(others, c -> named_struct('cell', c, 'role', {_OUTER})))"
     )
+    placed = settled.withColumn("others", others).withColumn("cells", F.expr(cells)).drop("others")
     if dense is None:
         return placed.select(*points.columns, "cells", _no_prefix(), _no_leader(points))
     placed = cut_lineage(placed).withColumn(
-        "ball", F.when(F.col("gap") <= dense[0], F.col("cells")[0]["cell"])
+        "ball", F.when(F.col("gap") <= dense[0], F.col("home"))
     )
     balls = (
         placed.where(F.col("ball").isNotNull())

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import datetime, timedelta
 from typing import NamedTuple
 
 from pyspark.ml import Model
@@ -31,6 +32,7 @@ from tidemark.sources.raw import (
 from tidemark.sources.state import (
     append_jdbc,
     append_metrics,
+    archive_all,
     merge_endpoints,
     read_state,
     read_watermark,
@@ -39,6 +41,8 @@ from tidemark.sources.state import (
     write_watermark,
 )
 
+_LOG = logging.getLogger(__name__)
+
 DETECTION_COLUMNS = ("mac", "label", "windowStart", "windowEnd", "apps", "uuid")
 BINS_SCHEMA = (
     "timeBin timestamp, mac string, appName string, side string, uuid string, label string, "
@@ -75,6 +79,9 @@ class DetectionJob:
     metrics_path: str | None = None
     jdbc_url: str | None = None
     jdbc_table: str = "detections"
+    history_root: str | None = None
+    keep: timedelta = timedelta(days=30)
+    keep_endpoints: timedelta = timedelta(days=90)
 
 
 def score_usage(
@@ -111,18 +118,15 @@ def run_detection(
 
     def raw(entity: str, schema: str) -> DataFrame:
         return read_raw(
-            spark, job.raw_root, customer, entity, schema, start, end, watermark, fmt=job.fmt
+            spark, job.raw_root, customer, entity, schema, start, end, watermark, upto, fmt=job.fmt
         )
 
     arrived = endpoint_rows(raw(ENDPOINT_ENTITY, job.endpoint_schema), list(job.endpoint_keys))
-    classed = assign_class(arrived, job.class_rules, params.label)
-    known = read_state(
-        spark, job.state_root, "endpoint", customer, classed.schema, latest_only=True
-    )
-    write_state(merge_endpoints(classed, known), job.state_root, "endpoint", customer, upto)
-    endpoints = read_state(
-        spark, job.state_root, "endpoint", customer, classed.schema, latest_only=True
-    )
+    known = read_state(spark, job.state_root, "endpoint", customer, arrived.schema, latest_only=True)
+    write_state(merge_endpoints(arrived, known), job.state_root, "endpoint", customer, upto)
+    merged = read_state(spark, job.state_root, "endpoint", customer, arrived.schema, at=upto)
+    # A device has the class of its newest record, or none, whatever its older ones had.
+    endpoints = assign_class(merged.select(*arrived.columns), job.class_rules, params.label)
 
     flows = flow_rows(
         raw(FLOW_ENTITY, job.flow_schema), job.thresholds,
@@ -137,17 +141,26 @@ def run_detection(
 
     detections, metrics = score_usage(windowed, job.models)
     write_state(detections, job.state_root, "detections", customer, upto)
-    found = read_state(
-        spark, job.state_root, "detections", customer, detections.schema, latest_only=True
-    )
+    found = read_state(spark, job.state_root, "detections", customer, detections.schema, at=upto)
+    metrics = cut_lineage(metrics)
     if job.jdbc_url:
         append_jdbc(found.withColumn("apps", F.to_json("apps")), job.jdbc_url, job.jdbc_table)
     if job.metrics_path:
-        append_metrics(metrics, job.metrics_path)
+        failure = append_metrics(metrics, job.metrics_path)
+        if failure is not None:
+            _LOG.error("metrics of %s up to %s were not written: %s", customer, upto, failure)
     write_watermark(spark, job.state_root, customer, upto)
+    if job.history_root:
+        _retire(spark, job, customer, upto, {"endpoint": arrived.schema, "etlBins": BINS_SCHEMA, "detections": detections.schema})
     return found, metrics
 
 
+def _retire(spark: SparkSession, job: DetectionJob, customer: str, upto: datetime, schemas: Mapping) -> None:
+    """Copy snapshots past their time to the history tables."""
+    tables = {entity: read_state(spark, job.state_root, entity, customer, schema) for entity, schema in schemas.items()}
+    archive_all(tables, upto, job.history_root, job.keep, job.keep_endpoints)
+
+
 class _Scorer:
     """Features, then the model, for rows with ``words``."""
 

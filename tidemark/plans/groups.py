@@ -1,4 +1,4 @@
-"""Clustering of endpoints by the features of their snapshots."""
+"""Groups of endpoints by the features of their snapshots."""
 
 from __future__ import annotations
 
@@ -26,7 +26,7 @@ METRIC_NAMES = (
 
 @dataclass(frozen=True)
 class ClusterParams:
-    """Settings of one clustering."""
+    """Settings of one run."""
 
     eps: float = 0.115
     min_samples: int = 5
@@ -37,8 +37,8 @@ class ClusterParams:
     faithful_zero_distance: bool = False
 
 
-class Clustering(NamedTuple):
-    """Results of a clustering."""
+class Clustered(NamedTuple):
+    """Results of a run."""
 
     snapshots: DataFrame
     endpoints: DataFrame
@@ -52,7 +52,7 @@ def cluster_endpoints(
     *,
     label: str | None = None,
     vector_col: str = "sparseFeatures",
-) -> Clustering:
+) -> Clustered:
     """Cluster endpoints and carry the cluster to each of their snapshots.
 
     ``snapshots`` has ``endpoint``, ``snapshotTimestamp`` and a vector column;
@@ -69,7 +69,7 @@ def cluster_endpoints(
         [("epsilon", float(params.eps)), ("minSamples", float(params.min_samples))],
         "name string, value double",
     )
-    return Clustering(
+    return Clustered(
         snapshots.join(endpoints, "endpoint"), endpoints, metrics.unionByName(settings), per_cluster
     )
 
@@ -92,7 +92,7 @@ def grid_search(
 
     All eps of a distance share one comparison of the vectors. Of equal scores the
     first grid point wins; without any score the default parameters are returned.
-    Euclidean clustering only tries the global distance.
+    Euclidean runs only try the global distance.
     """
     if euclidean:
         distances = [d for d in distances if d == "global"]
@@ -144,7 +144,7 @@ def _assigned(features: DataFrame, params: ClusterParams, eps: Sequence[float])
     if params.distance not in DISTANCES:
         raise ValueError(f"distance must be one of {DISTANCES}")
     if params.distance == "per_attribute" and params.euclidean:
-        raise ValueError("euclidean clustering supports the global distance only")
+        raise ValueError("the euclidean metric supports the global distance only")
     if params.distance == "per_attribute" and not params.layout:
         raise ValueError("the per-attribute distance needs an attribute layout")
     layout = params.layout if params.distance == "per_attribute" else None

@@ -16,7 +16,7 @@ from tidemark.operators.similarity import (
     unit_vectors_long,
     vector_members,
 )
-from tidemark.plans.clustering import ClusterParams, cluster_endpoints, grid_search
+from tidemark.plans.groups import ClusterParams, cluster_endpoints, grid_search
 from tidemark.queries.inputs import events_ms, table
 
 _EPS, _MIN = 0.65, 3

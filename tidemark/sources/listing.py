@@ -6,12 +6,15 @@ cluster; file contents are never read.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_SCHEME = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?/*"
+
 LISTING_SCHEMA = "path string, modificationTime timestamp, length long"
 
 
@@ -61,14 +64,24 @@ def exists(spark: SparkSession, root: str, prefix: str = "") -> bool:
 
 
 def key_of(path: str, root: str) -> Column:
-    """Part of ``path`` after ``root``."""
-    tail = root.rstrip("/").split("://")[-1].split(":", 1)[-1].lstrip("/")
-    return F.substring_index(F.col(path), tail + "/", -1)
+    """Part of ``path`` after ``root``, which it must begin with (schemes aside), else null."""
+    stem = _bare(root.rstrip("/")) + "/"
+    bare = F.regexp_replace(F.col(path), _SCHEME, "")
+    return F.when(bare.startswith(stem), bare.substr(len(stem) + 1, 1 << 20))
+
+
+def literal_glob(text: str) -> str:
+    """``text`` as a path pattern that matches only itself."""
+    return re.sub(r"([*?\[\]{},^\\])", r"\\\1", text)
+
+
+def _bare(path: str) -> str:
+    return re.sub(_SCHEME, "", path)
 
 
 def _pattern(root: str, prefixes: Sequence[str]) -> str:
-    base = root.rstrip("/") + "/"
-    stems = sorted({p.lstrip("/") for p in prefixes})
+    base = literal_glob(root.rstrip("/")) + "/"
+    stems = sorted({literal_glob(p.lstrip("/")) for p in prefixes})
     if len(stems) == 1:
         return f"{base}{stems[0]}*"
     return f"{base}{{{','.join(stems)}}}*"

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.dedupe import earliest_per_key
 from tidemark.operators.enrich import byte_threshold_filter, flatten_records, flatten_struct
-from tidemark.sources.listing import list_objects
+from tidemark.sources.listing import list_objects, literal_glob
 
 # Folder names and time formats of the raw layout.
 DATA_FOLDER = "data"
@@ -73,15 +73,19 @@ def read_raw(
     start: datetime,
     end: datetime,
     watermark: datetime,
+    upto: datetime | None = None,
     *,
     fmt: str = "avro",
     suffix: str | None = None,
     ignore_corrupt: bool = False,
 ) -> DataFrame:
-    """Rows of one entity's new files. Minute folders limit the listing, and the
-    filter on the file path prunes files before they are opened."""
+    """Rows of one entity's files after ``watermark`` and, if given, up to ``upto``.
+
+    Minute folders limit the listing, and the filter on the file path prunes files
+    before they are opened. ``upto`` keeps out files that land between two listings.
+    """
     stems = sorted(p.split("/")[-1] for p in minute_prefixes(customer, start, end))
-    base = f"{root.rstrip('/')}/{customer}/{DATA_FOLDER}"
+    base = literal_glob(f"{root.rstrip('/')}/{customer}/{DATA_FOLDER}")
     reader = (
         spark.read.format(fmt)
         .schema(schema)
@@ -95,7 +99,9 @@ def read_raw(
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
-    return rows.where(path_time(F.col("_metadata.file_path")) > F.lit(watermark))
+    arrived = path_time(F.col("_metadata.file_path"))
+    rows = rows.where(arrived > F.lit(watermark))
+    return rows if upto is None else rows.where(arrived <= F.lit(upto))
 
 
 def flow_rows(

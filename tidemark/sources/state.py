@@ -14,13 +14,25 @@ from tidemark.operators.metrics import latest_per_key
 # Fixed value: reference times sort as text.
 REF_TIME = "yyyy-MM-dd'T'HH-mm-ss.SSS"
 
+_NOTE = "empty boolean"
 WATERMARK_SCHEMA = "timestamp timestamp"
 
 
 def write_state(
     df: DataFrame, root: str, entity: str, customer: str, ref_ts: datetime | Column, mode: str = "overwrite"
 ) -> None:
-    """Write one snapshot; the same customer and time overwrite each other only."""
+    """Write one snapshot; the same customer and time overwrite each other only.
+
+    Whether it is empty is noted beside the table, as an empty snapshot has no files and
+    would leave an older one of the same time, or an earlier time, in its place.
+    """
+    _write_partitions(df, root, entity, customer, ref_ts, mode)
+    if not isinstance(ref_ts, Column):
+        note = df.sparkSession.createDataFrame([(df.isEmpty(),)], _NOTE)
+        _write_partitions(note, root, _notes(entity), customer, ref_ts, "overwrite")
+
+
+def _write_partitions(df: DataFrame, root: str, entity: str, customer: str, ref_ts: datetime | Column, mode: str) -> None:
     (
         df.withColumns({"customer": F.lit(customer), "refTs": ref_time(ref_ts)})
         .write.mode(mode)
@@ -30,6 +42,10 @@ def write_state(
     )
 
 
+def _notes(entity: str) -> str:
+    return f"{entity}_snapshots"
+
+
 def read_state(
     spark: SparkSession,
     root: str,
@@ -38,8 +54,23 @@ def read_state(
     schema: T.StructType | str,
     *,
     latest_only: bool = False,
+    at: datetime | None = None,
 ) -> DataFrame:
-    """All snapshots of an entity, or the newest one; empty if there is none."""
+    """All snapshots of an entity, the newest one, or that of a time; empty if there is none.
+
+    A snapshot that was written empty is empty, also if it is the newest.
+    """
+    rows = _read_partitions(spark, root, entity, customer, schema)
+    notes = _read_partitions(spark, root, _notes(entity), customer, _NOTE)
+    if at is not None:
+        rows, notes = (t.where(F.col("refTs") == ref_time(at)) for t in (rows, notes))
+    elif latest_only:
+        times = rows.select("refTs").unionByName(notes.select("refTs"))
+        rows = rows.where(F.col("refTs") == times.agg(F.max("refTs")).scalar())
+    return rows.join(notes.where("empty").select("refTs"), "refTs", "left_anti").select(*rows.columns)
+
+
+def _read_partitions(spark: SparkSession, root: str, entity: str, customer: str, schema: T.StructType | str) -> DataFrame:
     full = T.StructType(
         [
             *(T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields,
@@ -53,8 +84,7 @@ def read_state(
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         rows = spark.createDataFrame([], full)
-    rows = rows.where(F.col("customer") == customer)
-    return latest_partition(rows, "refTs") if latest_only else rows
+    return rows.where(F.col("customer") == customer)
 
 
 def ref_time(ts: datetime | Column) -> Column:
