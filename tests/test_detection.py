@@ -125,7 +125,7 @@ def test_a_run_without_detections_finds_none(spark, job, tmp_path):
     put(raw, at(4), "netflowpacket", [flow(at(1), "m1", "evil"), flow(at(15), "m1", "web")])
     first, _ = run_detection(spark, job, "c1", at(15))
     assert first.count() == 1
-    put(raw, at(4, hour=14), "netflowpacket", [flow(at(1, hour=14), "m1", "web"), flow(at(15, hour=14), "m1", "web")])
+    put(raw, at(4, hour=14), "netflowpacket", [flow(at(1, hour=14), "m1", "web"), flow(at(15, hour=14), "m1", "zzz.com")])
     second, metrics = run_detection(spark, job, "c1", at(15, hour=14))
     assert second.count() == 0
     assert [r["numDetections"] for r in metrics.collect()] == [None]
@@ -143,8 +143,10 @@ def test_a_device_can_lose_its_class(spark, job, tmp_path):
     put(raw, at(18), "endpointclassification", [endpoint(at(17), "m1", "??")])
     put(raw, at(19), "netflowpacket", [flow(at(16), "m1", "evil"), flow(at(31), "m1", "web")])
     detections, metrics = run_detection(spark, job, "c1", at(30))
-    newest = {(r["mac"], r["windowEnd"]) for r in detections.collect()}
-    assert ("m1", at(30)) not in newest or detections.where("windowEnd > '2024-01-01 10:15:00'").count() == 0
+    bins = read_state(spark, job.state_root, "etlBins", "c1", BINS_SCHEMA)
+    # The flows of the second run belong to no class any more.
+    assert bins.where(F.col("refTs") > "2024-01-01T10-04-00.000").count() == 0
+    assert detections.count() == 0
 
 
 def test_old_snapshots_are_retired(spark, job, tmp_path):

@@ -81,3 +81,19 @@ def test_scoring_uses_the_model_of_each_class(spark, rows):
     assert rows(positives(scored, ["n", "label"])) == [(1, "a"), (4, "b")]
     with pytest.raises(ValueError, match="classes"):
         score_classes(data, {})
+
+
+def test_few_equal_groups_fill_every_fold(spark):
+    rows = [(f"g{g}", int(g < 4)) for g in range(12) for _ in range(5)]
+    folds = stratified_group_folds(spark.createDataFrame(rows, "group string, label int"), "group", "label", 3)
+    per = {r["fold"]: (r["n"], r["ones"]) for r in folds.groupBy("fold").agg(F.count("*").alias("n"), F.sum("label").alias("ones")).collect()}
+    assert {n for n, _ in per.values()} == {20} and set(per) == {0, 1, 2}
+    assert sorted(ones for _, ones in per.values()) == [5, 5, 10]
+
+
+def test_no_task_numbers_all_groups(spark, plan):
+    rows = [(f"g{g}", 0) for g in range(4000)]
+    folds = stratified_group_folds(spark.createDataFrame(rows, "group string, label int"), "group", "label", 4)
+    windows = [line for line in plan(folds).splitlines() if "row_number" in line and "Window" in line]
+    assert windows and all("digits" in line for line in windows)
+    assert {r["n"] for r in folds.groupBy("fold").agg(F.count("*").alias("n")).collect()} == {1000}

@@ -172,3 +172,37 @@ def test_no_cross_join_in_the_plan(spark, plan):
     for cells in ("anchors", "prefix"):
         text = plan(cosine_pairs(vectors, 0.2, cells=cells))
         assert "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+def test_few_points_are_many_groups(spark):
+    """Even small tables are cut into cells and compared in many tasks."""
+    from tidemark.operators.similarity import GROUPS_PER_PARTITION, compare_blocks
+
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(20, 8))
+    rows = [(i, [float(x) for x in centres[i % 20] + rng.normal(scale=0.02, size=8)]) for i in range(500)]
+    vectors = unit_vectors(spark.createDataFrame(rows, "vec long, v array<double>"), "vec", "v")
+    radius = cosine_radius(0.01)
+    placed = assign_cells(vectors, radius).cache()
+    cells = placed.selectExpr("explode(cells) AS at").groupBy("at.cell").count().collect()
+    assert len(cells) >= 16
+    # Tight groups far from each other: next to no point is copied.
+    assert sum(r["count"] for r in cells) < 2 * 500
+    groups = compare_blocks(placed, lambda b: {"n": np.array([len(b.rows)])}, "n long", radius)
+    assert groups.count() >= 16
+    assert GROUPS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions")) >= 16
+
+
+def test_wide_blocks_stay_small(spark, monkeypatch):
+    """The product is summed over slices of the shared dimensions."""
+    from tidemark.operators import similarity
+
+    rng = np.random.default_rng(6)
+    dims = np.array([np.sort(rng.choice(1_000_000, 40, replace=False)) for _ in range(300)], dtype=object)
+    dims[1] = dims[0]
+    vals = np.array([np.full(40, 40**-0.5)] * 300, dtype=object)
+    cols = {"dims": dims, "vals": vals, "second": np.zeros(300, bool), "earlier": np.array([None] * 300)}
+    monkeypatch.setattr(similarity, "MATRIX_VALUES", 3000)
+    block = similarity._Block(cols, np.arange(300), diagonal=True)
+    assert block.compare(0.1) and list(zip(block.rows, block.cols)) == [(0, 1)]
+    assert np.isclose(block.distance[0], 0)

@@ -11,7 +11,7 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DECKS = 64
+from tidemark.session import cut_lineage, splittable
 
 # Boosting parameters and their names in Spark ML.
 BOOSTING_PARAMS = {
@@ -24,22 +24,37 @@ BOOSTING_PARAMS = {
 
 
 def stratified_group_folds(
-    df: DataFrame, group: str, label: str, k: int, *, fold: str = "fold", decks: int = DECKS
+    df: DataFrame, group: str, label: str, k: int, *, fold: str = "fold"
 ) -> DataFrame:
     """Add a fold 0..k-1 such that a group never spans folds and label shares stay close.
 
-    Groups are dealt out in turn within their main label, largest first. Each label
-    is split into ``decks`` hands by hash, so that no task ranks all its groups.
+    Groups are dealt out in turn: by their main label, largest first, then by the md5 of
+    the group. No task ranks all of them: groups are counted by label, size and the first
+    digits of the md5, and only those of one count are numbered together.
     """
     counts = df.groupBy(group, label).agg(F.count(F.lit(1)).alias("n"))
-    groups = counts.groupBy(group).agg(
-        F.max(F.struct("n", label))[label].alias("stratum"), F.sum("n").alias("size")
+    key = F.md5(F.coalesce(F.col(group).cast("string"), F.lit("")))
+    groups = (
+        counts.groupBy(group)
+        .agg(F.max(F.struct("n", label))[label].alias("stratum"), F.sum("n").alias("size"))
+        .select(F.col(group).alias("__group"), "stratum", "size", key.alias("key"))
+        .withColumn("digits", F.substring("key", 1, 3))
     )
-    deck = F.pmod(F.xxhash64(group), F.lit(decks))
-    hand = Window.partitionBy("stratum", "deck").orderBy(F.desc("size"), group)
-    dealt = groups.withColumn("deck", deck).select(
-        F.col(group).alias("__group"),
-        F.pmod(F.row_number().over(hand) + F.col("deck"), F.lit(k)).cast("int").alias(fold),
+    parts = ["stratum", "size", "digits"]
+    tally = groups.groupBy(*parts).agg(F.count(F.lit(1)).alias("m"))
+    strata = tally.groupBy("stratum").agg(F.sum("m").alias("all"))
+    earlier = Window.orderBy("stratum").rowsBetween(Window.unboundedPreceding, -1)
+    strata = strata.select("stratum", F.coalesce(F.sum("all").over(earlier), F.lit(0)).alias("first"))
+    ahead = Window.partitionBy("stratum").orderBy(F.desc("size"), "digits").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = tally.select(*parts, F.coalesce(F.sum("m").over(ahead), F.lit(0)).alias("before"))
+    offsets = offsets.join(strata, offsets["stratum"].eqNullSafe(strata["stratum"])).select(
+        *[offsets[c].alias(f"__{c}") for c in parts], (F.col("first") + F.col("before")).alias("offset")
+    )
+    together = Window.partitionBy(*parts).orderBy("key", "__group")
+    numbered = groups.withColumn("number", F.row_number().over(together))
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in parts]
+    dealt = numbered.join(splittable(offsets), same).select(
+        "__group", F.pmod(F.col("offset") + F.col("number") - 1, F.lit(k)).cast("int").alias(fold)
     )
     return df.join(dealt, F.col(group).eqNullSafe(F.col("__group"))).drop("__group")
 
@@ -94,7 +109,7 @@ def search_boosting(
         numFolds=k,
         foldCol="fold",
         parallelism=parallelism,
-    ).fit(stratified_group_folds(train, group, label, k))
+    ).fit(cut_lineage(stratified_group_folds(train, group, label, k)))
     best = maps[max(range(len(maps)), key=lambda n: search.avgMetrics[n])]
     names = {spark: name for name, spark in BOOSTING_PARAMS.items()}
     return {names[p.name]: v for p, v in best.items()}, search

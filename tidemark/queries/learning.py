@@ -22,10 +22,11 @@ from tidemark.session import cut_lineage, literal_table
 
 
 def _training(spark, sf_dir):
-    """Embeddings of two halves of the labels, weighted, in groups of neighbouring ids."""
+    """Signs of embeddings of two halves of the labels, weighted, in groups of neighbouring ids."""
+    signs = F.transform("embedding", lambda x: (x > 0).cast("double"))
     return table(spark, sf_dir, "embeddings").select(
         "vec_id",
-        array_to_vector(F.col("embedding").cast("array<double>")).alias("features"),
+        array_to_vector(signs).alias("features"),
         (F.col("label") >= 5).cast("int").alias("label"),
         F.concat(F.lit("g"), F.floor(F.col("vec_id") / 5).cast("string")).alias("group"),
         (1.0 + F.col("label") / 10).alias("weight"),
@@ -33,72 +34,80 @@ def _training(spark, sf_dir):
 
 
 def group_folds(spark, sf_dir):
-    """Rows, distinct groups and the number of folds each group lies in, per label."""
+    """Rows and fold of each group."""
     folds = stratified_group_folds(_training(spark, sf_dir), "group", "label", 3)
-    spans = folds.groupBy("group").agg(
-        F.count(F.lit(1)).alias("rows"), F.countDistinct("fold").alias("folds")
-    )
-    return spans.select("group", "rows", "folds")
+    return folds.groupBy("group", "fold").agg(F.count(F.lit(1)).alias("rows"))
 
 
 def fold_shares(spark, sf_dir):
     folds = stratified_group_folds(_training(spark, sf_dir), "group", "label", 3)
-    return folds.groupBy("fold").agg(F.count(F.lit(1)).alias("rows"), F.avg("label").alias("share"))
+    return folds.groupBy("fold").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("label").cast("long").alias("positive")
+    )
+
+
+# One tree of depth one on 0/1 features: the split that SQL finds too.
+_STUMP = {"n_estimators": 1, "max_depth": 1}
+_GAINS = (0.0, 0.01, 0.9)
 
 
 def boosted(spark, sf_dir):
-    rows = _training(spark, sf_dir)
-    model = fit_boosting(rows, model_params={"n_estimators": 3, "max_depth": 3, "learning_rate": 0.3})
+    rows = cut_lineage(_training(spark, sf_dir))
+    model = fit_boosting(rows, model_params=_STUMP)
     return model.transform(rows).select("vec_id", "label", "weight", "prediction")
 
 
 def boosting_f1(spark, sf_dir):
     """Weighted F1 of the fitted model, by Spark's evaluator."""
-    scored = boosted(spark, sf_dir)
-    return literal_table(spark, [(weighted_f1().evaluate(scored),)], "f1 double")
+    f1 = weighted_f1().evaluate(boosted(spark, sf_dir))
+    return literal_table(spark, [(round(f1, 9),)], "f1 double")
 
 
 def boosting_search(spark, sf_dir):
-    best, search = search_boosting(
-        _training(spark, sf_dir), {"n_estimators": [2], "max_depth": [2, 3]}, k=2
-    )
-    scores = [(float(n), float(m)) for n, m in enumerate(search.avgMetrics)]
-    return literal_table(spark, scores, "point double, f1 double").withColumn(
-        "best_depth", F.lit(float(best["max_depth"]))
+    """Mean F1 over group folds of each least gain of a split, and the best of them."""
+    grid = {**{name: [value] for name, value in _STUMP.items()}, "min_gain_to_split": list(_GAINS)}
+    best, search = search_boosting(_training(spark, sf_dir), grid, k=2)
+    scores = [(gain, round(float(m), 9)) for gain, m in zip(_GAINS, search.avgMetrics)]
+    return literal_table(spark, scores, "min_gain double, f1 double").withColumn(
+        "best", F.col("min_gain") == F.lit(best["min_gain_to_split"])
     )
 
 
 def _class_models(spark, sf_dir):
-    """One small model per class: does a device send more than it receives?"""
+    """A model of one split per class: does a device send more than it receives?"""
     windowed = _windowed(spark, sf_dir)
     vocabulary = literal_table(
-        spark, [(label, w) for label in _CLASSES for w in _WORDS], "label string, word string"
+        spark, [(label, w) for label in inputs.ACTIVE_CLASSES for w in _WORDS], "label string, word string"
     )
-    words = device_words(windowed.where(F.col("label").isin(*_CLASSES)), vocabulary)
+    words = device_words(windowed, vocabulary)
     heavy = F.aggregate(
         "apps", F.lit(0).cast("long"), lambda acc, a: acc + a["totalClientBytes"] - a["totalServerBytes"]
     )
     words = cut_lineage(words)
     rows = words_to_vector(words, _WORDS).select("label", "features", (heavy > 0).cast("int").alias("target"))
-    clf = boosting(label="target", weight=None, n_estimators=2, max_depth=2)
+    clf = boosting(label="target", weight=None, **_STUMP)
     models = {
-        label: ClassModel(_WORDS, clf.fit(rows.where(F.col("label") == label))) for label in _CLASSES
+        label: ClassModel(_WORDS, clf.fit(rows.where(F.col("label") == label))) for label in inputs.ACTIVE_CLASSES
     }
     return windowed, models
 
 
-_CLASSES = ("BUILDING", "MACHINERY")
-
-
 def scoring(spark, sf_dir):
     """Devices that the model of their class flags."""
     detections, _ = score_usage(*_class_models(spark, sf_dir))
-    return detections.select("mac", "label", "uuid", F.size("apps").alias("num_apps"))
+    return detections.select("mac", "label", "uuid", F.size("apps").cast("long").alias("num_apps"))
 
 
 def scoring_metrics(spark, sf_dir):
     _, metrics = score_usage(*_class_models(spark, sf_dir))
-    return metrics
+    return _plain_metrics(metrics)
+
+
+def _plain_metrics(metrics):
+    return metrics.select(
+        "label", F.col("numDevices").alias("devices"), F.col("numOutOfVocab").alias("out_of_vocab"),
+        F.col("numDetections").alias("detections"),
+    )
 
 
 def _rule_models():
@@ -120,10 +129,7 @@ def scoring_rule(spark, sf_dir):
 
 def scoring_rule_metrics(spark, sf_dir):
     _, metrics = score_usage(_windowed(spark, sf_dir), _rule_models())
-    return metrics.select(
-        "label", F.col("numDevices").alias("devices"), F.col("numOutOfVocab").alias("out_of_vocab"),
-        F.col("numDetections").alias("detections"),
-    )
+    return _plain_metrics(metrics)
 
 
 QUERIES = {
@@ -148,6 +154,50 @@ devices AS (
   GROUP BY ALL
 )"""
 
+_FOLDS_SQL = """
+WITH rows AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x > 0 AS INTEGER)) AS features,
+    CAST(label >= 5 AS INTEGER) AS label, 'g' || (vec_id // 5) AS "group", 1.0::DOUBLE + label / 10.0::DOUBLE AS weight FROM embeddings
+), groups AS (
+  SELECT "group", max({{'n': n, 'label': label}}).label AS stratum, sum(n) AS size
+  FROM (SELECT "group", label, count(*) AS n FROM rows GROUP BY ALL) GROUP BY ALL
+), folds AS (
+  SELECT "group", CAST((row_number() OVER (ORDER BY stratum, size DESC, md5("group"), "group") - 1) % {k} AS INTEGER) AS fold FROM groups
+), folded AS (SELECT r.*, f.fold FROM rows r JOIN folds f USING ("group"))"""
+
+# Per case c: the split with the greatest drop in variance of the labels as 1 and -1, if it
+# drops by the least gain and at all; a side, or all rows without a split, gets the sign of its mean.
+_STUMP_SQL = """entries AS (
+  SELECT c, least, unnest(range(0, len(features))) AS dim, unnest(features) AS x, 2 * label - 1 AS y, weight AS w FROM cases WHERE train
+), sums AS (
+  SELECT c, dim, any_value(least) AS least, sum(w) AS w, sum(w * y) AS s, sum(w) FILTER (WHERE x = 0) AS w0,
+    sum(w * y) FILTER (WHERE x = 0) AS s0, sum(w) FILTER (WHERE x = 1) AS w1, sum(w * y) FILTER (WHERE x = 1) AS s1
+  FROM entries GROUP BY c, dim
+), gains AS (
+  SELECT *, CASE WHEN w0 IS NULL OR w1 IS NULL THEN 0
+    ELSE (1 - (s / w) ** 2) - w0 / w * (1 - (s0 / w0) ** 2) - w1 / w * (1 - (s1 / w1) ** 2) END AS gain FROM sums
+), best AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY c ORDER BY gain DESC, dim) AS rn FROM gains) WHERE rn = 1
+), predicted AS (
+  SELECT k.*, CAST(CASE WHEN b.gain <= 1e-12 OR b.gain < b.least THEN b.s > 0
+    WHEN k.features[b.dim + 1] = 0 THEN b.s0 > 0 ELSE b.s1 > 0 END AS DOUBLE) AS prediction
+  FROM cases k JOIN best b USING (c)
+)"""
+
+_F1_SQL = """CASE WHEN coalesce(sum(weight) FILTER (WHERE prediction = 1 AND label = 1), 0) = 0 THEN 0
+  ELSE 2 * sum(weight) FILTER (WHERE prediction = 1 AND label = 1)
+    / (sum(weight) FILTER (WHERE prediction = 1) + sum(weight) FILTER (WHERE label = 1)) END"""
+
+_FLAGS = ", ".join(f"max(CAST(w.word = '{word}' AS INTEGER))" for word in _WORDS)
+_SCORED_SQL = f"""{_WITH_WORDS},
+traffic AS (
+  SELECT mac, label, uuid, CAST(sum(clientBytes) > sum(serverBytes) AS INTEGER) AS heavy, count(*) AS num_apps FROM windowed GROUP BY ALL
+), cases AS (
+  SELECT t.mac, t.uuid, t.num_apps, t.label AS c, 0.0 AS least, t.heavy AS label, 1.0::DOUBLE AS weight, true AS train,
+    [{_FLAGS}] AS features, bool_or(contains(w.word, 'out-of-vocab')) AS oov
+  FROM traffic t JOIN words w USING (mac, label, uuid) GROUP BY t.mac, t.uuid, t.num_apps, t.label, t.heavy
+), {_STUMP_SQL}, scored AS (SELECT mac, c AS label, uuid, num_apps, oov, prediction FROM predicted)"""
+
 SQL = {
     "scoring_rule": f"""{_DEVICES_SQL}
 SELECT mac, label, uuid, (epoch_us(windowStart) // 1000) AS start_ms, (epoch_us(windowEnd) // 1000) AS end_ms,
@@ -156,7 +206,25 @@ SELECT mac, label, uuid, (epoch_us(windowStart) // 1000) AS start_ms, (epoch_us(
 SELECT label, count(*) AS devices, count(*) FILTER (WHERE oov) AS out_of_vocab,
   CASE WHEN count(*) FILTER (WHERE num_words >= 3) > 0 THEN count(*) FILTER (WHERE num_words >= 3) END AS detections
 FROM devices GROUP BY label""",
-    "group_folds": """
-SELECT 'g' || CAST(vec_id // 5 AS VARCHAR) AS "group", count(*) AS "rows", CAST(1 AS BIGINT) AS folds
-FROM embeddings GROUP BY ALL""",
+    "group_folds": f"""{_FOLDS_SQL.format(k=3)}
+SELECT "group", fold, count(*) AS "rows" FROM folded GROUP BY ALL""",
+    "fold_shares": f"""{_FOLDS_SQL.format(k=3)}
+SELECT fold, count(*) AS "rows", CAST(sum(label) AS BIGINT) AS positive FROM folded GROUP BY ALL""",
+    "boosting": f"""{_FOLDS_SQL.format(k=2)}, cases AS (SELECT 0 AS c, 0.0 AS least, *, true AS train FROM folded), {_STUMP_SQL}
+SELECT vec_id, label, weight, prediction FROM predicted""",
+    "boosting_f1": f"""{_FOLDS_SQL.format(k=2)}, cases AS (SELECT 0 AS c, 0.0 AS least, *, true AS train FROM folded), {_STUMP_SQL}
+SELECT round({_F1_SQL}, 9) AS f1 FROM predicted""",
+    "boosting_search": f"""{_FOLDS_SQL.format(k=2)}, cases AS (
+  SELECT 2 * g.n + f.fold AS c, g.least, r.*, r.fold <> f.fold AS train
+  FROM folded r, (VALUES {", ".join(f"({n}, {gain})" for n, gain in enumerate(_GAINS))}) g(n, least), (VALUES (0), (1)) f(fold)
+), {_STUMP_SQL}, scores AS (
+  SELECT c // 2 AS n, any_value(least) AS least, {_F1_SQL} AS f1 FROM predicted WHERE NOT train GROUP BY c, c // 2
+), means AS (SELECT n, CAST(any_value(least) AS DOUBLE) AS min_gain, avg(f1) AS f1 FROM scores GROUP BY n)
+SELECT min_gain, round(f1, 9) AS f1, n = (SELECT arg_max(-n, f1) FROM means) * -1 AS best FROM means""",
+    "scoring": f"""{_SCORED_SQL}
+SELECT mac, label, uuid, num_apps FROM scored WHERE prediction = 1""",
+    "scoring_metrics": f"""{_SCORED_SQL}
+SELECT label, count(*) AS devices, count(*) FILTER (WHERE oov) AS out_of_vocab,
+  CASE WHEN count(*) FILTER (WHERE prediction = 1) > 0 THEN count(*) FILTER (WHERE prediction = 1) END AS detections
+FROM scored GROUP BY label""",
 }

@@ -9,19 +9,25 @@ from pyspark.sql import functions as F
 from tidemark.operators.rollup import last_record, nested_usage, time_bins, trailing_window
 from tidemark.plans.dataset import resolved_flows
 from tidemark.queries import inputs
-from tidemark.queries.inputs import FLOW_COLUMNS
+from tidemark.queries.inputs import BINS_SQL, FLOW_COLUMNS, RESOLVED_SQL, WINDOW_SQL
 from tidemark.queries.usage import (
     PARAMS,
-    SQL as USAGE_SQL,
+    _BIN_COLUMNS,
+    _USAGE_COLUMNS,
+    _WINDOW_COLUMNS,
     _plain_bins,
     _plain_usage,
     _plain_window,
 )
-from tidemark.session import shared_dir
+from tidemark.session import cut_lineage, shared_dir
+from tidemark.sources.state import latest_partition
 from tidemark.streaming.detection import run_partial_bins, write_batch
 from tidemark.streaming.native import deduplicated, stream_files, windowed_bins
 
 _QUARTER, _DAY = timedelta(minutes=15), timedelta(days=1)
+# Which events come late: any for stored partials; for the watermark, those it still waits for.
+_LATE = "event_id % 10 = 3"
+_SOON = "event_id % 2 = 0 and ts > last - interval 9 minutes and ts < last"
 
 
 def _folder(spark, name: str) -> str:
@@ -29,9 +35,27 @@ def _folder(spark, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{spark.sparkContext.applicationId}-{stamp}"
 
 
-def _events(spark, sf_dir):
-    schema = inputs.table(spark, sf_dir, "events").schema
-    return stream_files(spark, sf_dir, schema, glob="events.parquet")
+_BATCHES = 4
+
+
+def _events(spark, sf_dir, late: str):
+    """Events as a stream of files, one per micro-batch and the next written after it.
+
+    Events come in the order of their ids. Those that are ``late`` come a batch later, and
+    every seventh comes again in the next batch.
+    """
+    folder = _folder(spark, "events")
+    events = inputs.table(spark, sf_dir, "events")
+    batch = F.floor(F.col("event_id") * _BATCHES / events.agg(F.count(F.lit(1))).scalar())
+    last = events.withColumn("batch", batch).groupBy("batch").agg(F.max("ts").alias("last"))
+    timed = events.withColumn("batch", batch).join(last, "batch")
+    after = F.least(F.col("batch") + F.expr(f"if({late}, 1, 0)"), F.lit(_BATCHES - 1))
+    arrived = timed.withColumn("arrival", after).select(*events.columns, "arrival")
+    again = arrived.where(f"event_id % 7 = 1 and arrival < {_BATCHES - 1}").withColumn("arrival", F.col("arrival") + 1)
+    arrivals = cut_lineage(arrived.unionByName(again))
+    for n in range(_BATCHES):
+        arrivals.where(F.col("arrival") == n).drop("arrival").coalesce(1).write.mode("append").parquet(folder)
+    return stream_files(spark, folder, events.schema, glob="*.parquet", max_files=1)
 
 
 def _run_flows(spark, sf_dir):
@@ -49,7 +73,7 @@ def _run_flows(spark, sf_dir):
         return time_bins(resolved, _QUARTER)
 
     query = run_partial_bins(
-        _events(spark, sf_dir), to_bins, f"{out}/bins", f"{out}/checkpoint",
+        _events(spark, sf_dir, _LATE), to_bins, f"{out}/bins", f"{out}/checkpoint",
         interval=_QUARTER, window=_DAY,
         on_window=lambda windowed, n: write_batch(nested_usage(windowed), f"{out}/usage", n),
     )
@@ -58,11 +82,15 @@ def _run_flows(spark, sf_dir):
 
 
 def stream_bins(spark, sf_dir):
-    return _plain_bins(spark.read.parquet(f"{_run_flows(spark, sf_dir)}/bins"))
+    """The partial bins of each batch."""
+    bins = spark.read.parquet(f"{_run_flows(spark, sf_dir)}/bins")
+    return _plain_bins(bins, F.col("batchId").cast("long").alias("batch"))
 
 
 def stream_usage(spark, sf_dir):
-    return _plain_usage(spark.read.parquet(f"{_run_flows(spark, sf_dir)}/usage"))
+    """Nested usage as the newest batch left it."""
+    usage = spark.read.parquet(f"{_run_flows(spark, sf_dir)}/usage")
+    return _plain_usage(latest_partition(usage, "batchId"))
 
 
 def stream_window(spark, sf_dir):
@@ -73,7 +101,7 @@ def stream_window(spark, sf_dir):
 
 def _native(spark, sf_dir, name, **options):
     out = _folder(spark, name)
-    events = _events(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+    events = _events(spark, sf_dir, _SOON).withColumn("ts", F.col("ts").cast("timestamp"))
     unique = deduplicated(events, ["event_id"], "ts", timedelta(minutes=10))
     bins = windowed_bins(
         unique, ["user_id", "event_type"], [F.count(F.lit(1)).alias("n")],
@@ -109,10 +137,37 @@ QUERIES = {
     "stream_sliding": stream_sliding,
 }
 
+_ARRIVALS_SQL = """
+numbered AS (SELECT *, event_id * 4 // (SELECT count(*) FROM events) AS n FROM events),
+arrived AS (SELECT * EXCLUDE (n), least(n + CASE WHEN event_id % 10 = 3 THEN 1 ELSE 0 END, 3) AS batch FROM numbered),
+arrivals AS (
+  SELECT * FROM arrived UNION ALL
+  SELECT * REPLACE (batch + 1 AS batch) FROM arrived WHERE event_id % 7 = 1 AND batch < 3
+)"""
+
+
+def _per_batch(sql: str) -> str:
+    """The SQL of one run, for each batch of the arrivals on its own."""
+    changes = {
+        "FROM events)": "FROM arrivals)",
+        'SELECT ts AS "timestamp"': 'SELECT batch, ts AS "timestamp"',
+        "PARTITION BY clientMac": "PARTITION BY batch, clientMac",
+        "SELECT clientMac, serverMac, ipProto": "SELECT batch, clientMac, serverMac, ipProto",
+        'SELECT "timestamp", ipProto, serverPort': 'SELECT batch, "timestamp", ipProto, serverPort',
+        "SELECT time_bucket": "SELECT batch, time_bucket",
+    }
+    for old, new in changes.items():
+        sql = sql.replace(old, new)
+    return sql
+
+
+_WITH_BINS = f"WITH {_ARRIVALS_SQL}, {_per_batch(RESOLVED_SQL)}, {_per_batch(BINS_SQL)}"
+_WITH_WINDOW = f"{_WITH_BINS}, {WINDOW_SQL}"
+
 SQL = {
-    "stream_bins": USAGE_SQL["flow_bins"],
-    "stream_usage": USAGE_SQL["nested_usage"],
-    "stream_window": USAGE_SQL["trailing_window"],
+    "stream_bins": f"{_WITH_BINS} SELECT {_BIN_COLUMNS}, batch FROM bins",
+    "stream_usage": f"{_WITH_WINDOW} {_USAGE_COLUMNS}",
+    "stream_window": f"{_WITH_WINDOW} SELECT {_WINDOW_COLUMNS} FROM windowed",
     "stream_native": """
 WITH b AS (
   SELECT time_bucket(INTERVAL 15 MINUTE, ts) AS bin, user_id, event_type, count(*) AS n FROM events GROUP BY ALL

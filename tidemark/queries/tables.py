@@ -17,7 +17,7 @@ from tidemark.operators.metrics import (
 )
 from tidemark.queries.inputs import events_ms, table
 from tidemark.session import shared_dir
-from tidemark.sources.listing import exists, list_keys, list_objects
+from tidemark.sources.listing import exists, key_of, list_keys, list_objects
 from tidemark.sources.state import (
     archive,
     latest_partition,
@@ -28,7 +28,7 @@ from tidemark.sources.state import (
     write_watermark,
 )
 
-_FIRST, _SECOND = datetime(2024, 1, 15), datetime(2024, 2, 1)
+_EARLIEST, _FIRST, _SECOND = datetime(2024, 1, 1), datetime(2024, 1, 15), datetime(2024, 2, 1)
 
 
 def latest_event(spark, sf_dir):
@@ -92,40 +92,66 @@ def endpoint_merge(spark, sf_dir):
     return merge_endpoints(orders.where(F.col("timestamp") >= cut), orders.where(F.col("timestamp") < cut))
 
 
+def _stored_orders(spark, sf_dir):
+    """Orders in one folder per priority; the folder's name."""
+    root = f"{shared_dir(spark)}/orders-{spark.sparkContext.applicationId}-{_stamp()}"
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    orders.write.partitionBy("o_orderpriority").parquet(root)
+    return root
+
+
 def listing(spark, sf_dir):
-    """All table files by key, with their sizes."""
-    found = list_objects(spark, sf_dir, ["p", "re", "e"], glob="*.parquet")
-    return found.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("key"), "length")
+    """Orders in the files that a listing of some priorities finds."""
+    root = _stored_orders(spark, sf_dir)
+    found = list_objects(spark, root, ["o_orderpriority=1", "o_orderpriority=3"], glob="*.parquet")
+    rows = spark.read.schema("o_orderkey bigint").option("recursiveFileLookup", "true").parquet(root)
+    held = rows.select(F.col("_metadata.file_path").alias("path")).groupBy("path").agg(F.count(F.lit(1)).alias("n"))
+    folder = F.regexp_extract(key_of("path", root), "^o_orderpriority=(.)", 1)
+    return found.join(held, "path").groupBy(folder.alias("priority")).agg(F.sum("n").alias("n"))
 
 
 def listing_keys(spark, sf_dir):
-    if not exists(spark, sf_dir, "line") or exists(spark, sf_dir, "no/data/here"):
+    """Folders by key below the root, each listed once."""
+    root = _stored_orders(spark, sf_dir)
+    if not exists(spark, root, "o_orderpriority=5") or exists(spark, root, "no/data/here"):
         raise ValueError("listing is inconsistent")
-    return list_keys(spark, sf_dir, glob="*.parquet")
+    keys = list_keys(spark, root, glob="*.parquet")
+    return keys.select(F.substring_index("key", "/", 1).substr(17, 1).alias("priority")).distinct()
 
 
-def state_tables(spark, sf_dir):
-    """Two snapshots written, archived and read back: the newest one."""
+_STATUSES = (("P", _EARLIEST), ("F", _FIRST), ("O", _SECOND))
+
+
+def _written_orders(spark, sf_dir):
+    """A snapshot of the orders of each status; the table's folder."""
     root = f"{shared_dir(spark)}/state-{spark.sparkContext.applicationId}-{_stamp()}"
-    schema = "o_orderkey bigint, o_custkey bigint"
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    for status, ref in (("F", _FIRST), ("O", _SECOND)):
+    for status, ref in _STATUSES:
         write_state(orders.where(F.col("o_orderstatus") == status).drop("o_orderstatus"), root, "orders", "c1", ref)
         write_watermark(spark, root, "c1", ref)
+    return root
+
+
+_ORDERS = "o_orderkey bigint, o_custkey bigint"
+
+
+def state_tables(spark, sf_dir):
+    """Three snapshots written, archived and read back: what is live, and which is newest."""
+    root = _written_orders(spark, sf_dir)
     upto = read_watermark(spark, root, "c1", _SECOND, timedelta(minutes=15))
-    live = archive(read_state(spark, root, "orders", "c1", schema), upto, f"{root}-history", "orders")
-    return latest_partition(live, "refTs").select("o_orderkey", "o_custkey", "refTs")
+    stored = read_state(spark, root, "orders", "c1", _ORDERS)
+    live = archive(stored, upto - timedelta(days=20), f"{root}-history", "orders")
+    newest = read_state(spark, root, "orders", "c1", _ORDERS, latest_only=True).select("refTs").distinct()
+    return live.join(newest.withColumn("newest", F.lit(True)), "refTs", "left").select(
+        "o_orderkey", "o_custkey", "refTs", F.coalesce("newest", F.lit(False)).alias("newest")
+    )
 
 
 def state_history(spark, sf_dir):
-    """The archived part of the same two snapshots."""
-    root = f"{shared_dir(spark)}/state-{spark.sparkContext.applicationId}-{_stamp()}"
-    schema = "o_orderkey bigint, o_custkey bigint"
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    for status, ref in (("F", _FIRST), ("O", _SECOND)):
-        write_state(orders.where(F.col("o_orderstatus") == status).drop("o_orderstatus"), root, "orders", "c1", ref)
-    archive(read_state(spark, root, "orders", "c1", schema), _SECOND, f"{root}-history", "orders")
-    return read_state(spark, f"{root}-history", "orders", "c1", schema).select("o_orderkey", "o_custkey", "refTs")
+    """The archived part of the same snapshots."""
+    root = _written_orders(spark, sf_dir)
+    archive(read_state(spark, root, "orders", "c1", _ORDERS), _SECOND, f"{root}-history", "orders")
+    return read_state(spark, f"{root}-history", "orders", "c1", _ORDERS).select("o_orderkey", "o_custkey", "refTs")
 
 
 def _stamp() -> str:
@@ -174,8 +200,13 @@ SELECT count(*) FILTER (WHERE event_type = 'view' AND value IS NOT NULL) AS view
 SELECT o_custkey AS macAddress, (epoch_us(o_orderdate) // 1000) AS "timestamp", o_orderkey, o_orderpriority FROM (
   SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders)
 WHERE rn = 1""",
+    "listing": """
+SELECT substr(o_orderpriority, 1, 1) AS priority, count(*) AS n FROM orders WHERE substr(o_orderpriority, 1, 1) IN ('1', '3') GROUP BY ALL""",
+    "listing_keys": """SELECT DISTINCT substr(o_orderpriority, 1, 1) AS priority FROM orders""",
     "state_tables": """
-SELECT o_orderkey, o_custkey, '2024-02-01T00-00-00.000' AS "refTs" FROM orders WHERE o_orderstatus = 'O'""",
+SELECT o_orderkey, o_custkey, CASE o_orderstatus WHEN 'O' THEN '2024-02-01T00-00-00.000' ELSE '2024-01-15T00-00-00.000' END AS "refTs",
+  o_orderstatus = 'O' AS newest FROM orders WHERE o_orderstatus <> 'P'""",
     "state_history": """
-SELECT o_orderkey, o_custkey, '2024-01-15T00-00-00.000' AS "refTs" FROM orders WHERE o_orderstatus = 'F'""",
+SELECT o_orderkey, o_custkey, CASE o_orderstatus WHEN 'F' THEN '2024-01-15T00-00-00.000' ELSE '2024-01-01T00-00-00.000' END AS "refTs"
+FROM orders WHERE o_orderstatus <> 'O'""",
 }

@@ -58,13 +58,14 @@ def _windowed(spark, sf_dir):
     return trailing_window(bins, _QUARTER, _DAY, last_record(bins))
 
 
-def _plain_bins(df):
+def _plain_bins(df, *more):
     return df.select(
         F.unix_millis("timeBin").alias("bin_ms"), "mac", "appName", "side", "uuid", "label",
         F.col("clientBytesInterval").alias("client_bytes"),
         F.col("serverBytesInterval").alias("server_bytes"),
         F.col("totalBytesInterval").alias("total_bytes"),
         F.col("numFlowsInterval").alias("num_flows"),
+        *more,
     )
 
 
@@ -184,11 +185,11 @@ _WINDOW_COLUMNS = """mac, appName, side, label, uuid, (epoch_us(windowStart) //
   clientBytes + serverBytes AS total_bytes, numFlows AS num_flows"""
 _WITH_BINS = f"WITH {RESOLVED_SQL}, {BINS_SQL}"
 _WITH_WINDOW = f"{_WITH_BINS}, {WINDOW_SQL}"
-_USAGE = f"""{_WITH_WINDOW}
-SELECT mac, label, uuid, (epoch_us(windowStart) // 1000) AS start_ms, (epoch_us(windowEnd) // 1000) AS end_ms,
+_USAGE_COLUMNS = """SELECT mac, label, uuid, (epoch_us(windowStart) // 1000) AS start_ms, (epoch_us(windowEnd) // 1000) AS end_ms,
   string_agg(concat_ws('|', appName, clientBytes, serverBytes, clientBytes + serverBytes, numFlows), ','
     ORDER BY appName) AS apps
 FROM windowed GROUP BY mac, label, uuid, windowStart, windowEnd"""
+_USAGE = f"{_WITH_WINDOW} {_USAGE_COLUMNS}"
 _IN_VOCAB = "(" + ", ".join(f"'{w}'" for w in _WORDS) + ")"
 _WITH_WORDS = f"""{_WITH_WINDOW},
 words AS (

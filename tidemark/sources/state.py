@@ -26,9 +26,11 @@ def write_state(
     Whether it is empty is noted beside the table, as an empty snapshot has no files and
     would leave an older one of the same time, or an earlier time, in its place.
     """
+    # Asked first: a repeated run may read what it overwrites.
+    empty = not isinstance(ref_ts, Column) and df.isEmpty()
     _write_partitions(df, root, entity, customer, ref_ts, mode)
     if not isinstance(ref_ts, Column):
-        note = df.sparkSession.createDataFrame([(df.isEmpty(),)], _NOTE)
+        note = df.sparkSession.createDataFrame([(empty,)], _NOTE)
         _write_partitions(note, root, _notes(entity), customer, ref_ts, "overwrite")
 
 
