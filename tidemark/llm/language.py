@@ -98,7 +98,8 @@ def train(docs: DataFrame, *, id_col: str, text_col: str, label_col: str) -> Lan
     label = F.col(label_col)
     draw = F.pmod(F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit(""))), F.lit(1 << 30)) / (1 << 30)
     usable = docs.where(label.isNotNull() & F.col(text_col).rlike(r"\p{L}"))
-    counts = usable.groupBy(label.alias("label")).agg(F.count("*").alias("n"))
+    # A stored row per language is small enough to be sent to the texts, not they to it.
+    counts = stored(usable.groupBy(label.alias("label")).agg(F.count("*").alias("n")), "counts")
     drawn = (
         usable.select(label.alias("label"), F.col(text_col).alias("text"), draw.alias("draw"))
         .join(counts, "label")
