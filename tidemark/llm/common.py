@@ -52,9 +52,9 @@ def bit_filter(keys: DataFrame, column: str) -> np.ndarray:
     words = slots.groupBy(F.expr("cast(slot div 32 AS int) AS word")).agg(
         F.expr("bit_or(shiftleft(1L, cast(slot % 32 AS int))) AS bits")
     )
-    rows = words.toPandas()
+    rows = words.toArrow()
     found = np.zeros(bits // 32, np.uint32)
-    found[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).astype(np.uint32)
+    found[rows["word"].to_numpy()] = rows["bits"].to_numpy().astype(np.uint32)
     return found
 
 

@@ -79,9 +79,9 @@ def count_trigrams(docs: DataFrame, text_col: str) -> np.ndarray:
         some = np.flatnonzero(total)
         yield pa.record_batch([pa.array(some, pa.int32()), pa.array(total[some])], names=["gram", "n"])
 
-    rows = docs.select(text_col).mapInArrow(count, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n")).toPandas()
+    rows = docs.select(text_col).mapInArrow(count, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(_SYMBOLS**3, np.int64)
-    counts[rows["gram"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
+    counts[rows["gram"].to_numpy()] = rows["n"].to_numpy()
     return counts.reshape(_SYMBOLS, _SYMBOLS, _SYMBOLS)
 
 
@@ -377,7 +377,7 @@ def train(docs: DataFrame, labels: DataFrame, trigrams: list[float], *, id_col:
             columns = [*draft.value.evidence(batch.column(0), restorer).T, batch.column(1)]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["a", "b", "c", "d", "label"])
 
-    seen = sample.mapInArrow(weigh, "a double, b double, c double, d double, label boolean").toPandas()
+    seen = sample.mapInArrow(weigh, "a double, b double, c double, d double, label boolean").toArrow().to_pandas()
     seen = seen.sort_values(list(seen.columns))
     weights = fit_weights(seen[["a", "b", "c", "d"]].to_numpy(), seen["label"].to_numpy(float))
     return ToxicityModel(trigrams, shares, weights)
