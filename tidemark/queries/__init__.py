@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.queries import cleaning, joins, learning, similarity, streams, tables, usage
+from tidemark.queries import cleaning, detection, joins, learning, similarity, streams, tables, usage
 
-_MODULES = (joins, cleaning, usage, similarity, tables, learning, streams)
+_MODULES = (joins, cleaning, usage, similarity, tables, learning, streams, detection)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
