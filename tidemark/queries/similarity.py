@@ -18,11 +18,12 @@ from tidemark.operators.similarity import (
 )
 from tidemark.plans.groups import ClusterParams, cluster_endpoints, grid_search
 from tidemark.queries.inputs import events_ms, table
+from tidemark.session import literal_table
 
 _EPS, _MIN = 0.65, 3
 _PAUSE = 21_600_000
 _GRID = (0.5, 0.6, 0.65)
-_SPARSE_EPS = 0.45
+_SPARSE_EPS, _TIGHT_EPS = 0.45, 0.3
 _EUCLID = 0.999
 _COPY = 10_000_000
 _LAYOUT = attribute_layout([("front", 32), ("back", 32)], {"front": 2.0, "back": 1.0})
@@ -153,6 +154,19 @@ def per_cluster_metrics(spark, sf_dir):
     return found.per_cluster.select("clusterId", "name", F.round("value", 6).alias("value"))
 
 
+def dbscan_sparse(spark, sf_dir):
+    """Clusters of orders by their parts: many sparse vectors in prefix cells."""
+    return _clusters(_orders_by_part(spark, sf_dir), _TIGHT_EPS, 2, cells="prefix")
+
+
+def grid_best(spark, sf_dir):
+    """The grid point with the best homogeneity, the first of equal ones."""
+    best, _ = grid_search(
+        _snapshots(spark, sf_dir), "label", _LAYOUT, min_samples=_MIN, eps_grid=_GRID, cells="anchors"
+    )
+    return literal_table(spark, [(best.eps, best.distance)], "eps double, distance string")
+
+
 def grid(spark, sf_dir):
     """Metrics of all grid points over three eps and both distances."""
     _, metrics = grid_search(
@@ -177,7 +191,9 @@ QUERIES = {
     "cluster_assignments": cluster_assignments,
     "cluster_metrics": cluster_metrics,
     "per_cluster_metrics": per_cluster_metrics,
+    "dbscan_sparse": dbscan_sparse,
     "grid_search": grid,
+    "grid_search_best": grid_best,
 }
 
 _UNIT = """
@@ -193,13 +209,18 @@ u AS (
 
 
 def _cluster_sql(near: str, minimum: int, weight: int = 1) -> str:
-    """Clusters over pairs ``(i, j)`` of both directions, named after the least core id."""
+    """Clusters of the embeddings with a condition for neighbours."""
     return f"""
 WITH RECURSIVE {_UNIT},
 pairs AS MATERIALIZED (
   SELECT a.vec_id AS i, b.vec_id AS j FROM u a JOIN u b ON a.vec_id < b.vec_id WHERE {near}
 ),
-edges AS MATERIALIZED (SELECT i, j FROM pairs UNION ALL SELECT j, i FROM pairs),
+{_cluster_steps(minimum, weight)}"""
+
+
+def _cluster_steps(minimum: int, weight: int = 1) -> str:
+    """Clusters of ``u`` over ``pairs`` in both directions, named after the least core id."""
+    return f"""edges AS MATERIALIZED (SELECT i, j FROM pairs UNION ALL SELECT j, i FROM pairs),
 core AS MATERIALIZED (
   SELECT vec_id FROM u LEFT JOIN edges ON vec_id = i
   GROUP BY vec_id HAVING {weight} * (1 + count(j)) >= {minimum}
@@ -252,7 +273,27 @@ SELECT 'eps={eps},min_samples={_MIN},distance={distance}' AS param, coalesce(tot
   round(top / total, 6) AS purity
 FROM h)"""
 
+_SPARSE_UNIT = """q AS (
+  SELECT l_orderkey AS id, l_partkey AS dim, sum(l_quantity) AS val FROM lineitem GROUP BY ALL HAVING val <> 0
+),
+e AS (SELECT id, dim, val / sqrt(sum(val * val) OVER (PARTITION BY id)) AS val FROM q)"""
+
+_GRID_SQL = " UNION ALL ".join(_grid_row(eps, distance) for eps in _GRID for distance in ("global", "per_attribute"))
+
 SQL = {
+    "dbscan_sparse": f"""
+WITH RECURSIVE {_SPARSE_UNIT},
+u AS (SELECT DISTINCT id AS vec_id, 0 AS label FROM e),
+pairs AS MATERIALIZED (
+  SELECT i, j FROM (
+    SELECT a.id AS i, b.id AS j, round(greatest(1 - sum(a.val * b.val), 0), 4) AS dist
+    FROM e a JOIN e b ON a.dim = b.dim AND a.id < b.id GROUP BY ALL) WHERE dist < {_TIGHT_EPS}
+),
+{_cluster_steps(2)}
+SELECT vec_id, cluster FROM clusters""",
+    "grid_search_best": f"""
+SELECT epsilon AS eps, regexp_extract(param, 'distance=(.*)', 1) AS distance FROM ({_GRID_SQL})
+WHERE homogeneity IS NOT NULL ORDER BY homogeneity DESC, epsilon, param LIMIT 1""",
     "vector_sum": """
 SELECT label, CAST(dim - 1 AS INTEGER) AS dim, round(sum(CAST(x AS DOUBLE)), 4) AS total FROM (
   SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS dim FROM embeddings)
@@ -305,9 +346,7 @@ SELECT node, min(name) AS component FROM reach GROUP BY node""",
     "cluster_assignments": f"""{_CLUSTERS}
 SELECT vec_id AS endpoint, 1 AS snapshotTimestamp, CAST(label AS VARCHAR) AS label, cluster AS clusterId FROM clusters
 UNION ALL SELECT vec_id, 2, 'unknown', cluster FROM clusters""",
-    "grid_search": " UNION ALL ".join(
-        _grid_row(eps, distance) for eps in _GRID for distance in ("global", "per_attribute")
-    ),
+    "grid_search": _GRID_SQL,
     "cluster_metrics": f"""{_CLUSTERS},
 t AS (SELECT cluster, label, CAST(count(*) AS DOUBLE) AS n FROM clusters WHERE cluster IS NOT NULL GROUP BY ALL),
 c AS (SELECT cluster, sum(n) AS n, max(n) AS top FROM t GROUP BY ALL),
