@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
@@ -160,8 +161,12 @@ def test_sums_sizes_and_norms(spark):
         [("a", Vectors.sparse(3, {0: 1.0})), ("a", Vectors.sparse(3, {0: 2.0, 2: 4.0})), ("b", Vectors.sparse(3, {}))],
         ["endpoint", "v"],
     )
-    sums = {r["endpoint"]: list(r["features"]) for r in vector_sum(df, "endpoint", "v").collect()}
-    assert sums == {"a": [3.0, 0.0, 4.0], "b": [0.0, 0.0, 0.0]}
+    sums = {r["endpoint"]: [tuple(e) for e in r["entries"]] for r in vector_sum(df, "endpoint", "v").collect()}
+    assert sums == {"a": [(0, 3.0), (2, 4.0)], "b": []}
+    dense = df.select("endpoint", vector_to_array("v").alias("v"))
+    mixed = spark.createDataFrame([("a", Vectors.dense(3, 0, 4)), ("b", Vectors.dense(0, 0, 0))], ["endpoint", "v"])
+    for other in (dense, mixed):
+        assert {r["endpoint"]: [tuple(e) for e in r["entries"]] for r in vector_sum(other, "endpoint", "v").collect()} == sums
     sizes = df.select(vector_size(df, "v").alias("n"), l2_norm(as_array(df, "v")).alias("norm")).collect()
     assert [r["n"] for r in sizes] == [3] * 3
     assert sorted(r["norm"] for r in sizes) == pytest.approx([0.0, 1.0, math.sqrt(20)])

@@ -39,6 +39,42 @@ def as_array(df: DataFrame, col: str) -> Column:
     return vector_to_array(F.col(col))
 
 
+def vector_entries(df: DataFrame, col: str) -> Column:
+    """Non-zero ``(dim, val)`` entries of a vector or numeric array column, by dimension."""
+    pair = lambda dim, val: F.struct(dim.cast("int").alias("dim"), val.cast("double").alias("val"))
+    if isinstance(df.schema[col].dataType, T.ArrayType):
+        entries = F.transform(col, lambda x, n: pair(n, x))
+    else:
+        # A vector is a struct of its kind (0: sparse), size, indices and values.
+        raw = F.unwrap_udt(col)
+        sparse = F.transform(F.arrays_zip(raw["indices"].alias("d"), raw["values"].alias("v")), lambda e: pair(e["d"], e["v"]))
+        entries = F.when(raw["type"] == 0, sparse).otherwise(F.transform(raw["values"], lambda x, n: pair(n, x)))
+    return F.filter(entries, lambda e: e["val"] != 0)
+
+
+def unit_of_entries(entries: Column, layout: Sequence[AttributeSlice] | None = None) -> Column:
+    """Entries scaled to length one, or by attribute as ``attribute_entries`` does."""
+    if layout is None:
+        norm = l2_norm(entries["val"])
+        return scaled_entries(entries, F.when(norm > 0, 1 / norm))
+    total = sum(s.weight for s in layout)
+    width = max(s.end for s in layout)
+    blocks = []
+    for n, s in enumerate(layout):
+        if s.weight == 0:
+            continue
+        scale = F.lit((s.weight / total) ** 0.5)
+        part = _within(entries, s)
+        norm = l2_norm(part["val"])
+        marker = F.array(F.struct(F.lit(width + n).alias("dim"), scale.alias("val")))
+        blocks.append(F.when(F.size(part) == 0, marker).otherwise(scaled_entries(part, F.when(norm > 0, scale / norm))))
+    return F.concat(*blocks)
+
+
+def _within(entries: Column, part: AttributeSlice) -> Column:
+    return F.filter(entries, lambda e: (e["dim"] >= part.start) & (e["dim"] < part.end))
+
+
 def vector_size(df: DataFrame, col: str) -> Column:
     """Number of dimensions."""
     return F.size(as_array(df, col))

@@ -5,12 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import CountVectorizerModel
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from tidemark.functions.vectors import vector_entries
 from tidemark.operators.rollup import DEVICE_KEYS, nested_app
 from tidemark.session import literal_table, splittable
 
@@ -18,12 +16,16 @@ from tidemark.session import literal_table, splittable
 OUT_OF_VOCAB = {"client": "client-out-of-vocab", "server": "server-out-of-vocab"}
 
 
-def vector_sum(df: DataFrame, key: str, vector_col: str, out: str = "features") -> DataFrame:
-    """Element-wise sum of vectors per key, as a dense array."""
-    vector = F.col(vector_col)
-    if isinstance(df.schema[vector_col].dataType, T.ArrayType):
-        vector = array_to_vector(vector.cast("array<double>"))
-    return df.groupBy(key).agg(vector_to_array(Summarizer.sum(vector)).alias(out))
+def vector_sum(df: DataFrame, key: str, vector_col: str, out: str = "entries") -> DataFrame:
+    """``(key, out)``: the non-zero ``(dim, val)`` entries of the sum of each key's vectors.
+
+    Sums are taken per key and dimension, so sparse vectors are never made dense. A key
+    with zero vectors only has no entries.
+    """
+    entries = df.select(key, F.explode_outer(vector_entries(df, vector_col)).alias("__entry"))
+    sums = entries.groupBy(key, F.col("__entry.dim").alias("__dim")).agg(F.sum("__entry.val").alias("__val"))
+    entry = F.struct(F.col("__dim").alias("dim"), F.col("__val").alias("val"))
+    return sums.groupBy(key).agg(F.sort_array(F.collect_list(F.when(F.col("__val") != 0, entry))).alias(out))
 
 
 def vocabulary_words(

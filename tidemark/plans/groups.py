@@ -9,11 +9,11 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.vectors import AttributeSlice
+from tidemark.functions.vectors import AttributeSlice, unit_of_entries
 from tidemark.operators.cluster import dbscan, expand_clusters
 from tidemark.operators.features import vector_sum
 from tidemark.operators.metrics import cluster_quality, latest_known_labels, pivot_metrics
-from tidemark.operators.similarity import dedupe_vectors, unit_vectors
+from tidemark.operators.similarity import dedupe_vectors
 from tidemark.session import cut_lineage, literal_table
 
 # The grid of neighbour distances and the distance functions.
@@ -148,7 +148,8 @@ def _assigned(features: DataFrame, params: ClusterParams, eps: Sequence[float])
     if params.distance == "per_attribute" and not params.layout:
         raise ValueError("the per-attribute distance needs an attribute layout")
     layout = params.layout if params.distance == "per_attribute" else None
-    vectors = cut_lineage(unit_vectors(features, "endpoint", "features", layout))
+    entries = unit_of_entries(F.col("entries"), layout).alias("entries")
+    vectors = cut_lineage(features.select(F.col("endpoint").alias("id"), entries))
     points = dedupe_vectors(vectors)
     clusters = dbscan(
         points, eps, params.min_samples,

@@ -63,9 +63,7 @@ def _snapshots(spark, sf_dir):
 
 def vector_sums(spark, sf_dir):
     sums = vector_sum(table(spark, sf_dir, "embeddings"), "label", "embedding")
-    return sums.select("label", F.posexplode("features").alias("dim", "total")).select(
-        "label", "dim", F.round("total", 4).alias("total")
-    )
+    return sums.select("label", F.inline("entries")).select("label", "dim", F.round("val", 4).alias("total"))
 
 
 def vector_norms(spark, sf_dir):
