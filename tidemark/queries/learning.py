@@ -85,9 +85,11 @@ def _class_models(spark, sf_dir):
     )
     words = cut_lineage(words)
     rows = words_to_vector(words, _WORDS).select("label", "features", (heavy > 0).cast("int").alias("target"))
+    # A class without devices has nothing to learn from, and nothing to score.
+    present = sorted(r["label"] for r in words.select("label").distinct().collect())
     clf = boosting(label="target", weight=None, **_STUMP)
     models = {
-        label: ClassModel(_WORDS, clf.fit(rows.where(F.col("label") == label))) for label in inputs.ACTIVE_CLASSES
+        label: ClassModel(_WORDS, clf.fit(rows.where(F.col("label") == label))) for label in present
     }
     return windowed, models
 
