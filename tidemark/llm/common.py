@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidemark.session import shared_dir
 
 #: Bytes of text that a task turns into numpy arrays at a time.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def stored(df: DataFrame, name: str = "table") -> DataFrame:

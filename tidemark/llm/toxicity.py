@@ -37,7 +37,7 @@ LEAST_SHARE, LEAST_TEXTS, PRIOR_TEXTS = 0.5, 8, 3.0
 #: Lengths in bytes of the beginnings of words that are features beside whole words.
 PREFIXES = (5, 6, 7, 8)
 #: Readings that a task remembers.
-REMEMBERED = 200_000
+REMEMBERED = 50_000
 _SYMBOLS = 28  # a boundary, a to z, and any byte beyond ASCII
 
 
