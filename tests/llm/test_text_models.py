@@ -122,6 +122,33 @@ def test_disguised_words_are_restored(toxic_docs):
     assert [(row, text.strip()) for row, text in readings] == [(3, "moron")]
 
 
+def test_every_ambiguous_word_is_read(spark):
+    rng = random.Random(6)
+    insults = ["stupid", "moron", "idiot", "asshole", "clown"]
+    rows = []
+    for k in range(400):
+        words = prose(rng, "aa", 30).split()
+        for _ in range(3 * (k % 4 == 0)):
+            words.insert(rng.randrange(len(words)), rng.choice(insults))
+        rows.append((k, " ".join(words), int(k % 4 == 0)))
+    hidden = "$tupid @sshole (lown !diot idio+ m0ron! stuupid iddiot stu-pid mo.ron $tup!d $tupid!! idio+!!! stupid! **moron** asshole$$".split()
+    clean = [(2000 + k, prose(rng, "aa", 30).replace(" ", mark + " ")) for k, mark in enumerate(["!", "$", "***", "!!", " (", " @"])]
+    docs = [r[:2] for r in rows] + [(1000 + k, word) for k, word in enumerate(hidden)] + clean
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    found = {r.doc_id: r.predicted for r in score_toxicity(spark.createDataFrame(docs, "doc_id long, text string"), labels).collect()}
+    assert [w for k, w in enumerate(hidden) if not found[1000 + k]] == []
+    assert [k for k, _ in clean if found[k]] == []
+    assert all(found[k] == (k % 4 == 0) for k in range(400))
+
+
+def test_parts_read_like_whole_spans(toxic_docs):
+    model, rng = surprise(count_trigrams(toxic_docs[0], "text")), random.Random(7)
+    restorer = Restorer(model)
+    for _ in range(1500):
+        span = "".join(rng.choice("deimnoprstu" * 2 + "0$!15.-é") for _ in range(rng.randrange(1, 14))).encode("latin-1")
+        assert restorer.read_parts(b"", span, b"").strip() == read_span(span, model).strip()
+
+
 def test_toxicity(spark, toxic_docs):
     docs, labels = toxic_docs
     extra = [(1000, None), (1001, ""), (None, "you 5tup1d m0ron, st*pid"), (1002, "lamo " * 40_000), (1003, "mor0n " * 3), (1003, "mor0n " * 3), (1004, "s t u p i d and m o r o n")]

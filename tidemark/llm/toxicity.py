@@ -1,8 +1,8 @@
 """Toxicity scores of restored text: a noisy channel undoes leetspeak, spacing and repetition.
 
-A character trigram model is counted over all documents. Spans that look disguised become
-lattices: a digit or symbol may stand for letters, a run of a letter for one or two, blanks
-between single letters for nothing. A Viterbi search under the model picks the likeliest
+A character trigram model is counted over all documents. Words that may be read in
+several ways become lattices: a digit or symbol may stand for letters or for a break, a run
+of a letter for one or two, a sign within a word or a gap between single letters for nothing. A Viterbi search under the model picks the likeliest
 reading. Words and beginnings of words of the restored texts are then scored by how often
 their documents are labelled toxic.
 """
@@ -10,6 +10,7 @@ their documents are labelled toxic.
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
@@ -61,6 +62,13 @@ def _tables() -> dict[str, np.ndarray]:
 
 
 _T = _tables()
+_SYMBOL = re.compile(b"[" + re.escape("".join(c for c in LEET if not c.isdigit()).encode()) + b"]")
+#: Signs of several readings, with fewer than two plain letters between.
+_AMBIGUOUS = re.compile(rb"(?:([a-z])\1+|[^a-z\x80-\xff])(?:[a-z\x80-\xff]?(?:([a-z])\2+|[^a-z\x80-\xff]))*")
+#: Letters with a symbol, digit or blank between.
+_PIECES = re.compile(rb"[a-z\x80-\xff][^a-z\x80-\xff]*[0-9\s" + _SYMBOL.pattern[1:] + rb"[^a-z\x80-\xff]*[a-z\x80-\xff]")
+_CODES = _T["code"].tolist()
+_LETTERS = np.where(_T["letter"], np.arange(256), 32).astype(np.uint8).tobytes()
 
 
 def count_trigrams(docs: DataFrame, text_col: str) -> np.ndarray:
@@ -97,35 +105,38 @@ def surprise(counts: np.ndarray) -> list[float]:
 
 
 def disguised(data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int]]:
-    """Byte spans of lower-cased texts that may hide a word, in order and apart from each other."""
+    """Byte spans of lower-cased texts that may hide a word, in order and apart from each other.
+
+    These are the words whose lattice has more than one path, without the signs around
+    them, and single letters with gaps between. A word of under three signs that may be
+    letters is no feature, and one without a letter is a number or a rule.
+    """
     if not len(data):
         return []
     letter, digit, symbol = _T["letter"][data], _T["digit"][data], _T["symbol"][data]
     heads = offsets[:-1][np.diff(offsets) > 0]
-    before, after = np.zeros(len(data), bool), np.zeros(len(data), bool)
-    before[1:], after[:-1] = letter[:-1], letter[1:]
+    before = np.zeros(len(data), bool)
+    before[1:] = letter[:-1]
     before[heads] = False
-    after[heads[1:] - 1] = False
-    marks = []
-    begins, ends = runs(digit | symbol, offsets)
-    left, right = before[begins], after[ends - 1]
-    has_digit = np.add.reduceat(digit, begins) > 0 if len(begins) else np.zeros(0, bool)
-    # In a table's or a number's company a symbol is no letter: symbols need letters on both sides.
-    marks.append(begins[(left & right) | (has_digit & (left | right) & (ends - begins <= 4))])
-    same = letter[2:] & (data[2:] == data[1:-1]) & (data[1:-1] == data[:-2]) & (data[2:] < 128)
-    marks.append(np.flatnonzero(same))
-    word_begins, word_ends = runs(~_T["blank"][data], offsets)
-    marked = np.unique(np.searchsorted(word_begins, np.concatenate(marks), "right") - 1)
-    spans = [_core(data, int(word_begins[k]), int(word_ends[k])) for k in marked]
+    double = np.zeros(len(data), bool)
+    double[1:] = letter[1:] & (data[1:] == data[:-1]) & (data[1:] < 128)
+    begins, ends = runs(~_T["blank"][data], offsets)
+    double[begins] = False
+    core = np.flatnonzero(letter | digit)
+
+    def within(mask: np.ndarray, lows: np.ndarray, highs: np.ndarray) -> np.ndarray:
+        sums = np.concatenate([[0], np.cumsum(mask)])
+        return sums[highs] - sums[lows]
+
+    some = within(letter, begins, ends) > 0
+    begins, ends = begins[some], ends[some]
+    firsts, lasts = core[np.searchsorted(core, begins)], core[np.searchsorted(core, ends) - 1] + 1
+    signs = within(letter | digit | symbol, begins, ends) >= 3
+    paths = (within(digit | symbol | double, begins, ends) > 0) | (within(~letter, firsts, lasts) > 0)
+    spans = list(zip(firsts[signs & paths].tolist(), lasts[signs & paths].tolist()))
     return _apart(spans + _spaced(data, offsets, letter | digit | symbol, letter, before))
 
 
-def _core(data: np.ndarray, begin: int, end: int) -> tuple[int, int]:
-    """A word without the signs around it."""
-    inside = np.flatnonzero(_T["letter"][data[begin:end]] | _T["digit"][data[begin:end]])
-    return (begin + int(inside[0]), begin + int(inside[-1]) + 1) if len(inside) else (begin, begin)
-
-
 def _spaced(data, offsets, sign, letter, before) -> list[tuple[int, int]]:
     """Three or more single letters with one gap between each."""
     gap = _T["gap"][data]
@@ -186,62 +197,222 @@ def _signs(span: bytes) -> list[tuple[tuple[str, float], ...]]:
     return signs
 
 
+def _step(states: dict, readings: Sequence[tuple[str, float]], model: Sequence[float]) -> dict:
+    """The least cost and the path of each state after a sign."""
+    following: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+    for (a, b), (cost, path) in states.items():
+        for text, price in readings:
+            x, y, total = a, b, cost + price
+            for char in text:
+                z = _CODES[ord(char)]
+                if y or z:
+                    total += model[((x if y else 0) * _SYMBOLS + y) * _SYMBOLS + z]
+                x, y = (y, z) if z else (0, 0)
+            if (x, y) not in following or total < following[x, y][0]:
+                following[x, y] = (total, (path, text))
+    return following
+
+
+def _parts(path: tuple | None) -> list[str]:
+    parts = []
+    while path:
+        parts.append(path[1])
+        path = path[0]
+    return parts[::-1]
+
+
+def _walk(states: dict, signs: Sequence, model: Sequence[float]) -> dict:
+    """The states after a number of signs."""
+    for readings in signs:
+        states = _step(states, readings, model)
+    return states
+
+
 def read_span(span: bytes, model: Sequence[float]) -> str:
     """The likeliest text behind a span; bytes beyond ASCII stand as Latin-1 characters."""
-    code = _T["code"]
     signs = _signs(span)
     out = []
     for first in range(0, len(signs), LATTICE):
-        states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
-        for readings in [*signs[first : first + LATTICE], ((" ", 0.0),)]:
-            following: dict[tuple[int, int], tuple[float, tuple | None]] = {}
-            for (a, b), (cost, path) in states.items():
-                for text, price in readings:
-                    x, y, total = a, b, cost + price
-                    for char in text:
-                        z = int(code[ord(char)])
-                        if y or z:
-                            total += model[((x if y else 0) * _SYMBOLS + y) * _SYMBOLS + z]
-                        x, y = (y, z) if z else (0, 0)
-                    if (x, y) not in following or total < following[x, y][0]:
-                        following[x, y] = (total, (path, text))
-            states = following
-        path, parts = min(states.values(), key=lambda s: s[0])[1], []
-        while path:
-            parts.append(path[1])
-            path = path[0]
-        out.append("".join(reversed(parts)))
+        states = _walk({(0, 0): (0.0, None)}, [*signs[first : first + LATTICE], ((" ", 0.0),)], model)
+        out += _parts(min(states.values(), key=lambda s: s[0])[1])
     return "".join(out)
 
 
+def _edge(span: bytes) -> list[tuple[int, tuple]]:
+    """Runs of equal signs around a word, with the readings of each sign; a symbol is no break here."""
+    found, k = [], 0
+    while k < len(span):
+        end = k + 1
+        while end < len(span) and span[end] == span[k]:
+            end += 1
+        symbol = bool(_T["symbol"][span[k]])
+        readings = _signs(span[k : k + 1])[0]
+        found.append((min(end - k, LATTICE), readings[:-1]) if symbol else (1, readings))
+        k = end
+    return found
+
+
 class Restorer:
     """Restores batches of texts; readings of spans are remembered."""
 
     def __init__(self, model: Sequence[float]) -> None:
-        self.model, self.known = model, {}
+        self.model, self.known, self.parts = model, {}, {}
+        self.cube, self.leads, self.trails = np.array(model, float).reshape((_SYMBOLS,) * 3), {}, {}
+        self.cube[0, 0, 0] = 0
 
     def restore(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[tuple[int, str]]]:
-        """Lower-cased texts with disguised spans blanked, their offsets, and what those spans read, by row."""
+        """Lower-cased texts, their offsets, and what disguised spans read, by row.
+
+        Spans in pieces, with signs between letters, are blanked in the texts. Other
+        words stay, and only words that they do not have themselves are readings.
+        """
         data, offsets = byte_view(texts)
         data = _T["lower"][data]
         raw, readings = data.tobytes(), []
-        spans = disguised(data, offsets)
-        rows = np.searchsorted(offsets, [s[0] for s in spans], "right") - 1
-        for row, (begin, end) in zip(rows.tolist(), spans):
-            span = raw[begin:end]
-            text = self.known.get(span)
-            if text is None:
+        spans = np.array(disguised(data, offsets), np.int64).reshape(-1, 2)
+        rows = np.searchsorted(offsets, spans[:, 0], "right") - 1
+        begins, ends = runs(~_T["blank"][data], offsets)
+        lows = begins[np.searchsorted(begins, spans[:, 0], "right") - 1] if len(spans) else spans[:, 0]
+        highs = ends[np.searchsorted(ends, spans[:, 1])] if len(spans) else spans[:, 1]
+        for row, low, begin, end, high in zip(rows.tolist(), lows.tolist(), spans[:, 0].tolist(), spans[:, 1].tolist(), highs.tolist()):
+            key = raw[low:high]
+            known = self.known.get(key)
+            if known is None:
                 if len(self.known) >= REMEMBERED:
                     self.known.clear()
-                text = self.known[span] = read_span(span, self.model)
-            readings.append((row, text))
-            data[begin:end] = 32
+                known = self.known[key] = self.read(raw[low:begin], raw[begin:end], raw[end:high])
+            text, pieces = known
+            if text:
+                readings.append((row, text))
+            if pieces:
+                data[begin:end] = 32
         return data, offsets, readings
 
+    def read(self, lead: bytes, core: bytes, trail: bytes) -> tuple[str, bool]:
+        """What a span reads, with the symbols around it dropped and as letters; and whether it is in pieces."""
+        pieces = bool(_PIECES.search(core)) or _single(core)
+        plain, text = core.decode("latin-1"), self.read_parts(b"", core, b"")
+        texts = [text] if pieces or text != plain else []
+        heads, tails = ((b"", edge) if edge and _SYMBOL.search(edge) else (b"",) for edge in (lead, trail))
+        texts += [self.read_parts(head, core, tail) for head in heads for tail in tails if head or tail]
+        seen = set() if pieces or not texts else set(_words(plain))
+        words = []
+        for text in texts:
+            new = [word for word in _words(text) if word not in seen]
+            words += new
+            seen.update(new)
+        return " ".join(words), pieces
+
+    def read_parts(self, lead: bytes, core: bytes, trail: bytes) -> str:
+        """The likeliest text of a span, whose ambiguous parts are read apart where two plain letters part them.
+
+        After two letters that have one reading there is one state, so this is the reading
+        of the whole span.
+        """
+        places = [(0, 0)] * bool(lead) + [m.span() for m in _AMBIGUOUS.finditer(core)] + [(len(core),) * 2] * bool(trail)
+        parts: list[list[int]] = []
+        for begin, end in places:
+            if parts and begin - parts[-1][1] < 2:
+                parts[-1][1] = end
+            else:
+                parts.append([begin, end])
+        out, done = [], 0
+        for begin, end in parts:
+            close = min(end + 2, len(core))
+            out.append(core[done:begin].decode("latin-1"))
+            key = (
+                core[max(0, begin - 2) : begin], core[begin:close], close < end + 2,
+                lead if not begin else b"", trail if end == len(core) else b"",
+            )
+            text = self.parts.get(key)
+            if text is None:
+                if len(self.parts) >= REMEMBERED:
+                    self.parts.clear()
+                text = self.parts[key] = self._read_part(*key)
+            out.append(text)
+            done = close
+        return "".join(out) + core[done:].decode("latin-1")
+
+    def _read_part(self, context: bytes, part: bytes, last: bool, lead: bytes, trail: bytes) -> str:
+        state = (0, 0, *(_CODES[c] for c in context))[-2:]
+        states = _walk(self._lead(lead) if lead else {state: (0.0, None)}, _signs(part), self.model)
+        if last:
+            return self._end(states, trail)
+        return "".join(_parts(min(states.values(), key=lambda s: s[0])[1]))
+
+    def _lead(self, lead: bytes) -> dict:
+        """The states after the signs before a word; the run next to the word is read, others may be dropped."""
+        if lead not in self.leads:
+            if len(self.leads) >= REMEMBERED // 50:
+                self.leads.clear()
+            states, signs = {(0, 0): (0.0, None)}, _edge(lead)
+            nearest = max(k for k, (_, readings) in enumerate(signs) if readings[0][0] != " ")
+            for k, (count, readings) in enumerate(signs):
+                read = _walk(states, [readings] * count, self.model)
+                if k != nearest and readings[0][0] != " ":
+                    for state, (cost, path) in states.items():
+                        if state not in read or cost + LEET_COST < read[state][0]:
+                            read[state] = (cost + LEET_COST, path)
+                states = read
+            self.leads[lead] = states
+        return self.leads[lead]
+
+    def _trail(self, trail: bytes) -> tuple[np.ndarray, list]:
+        """By state, the least cost of the signs after a word; the run next to it is read, others may be dropped.
+
+        With it, per run: how many signs, their readings, where to drop it, and which reading
+        each sign takes.
+        """
+        if trail not in self.trails:
+            if len(self.trails) >= REMEMBERED // 50:
+                self.trails.clear()
+            cost, steps, signs = self.cube[:, :, 0], [], _edge(trail)
+            nearest = min((k for k, (_, readings) in enumerate(signs) if readings[0][0] != " "), default=0)
+            for k in range(len(signs) - 1, -1, -1):
+                count, readings = signs[k]
+                rest, choices = cost, []
+                for _ in range(count):
+                    options = np.stack([self._before(text, price, cost) for text, price in readings])
+                    choices.append(options.argmin(axis=0).astype(np.int8))
+                    cost = options.min(axis=0)
+                dropped = np.zeros(cost.shape, bool)
+                if k != nearest and readings[0][0] != " ":
+                    dropped = rest + LEET_COST < cost
+                    cost = np.where(dropped, rest + LEET_COST, cost)
+                steps.append((readings, dropped, choices[::-1]))
+            self.trails[trail] = cost, steps[::-1]
+        return self.trails[trail]
+
+    def _before(self, text: str, price: float, cost: np.ndarray) -> np.ndarray:
+        """By state, the cost of one reading and what follows it."""
+        if not text:
+            return cost + price
+        z = _CODES[ord(text)]
+        return self.cube[:, :, z] + (cost[:, z][None, :] if z else cost[0, 0]) + price
+
+    def _end(self, states: dict, trail: bytes) -> str:
+        """The likeliest text of a word's states and the signs after it."""
+        cost, steps = self._trail(trail)
+        (a, b), (_, path) = min(states.items(), key=lambda s: s[1][0] + cost[s[0]])
+        parts = _parts(path)
+        for readings, dropped, choices in steps:
+            for choice in [] if dropped[a, b] else choices:
+                text = readings[choice[a, b]][0]
+                parts.append(text)
+                if text:
+                    z = _CODES[ord(text)]
+                    a, b = (b, z) if z else (0, 0)
+        return "".join(parts)
+
+
+def _single(core: bytes) -> bool:
+    """Whether a span is single letters with gaps between."""
+    return len(core) > 2 and not core[1::2].strip(b" .-_")
+
 
 def _words(text: str) -> list[str]:
     """Runs of letters of a text whose characters are bytes."""
-    return "".join(c if _T["letter"][ord(c)] else " " for c in text).split()
+    return text.encode("latin-1").translate(_LETTERS).decode("latin-1").split()
 
 
 def features(words: set[str]) -> set[str]:
