@@ -149,6 +149,16 @@ def test_parts_read_like_whole_spans(toxic_docs):
         assert restorer.read_parts(b"", span, b"").strip() == read_span(span, model).strip()
 
 
+def test_words_at_any_place_of_a_long_span(toxic_docs):
+    model = surprise(count_trigrams(toxic_docs[0], "text"))
+    for place in range(70):
+        text = "lamo" * (place // 4) + "lamo"[: place % 4] + "stupid" + "lamo" * 20
+        span = "_".join(text).encode()
+        assert "stupid" in read_span(span, model), place
+        assert Restorer(model).read_parts(b"", span, b"").strip() == read_span(span, model).strip()
+    assert len(read_span(b"5" * 10 + b"lam0" * 5000, model)) > 20_000
+
+
 def test_toxicity(spark, toxic_docs):
     docs, labels = toxic_docs
     extra = [(1000, None), (1001, ""), (None, "you 5tup1d m0ron, st*pid"), (1002, "lamo " * 40_000), (1003, "mor0n " * 3), (1003, "mor0n " * 3), (1004, "s t u p i d and m o r o n")]

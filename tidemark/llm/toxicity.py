@@ -30,7 +30,7 @@ LEET = {
 }
 #: Costs, in nats, of reading a sign as a letter or as a break, a run as one letter, and of dropping a gap.
 LEET_COST, WILD_COST, BREAK_COST, RUN_COST, GAP_COST = 1.0, 2.5, 4.0, 0.5, 0.3
-#: Signs that a lattice spans; a longer span is read in parts.
+#: Signs after which what all paths share is written out, and copies of a symbol that count.
 LATTICE = 64
 #: Labelled texts that enter the training, about; and the least share and count of a feature.
 TRAINING_TEXTS = 20_000
@@ -228,14 +228,41 @@ def _walk(states: dict, signs: Sequence, model: Sequence[float]) -> dict:
     return states
 
 
+def _settle(states: dict) -> tuple[list[str], dict, int]:
+    """The readings that all paths begin with, the states without them, and the signs left."""
+    paths = {state: _parts(path) for state, (_, path) in states.items()}
+    first, *others = paths.values()
+    shared = next((k for k in range(len(first)) if any(path[k] != first[k] for path in others)), len(first))
+    left = {}
+    for state, parts in paths.items():
+        path = None
+        for text in parts[shared:]:
+            path = (path, text)
+        left[state] = (states[state][0], path)
+    return first[:shared], left, len(first) - shared
+
+
+def _read(states: dict, signs: Sequence, model: Sequence[float]) -> tuple[list[str], dict]:
+    """The readings that are sure after a number of signs, and the states with the paths behind those.
+
+    States are carried through all signs; what all their paths share is written out
+    whenever as many signs again have been read as were left open.
+    """
+    out, begin, size = [], 0, LATTICE
+    while begin < len(signs):
+        states = _walk(states, signs[begin : begin + size], model)
+        begin += size
+        if begin < len(signs):
+            settled, states, left = _settle(states)
+            out += settled
+            size = max(LATTICE, left)
+    return out, states
+
+
 def read_span(span: bytes, model: Sequence[float]) -> str:
     """The likeliest text behind a span; bytes beyond ASCII stand as Latin-1 characters."""
-    signs = _signs(span)
-    out = []
-    for first in range(0, len(signs), LATTICE):
-        states = _walk({(0, 0): (0.0, None)}, [*signs[first : first + LATTICE], ((" ", 0.0),)], model)
-        out += _parts(min(states.values(), key=lambda s: s[0])[1])
-    return "".join(out)
+    out, states = _read({(0, 0): (0.0, None)}, [*_signs(span), ((" ", 0.0),)], model)
+    return "".join(out + _parts(min(states.values(), key=lambda s: s[0])[1]))
 
 
 def _edge(span: bytes) -> list[tuple[int, tuple]]:
@@ -335,10 +362,9 @@ class Restorer:
 
     def _read_part(self, context: bytes, part: bytes, last: bool, lead: bytes, trail: bytes) -> str:
         state = (0, 0, *(_CODES[c] for c in context))[-2:]
-        states = _walk(self._lead(lead) if lead else {state: (0.0, None)}, _signs(part), self.model)
-        if last:
-            return self._end(states, trail)
-        return "".join(_parts(min(states.values(), key=lambda s: s[0])[1]))
+        out, states = _read(self._lead(lead) if lead else {state: (0.0, None)}, _signs(part), self.model)
+        end = self._end(states, trail) if last else "".join(_parts(min(states.values(), key=lambda s: s[0])[1]))
+        return "".join(out) + end
 
     def _lead(self, lead: bytes) -> dict:
         """The states after the signs before a word; the run next to the word is read, others may be dropped."""
