@@ -32,7 +32,7 @@ def crc(doc_id):
 
 
 def test_names():
-    assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 11))
+    assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 14))
     assert set(SQL) <= set(QUERIES)
 
 

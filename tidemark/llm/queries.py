@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 from tidemark.llm.decontaminate import find_contamination
 from tidemark.llm.jaccard import jaccard_components
 from tidemark.llm.language import identify_languages
+from tidemark.llm.licenses import license_report, scan_licenses
 from tidemark.llm.packing import attention_cost, pack_documents, word_count
+from tidemark.llm.periodic import find_runs, plant_runs, run_digests
 from tidemark.llm.quality import POLICIES, apply_policy, measure
 from tidemark.llm.secret_scan import scan_secrets
+from tidemark.llm.spelling import misspelled, spelling_variants
 from tidemark.llm.token_count import count_tokens
 from tidemark.llm.toxicity import score_toxicity
 from tidemark.llm.warc import round_trip
@@ -81,6 +84,18 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digests(find_runs(plant_runs(table(spark, sf_dir, "documents"))))
+
+
+def op12_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_report(scan_licenses(table(spark, sf_dir, "documents")))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"), edit=misspelled)
+
+
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_warc_round_trip": op2_warc_round_trip,
@@ -92,8 +107,25 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_token_counts": op10_token_counts,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_license_scans": op12_license_scans,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
+#: The 256 steps of a crc32, as a list of one row.
+CRC_STEPS = """steps AS (
+  SELECT i AS start, i AS v, 0 AS k FROM range(256) r(i)
+  UNION ALL
+  SELECT start, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM steps WHERE k < 8
+), crc AS (SELECT list(v ORDER BY start) AS t FROM steps WHERE k = 8)"""
+
+
+def crc_of(text: str) -> str:
+    """SQL for the crc32 of the UTF-8 of a text, next to a table ``crc``."""
+    data = f"list_transform(range(0, octet_length(encode({text}))), lambda k: CAST('0x' || substr(hex(encode({text})), CAST(2 * k + 1 AS INT), 2) AS BIGINT))"
+    step = "lambda a, b: xor(a >> 8, crc.t[CAST(xor(a, b) & 255 AS INT) + 1])"
+    return f"xor(list_reduce(list_concat([4294967295], {data}), {step}), 4294967295)"
+
 SQL = {
     "op1_benchmark_decontamination": r"""
 WITH items AS (
@@ -214,4 +246,67 @@ WITH split AS (
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed, failed & 3 <> 0 AS base_failed, failed & 47 = 0 AS kept
 FROM bits""",
+    "op11_periodic_runs": f"""
+WITH RECURSIVE {CRC_STEPS}, hashed AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w, {crc_of("CAST(doc_id AS VARCHAR)")} AS h FROM documents, crc
+), sized AS (
+  SELECT *, len(w) AS n, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a FROM hashed
+), planted AS (
+  SELECT doc_id, n, CASE WHEN a IS NULL THEN w
+    ELSE list_transform(range(0, n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + (h // 10) % 8)) END]) END AS w
+  FROM sized
+), starts AS (
+  SELECT doc_id, n, i, array_to_string(w[i + 1:i + 6], ' ') AS s FROM (SELECT *, unnest(range(0, n - 5)) AS i FROM planted WHERE n > 5)
+), pairs AS (
+  SELECT x.doc_id, x.i, y.i - x.i AS q FROM starts x JOIN starts y ON x.doc_id = y.doc_id AND x.s = y.s AND x.i < y.i AND 2 * (y.i - x.i) <= x.n
+), stretches AS (
+  SELECT doc_id, q, min(i) AS start, count(*) + 5 + q AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS stretch FROM pairs) GROUP BY doc_id, q, stretch
+), runs AS (
+  SELECT doc_id, start, length, min(q) AS period FROM stretches WHERE length >= 2 * q AND length >= 12 GROUP BY doc_id, start, length
+), listed AS (
+  SELECT doc_id, count(*) AS n_runs, arg_min(struct_pack(s := start, l := length, p := period), (-length, start, period)) AS best,
+    string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines
+  FROM runs GROUP BY doc_id
+), repeated AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+gone AS (SELECT doc_id, list(i) AS places FROM repeated GROUP BY doc_id),
+remaining AS (
+  SELECT p.doc_id, string_agg(p.word, ' ' ORDER BY p.i) AS kept
+  FROM (SELECT doc_id, unnest(range(0, n)) AS i, unnest(w) AS word FROM planted WHERE doc_id IN (SELECT doc_id FROM gone)) p
+  ANTI JOIN repeated r ON r.doc_id = p.doc_id AND r.i = p.i GROUP BY p.doc_id
+)
+SELECT d.doc_id, coalesce(l.n_runs, 0) AS n_runs, l.best.s AS start, l.best.l AS length, l.best.p AS period,
+  1000 * l.best.l // l.best.p AS exponent_milli, sha256(coalesce(l.lines, '')) AS runs_sha256,
+  sha256(coalesce(s.kept, array_to_string(d.w, ' '))) AS collapsed_sha256
+FROM planted d LEFT JOIN listed l ON l.doc_id = d.doc_id LEFT JOIN remaining s ON s.doc_id = d.doc_id""",
+    "op13_spelling_variants": f"""
+WITH RECURSIVE {CRC_STEPS}, runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\\x{{C0}}-\\x{{FF}}]+')) AS run
+  FROM documents
+), counted AS (SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= 6 GROUP BY doc_id, run),
+hashed AS (SELECT run, n, {crc_of("(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)")} AS h FROM counted, crc),
+edited AS (
+  SELECT n, CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM hashed
+), words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM edited WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+), shorter AS (
+  SELECT DISTINCT word, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM (SELECT word, unnest(range(0, length(word))) AS i FROM words)
+), links AS (
+  SELECT a.word, b.word AS near FROM shorter a JOIN shorter b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word AND length(a.word) = length(b.word)
+  UNION SELECT s.word, w.word FROM shorter s JOIN words w ON w.word = s.rest
+  UNION SELECT w.word, s.word FROM shorter s JOIN words w ON w.word = s.rest
+), best AS (
+  SELECT l.word, count(*) AS n_near, arg_min(l.near, (-w.n, encode(l.near))) AS near, max(w.n) AS near_n
+  FROM links l JOIN words w ON w.word = l.near GROUP BY l.word
+), formed AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.near_n >= 5 * w.n THEN b.near END AS form,
+    CASE WHEN b.near_n >= 5 * w.n THEN b.near_n END AS form_n
+  FROM words w LEFT JOIN best b ON b.word = w.word
+), chain AS (
+  SELECT word, word AS root, form AS next FROM formed
+  UNION ALL
+  SELECT c.word, f.word, f.form FROM chain c JOIN formed f ON f.word = c.next
+)
+SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n FROM formed f JOIN chain c ON c.word = f.word AND c.next IS NULL""",
 }
