@@ -24,11 +24,11 @@ def points_of(n, seed, dims=3):
     return [(i, np.abs(rng.normal(size=dims)).round(3).tolist()) for i in range(n)]
 
 
-def brute(points, weights, near, min_samples):
+def brute(points, weights, near, min_weight):
     """Cluster of each point by union-find over core points."""
     n = len(points)
     adjacent = [[j for j in range(n) if j != i and near(points[i], points[j])] for i in range(n)]
-    core = [weights[i] + sum(weights[j] for j in adjacent[i]) >= min_samples for i in range(n)]
+    core = [weights[i] + sum(weights[j] for j in adjacent[i]) >= min_weight for i in range(n)]
     root = list(range(n))
 
     def top(i):
@@ -148,7 +148,7 @@ def test_invariant_to_renaming(spark):
     groups = lambda m, back: {
         frozenset(back(i) for i in m if m[i] == c) for c in set(m.values()) if c is not None
     }
-    # With min_samples 2 every point with a neighbour is core, so no border is ambiguous.
+    # With min_weight 2 every point with a neighbour is core, so no border is ambiguous.
     assert groups(one, lambda i: names[i]) == groups(two, lambda i: i)
 
 
@@ -194,7 +194,7 @@ def snapshots(spark):
 
 
 def test_cluster_pipeline(spark):
-    found = cluster_endpoints(snapshots(spark), ClusterParams(eps=0.1, min_samples=3), label="label")
+    found = cluster_endpoints(snapshots(spark), ClusterParams(eps=0.1, min_weight=3), label="label")
     clusters = {r["endpoint"]: r["clusterId"] for r in found.endpoints.collect()}
     assert len(clusters) == 25 and clusters["odd"] is None
     assert {clusters["e0"], clusters["e1"], clusters["e2"]} == {"e0", "e1", "e11"}
@@ -202,7 +202,7 @@ def test_cluster_pipeline(spark):
     metrics = {r["name"]: r["value"] for r in found.metrics.collect()}
     assert metrics["clusters"] == 3 and metrics["noise"] == 1 and metrics["purity"] == 1
     assert metrics["homogeneity"] == pytest.approx(1) and 0 < metrics["completeness"] < 1
-    assert metrics["epsilon"] == 0.1 and metrics["minSamples"] == 3
+    assert metrics["epsilon"] == 0.1 and metrics["minWeight"] == 3
     sizes = {r["clusterId"]: r["value"] for r in found.per_cluster.where("name = 'size'").collect()}
     assert sizes == {"e0": 8, "e1": 8, "e11": 8}
 
@@ -220,14 +220,14 @@ def test_cluster_parameters_are_checked(spark):
 def test_grid_search_equals_single_runs(spark):
     layout = attribute_layout([("kind", 3), ("rest", 1)], {"kind": 1.0, "rest": 1.0})
     df = snapshots(spark)
-    best, metrics = grid_search(df, "label", layout, min_samples=3, eps_grid=(0.001, 0.1), metric="purity")
+    best, metrics = grid_search(df, "label", layout, min_weight=3, eps_grid=(0.001, 0.1), metric="purity")
     wide = {r["param"]: r.asDict() for r in metrics.collect()}
     assert len(wide) == 4
     for eps in (0.001, 0.1):
         for distance in ("global", "per_attribute"):
-            params = ClusterParams(eps=eps, min_samples=3, distance=distance, layout=layout)
+            params = ClusterParams(eps=eps, min_weight=3, distance=distance, layout=layout)
             single = {r["name"]: r["value"] for r in cluster_endpoints(df, params, label="label").metrics.collect()}
-            row = {k: v for k, v in wide[f"eps={eps},min_samples=3,distance={distance}"].items() if v is not None}
+            row = {k: v for k, v in wide[f"eps={eps},min_weight=3,distance={distance}"].items() if v is not None}
             assert {k: row[k] for k in single} == pytest.approx(single)
     # Equal scores are decided by the order of the grid.
     assert (best.eps, best.distance) == (0.001, "global")
@@ -235,8 +235,8 @@ def test_grid_search_equals_single_runs(spark):
 
 def test_grid_search_without_scores_gives_the_default(spark):
     none = snapshots(spark).withColumn("label", F.lit("unknown"))
-    best, _ = grid_search(none, "label", (), min_samples=3, eps_grid=(0.1,), distances=("global",), metric="purity")
-    assert best == ClusterParams(min_samples=3, layout=())
+    best, _ = grid_search(none, "label", (), min_weight=3, eps_grid=(0.1,), distances=("global",), metric="purity")
+    assert best == ClusterParams(min_weight=3, layout=())
 
 
 def test_latest_known_label(spark, rows):

@@ -211,3 +211,53 @@ def test_wide_blocks_stay_small(spark, monkeypatch):
     block = similarity._Block(cols, np.arange(300), diagonal=True)
     assert block.compare(0.1) and list(zip(block.rows, block.cols)) == [(0, 1)]
     assert np.isclose(block.distance[0], 0)
+
+
+def dense_block(x, keep_vectors):
+    """A diagonal block of unit vectors, with or without values beyond the leading ones."""
+    from tidemark.operators import similarity
+
+    used = np.arange(x.shape[1])
+    _, directions = np.linalg.eigh(x.T @ x)
+    head = x @ directions[:, ::-1]
+    cols = {"square": (x * x).sum(axis=1), "second": np.zeros(len(x), bool), "earlier": np.array([None] * len(x)), "head": head}
+    if keep_vectors:
+        cols["head"] = np.ascontiguousarray(head[:, : x.shape[1] // 2])
+        cols["dims"] = np.array([used] * len(x) + [None], dtype=object)[:-1]
+        cols["vals"] = np.array([*x, None], dtype=object)[:-1]
+    return similarity._Block(cols, np.arange(len(x)), diagonal=True)
+
+
+@pytest.mark.parametrize("keep_vectors", [False, True])
+def test_leading_values_tell_most_pairs_apart(keep_vectors):
+    """Even vectors without any structure need less than half of all values at the radii of the grid."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(600, 64))
+    x[:40] = x[40:80] + 0.02 * rng.normal(size=(40, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    near = x @ x.T
+    for eps in (0.015, 0.065, 0.115, 0.165):
+        block = dense_block(x, keep_vectors)
+        assert block.compare(cosine_radius(eps))
+        i, j = np.nonzero(np.triu(near >= 1 - cosine_radius(eps), 1))
+        assert sorted(zip(block.rows, block.cols)) == sorted(zip(i, j))
+        assert block.distance == pytest.approx(1 - near[block.rows, block.cols])
+        assert block.multiplied < 0.5 * len(x) ** 2 * 64
+    block = dense_block(x, keep_vectors)
+    assert block.compare(1.0) and len(block.rows) == (near[np.triu_indices(len(x), 1)] >= 0).sum()
+
+
+def test_wide_vectors_have_more_than_leading_values(spark, monkeypatch):
+    """Dimensions and directions beyond those fitted are part of the length that is left."""
+    from tidemark.operators import similarity
+
+    monkeypatch.setattr(similarity, "FIT_DIMS", 20)
+    monkeypatch.setattr(similarity, "HEAD", 5)
+    rng = np.random.default_rng(9)
+    rows = [(i, Vectors.dense(*rng.normal(size=40).tolist())) for i in range(60)]
+    rows += [(100 + i, Vectors.dense(*(v.toArray() + 0.05 * rng.normal(size=40)).tolist())) for i, v in rows[:20]]
+    vectors = unit_vectors(frame(spark, rows), "id", "v")
+    assert "entries" in assign_cells(vectors, cosine_radius(0.1), anchors=9).columns
+    for eps in (0.01, 0.7):
+        got = found(cosine_pairs(vectors, eps, anchors=9, block_rows=11))
+        assert got == pytest.approx(brute_pairs(rows, eps, global_similarity))

@@ -29,7 +29,7 @@ from tidemark.session import cut_lineage, splittable
 def dbscan(
     points: DataFrame,
     eps: float | Sequence[float],
-    min_samples: int,
+    min_weight: int,
     *,
     metric: str = "cosine",
     cells: str = "anchors",
@@ -40,7 +40,7 @@ def dbscan(
     """``(eps, id, cluster, core)`` for ``(id, entries, weight)`` points.
 
     A point is core if its own weight and those of its neighbours reach
-    ``min_samples``. A cluster is a connected set of core points, named after its
+    ``min_weight``. A cluster is a connected set of core points, named after its
     least core id; a border point joins the least-named cluster next to it;
     noise has a null cluster.
     """
@@ -53,7 +53,7 @@ def dbscan(
 
     points = cut_lineage(points.select("id", "entries", F.col("weight").cast("long").alias("weight")))
     reach = _ball_radius(metric, eps_values[0])
-    dense = None if faithful_zero_distance or reach <= 0 else (reach, min_samples)
+    dense = None if faithful_zero_distance or reach <= 0 else (reach, min_weight)
     placed = assign_cells(points, radius, cells=cells, anchors=anchors, dense=dense)
     counts = compare_blocks(
         placed,
@@ -63,7 +63,7 @@ def dbscan(
         block_rows,
     )
     # Points of a dense ball are core at every eps, as they are near each other.
-    enough = F.array(*[F.lit(min_samples).cast("long")] * len(eps_values)).alias("counts")
+    enough = F.array(*[F.lit(min_weight).cast("long")] * len(eps_values)).alias("counts")
     inner = placed.where(F.col("leader").isNotNull())
     sums = [F.sum(F.col("counts")[k]) for k in range(len(eps_values))]
     totals = counts.unionByName(inner.select("id", enough)).groupBy("id").agg(
@@ -71,7 +71,7 @@ def dbscan(
     )
     alone = F.array(*[F.lit(0).cast("long")] * len(eps_values))
     core = F.transform(
-        F.coalesce("counts", alone), lambda c: c + F.col("weight") >= F.lit(min_samples)
+        F.coalesce("counts", alone), lambda c: c + F.col("weight") >= F.lit(min_weight)
     )
     cores = cut_lineage(points.join(totals, "id", "left").select("id", core.alias("core")))
 

@@ -4,6 +4,10 @@ Vectors are assigned to cells such that any two closer than the radius share
 one. Cells are cut into blocks of bounded size, and each pair of blocks is one
 small group: a hot cell becomes many groups instead of a large one. The blocks
 are compared with a matrix product inside the task, and only results leave it.
+
+Dense vectors are first turned such that their leading values hold most of their length.
+A product of two is at most the product of their leading values and the lengths of what
+is left, so most pairs are told apart after a few of their values.
 """
 
 from __future__ import annotations
@@ -13,6 +17,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,6 +41,13 @@ BLOCK_ROWS = 2048
 MATRIX_VALUES = 4_000_000
 # Groups per shuffle partition at least, as even few points can be much work.
 GROUPS_PER_PARTITION = 4
+# Rows and dimensions that directions are fitted on, and how many directions there are.
+FIT_ROWS, FIT_DIMS, HEAD = 2048, 1024, 64
+# Points of a cell of dense vectors at least, and the cells that few points have.
+CELL_ROWS, FEW_CELLS = 1024, 16
+# After how many leading values pairs are looked at again; below this share of pairs, one by one.
+_STOPS = (8, 16, 24, 32, 48, 64)
+_FEW = 0.1
 
 # Roles of a point in a cell, and the pairs of roles that are compared there. Points
 # at home meet all others; inner points are known to be near each other; points from
@@ -168,11 +180,12 @@ def assign_cells(
     ``cells="prefix"`` is for sparse vectors: a point joins the cells of its rarest
     dimensions, as many as are needed before the rest is too short to reach the
     similarity alone (prefix filtering, Bayardo et al., WWW 2007).
-    ``cells="anchors"`` is for dense ones: a point is at home with its most similar
+    ``cells="anchors"`` is for dense ones: a point is at home with its nearest
     anchor and is copied to other anchors whose region comes within the radius
     (ClusterJoin, Das Sarma et al., VLDB 2014) and whose points, all within a known
-    distance of their anchor, can be that near. There are as many anchors as the root
-    of the number of points. Zero vectors have no neighbours and get no cell.
+    distance of their anchor, can be that near. Distances are those of the leading values
+    (``head``), which are never longer than the real ones. There are at most as many
+    anchors as the root of the number of points. Zero vectors have no neighbours and get no cell.
 
     ``dense=(reach, weight)`` spares the comparisons within a dense ball: points
     closer than ``reach`` to their anchor, if their weights add up to ``weight``, are
@@ -184,8 +197,9 @@ def assign_cells(
     if cells != "anchors":
         raise ValueError("cells must be 'anchors' or 'prefix'")
     if anchors is None:
-        # The square root balances the work of finding cells and of comparing within them.
-        anchors = max(1, math.isqrt(points.count()))
+        # The root balances the work of finding cells and of comparing within them.
+        count = points.count()
+        anchors = max(1, min(math.isqrt(count), max(FEW_CELLS, count // CELL_ROWS)))
     return cut_lineage(_anchor_cells(points, radius, anchors, dense))
 
 
@@ -203,6 +217,8 @@ def compare_blocks(
     cell is a group of its own.
     """
     extra = [c for c in points.columns if c not in ("entries", "cells", "prefix", "leader")]
+    vector = ["entries.dim dims", "entries.val vals"] if "entries" in points.columns else []
+    parts = ["dims", "vals"] if vector else []
     sizes = (
         points.select(F.explode("cells").alias("at"))
         .groupBy(F.col("at.cell").alias("cell"))
@@ -211,7 +227,7 @@ def compare_blocks(
             F.expr(f"count_if(at.role = {_HOME}) home_rows"),
             F.expr(f"count_if(at.role = {_INNER}) inner_rows"),
         )
-        .where("rows > 1 and home_rows + inner_rows > 0")
+        .where("home_rows > 1 or (rows > 1 and rows - greatest(home_rows, inner_rows, rows - home_rows - inner_rows) > 0)")
     )
     partitions = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     least = F.lit(GROUPS_PER_PARTITION * partitions).cast("long")
@@ -223,9 +239,9 @@ def compare_blocks(
         f"cast(ceil((rows - home_rows - inner_rows) / {block_rows}) as int) outers",
     )
     placed = points.selectExpr(
-        *extra, "entries.dim dims", "entries.val vals", "prefix", "posexplode(cells) as (pos, at)"
+        *extra, *vector, "prefix", "posexplode(cells) as (pos, at)"
     ).selectExpr(
-        *extra, "dims", "vals", "at.cell", "at.role",
+        *extra, *parts, "at.cell", "at.role",
         "if(prefix is null, null, slice(prefix, 1, pos)) earlier",
     )
     own = f"case role when {_HOME} then homes when {_INNER} then inners else outers end"
@@ -234,7 +250,7 @@ def compare_blocks(
         .withColumn("own", F.expr(f"cast(pmod(xxhash64(id), {own}) as int)"))
         .selectExpr("*", f"explode({_TASKS}) task")
         .selectExpr(
-            "cell", "task.*", *extra, "dims", "vals", "earlier", "greatest(homes, inners, outers) = 1 as fits"
+            "cell", "task.*", *extra, *parts, "earlier", "greatest(homes, inners, outers) = 1 as fits"
         )
         .withColumn(
             "bundle",
@@ -244,13 +260,15 @@ def compare_blocks(
     )
     columns = [part.strip().split()[0] for part in schema.split(",")]
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(_TASK, ignore_index=True)
-        keys = pdf[_TASK].to_numpy(dtype="int64")
+    def run(table: pa.Table) -> pd.DataFrame:
+        table = table.sort_by([(c, "ascending") for c in _TASK]).combine_chunks()
+        keys = np.stack([table[c].to_numpy() for c in _TASK], axis=1).astype("int64")
         starts = np.flatnonzero(np.any(keys[1:] != keys[:-1], axis=1)) + 1
-        cols = {c: pdf[c].to_numpy() for c in pdf.columns}
+        cols = {c: table[c].to_pandas().to_numpy() for c in table.column_names if c != "head"}
+        if "head" in table.column_names:
+            cols["head"] = table["head"].chunk(0).flatten().to_numpy().reshape(len(table), -1)
         found = []
-        for rows in np.split(np.arange(len(pdf)), starts):
+        for rows in np.split(np.arange(len(table)), starts):
             _, kind, p, q = keys[rows[0]]
             block = _Block(cols, rows, diagonal=kind == 0 and p == q)
             if block.compare(radius):
@@ -259,8 +277,13 @@ def compare_blocks(
             return pd.DataFrame(columns=columns)
         return pd.DataFrame({c: _column([f[c] for f in found]) for c in columns})
 
+    target = points.sparkSession.createDataFrame([], schema).toArrow().schema
+
+    def compared(table: pa.Table) -> pa.Table:
+        return pa.Table.from_pandas(run(table), schema=target, preserve_index=False)
+
     # Little data but much work: keep the groups spread over all shuffle partitions.
-    return jobs.repartition(partitions, "bundle").groupBy("bundle").applyInPandas(run, schema)
+    return jobs.repartition(partitions, "bundle").groupBy("bundle").applyInArrow(compared, schema)
 
 
 class _Block:
@@ -282,21 +305,71 @@ class _Block:
         """Find the pairs ``(rows, cols)`` within the radius, each once; false if none."""
         if min(map(len, self._sides)) < (2 if self.diagonal else 1):
             return False
-        similarity = self._product("dims", "vals")
-        if similarity.max() > 1 + 1e-5:
-            raise ValueError("vectors are longer than one")
-        rows, cols = np.nonzero(similarity >= 1 - radius - 1e-9)
+        if "head" in self._cols:
+            rows, cols, similarity = self._by_head(1 - radius - 1e-9)
+        else:
+            product = self._product("dims", "vals")
+            if product.max() > 1 + 1e-5:
+                raise ValueError("vectors are longer than one")
+            rows, cols = np.nonzero(product >= 1 - radius - 1e-9)
+            similarity = product[rows, cols]
         if self.diagonal:
             once = rows < cols
-            rows, cols = rows[once], cols[once]
+            rows, cols, similarity = rows[once], cols[once], similarity[once]
         if len(rows) and self._cols["earlier"][self._sides[0][0]] is not None:
             # A pair that shares an earlier cell is reported there.
             here = self._product("earlier", None)[rows, cols] == 0
-            rows, cols = rows[here], cols[here]
+            rows, cols, similarity = rows[here], cols[here], similarity[here]
         self.rows, self.cols = rows, cols
-        self.distance = 1.0 - similarity[rows, cols]
+        self.distance = 1.0 - similarity
         return len(rows) > 0
 
+    def _by_head(self, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pairs of a similarity of ``least`` or more, told apart by their leading values as far as these go.
+
+        At every stop the product so far and the lengths of the rest bound the whole product.
+        ``multiplied`` counts the values that entered products.
+        """
+        one, two = (self._cols["head"][s] for s in (self._sides[0], self._sides[-1]))
+        lengths = [self._cols["square"][s] for s in (self._sides[0], self._sides[-1])]
+        if max(length.max() for length in lengths) > 1 + 1e-5:
+            raise ValueError("vectors are longer than one")
+        ends = [stop for stop in _STOPS if stop < one.shape[1]] + [one.shape[1]]
+        seen = [np.concatenate([np.zeros((len(h), 1)), np.cumsum(h * h, axis=1)], axis=1) for h in (one, two)]
+        product, rows, cols, begin, self.multiplied = np.zeros((len(one), len(two))), None, None, 0, 0
+        for end in ends:
+            rest = [np.sqrt(np.maximum(length - s[:, end], 0)) + 1e-9 for length, s in zip(lengths, seen)]
+            if rows is None:
+                product += one[:, begin:end] @ two[:, begin:end].T
+                self.multiplied += product.size * (end - begin)
+                alive = product + np.outer(*rest) >= least
+                if alive.sum() <= _FEW * alive.size or end == ends[-1]:
+                    rows, cols = np.nonzero(alive)
+                    product = product[rows, cols]
+            else:
+                product = product + _products(one[:, begin:end], rows, two[:, begin:end], cols)
+                self.multiplied += len(rows) * (end - begin)
+                alive = product + rest[0][rows] * rest[1][cols] >= least
+                rows, cols, product = rows[alive], cols[alive], product[alive]
+            if rows is not None and not len(rows):
+                return rows, cols, product
+            begin = end
+        if "dims" not in self._cols:
+            return rows, cols, product
+        # The vectors have more than their leading values: what is left is multiplied whole.
+        if len(rows) > _FEW * len(one) * len(two):
+            product = self._product("dims", "vals")[rows, cols]
+        else:
+            left, right = np.unique(rows, return_inverse=True), np.unique(cols, return_inverse=True)
+            sides = [_Entries(self._cols["dims"][s[k]], self._cols["vals"][s[k]]) for s, k in zip((self._sides[0], self._sides[-1]), (left[0], right[0]))]
+            shared, product = np.intersect1d(sides[0].dims, sides[1].dims), np.zeros(len(rows))
+            step = max(1, MATRIX_VALUES // max(side.count for side in sides))
+            for at in range(0, len(shared), step):
+                part = shared[at : at + step]
+                product += _products(sides[0].matrix(part), left[1], sides[1].matrix(part), right[1])
+        near = product >= least
+        return rows[near], cols[near], product[near]
+
     def rounded(self) -> np.ndarray:
         return np.round(np.maximum(self.distance, 0.0), DECIMALS)
 
@@ -404,62 +477,81 @@ def _prefix_cells(points: DataFrame, radius: float) -> DataFrame:
 def _anchor_cells(
     points: DataFrame, radius: float, anchors: int, dense: tuple[float, int] | None
 ) -> DataFrame:
-    ranked = points.orderBy(F.xxhash64("id"), "id").limit(anchors)
-    rows = ranked.select(
-        F.col("entries.dim").alias("dims"), F.col("entries.val").alias("vals")
-    ).toPandas()
-    used = np.unique(np.concatenate([np.zeros(0, "int32"), *rows["dims"]]))
-    matrix = _dense(list(rows["dims"]), list(rows["vals"]), used)
-    if dense is not None and len(matrix):
-        matrix = _thinned(matrix, dense[0])
     context = points.sparkSession.sparkContext
-    sent = context.broadcast((used, matrix, _apart(matrix @ matrix.T)))
+    ranked = points.orderBy(F.xxhash64("id"), "id")
+    fitted = _directions(ranked.limit(FIT_ROWS))
+    turn = context.broadcast(fitted)
+
+    @F.pandas_udf("array<double>")
+    def turned(dims: pd.Series, vals: pd.Series) -> pd.Series:
+        used, directions = turn.value
+        step = max(1, MATRIX_VALUES // max(1, len(used)))
+        parts = [
+            _dense(list(dims[at : at + step]), list(vals[at : at + step]), used) @ directions
+            for at in range(0, len(dims), step)
+        ]
+        return pd.Series([row for part in parts for row in part], dtype=object)
+
+    square = F.aggregate("entries.val", F.lit(0.0), lambda total, v: total + v * v)
+    points = points.withColumns({"head": turned(F.col("entries.dim"), F.col("entries.val")), "square": square})
+    points = cut_lineage(points)
+    first = points.orderBy(F.xxhash64("id"), "id").limit(anchors).select("head").toArrow()["head"].combine_chunks()
+    centres = first.flatten().to_numpy().reshape(len(first), fitted[1].shape[1])
+    if dense is not None and len(centres):
+        centres = _thinned(centres, dense[0])
+    sent = context.broadcast(centres)
     reach = np.sqrt(2.0 * radius)
 
-    def alike(dims: pd.Series, vals: pd.Series) -> Iterator[np.ndarray]:
-        used, matrix, _ = sent.value
-        step = max(1, MATRIX_VALUES // max(len(used), len(matrix)))
-        for at in range(0, len(dims), step):
-            yield _dense(list(dims[at : at + step]), list(vals[at : at + step]), used) @ matrix.T
+    def apart(heads: pd.Series) -> Iterator[np.ndarray]:
+        """Distances from all anchors, some points at a time."""
+        step = max(1, MATRIX_VALUES // max(1, len(sent.value)))
+        for at in range(0, len(heads), step):
+            yield _distances(np.stack(list(heads[at : at + step])), sent.value)
 
     @F.pandas_udf("home int, gap double")
-    def settle(dims: pd.Series, vals: pd.Series) -> pd.DataFrame:
-        parts = [(a.argmax(axis=1), _apart(a.max(axis=1))) for a in alike(dims, vals)]
+    def settle(heads: pd.Series) -> pd.DataFrame:
+        parts = [(a.argmin(axis=1), a.min(axis=1)) for a in apart(heads)]
         home, gap = (np.concatenate(p) for p in zip(*parts)) if parts else ([], [])
         return pd.DataFrame({"home": home, "gap": gap})
 
-    settled = points.withColumn("at", settle(F.col("entries.dim"), F.col("entries.val")))
+    settled = points.withColumn("at", settle("head"))
     settled = cut_lineage(settled.select(*points.columns, "at.home", "at.gap"))
-    widths = np.full(len(matrix), -np.inf)
-    for row in settled.groupBy("home").agg(F.max("gap").alias("width")).collect():
+    widths = np.full(len(centres), -np.inf)
+    rest = F.greatest(F.col("square") - F.aggregate("head", F.lit(0.0), lambda total, v: total + v * v), F.lit(0.0))
+    whole = True
+    for row in settled.groupBy("home").agg(F.max("gap").alias("width"), F.max(rest).alias("rest")).collect():
         widths[row["home"]] = row["width"]
+        whole = whole and row["rest"] < 1e-12
     wide = context.broadcast(widths)
 
     @F.pandas_udf("array<int>")
-    def visit(dims: pd.Series, vals: pd.Series, home: pd.Series) -> pd.Series:
-        _, _, between = sent.value
+    def visit(heads: pd.Series, home: pd.Series) -> pd.Series:
         out, done = [], 0
-        for a in alike(dims, vals):
+        for a in apart(heads):
             at_home = home.to_numpy()[done : done + len(a)]
             done += len(a)
             # The border with another region must be near, and so must that region's points.
-            border = a[np.arange(len(a)), at_home][:, None] - a <= reach * between[at_home] + 1e-9
-            inside = _apart(a) <= reach + wide.value + 1e-9
+            homes, place = np.unique(at_home, return_inverse=True)
+            between = _distances(sent.value[homes], sent.value)[place]
+            own = a[np.arange(len(a)), at_home][:, None]
+            border = a * a - own * own <= 2 * between * (reach + 1e-9) + 1e-9
+            inside = a <= reach + wide.value + 1e-9
             earlier = np.arange(a.shape[1]) < at_home[:, None]
             rows, cells = np.nonzero(border & inside & earlier)
             out += np.split(cells.astype("int32"), np.searchsorted(rows, np.arange(1, len(a))))
         return pd.Series(out, dtype=object)
 
-    others = visit(F.col("entries.dim"), F.col("entries.val"), F.col("home"))
     cells = (
         f"concat(array(named_struct('cell', home, 'role', {_HOME})), "
         f"transform(others, c -> named_struct('cell', c, 'role', {_OUTER})))"
     )
-    placed = settled.withColumn("others", others).withColumn("cells", F.expr(cells)).drop("others")
+    placed = settled.withColumn("others", visit("head", "home")).withColumn("cells", F.expr(cells)).drop("others")
+    columns = [c for c in points.columns if c != "entries" or not whole]
     if dense is None:
-        return placed.select(*points.columns, "cells", _no_prefix(), _no_leader(points))
+        return placed.select(*columns, "cells", _no_prefix(), _no_leader(points))
+    # The distance from an anchor is that of the leading values and of the rest.
     placed = cut_lineage(placed).withColumn(
-        "ball", F.when(F.col("gap") <= dense[0], F.col("home"))
+        "ball", F.when(F.sqrt(F.col("gap") * F.col("gap") + rest) <= dense[0], F.col("home"))
     )
     balls = (
         placed.where(F.col("ball").isNotNull())
@@ -471,19 +563,47 @@ def _anchor_cells(
     inner = F.expr(f"transform(cells, c -> named_struct('cell', c.cell, 'role', "
                    f"if(c.role = {_HOME} and leader is not null, {_INNER}, c.role)))")
     return placed.join(splittable(balls), "ball", "left").select(
-        *points.columns, inner.alias("cells"), _no_prefix(), "leader"
+        *columns, inner.alias("cells"), _no_prefix(), "leader"
     )
 
 
-def _apart(similarity: np.ndarray) -> np.ndarray:
-    """Euclidean distance of unit vectors."""
-    return np.sqrt(np.maximum(2.0 - 2.0 * similarity, 0.0))
+def _directions(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The dimensions that are longest in a sample, and its main directions among them."""
+    rows = sample.select(F.col("entries.dim").alias("dims"), F.col("entries.val").alias("vals")).toPandas()
+    if not len(rows):
+        return np.zeros(0, "int32"), np.zeros((0, 1))
+    dims, place = np.unique(np.concatenate(list(rows["dims"])), return_inverse=True)
+    energy = np.bincount(place, np.concatenate(list(rows["vals"])) ** 2)
+    used = np.sort(dims[np.argsort(-energy, kind="stable")[:FIT_DIMS]])
+    matrix = _dense(list(rows["dims"]), list(rows["vals"]), used)
+    _, directions = np.linalg.eigh(matrix.T @ matrix)
+    return used, np.ascontiguousarray(directions[:, ::-1][:, :HEAD])
+
+
+def _products(one: np.ndarray, rows: np.ndarray, two: np.ndarray, cols: np.ndarray) -> np.ndarray:
+    """Products of single rows, some at a time."""
+    out = np.empty(len(rows))
+    step = max(1, MATRIX_VALUES // max(1, one.shape[1]))
+    for at in range(0, len(rows), step):
+        out[at : at + step] = np.einsum("ij,ij->i", one[rows[at : at + step]], two[cols[at : at + step]])
+    return out
+
+
+def _distances(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    squares = (one * one).sum(axis=1)[:, None] + (two * two).sum(axis=1) - 2.0 * (one @ two.T)
+    return np.sqrt(np.maximum(squares, 0.0))
 
 
-def _thinned(anchors: np.ndarray, reach: float) -> np.ndarray:
+def _thinned(anchors: np.ndarray, reach: float, block: int = 512) -> np.ndarray:
     """Anchors that lie further than ``reach`` from all kept before them."""
-    kept = [0]
-    for n in range(1, len(anchors)):
-        if _apart(anchors[kept] @ anchors[n]).min() > reach:
-            kept.append(n)
-    return anchors[kept]
+    kept = anchors[:0]
+    for at in range(0, len(anchors), block):
+        some = anchors[at : at + block]
+        if len(kept):
+            some = some[_distances(some, kept).min(axis=1) > reach]
+        near, own = _distances(some, some) <= reach, []
+        for n in range(len(some)):
+            if not near[n, own].any():
+                own.append(n)
+        kept = np.concatenate([kept, some[own]])
+    return kept

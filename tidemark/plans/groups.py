@@ -20,7 +20,7 @@ from tidemark.session import cut_lineage, literal_table
 EPS_GRID = (0.001, 0.01, 0.015, 0.065, 0.115, 0.165, 0.215, 0.265)
 DISTANCES = ("global", "per_attribute")
 METRIC_NAMES = (
-    "clustered", "clusters", "completeness", "epsilon", "homogeneity", "minSamples", "noise", "purity",
+    "clustered", "clusters", "completeness", "epsilon", "homogeneity", "minWeight", "noise", "purity",
 )
 
 
@@ -29,7 +29,7 @@ class ClusterParams:
     """Settings of one run."""
 
     eps: float = 0.115
-    min_samples: int = 5
+    min_weight: int = 5
     distance: str = "global"
     layout: Sequence[AttributeSlice] = ()
     euclidean: bool = False
@@ -66,7 +66,7 @@ def cluster_endpoints(
     metrics, per_cluster = cluster_quality(endpoints, _labels(snapshots, label))
     settings = literal_table(
         snapshots.sparkSession,
-        [("epsilon", float(params.eps)), ("minSamples", float(params.min_samples))],
+        [("epsilon", float(params.eps)), ("minWeight", float(params.min_weight))],
         "name string, value double",
     )
     return Clustered(
@@ -79,7 +79,7 @@ def grid_search(
     label: str,
     layout: Sequence[AttributeSlice],
     *,
-    min_samples: int,
+    min_weight: int,
     metric: str = "homogeneity",
     eps_grid: Sequence[float] = EPS_GRID,
     distances: Sequence[str] = DISTANCES,
@@ -102,7 +102,7 @@ def grid_search(
     parts = []
     for distance in distances:
         params = ClusterParams(
-            min_samples=min_samples, distance=distance, layout=layout, euclidean=euclidean, cells=cells
+            min_weight=min_weight, distance=distance, layout=layout, euclidean=euclidean, cells=cells
         )
         metrics, _ = cluster_quality(_assigned(features, params, eps_grid), labels, by=["eps"])
         parts.append(metrics.withColumn("distance", F.lit(distance)))
@@ -110,7 +110,7 @@ def grid_search(
     for part in parts[1:]:
         found = found.unionByName(part)
     points = [
-        (f"eps={e},min_samples={min_samples},distance={d}", float(e), d, n)
+        (f"eps={e},min_weight={min_weight},distance={d}", float(e), d, n)
         for n, (e, d) in enumerate((e, d) for e in eps_grid for d in distances)
     ]
     grid = literal_table(spark, points, "param string, eps double, distance string, position int")
@@ -118,7 +118,7 @@ def grid_search(
         "param",
         F.explode(
             F.create_map(
-                F.lit("epsilon"), F.col("eps"), F.lit("minSamples"), F.lit(float(min_samples))
+                F.lit("epsilon"), F.col("eps"), F.lit("minWeight"), F.lit(float(min_weight))
             )
         ).alias("name", "value"),
     )
@@ -132,9 +132,9 @@ def grid_search(
         .first()
     )
     if best is None:
-        return default or ClusterParams(min_samples=min_samples, layout=layout), wide
+        return default or ClusterParams(min_weight=min_weight, layout=layout), wide
     chosen = ClusterParams(
-        eps=best["eps"], min_samples=min_samples, distance=best["distance"], layout=layout,
+        eps=best["eps"], min_weight=min_weight, distance=best["distance"], layout=layout,
         euclidean=euclidean, cells=cells,
     )
     return chosen, wide
@@ -152,7 +152,7 @@ def _assigned(features: DataFrame, params: ClusterParams, eps: Sequence[float])
     vectors = cut_lineage(features.select(F.col("endpoint").alias("id"), entries))
     points = dedupe_vectors(vectors)
     clusters = dbscan(
-        points, eps, params.min_samples,
+        points, eps, params.min_weight,
         metric="euclidean" if params.euclidean else "cosine",
         cells=params.cells,
         faithful_zero_distance=params.faithful_zero_distance,

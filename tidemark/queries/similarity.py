@@ -16,13 +16,14 @@ from tidemark.operators.similarity import (
     unit_vectors_long,
     vector_members,
 )
-from tidemark.plans.groups import ClusterParams, cluster_endpoints, grid_search
+from tidemark.plans.groups import EPS_GRID, ClusterParams, cluster_endpoints, grid_search
 from tidemark.queries.inputs import events_ms, table
 from tidemark.session import literal_table
 
 _EPS, _MIN = 0.65, 3
 _PAUSE = 21_600_000
-_GRID = (0.5, 0.6, 0.65)
+#: All distances of the library's grid, and some at which the supplied vectors have neighbours.
+_GRID = (*EPS_GRID, 0.5, 0.6, 0.65)
 _SPARSE_EPS, _TIGHT_EPS = 0.45, 0.3
 _EUCLID = 0.999
 _COPY = 10_000_000
@@ -104,9 +105,9 @@ def cosine_sparse(spark, sf_dir):
     return cosine_pairs(_orders_by_part(spark, sf_dir), _SPARSE_EPS, cells="prefix")
 
 
-def _clusters(vectors, eps, min_samples, **options):
+def _clusters(vectors, eps, min_weight, **options):
     points = dedupe_vectors(vectors)
-    found = dbscan(points, eps, min_samples, **options)
+    found = dbscan(points, eps, min_weight, **options)
     return expand_clusters(found, vectors, points, "vec_id").select(
         "vec_id", F.col("clusterId").alias("cluster")
     )
@@ -135,19 +136,19 @@ def components(spark, sf_dir):
 
 
 def cluster_assignments(spark, sf_dir):
-    params = ClusterParams(eps=_EPS, min_samples=_MIN, cells="anchors")
+    params = ClusterParams(eps=_EPS, min_weight=_MIN, cells="anchors")
     found = cluster_endpoints(_snapshots(spark, sf_dir), params, label="label")
     return found.snapshots.select("endpoint", "snapshotTimestamp", "label", "clusterId")
 
 
 def cluster_metrics(spark, sf_dir):
-    params = ClusterParams(eps=_EPS, min_samples=_MIN, cells="anchors")
+    params = ClusterParams(eps=_EPS, min_weight=_MIN, cells="anchors")
     found = cluster_endpoints(_snapshots(spark, sf_dir), params, label="label")
     return found.metrics.select("name", F.round("value", 6).alias("value"))
 
 
 def per_cluster_metrics(spark, sf_dir):
-    params = ClusterParams(eps=_EPS, min_samples=_MIN, cells="anchors")
+    params = ClusterParams(eps=_EPS, min_weight=_MIN, cells="anchors")
     found = cluster_endpoints(_snapshots(spark, sf_dir), params, label="label")
     return found.per_cluster.select("clusterId", "name", F.round("value", 6).alias("value"))
 
@@ -160,15 +161,15 @@ def dbscan_sparse(spark, sf_dir):
 def grid_best(spark, sf_dir):
     """The grid point with the best homogeneity, the first of equal ones."""
     best, _ = grid_search(
-        _snapshots(spark, sf_dir), "label", _LAYOUT, min_samples=_MIN, eps_grid=_GRID, cells="anchors"
+        _snapshots(spark, sf_dir), "label", _LAYOUT, min_weight=_MIN, eps_grid=_GRID, cells="anchors"
     )
     return literal_table(spark, [(best.eps, best.distance)], "eps double, distance string")
 
 
 def grid(spark, sf_dir):
-    """Metrics of all grid points over three eps and both distances."""
+    """Metrics of all grid points over the whole grid and both distances."""
     _, metrics = grid_search(
-        _snapshots(spark, sf_dir), "label", _LAYOUT, min_samples=_MIN, eps_grid=_GRID, cells="anchors"
+        _snapshots(spark, sf_dir), "label", _LAYOUT, min_weight=_MIN, eps_grid=_GRID, cells="anchors"
     )
     return metrics.select("param", *[F.round(c, 6).alias(c) for c in metrics.columns if c != "param"])
 
@@ -261,12 +262,12 @@ s AS (
     (SELECT sum(n * ln(n)) FROM t) AS cells, (SELECT sum(n * ln(n)) FROM c) AS rs, (SELECT sum(n * ln(n)) FROM l) AS cs
 ),
 h AS (SELECT *, ln(total) - cs / total AS hl, ln(total) - rs / total AS hc FROM s)
-SELECT 'eps={eps},min_samples={_MIN},distance={distance}' AS param, coalesce(total, 0) AS clustered,
+SELECT 'eps={eps},min_weight={_MIN},distance={distance}' AS param, coalesce(total, 0) AS clustered,
   CAST((SELECT count(*) FROM c) AS DOUBLE) AS clusters,
   round(CASE WHEN hc <= 1e-12 THEN 1 ELSE 1 - ((cs - cells) / total) / hc END, 6) AS completeness,
   CAST({eps} AS DOUBLE) AS epsilon,
   round(CASE WHEN hl <= 1e-12 THEN 1 ELSE 1 - ((rs - cells) / total) / hl END, 6) AS homogeneity,
-  CAST({_MIN} AS DOUBLE) AS "minSamples",
+  CAST({_MIN} AS DOUBLE) AS "minWeight",
   CAST((SELECT count(*) FROM clusters WHERE cluster IS NULL) AS DOUBLE) AS noise,
   round(top / total, 6) AS purity
 FROM h)"""
@@ -359,7 +360,7 @@ UNION ALL SELECT 'noise', CAST(count(*) AS DOUBLE) FROM clusters WHERE cluster I
 UNION ALL SELECT 'purity', round(top / total, 6) FROM s
 UNION ALL SELECT 'homogeneity', round(1 - ((rs - cells) / total) / (ln(total) - cs / total), 6) FROM s
 UNION ALL SELECT 'completeness', round(1 - ((cs - cells) / total) / (ln(total) - rs / total), 6) FROM s
-UNION ALL SELECT 'epsilon', {_EPS} UNION ALL SELECT 'minSamples', CAST({_MIN} AS DOUBLE)""",
+UNION ALL SELECT 'epsilon', {_EPS} UNION ALL SELECT 'minWeight', CAST({_MIN} AS DOUBLE)""",
     "per_cluster_metrics": f"""{_CLUSTERS},
 t AS (SELECT cluster, label, CAST(count(*) AS DOUBLE) AS n FROM clusters WHERE cluster IS NOT NULL GROUP BY ALL),
 c AS (SELECT cluster, sum(n) AS n, max(n) AS top FROM t GROUP BY ALL)
