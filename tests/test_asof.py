@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators.asof import asof_join, interval_join
+from tidemark.operators.asof import asof_join, in_range_parts, interval_join
 
 # Doors opened, and what a thermometer and a meter at the site said around then.
 OPENED = [(1, "north", "in", 100), (2, "north", "out", 160), (3, "south", "in", 95), (4, "east", "in", 30), (5, "north", "in", 400)]
@@ -12,7 +12,7 @@ READ = [
     ("north", "in", 155, None, 30), ("north", "out", 405, 2, 2), ("south", "in", 96, 5, 5), ("west", "in", 30, 1, 1),
 ]
 NAMES = {"left_map": {"site": "site", "n": "n"}, "right_map": {"site": "site", "heat": "heat", "load": "load"}}
-STRATEGIES = [{"strategy": "window"}, {"strategy": "bucketed"}, {"strategy": "bucketed", "bucket_ms": 3}]
+STRATEGIES = [{"strategy": "window"}, {"strategy": "bucketed"}, {"strategy": "bucketed", "bucket_ms": 3}, {"strategy": "scan"}]
 
 
 @pytest.fixture
@@ -108,7 +108,7 @@ def test_against_brute_force_with_a_hot_key(spark, match, lookback):
     l = spark.createDataFrame(left, "n int, key string, ts long")
     r = spark.createDataFrame(right, "key string, ts long, x int, y int")
     want = brute(left, right, lookback, match == "next")
-    for options in ({"strategy": "window"}, {}, {"bucket_ms": 5}, {"bucket_ms": 700}):
+    for options in ({"strategy": "window"}, {"strategy": "scan"}, {}, {"bucket_ms": 5}, {"bucket_ms": 700}):
         df = asof_join(l, r, ["key"], lookback_ms=lookback, match=match, **options)
         assert sorted(map(tuple, df.select("n", "key", "ts", "x", "y").collect()), key=lambda t: t[0]) == want
 
@@ -207,3 +207,32 @@ def test_adaptive_execution_splits_a_hot_timestamp(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_scan_bounds_the_largest_task(spark, plan):
+    """One key and one hour hold nine tenths of the rows, and still no part is large."""
+    rnd = random.Random(12)
+    hot = [("hot", 5_000_000 + k) for k in rnd.sample(range(3_600_000), 9_000)]
+    rows = hot + [(f"k{k % 40}", rnd.randrange(10**9)) for k in range(1_000)]
+    left = [(n, k, t) for n, (k, t) in enumerate(rows) if n % 2]
+    right = [(k, t, n if n % 3 else None, -n if n % 5 else None) for n, (k, t) in enumerate(rows) if not n % 2]
+    schema = "key string, ts long, up int, down int"
+    probes, values = spark.createDataFrame(left, "n int, key string, ts long"), spark.createDataFrame(right, schema)
+    parts = in_range_parts(probes.select("key", "ts"), ["key", "ts"], "part", 20).groupBy("part").count().collect()
+    assert len(parts) == 20 and max(r["count"] for r in parts) < 2 * len(left) / 20
+    for match in ("previous", "next"):
+        got, want = (
+            {r["n"]: (r["up"], r["down"]) for r in asof_join(probes, values, ["key"], match=match, lookback_ms=90_000, strategy=s).collect()}
+            for s in ("scan", "window")
+        )
+        assert got == want and len(got) == len(left)
+
+
+def test_scan_with_null_keys_and_without_rows(spark, rows):
+    left = spark.createDataFrame([(1, None, 5), (2, "a", 5), (3, "a", None)], "n int, key string, ts long")
+    right = spark.createDataFrame([(None, 4, 7), ("a", 5, 8), ("a", None, 9)], "key string, ts long, v int")
+    scan = {"strategy": "scan"}
+    assert rows(asof_join(left, right, ["key"], **scan).select("n", "v")) == [(1, None), (2, 8)]
+    assert rows(asof_join(left, right, ["key"], null_safe_keys=True, **scan).select("n", "v")) == [(1, 7), (2, 8)]
+    assert rows(asof_join(left, right.limit(0), ["key"], **scan).select("n", "v")) == [(1, None), (2, None)]
+    assert asof_join(left.limit(0), right, ["key"], **scan).count() == 0

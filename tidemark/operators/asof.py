@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import bucket_of
+from tidemark.session import cut_lineage
 
 # Fixed value: an hour plus twenty seconds, for sources that report hourly.
 DEFAULT_LOOKBACK_MS = 3_620_000
@@ -57,7 +58,10 @@ def asof_join(
     and carries only the last value of a bucket into later ones, so that no task
     holds more than the distinct timestamps of one bucket, however hot the key or
     the timestamp is. ``strategy="window"`` sorts each key's rows in one task: a
-    shuffle less, for keys known to be even.
+    shuffle less, for keys known to be even. ``strategy="scan"`` sorts all rows by keys and
+    timestamp into parts of about equal size, whatever the keys are: each part is folded
+    to one row per key, those rows are scanned, and what comes before a part is carried
+    into it. It is for keys so hot that a single bucket is too much for a task.
     """
     keys = list(keys)
     left, right = _mapped(left, left_map, ts), _mapped(right, right_map, ts)
@@ -82,6 +86,8 @@ def asof_join(
     args = (left, right, keys, ts, values, lookback_ms, match, tie_break, null_safe_keys)
     if strategy == "window":
         joined = _by_window(*args)
+    elif strategy == "scan":
+        joined = _by_scan(*args)
     else:
         joined = _by_bucket(*args, bucket_ms or DEFAULT_BUCKET_MS)
     return joined.withColumns(empty).select(*left.columns, *names) if empty else joined
@@ -135,14 +141,40 @@ def _by_bucket(left, right, keys, ts, values, lookback_ms, match, tie_break, nul
     points = probes.unionByName(
         right.withColumn(_PROBE, F.lit(False)), allowMissingColumns=True
     ).withColumn(_BUCKET, bucket_of(F.col(ts), width))
-    # Copies of one (keys, ts) are combined before the shuffle.
-    points = points.groupBy(*keys, _BUCKET, ts).agg(
+    points = _one_per_time(points, [*keys, _BUCKET], ts, values, tie_break)
+    return _carried(left, points, keys, ts, values, lookback_ms, match, null_safe)
+
+
+def _by_scan(left, right, keys, ts, values, lookback_ms, match, tie_break, null_safe):
+    probes = left.select(*keys, ts, F.lit(True).alias(_PROBE))
+    if not null_safe:
+        probes = probes.where(_all_known(keys))
+    points = probes.unionByName(right.withColumn(_PROBE, F.lit(False)), allowMissingColumns=True)
+    points = in_range_parts(_one_per_time(points, keys, ts, values, tie_break), [*keys, ts], _BUCKET)
+    return _carried(left, points, keys, ts, values, lookback_ms, match, null_safe)
+
+
+def in_range_parts(df: DataFrame, by: Sequence[str], part: str, parts: int | None = None) -> DataFrame:
+    """``df`` stored with the number of a part: ranges of about equal size in the order of ``by``.
+
+    Rows that are equal in ``by`` share a part. There are as many parts as shuffle partitions.
+    """
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cut_lineage(df.repartitionByRange(parts, *by).withColumn(part, F.spark_partition_id().cast("long")))
+
+
+def _one_per_time(points, keys, ts, values, tie_break):
+    """One row per keys and timestamp; copies are combined before the shuffle."""
+    points = points.groupBy(*keys, ts).agg(
         F.max(_PROBE).alias(_PROBE), *[_pick(c, tie_break).alias(_v(c)) for c in values]
     )
-    points = points.select(
+    return points.select(
         "*", *[F.when(F.col(_v(c)).isNotNull(), F.col(ts)).alias(_t(c)) for c in values]
     )
 
+
+def _carried(left, points, keys, ts, values, lookback_ms, match, null_safe):
+    """The closest values of points in buckets, where later buckets have later times."""
     closest_ts, closest = (F.max, F.max_by) if match == "previous" else (F.min, F.min_by)
     edges = points.groupBy(*keys, _BUCKET).agg(
         F.max(_PROBE).alias(_PROBE),
@@ -221,8 +253,8 @@ def _mapped(df: DataFrame, names: Mapping[str, str] | None, ts: str) -> DataFram
 def _check(left, right, keys, ts, values, tie_break, match, strategy):
     if match not in ("previous", "next"):
         raise ValueError("match must be 'previous' or 'next'")
-    if strategy not in ("bucketed", "window"):
-        raise ValueError("strategy must be 'bucketed' or 'window'")
+    if strategy not in ("bucketed", "window", "scan"):
+        raise ValueError("strategy must be 'bucketed', 'window' or 'scan'")
     for side, df, wanted in (
         ("left", left, keys),
         ("right", right, [*keys, *values, *tie_break]),

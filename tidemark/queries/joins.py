@@ -35,6 +35,28 @@ def _asof(**options):
     return query
 
 
+def _squeezed(df):
+    """Nine tenths of the events belong to one user and lie within one hour."""
+    hot = F.col("event_id") % 10 < 9
+    return df.withColumns({
+        "user_id": F.when(hot, 0).otherwise(F.col("user_id")).cast("long"),
+        "ts": F.when(hot, F.col("ts") % _BUCKET).otherwise(F.col("ts")),
+    })
+
+
+def asof_scan(spark, sf_dir):
+    """One hot user and hour, in parts of equal size: the views and clicks of the second before."""
+    events = _squeezed(events_ms(spark, sf_dir))
+    kind, value = F.col("event_type"), F.col("value")
+    left = events.where(kind == "purchase").select("event_id", "user_id", "ts", value.alias("amount"))
+    right = events.where(kind.isin("view", "click")).select(
+        "user_id", "ts",
+        F.when(kind == "view", value).alias("last_view"),
+        F.when(kind == "click", value).alias("last_click"),
+    )
+    return asof_join(left, right, ["user_id"], lookback_ms=1000, strategy="scan")
+
+
 def asof_renamed(spark, sf_dir):
     """Rename maps, a column subset and a timestamp column of another name."""
     left = _purchases(spark, sf_dir).withColumnRenamed("ts", "at")
@@ -92,6 +114,7 @@ QUERIES = {
     "asof_bucketed": _asof(bucket_ms=_BUCKET),
     "asof_window": _asof(strategy="window"),
     "asof_unbounded": _asof(lookback_ms=None, bucket_ms=DAY_MS),
+    "asof_scan": asof_scan,
     "asof_renamed": asof_renamed,
     "asof_two_keys": asof_two_keys,
     "asof_skip_empty": asof_skip_empty,
@@ -135,6 +158,23 @@ SQL = {
         "last_value", f"{_LOOKBACK} PRECEDING AND CURRENT ROW",
         "event_id, user_id, ts, amount, last_view",
     ),
+    "asof_scan": f"""
+WITH e AS (
+  SELECT event_id, event_type, value, CASE WHEN event_id % 10 < 9 THEN 0 ELSE user_id END AS user_id,
+    CASE WHEN event_id % 10 < 9 THEN (epoch_us(ts) // 1000) % {_BUCKET} ELSE epoch_us(ts) // 1000 END AS ms
+  FROM events
+),
+tagged AS (
+  SELECT event_id, user_id, ms, value AS amount, NULL::DOUBLE AS v, NULL::DOUBLE AS c FROM e WHERE event_type = 'purchase'
+  UNION ALL
+  SELECT NULL, user_id, ms, NULL, max(value) FILTER (WHERE event_type = 'view'), max(value) FILTER (WHERE event_type = 'click')
+  FROM e WHERE event_type IN ('view', 'click') GROUP BY user_id, ms
+),
+filled AS (
+  SELECT event_id, user_id, ms AS ts, amount, last_value(v IGNORE NULLS) OVER w AS last_view, last_value(c IGNORE NULLS) OVER w AS last_click
+  FROM tagged WINDOW w AS (PARTITION BY user_id ORDER BY ms RANGE BETWEEN 1000 PRECEDING AND CURRENT ROW)
+)
+SELECT event_id, user_id, ts, amount, last_view, last_click FROM filled WHERE event_id IS NOT NULL""",
     "asof_next": _asof_sql("first_value", f"CURRENT ROW AND {_LOOKBACK} FOLLOWING", _ALL),
     "asof_unbounded": _asof_sql("last_value", "UNBOUNDED PRECEDING AND CURRENT ROW", _ALL),
     "asof_skip_empty": _asof_sql(
