@@ -7,6 +7,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from tidemark.operators.features import device_words, words_to_vector
+from tidemark.operators.histograms import TreeParams, fit_trees
 from tidemark.operators.learning import (
     boosting,
     fit_boosting,
@@ -73,6 +74,31 @@ def boosting_search(spark, sf_dir):
     )
 
 
+_TREES = TreeParams(
+    n_estimators=5, learning_rate=0.5, num_leaves=4, max_depth=2, min_data_in_leaf=5, lambda_l1=0.1, lambda_l2=1.0,
+    early_stopping_rounds=2,
+)
+
+
+def _boosted_trees(spark, sf_dir):
+    """Trees of four leaves; a fold of the groups decides how many of them are kept."""
+    rows = cut_lineage(stratified_group_folds(_training(spark, sf_dir), "group", "label", 3))
+    return rows, fit_trees(rows.where("fold > 0"), _TREES, validation=rows.where("fold = 0"))
+
+
+def boosting_trees(spark, sf_dir):
+    """Scores of all rows by the trees that are kept."""
+    rows, model = _boosted_trees(spark, sf_dir)
+    return model.transform(rows).select("vec_id", "fold", F.round("raw", 6).alias("score"), "prediction")
+
+
+def boosting_rounds(spark, sf_dir):
+    """The log loss of the validation rows after each tree that was tried, and whether the tree is kept."""
+    _, model = _boosted_trees(spark, sf_dir)
+    rounds = [(n, round(loss, 6), n <= len(model.trees)) for n, loss in enumerate(model.losses, 1)]
+    return literal_table(spark, rounds, "tree int, loss double, kept boolean")
+
+
 def _class_models(spark, sf_dir):
     """A model of one split per class: does a device send more than it receives?"""
     windowed = _windowed(spark, sf_dir)
@@ -140,6 +166,8 @@ QUERIES = {
     "boosting": boosted,
     "boosting_f1": boosting_f1,
     "boosting_search": boosting_search,
+    "boosting_trees": boosting_trees,
+    "boosting_rounds": boosting_rounds,
     "scoring": scoring,
     "scoring_metrics": scoring_metrics,
     "scoring_rule": scoring_rule,
@@ -190,6 +218,50 @@ _F1_SQL = """CASE WHEN coalesce(sum(weight) FILTER (WHERE prediction = 1 AND lab
   ELSE 2 * sum(weight) FILTER (WHERE prediction = 1 AND label = 1)
     / (sum(weight) FILTER (WHERE prediction = 1) + sum(weight) FILTER (WHERE label = 1)) END"""
 
+def _tree_sql(n: int) -> str:
+    """One more tree of depth two on 0/1 features: histograms, gains and leaf values of its training rows."""
+    def level(k: int, before: str, after: str) -> str:
+        return f"""{after}_h AS MATERIALIZED (
+  SELECT node, dim, x, sum(g) AS g, sum(h) AS h, count(*) AS n
+  FROM (SELECT node, g, h, unnest(range(0, len(features))) AS dim, unnest(features) AS x FROM {before} WHERE fold > 0) GROUP BY ALL
+), {after}_s AS (
+  SELECT node, dim, sum(g) AS g, sum(h) AS h, sum(n) AS n, coalesce(sum(g) FILTER (WHERE x = 0), 0) AS g0,
+    coalesce(sum(h) FILTER (WHERE x = 0), 0) AS h0, coalesce(sum(n) FILTER (WHERE x = 0), 0) AS n0 FROM {after}_h GROUP BY ALL
+), {after}_b AS (
+  SELECT node, arg_min(dim, (-gain, dim)) AS dim FROM (
+    SELECT *, round(greatest(abs(g0) - {_TREES.lambda_l1}, 0) ** 2 / (h0 + {_TREES.lambda_l2})
+      + greatest(abs(g - g0) - {_TREES.lambda_l1}, 0) ** 2 / (h - h0 + {_TREES.lambda_l2})
+      - greatest(abs(g) - {_TREES.lambda_l1}, 0) ** 2 / (h + {_TREES.lambda_l2}), 9) AS gain FROM {after}_s)
+  WHERE gain > 0 AND least(n0, n - n0) >= {_TREES.min_data_in_leaf} GROUP BY node
+), {after} AS MATERIALIZED (
+  SELECT r.* EXCLUDE (node), CASE WHEN b.dim IS NULL THEN r.node ELSE 2 * r.node + r.features[b.dim + 1] END AS node
+  FROM {before} r LEFT JOIN {after}_b b ON b.node = r.node
+)"""
+
+    return f"""g{n} AS MATERIALIZED (
+  SELECT vec_id, features, label, weight, fold, score, 1 AS node, weight * (1 / (1 + exp(-score)) - label) AS g,
+    weight * (1 / (1 + exp(-score))) * (1 - 1 / (1 + exp(-score))) AS h FROM r{n - 1}
+), {level(0, f"g{n}", f"a{n}")}, {level(1, f"a{n}", f"b{n}")}, v{n} AS (
+  SELECT node, -sign(sum(g)) * greatest(abs(sum(g)) - {_TREES.lambda_l1}, 0) / (sum(h) + {_TREES.lambda_l2}) AS value
+  FROM b{n} WHERE fold > 0 GROUP BY node
+), r{n} AS MATERIALIZED (
+  SELECT b.vec_id, b.features, b.label, b.weight, b.fold, b.score + {_TREES.learning_rate} * v.value AS score
+  FROM b{n} b JOIN v{n} v ON v.node = b.node
+)"""
+
+
+_LOSS = "greatest(CASE WHEN label = 1 THEN -score ELSE score END, 0) + ln(1 + exp(-abs(score)))"
+_TRIED = range(1, _TREES.n_estimators + 1)
+_TREES_SQL = f"""{_FOLDS_SQL.format(k=3)}, r0 AS MATERIALIZED (
+  SELECT *, (SELECT ln(p / (1 - p)) FROM (SELECT sum(weight * label) / sum(weight) AS p FROM folded WHERE fold > 0)) AS score FROM folded
+), {", ".join(map(_tree_sql, _TRIED))}, losses AS MATERIALIZED (
+  {" UNION ALL ".join(f"SELECT {n} AS tree, sum(weight * ({_LOSS})) / sum(weight) AS loss FROM r{n} WHERE fold = 0" for n in _TRIED)}
+), so_far AS (
+  SELECT tree, loss, arg_min(tree, (loss, tree)) OVER (ORDER BY tree) AS best FROM losses
+), tried AS (
+  SELECT * FROM so_far WHERE tree <= coalesce((SELECT min(tree) FROM so_far WHERE tree - best >= {_TREES.early_stopping_rounds}), {_TREES.n_estimators})
+), kept AS (SELECT arg_min(tree, (loss, tree)) AS tree FROM tried)"""
+
 _FLAGS = ", ".join(f"max(CAST(w.word = '{word}' AS INTEGER))" for word in _WORDS)
 _SCORED_SQL = f"""{_WITH_WORDS},
 traffic AS (
@@ -223,6 +295,11 @@ SELECT round({_F1_SQL}, 9) AS f1 FROM predicted""",
   SELECT c // 2 AS n, any_value(least) AS least, {_F1_SQL} AS f1 FROM predicted WHERE NOT train GROUP BY c, c // 2
 ), means AS (SELECT n, CAST(any_value(least) AS DOUBLE) AS min_gain, avg(f1) AS f1 FROM scores GROUP BY n)
 SELECT min_gain, round(f1, 9) AS f1, n = (SELECT arg_max(-n, f1) FROM means) * -1 AS best FROM means""",
+    "boosting_trees": f"""{_TREES_SQL}
+SELECT vec_id, fold, round(score, 6) AS score, CAST(score > 0 AS DOUBLE) AS prediction
+FROM ({" UNION ALL ".join(f"SELECT *, {n} AS tree FROM r{n}" for n in _TRIED)}) JOIN kept USING (tree)""",
+    "boosting_rounds": f"""{_TREES_SQL}
+SELECT CAST(tree AS INTEGER) AS tree, round(loss, 6) AS loss, tree <= (SELECT tree FROM kept) AS kept FROM tried""",
     "scoring": f"""{_SCORED_SQL}
 SELECT mac, label, uuid, num_apps FROM scored WHERE prediction = 1""",
     "scoring_metrics": f"""{_SCORED_SQL}
