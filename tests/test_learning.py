@@ -1,11 +1,16 @@
+import hashlib
 import random
+from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from tidemark.operators.learning import (
+    balanced_group_folds,
     boosting,
+    deal_rests,
     fit_boosting,
     positives,
     score_classes,
@@ -97,3 +102,67 @@ def test_no_task_numbers_all_groups(spark, plan):
     windows = [line for line in plan(folds).splitlines() if "row_number" in line and "Window" in line]
     assert windows and all("digits" in line for line in windows)
     assert {r["n"] for r in folds.groupBy("fold").agg(F.count("*").alias("n")).collect()} == {1000}
+
+
+def mixed_groups(seed):
+    """Groups of several labels, many of them alike."""
+    rnd = random.Random(seed)
+    kinds = [[rnd.choice("aabc") for _ in range(rnd.randint(1, 7))] for _ in range(25)]
+    rows = [(f"g{n}", label) for n in range(300) for label in (rnd.choice(kinds) if n % 3 else rnd.choices("abc", k=rnd.randint(1, 9)))]
+    return rows + [("huge", "a")] * 40 + [(None, "b"), (None, None)]
+
+
+def spread(rows, fold_of, k):
+    totals, held = Counter(label for _, label in rows), defaultdict(Counter)
+    for g, label in rows:
+        held[label][fold_of[g]] += 1
+    return np.mean([np.std([held[name][f] / n for f in range(k)]) for name, n in totals.items()])
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_balanced_folds_equal_a_greedy_loop(spark, seed):
+    rows, k = mixed_groups(seed), 3
+    df = spark.createDataFrame(rows, "group string, label string")
+    got = {r["group"]: r["fold"] for r in balanced_group_folds(df, "group", "label", k).select("group", "fold").distinct().collect()}
+    labels = sorted({name for _, name in rows}, key=lambda x: (x is not None, x))
+    counts = defaultdict(lambda: [0] * len(labels))
+    for g, label in rows:
+        counts[g][labels.index(label)] += 1
+    alike = defaultdict(list)
+    for g, c in counts.items():
+        alike[tuple(c)].append(g)
+    order = sorted(alike, key=lambda c: (len(c) * sum(x * x for x in c) - sum(c) ** 2, c), reverse=True)
+    held, totals, want = np.zeros((k, len(labels))), np.zeros(len(labels)), {}
+    for c in order:
+        totals += np.array(c) * (len(alike[c]) % k)
+    totals = np.maximum(totals, 1)
+    for c in order:
+        names = sorted(alike[c], key=lambda g: (hashlib.md5((g or "").encode()).hexdigest(), g or ""))
+        even, used = len(names) // k * k, set()
+        want |= {g: n % k for n, g in enumerate(names[:even])}
+        for g in names[even:]:
+            rated = []
+            for f in set(range(k)) - used:
+                after = held.copy()
+                after[f] += c
+                rated.append((round(float((after / totals).std(axis=0).mean()), 12), held[f].sum(), f))
+            want[g] = min(rated)[2]
+            used.add(want[g])
+            held[want[g]] += c
+    assert got == want
+    dealt = {r["group"]: r["fold"] for r in stratified_group_folds(df, "group", "label", k).select("group", "fold").distinct().collect()}
+    assert spread(rows, got, k) <= spread(rows, dealt, k)
+
+
+def test_balanced_folds_deal_equal_groups_evenly(spark, plan):
+    df = spark.createDataFrame([(f"g{g}", n % 2) for g in range(1000) for n in range(3)], "group string, label int")
+    folds = balanced_group_folds(df, "group", "label", 4)
+    assert {r["n"] for r in folds.groupBy("fold").agg(F.countDistinct("group").alias("n")).collect()} == {250}
+    assert all("digits" in line for line in plan(folds).splitlines() if "row_number" in line and "Window" in line)
+    few = balanced_group_folds(df, "group", "label", 3, most=0).groupBy("fold").agg(F.countDistinct("group").alias("n")).collect()
+    assert sorted(r["n"] for r in few) == [333, 333, 334]
+    assert balanced_group_folds(df.limit(0), "group", "label", 3).count() == 0
+
+
+def test_rests_go_to_different_folds():
+    assert deal_rests([([5, 0], 2), ([0, 5], 1), ([1, 1], 0)], 3) == [[0, 1], [2], []]

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.vectors import as_array
-from tidemark.operators.learning import stratified_group_folds, weighted_f1
+from tidemark.operators.learning import balanced_group_folds, weighted_f1
 from tidemark.session import cut_lineage
 
 #: Relative error of the quantiles is one in this many.
@@ -100,7 +100,7 @@ class BoostedTrees:
 
 
 def bin_edges(df: DataFrame, features: str, max_bins: int) -> list[np.ndarray]:
-    """Upper ends of each feature's bins, from a quantile sketch; there are as many as distinct values if these are few."""
+    """Upper ends of each feature's bins, from a quantile sketch; values rarer than a bin's share may have none of their own."""
     shares = F.array(*[F.lit((k + 1) / max_bins) for k in range(max_bins)])
     values = df.select(F.posexplode(features).alias("dim", "x"))
     ends = values.groupBy("dim").agg(F.percentile_approx("x", shares, ACCURACY).alias("ends")).collect()
@@ -279,7 +279,7 @@ def search_trees(
 
     Each fold's rows decide how many trees are kept. Of equal means the first grid point wins.
     """
-    folds = cut_lineage(stratified_group_folds(train, group, label, k))
+    folds = cut_lineage(balanced_group_folds(train, group, label, k))
     scores = []
     for values in product(*grid.values()):
         params, found = replace(base, **dict(zip(grid, values))), []
@@ -288,6 +288,6 @@ def search_trees(
             model = fit_trees(
                 folds.where(F.col("fold") != n), params, validation=test, features=features, label=label, weight=weight, metric="auc"
             )
-            found.append(weighted_f1(label, weight).evaluate(model.transform(test, features)))
+            found.append(weighted_f1(label, weight).evaluate(model.transform(test, features).drop("probability")))
         scores.append((params, float(np.mean(found))))
     return max(scores, key=lambda s: s[1])[0], scores

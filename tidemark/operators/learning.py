@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
 from pyspark.ml import Model, PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -11,7 +12,7 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import cut_lineage, splittable
+from tidemark.session import cut_lineage, literal_table, splittable
 
 # Boosting parameters and their names in Spark ML.
 BOOSTING_PARAMS = {
@@ -59,6 +60,70 @@ def stratified_group_folds(
     return df.join(dealt, F.col(group).eqNullSafe(F.col("__group"))).drop("__group")
 
 
+def balanced_group_folds(
+    df: DataFrame, group: str, label: str, k: int, *, fold: str = "fold", most: int = 100_000
+) -> DataFrame:
+    """Add a fold 0..k-1 such that a group never spans folds and every label is spread evenly.
+
+    A group is its counts of all labels, and groups of equal counts are alike: they are dealt
+    evenly, in the order of their md5, and only what does not go up evenly is assigned,
+    each to the fold that leaves the shares of all labels closest. Counts come in the order
+    of their own spread, widest first. The driver gets a row per different counts; beyond
+    the first ``most`` of them the rest of equal groups starts at a fold by hash. Null labels
+    are a label, and null groups one group.
+    """
+    labels = [r[0] for r in df.select(label).distinct().orderBy(F.asc_nulls_first(label)).collect()]
+    one = [F.count(F.when(F.col(label).eqNullSafe(F.lit(name)), 1)) for name in labels] or [F.lit(0).cast("long")]
+    groups = df.groupBy(F.col(group).alias("__group")).agg(F.array(*one).alias("counts"))
+    key = F.md5(F.coalesce(F.col("__group").cast("string"), F.lit("")))
+    groups = groups.withColumn("key", key).withColumn("digits", F.substring("key", 1, 3))
+    tally = groups.groupBy("counts", "digits").agg(F.count(F.lit(1)).alias("m"))
+    alike = cut_lineage(tally.groupBy("counts").agg(F.sum("m").alias("all")))
+    square = F.aggregate("counts", F.lit(0).cast("long"), lambda a, c: a + c * c) * len(labels)
+    total = F.aggregate("counts", F.lit(0).cast("long"), lambda a, c: a + c)
+    first = alike.orderBy((square - total * total).desc(), F.col("counts").desc()).limit(most).collect()
+    rests = deal_rests([(list(r["counts"]), r["all"] % k) for r in first], k)
+    known = literal_table(
+        df.sparkSession, [(list(r["counts"]), rest) for r, rest in zip(first, rests)], "counts array<bigint>, rest array<int>"
+    )
+    ahead = Window.partitionBy("counts").orderBy("digits").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = tally.withColumn("before", F.coalesce(F.sum("m").over(ahead), F.lit(0))).drop("m")
+    offsets = offsets.join(alike, "counts").join(known, "counts", "left")
+    together = Window.partitionBy("counts", "digits").orderBy("key", "__group")
+    place = F.col("before") + F.row_number().over(together) - 1
+    even = F.floor(F.col("all") / k) * k
+    other = F.pmod(F.xxhash64("counts") + place, F.lit(k))
+    rest = F.coalesce(F.get("rest", (place - even).cast("int")).cast("long"), other)
+    dealt = groups.join(splittable(offsets), ["counts", "digits"]).select(
+        "__group", F.when(place < even, F.pmod(place, F.lit(k))).otherwise(rest).cast("int").alias(fold)
+    )
+    return df.join(dealt, F.col(group).eqNullSafe(F.col("__group"))).drop("__group")
+
+
+def deal_rests(groups: Sequence[tuple[Sequence[int], int]], k: int) -> list[list[int]]:
+    """For counts of labels and how many groups have them, fewer than ``k``, a fold for each, all different.
+
+    Each goes to the fold that makes the mean spread of the labels' shares least; of equal
+    folds to that of fewest rows, then to the first.
+    """
+    if not groups:
+        return []
+    counts = np.array([c for c, _ in groups], float)
+    totals = np.maximum((counts * np.array([[n] for _, n in groups]).reshape(-1, 1)).sum(axis=0), 1)
+    held, out = np.zeros((k, counts.shape[1])), []
+    for row, (_, n) in zip(counts, groups):
+        free, chosen = list(range(k)), []
+        for _ in range(n):
+            after = np.repeat(held[None], len(free), axis=0)
+            after[np.arange(len(free)), free] += row
+            spread = np.round((after / totals).std(axis=1).mean(axis=1), 12)
+            best = min(range(len(free)), key=lambda f: (spread[f], held[free[f]].sum(), free[f]))
+            held[free[best]] += row
+            chosen.append(free.pop(best))
+        out.append(chosen)
+    return out
+
+
 def boosting(
     *,
     features: str = "features",

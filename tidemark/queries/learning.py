@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.features import device_words, words_to_vector
 from tidemark.operators.histograms import TreeParams, fit_trees
 from tidemark.operators.learning import (
+    balanced_group_folds,
     boosting,
     fit_boosting,
     search_boosting,
@@ -40,6 +41,13 @@ def group_folds(spark, sf_dir):
     return folds.groupBy("group", "fold").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def balanced_folds(spark, sf_dir):
+    """Fold of each group by all its labels."""
+    rows = _training(spark, sf_dir).withColumn("label", F.when(F.col("label") == 1, F.floor(F.col("weight") * 10)).otherwise(F.col("label")))
+    folds = balanced_group_folds(rows, "group", "label", 3)
+    return folds.groupBy("group", "fold").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def fold_shares(spark, sf_dir):
     folds = stratified_group_folds(_training(spark, sf_dir), "group", "label", 3)
     return folds.groupBy("fold").agg(
@@ -163,6 +171,7 @@ def scoring_rule_metrics(spark, sf_dir):
 QUERIES = {
     "group_folds": group_folds,
     "fold_shares": fold_shares,
+    "balanced_folds": balanced_folds,
     "boosting": boosted,
     "boosting_f1": boosting_f1,
     "boosting_search": boosting_search,
