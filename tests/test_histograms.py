@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.histograms import TreeParams, best_splits, bin_edges, fit_trees, search_trees
+from tidemark.operators.learning import score_classes
 
 
 def sample(n, seed, noise=0.2):
@@ -128,3 +129,35 @@ def test_search_keeps_the_first_best(spark):
     best, scores = search_trees(frame(spark, sample(120, 6, 0.1)), grid, base=base, k=2)
     assert [(p.num_leaves, p.lambda_l1) for p, _ in scores] == [(2, 0.0), (2, 1e9), (6, 0.0), (6, 1e9)]
     assert best.lambda_l1 == 0 and dict((p, s) for p, s in scores)[best] == max(s for _, s in scores)
+
+
+class WithoutExpression:
+    """A model that only transforms, as those of Spark ML."""
+
+    def __init__(self, model):
+        self.model = model
+
+    def transform(self, df):
+        return self.model.transform(df)
+
+
+def test_all_classes_in_one_pass(spark, rows, plan, tmp_path):
+    data = frame(spark, sample(150, 8)).withColumn("class", F.concat(F.lit("c"), F.col("n") % 4))
+    params = TreeParams(n_estimators=2, num_leaves=4, min_data_in_leaf=2)
+    models = {f"c{k}": fit_trees(data.where(F.col("n") % 4 == k), params) for k in range(3)}
+    data.write.parquet(str(tmp_path / "rows"))
+    stored = spark.read.parquet(str(tmp_path / "rows"))
+    one = score_classes(stored, models, "class")
+    many = score_classes(stored, {name: WithoutExpression(model) for name, model in models.items()}, "class")
+    assert rows(one) == rows(many.select(one.columns)) and one.count() < 150
+    assert plan(one).count("FileScan") == 1 and plan(many).count("FileScan") == 3
+
+
+def test_words_are_features(spark, rows):
+    """Trees on words flag the devices that they flag on the words' vector."""
+    vocabulary = ("client_web", "client_mail", "server_web")
+    data = [(n, [float(n & 1), float(n >> 1 & 1), float(n >> 2 & 1)], int(n % 8 in (1, 5, 7)), 1.0, "g") for n in range(64)]
+    model = fit_trees(frame(spark, data), TreeParams(n_estimators=2, num_leaves=5, min_data_in_leaf=1, learning_rate=1.0))
+    words = spark.createDataFrame([(n, [w for k, w in enumerate(vocabulary) if n >> k & 1]) for n in range(8)], "n int, words array<string>")
+    flagged = words.where(model.predicted_by_words(vocabulary) == 1)
+    assert rows(flagged.select("n")) == [(1,), (5,), (7,)]

@@ -9,7 +9,7 @@ grow best leaf first. The rows carry their score from tree to tree.
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from functools import reduce
 from itertools import product
@@ -86,18 +86,28 @@ class BoostedTrees:
     trees: list[Tree]
     losses: list[float]
 
-    def raw(self, features: Column) -> Column:
-        """The score in log odds of an array of features."""
-        left = lambda split: features[split.dim] <= split.threshold
+    def raw(self, feature: Callable[[int], Column]) -> Column:
+        """The score in log odds, from the column of each feature."""
+        left = lambda split: feature(split.dim) <= split.threshold
         return reduce(lambda total, tree: total + self.rate * tree.value(left), self.trees, F.lit(self.first))
 
     def transform(self, df: DataFrame, features: str = "features") -> DataFrame:
         """Rows with ``raw``, ``probability`` and ``prediction``."""
-        scored = df.withColumn("raw", self.raw(as_array(df, features)))
+        values = as_array(df, features)
+        scored = df.withColumn("raw", self.raw(lambda dim: values[dim]))
         return scored.withColumns({
             "probability": 1 / (1 + F.exp(-F.col("raw"))), "prediction": (F.col("raw") > 0).cast("double")
         })
 
+    def predicted(self, df: DataFrame, features: str = "features") -> Column:
+        """The prediction as one expression on the rows of ``df``."""
+        values = as_array(df, features)
+        return (self.raw(lambda dim: values[dim]) > 0).cast("double")
+
+    def predicted_by_words(self, vocabulary: Sequence[str], words: str = "words") -> Column:
+        """The prediction of rows whose features are the words of a vocabulary that they have."""
+        return (self.raw(lambda dim: F.array_contains(words, vocabulary[dim]).cast("double")) > 0).cast("double")
+
 
 def bin_edges(df: DataFrame, features: str, max_bins: int) -> list[np.ndarray]:
     """Upper ends of each feature's bins, from a quantile sketch; values rarer than a bin's share may have none of their own."""

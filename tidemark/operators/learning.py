@@ -202,7 +202,14 @@ def fit_boosting(
 def score_classes(
     rows: DataFrame, models: Mapping[str, Model | PipelineModel], label: str = "label"
 ) -> DataFrame:
-    """Rows of each class with the prediction of that class's model."""
+    """Rows of each class with the prediction of that class's model.
+
+    If all models give their prediction as an expression (``predicted``), the rows are read
+    once and each takes that of its class; other models each read the rows of their class.
+    """
+    if models and all(hasattr(model, "predicted") for model in models.values()):
+        own = [F.when(F.col(label) == name, model.predicted(rows)) for name, model in models.items()]
+        return rows.where(F.col(label).isin(*models)).withColumn("prediction", F.coalesce(*own))
     scored = [
         model.transform(rows.where(F.col(label) == name)).select(*rows.columns, "prediction")
         for name, model in models.items()

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.times import start_time
 from tidemark.operators.enrich import assign_class
 from tidemark.operators.features import device_words, words_to_vector
+from tidemark.operators.histograms import BoostedTrees
 from tidemark.operators.learning import positives, score_classes
 from tidemark.operators.metrics import detection_metrics, merge_metrics, out_of_vocab_metrics
 from tidemark.operators.rollup import last_record, recent_bins, time_bins, trailing_window
@@ -55,7 +56,7 @@ class ClassModel(NamedTuple):
     """Model of one class and the vocabulary its features are built on."""
 
     vocabulary: Sequence[str]
-    model: Model
+    model: Model | BoostedTrees
 
 
 @dataclass(frozen=True)
@@ -94,7 +95,7 @@ def score_usage(
         "label string, word string",
     )
     words = cut_lineage(device_words(windowed.where(F.col("label").isin(*models)), vocabulary))
-    scored = score_classes(words, {label: _Scorer(m) for label, m in models.items()})
+    scored = score_classes(words, {label: _scorer(m) for label, m in models.items()})
     detections = positives(scored, DETECTION_COLUMNS)
     return detections, merge_metrics(out_of_vocab_metrics(words), detection_metrics(detections))
 
@@ -161,6 +162,10 @@ def _retire(spark: SparkSession, job: DetectionJob, customer: str, upto: datetim
     archive_all(tables, upto, job.history_root, job.keep, job.keep_endpoints)
 
 
+def _scorer(class_model: ClassModel) -> _Scorer:
+    return _TreeScorer(class_model) if isinstance(class_model.model, BoostedTrees) else _Scorer(class_model)
+
+
 class _Scorer:
     """Features, then the model, for rows with ``words``."""
 
@@ -170,3 +175,11 @@ class _Scorer:
     def transform(self, df: DataFrame) -> DataFrame:
         vocabulary, model = self.class_model
         return model.transform(words_to_vector(df, vocabulary))
+
+
+class _TreeScorer(_Scorer):
+    """Trees as an expression on ``words``; no features are built."""
+
+    def predicted(self, df: DataFrame) -> Column:
+        vocabulary, model = self.class_model
+        return model.predicted_by_words(vocabulary)

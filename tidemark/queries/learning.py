@@ -107,7 +107,10 @@ def boosting_rounds(spark, sf_dir):
     return literal_table(spark, rounds, "tree int, loss double, kept boolean")
 
 
-def _class_models(spark, sf_dir):
+_SPLIT = TreeParams(n_estimators=1, learning_rate=1.0, num_leaves=2, min_data_in_leaf=1, lambda_l2=1.0)
+
+
+def _class_models(spark, sf_dir, trees=None):
     """A model of one split per class: does a device send more than it receives?"""
     windowed = _windowed(spark, sf_dir)
     vocabulary = literal_table(
@@ -122,9 +125,8 @@ def _class_models(spark, sf_dir):
     # A class without devices has nothing to learn from, and nothing to score.
     present = sorted(r["label"] for r in words.select("label").distinct().collect())
     clf = boosting(label="target", weight=None, **_STUMP)
-    models = {
-        label: ClassModel(_WORDS, clf.fit(rows.where(F.col("label") == label))) for label in present
-    }
+    fit = (lambda df: fit_trees(df, trees, label="target", weight=None)) if trees else clf.fit
+    models = {label: ClassModel(_WORDS, fit(rows.where(F.col("label") == label))) for label in present}
     return windowed, models
 
 
@@ -134,6 +136,12 @@ def scoring(spark, sf_dir):
     return detections.select("mac", "label", "uuid", F.size("apps").cast("long").alias("num_apps"))
 
 
+def scoring_trees(spark, sf_dir):
+    """Devices that the trees of their class flag: all classes in one pass, without features."""
+    detections, _ = score_usage(*_class_models(spark, sf_dir, _SPLIT))
+    return detections.select("mac", "label", "uuid", F.size("apps").cast("long").alias("num_apps"))
+
+
 def scoring_metrics(spark, sf_dir):
     _, metrics = score_usage(*_class_models(spark, sf_dir))
     return _plain_metrics(metrics)
@@ -178,6 +186,7 @@ QUERIES = {
     "boosting_trees": boosting_trees,
     "boosting_rounds": boosting_rounds,
     "scoring": scoring,
+    "scoring_trees": scoring_trees,
     "scoring_metrics": scoring_metrics,
     "scoring_rule": scoring_rule,
     "scoring_rule_metrics": scoring_rule_metrics,
@@ -272,14 +281,15 @@ _TREES_SQL = f"""{_FOLDS_SQL.format(k=3)}, r0 AS MATERIALIZED (
 ), kept AS (SELECT arg_min(tree, (loss, tree)) AS tree FROM tried)"""
 
 _FLAGS = ", ".join(f"max(CAST(w.word = '{word}' AS INTEGER))" for word in _WORDS)
-_SCORED_SQL = f"""{_WITH_WORDS},
+_CASES_SQL = f"""{_WITH_WORDS},
 traffic AS (
   SELECT mac, label, uuid, CAST(sum(clientBytes) > sum(serverBytes) AS INTEGER) AS heavy, count(*) AS num_apps FROM windowed GROUP BY ALL
 ), cases AS (
   SELECT t.mac, t.uuid, t.num_apps, t.label AS c, 0.0 AS least, t.heavy AS label, 1.0::DOUBLE AS weight, true AS train,
     [{_FLAGS}] AS features, bool_or(contains(w.word, 'out-of-vocab')) AS oov
   FROM traffic t JOIN words w USING (mac, label, uuid) GROUP BY t.mac, t.uuid, t.num_apps, t.label, t.heavy
-), {_STUMP_SQL}, scored AS (SELECT mac, c AS label, uuid, num_apps, oov, prediction FROM predicted)"""
+) """
+_SCORED_SQL = f"""{_CASES_SQL}, {_STUMP_SQL}, scored AS (SELECT mac, c AS label, uuid, num_apps, oov, prediction FROM predicted)"""
 
 SQL = {
     "scoring_rule": f"""{_DEVICES_SQL}
@@ -311,6 +321,18 @@ FROM ({" UNION ALL ".join(f"SELECT *, {n} AS tree FROM r{n}" for n in _TRIED)})
 SELECT CAST(tree AS INTEGER) AS tree, round(loss, 6) AS loss, tree <= (SELECT tree FROM kept) AS kept FROM tried""",
     "scoring": f"""{_SCORED_SQL}
 SELECT mac, label, uuid, num_apps FROM scored WHERE prediction = 1""",
+    "scoring_trees": f"""{_CASES_SQL}, started AS (SELECT *, avg(label) OVER (PARTITION BY c) AS p FROM cases), sums AS (
+  SELECT c, dim, any_value(p) AS p, sum(p - label) AS g, sum(p * (1 - p)) AS h, count(*) AS n, coalesce(sum(p - label) FILTER (WHERE x = 0), 0) AS g0,
+    coalesce(sum(p * (1 - p)) FILTER (WHERE x = 0), 0) AS h0, count(*) FILTER (WHERE x = 0) AS n0
+  FROM (SELECT c, p, label, unnest(range(0, len(features))) AS dim, unnest(features) AS x FROM started) GROUP BY c, dim
+), best AS (
+  SELECT c, arg_min(struct_pack(dim := dim, g := g, h := h, g0 := g0, h0 := h0), (-gain, dim)) AS b FROM (
+    SELECT *, round(g0 ** 2 / (h0 + 1) + (g - g0) ** 2 / (h - h0 + 1) - g ** 2 / (h + 1), 9) AS gain FROM sums WHERE p > 0 AND p < 1)
+  WHERE gain > 0 AND least(n0, n - n0) >= 1 GROUP BY c
+)
+SELECT mac, c AS label, uuid, num_apps FROM started LEFT JOIN best USING (c)
+WHERE CASE WHEN p = 0 THEN false WHEN p = 1 THEN true ELSE ln(p / (1 - p)) - coalesce(
+  CASE WHEN features[b.dim + 1] = 0 THEN b.g0 / (b.h0 + 1) ELSE (b.g - b.g0) / (b.h - b.h0 + 1) END, 0) > 0 END""",
     "scoring_metrics": f"""{_SCORED_SQL}
 SELECT label, count(*) AS devices, count(*) FILTER (WHERE oov) AS out_of_vocab,
   CASE WHEN count(*) FILTER (WHERE prediction = 1) > 0 THEN count(*) FILTER (WHERE prediction = 1) END AS detections
