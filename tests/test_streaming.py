@@ -3,7 +3,9 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from tidemark.operators.rollup import last_record, nested_usage, time_bins, trailing_window
+from tidemark.sources.state import merge_endpoints
 from tidemark.streaming.detection import run_partial_bins, write_batch
+from tidemark.streaming.endpoints import changed_endpoints, state_store
 from tidemark.streaming.native import deduplicated, stream_files, windowed_bins
 
 I, W = timedelta(minutes=15), timedelta(hours=1)
@@ -92,3 +94,51 @@ def test_sliding_windows(spark, tmp_path, rows):
     )
     query.awaitTermination()
     assert [r["timeBin"] for r in sorted(spark.table("sliding").collect())] == [at(-5), at(0), at(5)]
+
+
+RECORDS = "macAddress string, timestamp timestamp, n long, s string"
+ARRIVALS = [
+    [("a", 1, 1, "x"), ("b", 5, -2, None), ("a", 1, 10, "w"), ("d", 2, None, None)],
+    [("a", 0, 7, "q"), ("b", 5, -2, "z"), (None, 3, 1, ""), ("d", None, 3, "t"), ("a", 1, 10, "w")],
+    [("a", 30, 0, "y"), ("a", 20, 9, "z"), ("c", 31, 1, "c")],
+    [("d", 3, 1, "late"), ("c", 31, 1, "c"), ("b", 5, 4, "")],
+]
+
+
+def records(spark, rows):
+    return spark.createDataFrame([(k, None if m is None else at(m), n, s) for k, m, n, s in rows], RECORDS).coalesce(1)
+
+
+def run_endpoints(spark, tmp_path, keep):
+    stream = stream_files(spark, str(tmp_path / "records"), RECORDS, max_files=1)
+    with state_store(spark):
+        query = (
+            changed_endpoints(stream, keep=keep).writeStream.outputMode("update")
+            .foreachBatch(lambda df, n: write_batch(df, str(tmp_path / "changes"), n))
+            .option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+
+
+def test_endpoints_in_state_equal_the_merge(spark, tmp_path, rows):
+    """After every batch, the changes so far are the merge of all records so far: late and repeated ones too."""
+    known, seen = spark.createDataFrame([], RECORDS), {}
+    for batch in ARRIVALS:
+        records(spark, batch).write.mode("append").parquet(str(tmp_path / "records"))
+        run_endpoints(spark, tmp_path, timedelta(days=1))
+        arrived = records(spark, [r for r in batch if r[0] is not None and r[1] is not None])
+        known = spark.createDataFrame(merge_endpoints(arrived, known).collect(), RECORDS)
+        changes = spark.read.parquet(str(tmp_path / "changes")).orderBy("batchId").collect()
+        newest = {r["macAddress"]: tuple(r)[:4] for r in changes}
+        assert sorted(newest.values(), key=repr) == rows(known)
+        seen[len(seen)] = [r["change"] for r in changes]
+    assert seen[0] == ["new"] * 3 and sorted(seen[3]) == ["new"] * 4 + ["updated"] * 4
+
+
+def test_old_endpoints_are_retired(spark, tmp_path):
+    for n, batch in enumerate([[("a", 1, 1, "x"), ("b", 50, 1, "y")], [("b", 130, 2, "y")], [("b", 131, 3, "y"), ("a", 2, 5, "late")]]):
+        records(spark, batch).write.mode("append").parquet(str(tmp_path / "records"))
+        run_endpoints(spark, tmp_path, timedelta(minutes=60))
+    changes = spark.read.parquet(str(tmp_path / "changes")).orderBy("batchId", "n").collect()
+    assert [(r["macAddress"], r["n"], r["change"]) for r in changes if r["macAddress"] == "a"] == [("a", 1, "new"), ("a", 1, "retired")]
+    assert [r["change"] for r in changes if r["macAddress"] == "b"] == ["new", "updated", "updated"]

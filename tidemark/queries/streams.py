@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
+from tidemark.operators.metrics import latest_per_key
 from tidemark.operators.rollup import last_record, nested_usage, time_bins, trailing_window
 from tidemark.plans.dataset import resolved_flows
 from tidemark.queries import inputs
@@ -22,6 +23,7 @@ from tidemark.queries.usage import (
 from tidemark.session import cut_lineage, shared_dir
 from tidemark.sources.state import latest_partition
 from tidemark.streaming.detection import run_partial_bins, write_batch
+from tidemark.streaming.endpoints import changed_endpoints, state_store
 from tidemark.streaming.native import deduplicated, stream_files, windowed_bins
 
 _QUARTER, _DAY = timedelta(minutes=15), timedelta(days=1)
@@ -129,7 +131,36 @@ def stream_sliding(spark, sf_dir):
     return _native(spark, sf_dir, "sliding", slide=timedelta(minutes=5))
 
 
+def stream_endpoints(spark, sf_dir):
+    """The newest order of every customer, from the changes of a stream that keeps them in state.
+
+    Orders come in the order of their keys, some a batch later and some again in the next one.
+    """
+    out = _folder(spark, "endpoints")
+    orders = inputs.table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("macAddress"), F.col("o_orderdate").cast("timestamp").alias("timestamp"), "o_orderkey", "o_orderpriority"
+    )
+    most = orders.agg(F.max("o_orderkey")).scalar()
+    batch = F.least(F.floor(F.col("o_orderkey") * _BATCHES / most) + F.expr("if(o_orderkey % 10 = 3, 1, 0)"), F.lit(_BATCHES - 1))
+    arrived = cut_lineage(orders.withColumn("arrival", batch))
+    again = arrived.where(f"o_orderkey % 7 = 1 and arrival < {_BATCHES - 1}").withColumn("arrival", F.col("arrival") + 1)
+    arrivals = arrived.unionByName(again)
+    for n in range(_BATCHES):
+        arrivals.where(F.col("arrival") == n).drop("arrival").coalesce(1).write.mode("append").parquet(f"{out}/in")
+    stream = stream_files(spark, f"{out}/in", orders.schema, glob="*.parquet", max_files=1)
+    with state_store(spark):
+        query = (
+            changed_endpoints(stream, keep=timedelta(days=10_000)).writeStream.outputMode("update")
+            .foreachBatch(lambda changes, n: write_batch(changes, f"{out}/changes", n))
+            .option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+    newest = latest_per_key(spark.read.parquet(f"{out}/changes"), "macAddress", "batchId", ["timestamp", "o_orderkey", "o_orderpriority"])
+    return newest.select("macAddress", F.unix_millis("timestamp").alias("timestamp"), "o_orderkey", "o_orderpriority")
+
+
 QUERIES = {
+    "stream_endpoints": stream_endpoints,
     "stream_bins": stream_bins,
     "stream_usage": stream_usage,
     "stream_window": stream_window,
@@ -165,6 +196,10 @@ _WITH_BINS = f"WITH {_ARRIVALS_SQL}, {_per_batch(RESOLVED_SQL)}, {_per_batch(BIN
 _WITH_WINDOW = f"{_WITH_BINS}, {WINDOW_SQL}"
 
 SQL = {
+    "stream_endpoints": """
+SELECT o_custkey AS macAddress, (epoch_us(o_orderdate) // 1000) AS "timestamp", o_orderkey, o_orderpriority FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders)
+WHERE rn = 1""",
     "stream_bins": f"{_WITH_BINS} SELECT {_BIN_COLUMNS}, batch FROM bins",
     "stream_usage": f"{_WITH_WINDOW} {_USAGE_COLUMNS}",
     "stream_window": f"{_WITH_WINDOW} SELECT {_WINDOW_COLUMNS} FROM windowed",
