@@ -145,7 +145,7 @@ def run_detection(
     found = read_state(spark, job.state_root, "detections", customer, detections.schema, at=upto)
     metrics = cut_lineage(metrics)
     if job.jdbc_url:
-        append_jdbc(found.withColumn("apps", F.to_json("apps")), job.jdbc_url, job.jdbc_table)
+        append_jdbc(exported(found), job.jdbc_url, job.jdbc_table)
     if job.metrics_path:
         failure = append_metrics(metrics, job.metrics_path)
         if failure is not None:
@@ -156,6 +156,11 @@ def run_detection(
     return found, metrics
 
 
+def exported(detections: DataFrame) -> DataFrame:
+    """Detections as a relational table takes them: the nested apps as JSON."""
+    return detections.withColumn("apps", F.to_json("apps"))
+
+
 def _retire(spark: SparkSession, job: DetectionJob, customer: str, upto: datetime, schemas: Mapping) -> None:
     """Copy snapshots past their time to the history tables."""
     tables = {entity: read_state(spark, job.state_root, entity, customer, schema) for entity, schema in schemas.items()}

@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from tidemark.plans.detection import DetectionJob, run_detection
+from tidemark.plans.detection import DetectionJob, exported, run_detection
 from tidemark.queries import inputs
 from tidemark.queries.inputs import BINS_SQL, RESOLVED_SQL, WINDOW_SQL
 from tidemark.queries.learning import _rule_models
@@ -52,8 +52,8 @@ def _raw(spark, sf_dir, root):
     return raw.drop("half").schema
 
 
-def detection_run(spark, sf_dir):
-    """Detections of the second run: stored bins of the first, new flows and changed devices."""
+def _second_run(spark, sf_dir):
+    """Detections of the second run, and the folder its metrics were written to."""
     root = _folder(spark, "detection")
     schema = _raw(spark, sf_dir, f"{root}/raw")
     job = DetectionJob(
@@ -70,16 +70,38 @@ def detection_run(spark, sf_dir):
         fmt="json",
         params=replace(PARAMS, window=_WINDOW),
     )
-    found = None
-    for _, end in _ARRIVALS:
-        found, _ = run_detection(spark, job, "c1", end)
+    metrics = f"{root}/metrics"
+    for (_, end), path in zip(_ARRIVALS, (None, metrics)):
+        found, _ = run_detection(spark, replace(job, metrics_path=path), "c1", end)
+    return found, metrics
+
+
+def detection_run(spark, sf_dir):
+    """Detections of the second run: stored bins of the first, new flows and changed devices."""
+    found, _ = _second_run(spark, sf_dir)
     return found.select(
         "mac", "label", "uuid", F.unix_millis("windowStart").alias("start_ms"),
         F.unix_millis("windowEnd").alias("end_ms"), F.size("apps").cast("long").alias("num_apps"),
     )
 
 
-QUERIES = {"detection_run": detection_run}
+def detection_metrics(spark, sf_dir):
+    """The metrics that the second run wrote."""
+    _, path = _second_run(spark, sf_dir)
+    metrics = spark.read.schema("label string, numDevices long, numOutOfVocab long, numDetections long").json(path)
+    return metrics.select(
+        "label", F.col("numDevices").alias("devices"), F.col("numOutOfVocab").alias("out_of_vocab"), F.col("numDetections").alias("detections")
+    )
+
+
+def detection_exported(spark, sf_dir):
+    """The apps of every detection, from the JSON that is exported."""
+    found, _ = _second_run(spark, sf_dir)
+    app = F.explode(F.from_json("apps", "array<struct<appName: string, numFlows: bigint>>")).alias("app")
+    return exported(found).select("mac", "label", "uuid", app).select("mac", "label", "uuid", "app.appName", "app.numFlows")
+
+
+QUERIES = {"detection_run": detection_run, "detection_metrics": detection_metrics, "detection_exported": detection_exported}
 
 _ARRIVED_SQL = "arrivals AS (SELECT *, event_id * 2 // (SELECT count(*) FROM events) AS batch FROM events)"
 _RUNS_SQL = (
@@ -94,8 +116,7 @@ _RUNS_SQL = (
     )
 )
 
-SQL = {
-    "detection_run": f"""
+_SECOND_SQL = f"""
 WITH {_ARRIVED_SQL}, {_RUNS_SQL}, {_per_batch(BINS_SQL)},
 kept AS (SELECT * FROM bins WHERE batch = 1 OR timeBin > TIMESTAMP '2024-01-31' - INTERVAL 20 DAY),
 {WINDOW_SQL.replace("FROM bins", "FROM kept").replace("INTERVAL 1 DAY", "INTERVAL 20 DAY")},
@@ -103,9 +124,20 @@ words AS (
   SELECT DISTINCT mac, label, uuid, CASE WHEN appName IN {_IN_VOCAB} THEN appName
     ELSE side || '-out-of-vocab' END AS word
   FROM windowed WHERE numFlows > 0
-)
+), devices AS (
+  SELECT mac, label, uuid, count(*) AS words, bool_or(contains(word, 'out-of-vocab')) AS oov FROM words GROUP BY ALL
+)"""
+
+SQL = {
+    "detection_run": f"""{_SECOND_SQL}
 SELECT mac, label, uuid, (epoch_us(any_value(windowStart)) // 1000) AS start_ms,
   (epoch_us(any_value(windowEnd)) // 1000) AS end_ms, count(DISTINCT appName) AS num_apps
-FROM windowed WHERE (mac, label, uuid) IN (SELECT (mac, label, uuid) FROM words GROUP BY mac, label, uuid HAVING count(*) >= 3)
+FROM windowed WHERE (mac, label, uuid) IN (SELECT (mac, label, uuid) FROM devices WHERE words >= 3)
 GROUP BY mac, label, uuid""",
+    "detection_metrics": f"""{_SECOND_SQL}
+SELECT label, count(*) AS devices, count(*) FILTER (WHERE oov) AS out_of_vocab,
+  CASE WHEN count(*) FILTER (WHERE words >= 3) > 0 THEN count(*) FILTER (WHERE words >= 3) END AS detections FROM devices GROUP BY label""",
+    "detection_exported": f"""{_SECOND_SQL}
+SELECT mac, label, uuid, appName, numFlows FROM windowed
+WHERE (mac, label, uuid) IN (SELECT (mac, label, uuid) FROM devices WHERE words >= 3)""",
 }

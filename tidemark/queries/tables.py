@@ -100,10 +100,16 @@ def _stored_orders(spark, sf_dir):
     return root
 
 
-def listing(spark, sf_dir):
+def listing_where(spark, sf_dir):
+    """As ``listing``, of all files with some properties instead of a prefix."""
+    some = F.col("path").rlike("o_orderpriority=[13]") & (F.col("length") > 0) & (F.col("modificationTime") <= F.current_timestamp())
+    return listing(spark, sf_dir, "", where=some)
+
+
+def listing(spark, sf_dir, prefixes=("o_orderpriority=1", "o_orderpriority=3"), **options):
     """Orders in the files that a listing of some priorities finds."""
     root = _stored_orders(spark, sf_dir)
-    found = list_objects(spark, root, ["o_orderpriority=1", "o_orderpriority=3"], glob="*.parquet")
+    found = list_objects(spark, root, prefixes, glob="*.parquet", **options)
     rows = spark.read.schema("o_orderkey bigint").option("recursiveFileLookup", "true").parquet(root)
     held = rows.select(F.col("_metadata.file_path").alias("path")).groupBy("path").agg(F.count(F.lit(1)).alias("n"))
     folder = F.regexp_extract(key_of("path", root), "^o_orderpriority=(.)", 1)
@@ -167,6 +173,7 @@ QUERIES = {
     "non_null_counts": non_null_counts,
     "endpoint_merge": endpoint_merge,
     "listing": listing,
+    "listing_where": listing_where,
     "listing_keys": listing_keys,
     "state_tables": state_tables,
     "state_history": state_history,
@@ -200,6 +207,8 @@ SELECT count(*) FILTER (WHERE event_type = 'view' AND value IS NOT NULL) AS view
 SELECT o_custkey AS macAddress, (epoch_us(o_orderdate) // 1000) AS "timestamp", o_orderkey, o_orderpriority FROM (
   SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders)
 WHERE rn = 1""",
+    "listing_where": """
+SELECT substr(o_orderpriority, 1, 1) AS priority, count(*) AS n FROM orders WHERE substr(o_orderpriority, 1, 1) IN ('1', '3') GROUP BY ALL""",
     "listing": """
 SELECT substr(o_orderpriority, 1, 1) AS priority, count(*) AS n FROM orders WHERE substr(o_orderpriority, 1, 1) IN ('1', '3') GROUP BY ALL""",
     "listing_keys": """SELECT DISTINCT substr(o_orderpriority, 1, 1) AS priority FROM orders""",
