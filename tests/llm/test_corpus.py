@@ -5,6 +5,7 @@ import gzip
 import hashlib
 import random
 import re
+import time
 from collections import Counter, defaultdict
 from itertools import combinations
 
@@ -158,6 +159,53 @@ def test_search_overlaps_equals_all_pairs():
     assert root.tolist() == plain
 
 
+def test_families_of_near_copies_cost_a_search_each():
+    """Two thousand linked sets, and two families that only two of their outliers join."""
+    rng = np.random.default_rng(0)
+    base, other = rng.integers(0, 1 << 60, 400), rng.integers(0, 1 << 60, 400)
+    sets = []
+    for k in range(2000):
+        one = (base if k % 2 else other).copy()
+        one[rng.integers(0, 400, rng.integers(1, 20))] = rng.integers(0, 1 << 60)
+        sets.append(np.unique(one))
+    for k in range(50, 400, 50):
+        sets.append(np.unique(np.concatenate([base[k:], other[:k]])))
+    sets.sort(key=len)
+    n = np.array([len(s) for s in sets])
+    begin = time.process_time()
+    root = search_overlaps(n, np.concatenate(sets), n)
+    # Steps of 50 of 400 shingles link the families in a chain.
+    assert len(set(root.tolist())) == 1 and time.process_time() - begin < 10
+    known = np.arange(len(n)) % 7
+    assert len(set(search_overlaps(n, np.concatenate(sets), n, known).tolist())) == 1
+
+
+def test_links_across_blocks_equal_those_of_one(monkeypatch, spark, docs_of):
+    """Many blocks of one group: hubs, then only what is left between components."""
+    rng = random.Random(21)
+    base = prose(rng, 60, 3000).split()
+    texts, words = [], base
+    for k in range(160):
+        if k % 8 == 0:
+            words = words[3:] + [f"n{k}", f"m{k}", f"o{k}"]
+        at = rng.randrange(len(words))
+        texts.append((k, " ".join(words[:at] + [f"v{k}"] + words[at + 1 :])))
+    expected = sorted(plain_components(texts))
+    assert len({c for _, _, c in expected}) < 40
+    for block in (100_000, 500):
+        monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", block)
+        monkeypatch.setattr(jaccard, "HUBS", 2)
+        assert sorted(map(tuple, jaccard_components(docs_of(texts)).collect())) == expected
+
+
+def test_more_buckets_than_bits(monkeypatch, docs_of):
+    monkeypatch.setattr(jaccard, "BUCKET_BYTES", 200)
+    monkeypatch.setattr(jaccard, "MOST_BUCKETS", 4)
+    rng = random.Random(8)
+    texts = list(enumerate(near_copies(rng, 60)))
+    assert sorted(map(tuple, jaccard_components(docs_of(texts)).collect())) == sorted(plain_components(texts))
+
+
 def test_drop_rows(spark):
     docs = spark.createDataFrame([(1, "a", 1), (1, "a", 2), (1, "b", 3), (None, "a", 4), (2, None, 5), (3, "c", 6)], "id long, text string, version long")
     keys = docs.select("id", F.xxhash64("text").alias("version"), F.expr("version < 3 AS once")).where("not (id = 3) or id is null").distinct()
