@@ -7,6 +7,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -68,32 +69,29 @@ def drop_rows(docs: DataFrame, keys: DataFrame, *, id_col: str, text_col: str) -
     """``docs`` without the rows of ``keys``: ``(id, version, once)``, ``version`` being the xxhash64 of the text.
 
     Of rows whose key has ``once``, one stays. A bit filter of bounded size lets all other
-    rows pass where they are, so only rows that may go are shuffled.
+    rows pass where they are, so only rows that may go are shuffled. Texts stay in the JVM.
     """
     marked = keys.select("id", "version", "once", F.xxhash64(F.coalesce(F.col("id").cast("string"), F.lit("")), "version").alias("hash"))
     marked = stored(marked, "dropped")
     shared = docs.sparkSession.sparkContext.broadcast(bit_filter(marked, "hash"))
+
+    @F.pandas_udf("boolean")
+    def doubtful(hashes: pd.Series) -> pd.Series:
+        return pd.Series(may_contain(shared.value, hashes.to_numpy()))
+
     names = [f"c{k}" for k in range(len(docs.columns))]
     plain = docs.toDF(*names)
     id_name, text_name = names[docs.columns.index(id_col)], names[docs.columns.index(text_col)]
     version = F.xxhash64(F.col(text_name))
     key = F.xxhash64(F.coalesce(F.col(id_name).cast("string"), F.lit("")), version)
-    rows = plain.select(*names, version.alias("version"), key.alias("hash"))
-
-    def sift(wanted: bool):
-        def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                hit = may_contain(shared.value, batch.column(len(names) + 1).to_numpy())
-                yield batch.filter(pa.array(hit == wanted))
-
-        return rows.mapInArrow(passing, rows.schema)
-
-    doubtful, m = sift(True), marked.select(F.col("id").alias("marked_id"), F.col("version").alias("marked_version"), "once")
+    rows = plain.select(*names, version.alias("version")).withColumn("doubtful", doubtful(key))
+    m = marked.select(F.col("id").alias("marked_id"), F.col("version").alias("marked_version"), "once")
     same = F.col(id_name).eqNullSafe(F.col("marked_id")) & (F.col("version") == F.col("marked_version"))
-    doubtful = doubtful.join(m, same, "left")
-    spared = doubtful.where(F.col("once").isNull()).select(*names)
-    once = doubtful.where("once").dropDuplicates([id_name, "version"]).select(*names)
-    return sift(False).select(*names).unionByName(spared).unionByName(once).toDF(*docs.columns)
+    found = rows.where("doubtful").join(m, same, "left").where("once IS NULL OR once")
+    # Rows that stay for other reasons get a number of their own, and so are never copies.
+    number = F.when(F.col("once").isNull(), F.monotonically_increasing_id())
+    found = found.withColumn("number", number).dropDuplicates([id_name, "version", "number"])
+    return rows.where("NOT doubtful").select(*names).unionByName(found.select(*names)).toDF(*docs.columns)
 
 
 def byte_view(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
