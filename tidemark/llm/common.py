@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import pickle
 import uuid
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Callable, Iterator
+from typing import TypeVar
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import shared_dir
@@ -30,6 +32,41 @@ def stored(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+T = TypeVar("T")
+
+
+def shared_value(spark: SparkSession, value: T) -> Callable[[], T]:
+    """Send a model to all tasks together with its class; what is returned gives them the model."""
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(sent.value)
+
+
+class _Made(dict):
+    """What a task has made once. It travels empty, so that every task makes its own."""
+
+    def __reduce__(self):
+        return _Made, ()
+
+
+_MADE = _Made()
+
+
+def made_once(name: str, make: Callable[[], T]) -> T:
+    """A value that is the same for all batches of a task."""
+    if name not in _MADE:
+        _MADE[name] = make()
+    return _MADE[name]
+
+
+def drawn(id_col: str, text_col: str) -> Column:
+    """A number of 0 to 1 by the hash of id, text and place, so that even equal rows are drawn one by one.
+
+    It is the same whenever the same files are read in the same parts.
+    """
+    text = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
+    return F.pmod(F.xxhash64(text, F.col(text_col), F.monotonically_increasing_id()), F.lit(1 << 30)) / (1 << 30)
+
+
 def share_of(id_col: str, modulus: int) -> Column:
     """The crc32 of an id as text, modulo ``modulus``; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % modulus
@@ -158,8 +195,11 @@ _STEP = 0x9E3779B97F4A7C15
 _ALL = (1 << 64) - 1
 
 
-@lru_cache(maxsize=1)
 def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return made_once("hash tables", _make_tables)
+
+
+def _make_tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """A code per byte, the powers of an odd step, and those of its inverse."""
     codes = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_STEP))
     rows = []

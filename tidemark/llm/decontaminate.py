@@ -8,7 +8,6 @@ Offsets bound where the window can lie, and the words around the shingle decide
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +21,6 @@ WINDOW = 10
 SHINGLE = 5
 
 
-@lru_cache(maxsize=1)
 def _letters() -> tuple[np.ndarray, np.ndarray]:
     """Which bytes belong to words (0-9, a-z, A-Z and all beyond ASCII), and their lower case."""
     word = np.zeros(256, bool)

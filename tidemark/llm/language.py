@@ -16,15 +16,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import byte_view, chunks, share_of, stored
+from tidemark.llm.common import byte_view, chunks, drawn, share_of, shared_value, stored
 
 #: Slots of n-grams by n: bytes have one each, longer ones share by hash.
 SLOTS = (256, 4096, 8192)
 #: Weight of each n in the kernel.
 WEIGHTS = (0.2, 0.3, 0.5)
-#: Labelled texts, and landmarks among them, that a language has in training, about.
+#: Labelled texts, and landmarks among them, that a language has in training, about; and landmarks of all languages.
 TEXTS_PER_LANGUAGE = 1000
 LANDMARKS_PER_LANGUAGE = 40
+LANDMARKS = 2000
 RIDGE = 1e-3
 #: Texts whose n-grams a task holds as a matrix at a time.
 ROWS = 128
@@ -90,23 +91,23 @@ class LanguageModel:
 
 
 def train(docs: DataFrame, *, id_col: str, text_col: str, label_col: str) -> LanguageModel:
-    """Learn from a bounded sample of labelled texts, the same share of each language by id hash.
+    """Learn from a bounded sample of labelled texts, the same number of each language, drawn row by row.
 
     About ``TEXTS_PER_LANGUAGE`` texts per language enter; their n-grams never reach the
     driver, which gets the landmarks and sums of the size of the landmarks.
     """
     label = F.col(label_col)
-    draw = F.pmod(F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit(""))), F.lit(1 << 30)) / (1 << 30)
     usable = docs.where(label.isNotNull() & F.col(text_col).rlike(r"\p{L}"))
     # A stored row per language is small enough to be sent to the texts, not they to it.
     counts = stored(usable.groupBy(label.alias("label")).agg(F.count("*").alias("n")), "counts")
-    drawn = (
-        usable.select(label.alias("label"), F.col(text_col).alias("text"), draw.alias("draw"))
+    each = min(LANDMARKS_PER_LANGUAGE, LANDMARKS / max(1, counts.count()))
+    some = (
+        usable.select(label.alias("label"), F.col(text_col).alias("text"), drawn(id_col, text_col).alias("draw"))
         .join(counts, "label")
         .where(F.col("draw") * F.col("n") < TEXTS_PER_LANGUAGE)
-        .select("label", "text", (F.col("draw") * F.col("n") < LANDMARKS_PER_LANGUAGE).alias("landmark"))
+        .select("label", "text", (F.col("draw") * F.col("n") < each).alias("landmark"))
     )
-    sample = stored(drawn.repartition(16), "languages")
+    sample = stored(some.repartition(16), "languages")
     marks = sample.where("landmark").mapInArrow(_landmark_rows, "label string, grams binary").collect()
     marks = sorted(marks, key=lambda r: (r["label"], r["grams"]))
     languages = tuple(sorted(r["label"] for r in sample.select("label").distinct().collect()))
@@ -165,11 +166,11 @@ def identify_languages(
     docs = docs.select(F.col(id_col), F.col(text_col), F.col(label_col))
     fold = share_of(id_col, folds) == held_out
     model = train(docs.where(~fold), id_col=id_col, text_col=text_col, label_col=label_col)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = shared_value(docs.sparkSession, model)
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = shared()
         names = np.array([*model.languages, UNKNOWN])
         for batch in chunks(batches, 2):
             known = batch.column(3).to_numpy(zero_copy_only=False) & bool(len(model.landmarks))

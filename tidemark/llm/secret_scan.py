@@ -10,7 +10,6 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 from hashlib import sha256
 
 import ahocorasick
@@ -18,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import byte_view, chunks
+from tidemark.llm.common import byte_view, chunks, made_once
 
 # The kinds in their order, keywords, and least lengths.
 KINDS = ("assign", "access", "hex", "github", "npm")
@@ -46,8 +45,11 @@ def checksum_fits(token: bytes) -> bool:
     return value == zlib.crc32(token[-36:-6])
 
 
-@lru_cache(maxsize=1)
 def _tools() -> tuple[ahocorasick.Automaton, dict[str, re.Pattern], np.ndarray]:
+    return made_once("secret tools", _make_tools)
+
+
+def _make_tools() -> tuple[ahocorasick.Automaton, dict[str, re.Pattern], np.ndarray]:
     automaton = ahocorasick.Automaton()
     for kind, words in KEYWORDS.items():
         for word in words:

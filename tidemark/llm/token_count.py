@@ -13,13 +13,12 @@ import json
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import byte_view, chunks, span_hashes
+from tidemark.llm.common import byte_view, chunks, span_hashes, shared_value
 
 #: Pre-tokens whose counts a task remembers; beyond it the memory starts anew.
 REMEMBERED = 1 << 20
@@ -46,6 +45,9 @@ class MergeTable:
     ranks: np.ndarray
     results: np.ndarray
     specials: tuple[str, ...]
+    #: Kind and lower-case form of every code point.
+    kinds: np.ndarray
+    lower: np.ndarray
 
 
 def _byte_letters() -> list[str]:
@@ -81,10 +83,10 @@ def read_merges(path: str) -> MergeTable:
         order.astype(np.int32),
         results[order],
         tuple(t["content"] for t in spec["added_tokens"]),
+        *_characters(),
     )
 
 
-@lru_cache(maxsize=1)
 def _characters() -> tuple[np.ndarray, np.ndarray]:
     """Kind and lower-case form of every code point."""
     kinds = np.full(0x110000, _OTHER, np.uint8)
@@ -102,9 +104,9 @@ def _characters() -> tuple[np.ndarray, np.ndarray]:
     return kinds, lower
 
 
-def pre_tokens(points: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def pre_tokens(points: np.ndarray, offsets: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Begins and ends of the pre-tokens in rows of lower-cased code points."""
-    kinds = _characters()[0][points]
+    kinds = kinds[points]
     heads = np.zeros(len(points) + 1, bool)
     heads[offsets] = True
     heads = heads[:-1]
@@ -230,10 +232,10 @@ class Counter:
         if any(s.encode() in whole for s in self.table.specials) or not whole.isascii():
             points, offsets = self._unicode(texts, totals)
         else:
-            points = _characters()[1][data]
+            points = self.table.lower[data]
         if not len(points):
             return totals
-        begins, ends = pre_tokens(points, offsets)
+        begins, ends = pre_tokens(points, offsets, self.table.kinds)
         hashes = span_hashes(points, begins, ends)
         distinct, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         counts = self._counts(distinct, points, begins[first], ends[first])[inverse]
@@ -252,7 +254,7 @@ class Counter:
         strings = [t.replace("İ", "i̇") if "İ" in t else t for t in strings]
         offsets = np.concatenate([[0], np.cumsum([len(t) for t in strings])]).astype(np.int64)
         points = np.frombuffer("".join(strings).encode("utf-32-le"), np.uint32)
-        return _characters()[1][points], offsets
+        return self.table.lower[points], offsets
 
     def _counts(self, distinct: np.ndarray, points: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
         if not len(distinct):
@@ -284,11 +286,11 @@ def count_tokens(
     empty texts have none. Repeated rows and null ids are counted like any others. The
     vocabulary file is read on the driver and travels with the tasks; its size is fixed.
     """
-    table = docs.sparkSession.sparkContext.broadcast(read_merges(tokenizer_path))
+    table = shared_value(docs.sparkSession, read_merges(tokenizer_path))
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(table.value)
+        counter = Counter(table())
         for batch in chunks(batches, 1):
             tokens = counter.count(batch.column(1))
             sizes = np.diff(byte_view(batch.column(1))[1])

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import byte_view, chunks, runs, share_of, stored
+from tidemark.llm.common import byte_view, chunks, drawn, runs, share_of, shared_value, stored
 
 # What digits and symbols may stand for.
 LEET = {
@@ -183,7 +183,7 @@ def _signs(span: bytes) -> list[tuple[tuple[str, float], ...]]:
             end += 1
         if char in LEET:
             cost = WILD_COST if char == "*" else LEET_COST
-            signs += [(*((c, cost) for c in LEET[char]), (" ", BREAK_COST))] * min(end - k, LATTICE)
+            signs += [(*((c, cost) for c in LEET[char]), (" ", BREAK_COST))] * (end - k)
         elif span[k] >= 128:
             signs += [((char, 0.0),)] * (end - k)
         elif char.isalpha():
@@ -524,18 +524,18 @@ def fit_weights(evidence: np.ndarray, toxic: np.ndarray, ridge: float = 1e-2) ->
 
 
 def train(docs: DataFrame, labels: DataFrame, trigrams: list[float], *, id_col: str, text_col: str, label_col: str) -> ToxicityModel:
-    """Learn shares of features from a bounded sample of labelled texts, drawn by id hash.
+    """Learn shares of features from a bounded sample of labelled texts, drawn row by row.
 
     About ``TRAINING_TEXTS`` texts enter. The driver gets the features that are toxic
     enough, with the words that begin so, and four numbers per text for the weights.
     """
-    draw = F.pmod(F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit(""))), F.lit(1 << 30)) / (1 << 30)
     marked = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(id_col).agg(F.max(label_col).alias("label"))
     marked = stored(marked, "labels")
-    share = TRAINING_TEXTS / max(1, marked.count())
-    drawn = stored(marked.where(draw < share), "drawn")
     texts = docs.select(F.col(id_col), F.col(text_col).alias("text")).where(F.col("text").isNotNull())
-    sample = stored(texts.join(drawn, id_col).select("text", (F.col("label") > 0).alias("label")).repartition(16), "toxicity")
+    share = TRAINING_TEXTS / max(1, texts.select(id_col).join(marked, id_col, "left_semi").count())
+    texts = texts.withColumn("draw", drawn(id_col, "text"))
+    some = texts.where(F.col("draw") < share).join(marked, id_col)
+    sample = stored(some.select("text", (F.col("label") > 0).alias("label")).repartition(16), "toxicity")
     shared = docs.sparkSession.sparkContext.broadcast(trigrams)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -566,12 +566,13 @@ def train(docs: DataFrame, labels: DataFrame, trigrams: list[float], *, id_col:
     words = known.select("feature", "share", begins.alias("stem")).join(stems, "stem", "left_semi").select("feature", "share")
     rows = toxic.unionByName(words).distinct().collect()
     shares = {bytes(r["feature"]).decode("latin-1"): float(r["share"]) for r in sorted(rows, key=lambda r: bytes(r["feature"]))}
-    draft = docs.sparkSession.sparkContext.broadcast(ToxicityModel(trigrams, shares))
+    draft = shared_value(docs.sparkSession, ToxicityModel(trigrams, shares))
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer = Restorer(draft.value.trigrams)
+        model = draft()
+        restorer = Restorer(model.trigrams)
         for batch in chunks(batches, 0):
-            columns = [*draft.value.evidence(batch.column(0), restorer).T, batch.column(1)]
+            columns = [*model.evidence(batch.column(0), restorer).T, batch.column(1)]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["a", "b", "c", "d", "label"])
 
     seen = sample.mapInArrow(weigh, "a double, b double, c double, d double, label boolean").toArrow().to_pandas()
@@ -617,10 +618,10 @@ def score_toxicity(
     """
     fold = share_of(id_col, folds) == held_out
     model = learn_toxicity(docs, labels, id_col=id_col, text_col=text_col, label_col=label_col, folds=folds, held_out=held_out)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = shared_value(docs.sparkSession, model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = shared()
         restorer = Restorer(model.trigrams)
         for batch in chunks(batches, 2):
             scores = model.scores(batch.column(2), restorer)
@@ -635,11 +636,11 @@ def score_toxicity(
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel, *, text_col: str = "text", threshold: float = 0.7) -> DataFrame:
     """``docs`` without the documents that the model scores at the threshold or above; all columns stay."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = shared_value(docs.sparkSession, model)
     place = docs.columns.index(text_col)
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = shared()
         restorer = Restorer(model.trigrams)
         for batch in chunks(batches, place):
             yield batch.filter(pa.array(model.scores(batch.column(place), restorer) < threshold))
