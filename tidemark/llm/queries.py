@@ -12,7 +12,7 @@ from tidemark.llm.language import identify_languages
 from tidemark.llm.licenses import license_report, scan_licenses
 from tidemark.llm.packing import attention_cost, pack_documents, word_count
 from tidemark.llm.periodic import find_runs, plant_runs, run_digests
-from tidemark.llm.quality import POLICIES, apply_policy, measure
+from tidemark.llm.quality import POLICIES, RULE_NAMES, ablations, apply_policy, mask_of, measure
 from tidemark.llm.secret_scan import scan_secrets
 from tidemark.llm.spelling import misspelled, spelling_variants
 from tidemark.llm.token_count import count_tokens
@@ -72,6 +72,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_policy(measure(table(spark, sf_dir, "documents")), POLICIES["v2"]).drop("n_lines")
 
 
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that each policy of op8 keeps without one of its rules, counted from the ledger."""
+    return ablations(measure(table(spark, sf_dir, "documents")))
+
+
 #: Permitted sequence lengths, in words.
 BIN_SIZES = tuple(attention_cost(capacity) for capacity in (512, 1024, 2048, 4096))
 
@@ -110,6 +115,7 @@ QUERIES = {
     "op11_periodic_runs": op11_periodic_runs,
     "op12_license_scans": op12_license_scans,
     "op13_spelling_variants": op13_spelling_variants,
+    "quality_ablations": quality_ablations,
 }
 
 #: The 256 steps of a crc32, as a list of one row.
@@ -310,3 +316,16 @@ edited AS (
 )
 SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n FROM formed f JOIN chain c ON c.word = f.word AND c.next IS NULL""",
 }
+
+_CASES = [
+    (policy, bits, rule, 0 if rule is None else mask_of(rule))
+    for policy, bits in POLICIES.items()
+    for rule in (None, *(r for r in RULE_NAMES if bits & mask_of(r)))
+]
+SQL["quality_ablations"] = f"""
+WITH ledger AS ({SQL["op8_quality_rules"]})
+{" UNION ALL ".join(f"""
+SELECT '{policy}' AS policy, {f"'{rule}'" if rule else "CAST(NULL AS VARCHAR)"} AS without,
+  count(*) FILTER (WHERE failed & {bits & ~bit} = 0) AS kept,
+  count(*) FILTER (WHERE failed & {bits & ~bit} = 0 AND failed & {bits} <> 0) AS only_here
+FROM ledger""" for policy, bits, rule, bit in _CASES)}"""
