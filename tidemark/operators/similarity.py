@@ -479,7 +479,8 @@ def _anchor_cells(
 ) -> DataFrame:
     context = points.sparkSession.sparkContext
     ranked = points.orderBy(F.xxhash64("id"), "id")
-    fitted = _directions(ranked.limit(FIT_ROWS))
+    sample = ranked.limit(FIT_ROWS).select(F.col("entries.dim").alias("dims"), F.col("entries.val").alias("vals")).toPandas()
+    fitted = _directions(sample)
     turn = context.broadcast(fitted)
 
     @F.pandas_udf("array<double>")
@@ -494,9 +495,13 @@ def _anchor_cells(
 
     square = F.aggregate("entries.val", F.lit(0.0), lambda total, v: total + v * v)
     points = points.withColumns({"head": turned(F.col("entries.dim"), F.col("entries.val")), "square": square})
-    points = cut_lineage(points)
-    first = points.orderBy(F.xxhash64("id"), "id").limit(anchors).select("head").toArrow()["head"].combine_chunks()
-    centres = first.flatten().to_numpy().reshape(len(first), fitted[1].shape[1])
+    if anchors <= FIT_ROWS:
+        first = sample.iloc[:anchors]
+        centres = _dense(list(first["dims"]), list(first["vals"]), fitted[0]) @ fitted[1]
+    else:
+        points = cut_lineage(points)
+        first = points.orderBy(F.xxhash64("id"), "id").limit(anchors).select("head").toArrow()["head"].combine_chunks()
+        centres = first.flatten().to_numpy().reshape(len(first), fitted[1].shape[1])
     if dense is not None and len(centres):
         centres = _thinned(centres, dense[0])
     sent = context.broadcast(centres)
@@ -567,9 +572,8 @@ def _anchor_cells(
     )
 
 
-def _directions(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The dimensions that are longest in a sample, and its main directions among them."""
-    rows = sample.select(F.col("entries.dim").alias("dims"), F.col("entries.val").alias("vals")).toPandas()
+def _directions(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The dimensions that are longest in some rows, and their main directions among them."""
     if not len(rows):
         return np.zeros(0, "int32"), np.zeros((0, 1))
     dims, place = np.unique(np.concatenate(list(rows["dims"])), return_inverse=True)
