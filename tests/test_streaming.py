@@ -3,6 +3,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from tidemark.operators.rollup import last_record, nested_usage, time_bins, trailing_window
+from tidemark.queries import streams
 from tidemark.sources.state import merge_endpoints
 from tidemark.streaming.detection import run_partial_bins, write_batch
 from tidemark.streaming.endpoints import changed_endpoints, state_store
@@ -142,3 +143,41 @@ def test_old_endpoints_are_retired(spark, tmp_path):
     changes = spark.read.parquet(str(tmp_path / "changes")).orderBy("batchId", "n").collect()
     assert [(r["macAddress"], r["n"], r["change"]) for r in changes if r["macAddress"] == "a"] == [("a", 1, "new"), ("a", 1, "retired")]
     assert [r["change"] for r in changes if r["macAddress"] == "b"] == ["new", "updated", "updated"]
+
+
+def test_state_is_kept_by_bucket_not_by_device(spark, tmp_path):
+    """A device costs no calls to the state store of its own; each is updated and retired on its own."""
+    first = [(f"d{n}", n % 3, n, "x") for n in range(300)]
+    for batch in [first, [("d0", 1, 1, "y"), ("d9", 121, 1, "z")], [("d9", 122, 1, "z")]]:
+        records(spark, batch).write.mode("append").parquet(str(tmp_path / "records"))
+    stream = stream_files(spark, str(tmp_path / "records"), RECORDS, max_files=1)
+    with state_store(spark):
+        query = (
+            changed_endpoints(stream, keep=timedelta(hours=1), buckets=4).writeStream.outputMode("update")
+            .foreachBatch(lambda df, n: write_batch(df, str(tmp_path / "changes"), n))
+            .option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress) <= 4
+    changes = [tuple(r) for r in spark.read.parquet(str(tmp_path / "changes")).select("macAddress", "n", "change").collect()]
+    assert sorted(c for c in changes if c[2] == "new") == sorted((f"d{n}", n, "new") for n in range(300))
+    assert sorted(c for c in changes if c[2] == "updated") == [("d0", 1, "updated"), ("d9", 1, "updated"), ("d9", 1, "updated")]
+    # The watermark is 01:02, which passes minutes 0 and 1 by an hour, but not 2.
+    gone = [(f"d{n}", n or 1, "retired") for n in range(300) if n % 3 < 2 and n != 9]
+    assert sorted(c for c in changes if c[2] == "retired") == sorted(gone)
+
+
+def test_batches_of_several_files_end_where_arrivals_do(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(streams, "_FILE_ROWS", 10)
+    sizes = [45, 60, 52, 80]
+    rows = [(100 * n + k, n) for n, size in enumerate(sizes) for k in range(size)]
+    arrivals = spark.createDataFrame(rows, "id long, arrival long")
+    stream = streams._arriving(spark, arrivals, str(tmp_path / "in"), "id long")
+    query = (
+        stream.writeStream.foreachBatch(lambda df, n: write_batch(df, str(tmp_path / "out"), n))
+        .option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "out")).select("id", "batchId").collect()
+    assert sorted((r["id"], r["batchId"]) for r in got) == sorted(rows)
+    assert len(list((tmp_path / "in").glob("*.parquet"))) == 16

@@ -38,10 +38,23 @@ def _folder(spark, name: str) -> str:
 
 
 _BATCHES = 4
+# Rows of a file of a batch at least, where a batch has more than one.
+_FILE_ROWS = 200_000
+
+
+def _arriving(spark, arrivals, folder: str, schema):
+    """``arrivals`` as a stream of files, all of one ``arrival`` per micro-batch and the next written after them."""
+    counts = dict(arrivals.where(F.col("arrival").between(0, _BATCHES - 1)).groupBy("arrival").count().collect())
+    # Every batch has the same number of files, none of them empty, so that batches end where arrivals do.
+    files = max(1, min(counts.get(n, 0) for n in range(_BATCHES)) // _FILE_ROWS)
+    for n in range(_BATCHES):
+        rows = arrivals.where(F.col("arrival") == n).drop("arrival")
+        (rows.coalesce(1) if files == 1 else rows.repartition(files)).write.mode("append").parquet(folder)
+    return stream_files(spark, folder, schema, glob="*.parquet", max_files=files)
 
 
 def _events(spark, sf_dir, late: str):
-    """Events as a stream of files, one per micro-batch and the next written after it.
+    """Events as a stream of files, those of a micro-batch written after those of the one before.
 
     Events come in the order of their ids. Those that are ``late`` come a batch later, and
     every seventh comes again in the next batch.
@@ -55,9 +68,7 @@ def _events(spark, sf_dir, late: str):
     arrived = timed.withColumn("arrival", after).select(*events.columns, "arrival")
     again = arrived.where(f"event_id % 7 = 1 and arrival < {_BATCHES - 1}").withColumn("arrival", F.col("arrival") + 1)
     arrivals = cut_lineage(arrived.unionByName(again))
-    for n in range(_BATCHES):
-        arrivals.where(F.col("arrival") == n).drop("arrival").coalesce(1).write.mode("append").parquet(folder)
-    return stream_files(spark, folder, events.schema, glob="*.parquet", max_files=1)
+    return _arriving(spark, arrivals, folder, events.schema)
 
 
 def _run_flows(spark, sf_dir):
@@ -144,10 +155,7 @@ def stream_endpoints(spark, sf_dir):
     batch = F.least(F.floor(F.col("o_orderkey") * _BATCHES / most) + F.expr("if(o_orderkey % 10 = 3, 1, 0)"), F.lit(_BATCHES - 1))
     arrived = cut_lineage(orders.withColumn("arrival", batch))
     again = arrived.where(f"o_orderkey % 7 = 1 and arrival < {_BATCHES - 1}").withColumn("arrival", F.col("arrival") + 1)
-    arrivals = arrived.unionByName(again)
-    for n in range(_BATCHES):
-        arrivals.where(F.col("arrival") == n).drop("arrival").coalesce(1).write.mode("append").parquet(f"{out}/in")
-    stream = stream_files(spark, f"{out}/in", orders.schema, glob="*.parquet", max_files=1)
+    stream = _arriving(spark, arrived.unionByName(again), f"{out}/in", orders.schema)
     with state_store(spark):
         query = (
             changed_endpoints(stream, keep=timedelta(days=10_000)).writeStream.outputMode("update")
