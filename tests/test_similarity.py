@@ -8,6 +8,8 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from tidemark.functions.vectors import as_array, attribute_layout, l2_norm, vector_size
+from tidemark.operators import similarity
+from tidemark.operators.cluster import dbscan
 from tidemark.operators.features import vector_sum
 from tidemark.operators.similarity import (
     assign_cells,
@@ -261,3 +263,53 @@ def test_wide_vectors_have_more_than_leading_values(spark, monkeypatch):
     for eps in (0.01, 0.7):
         got = found(cosine_pairs(vectors, eps, anchors=9, block_rows=11))
         assert got == pytest.approx(brute_pairs(rows, eps, global_similarity))
+
+
+def test_open_cells_are_merged_to_a_fixed_number():
+    """Where every point visits every earlier cell, the number of cells does not grow with the points."""
+    for count in (30, 300, 3000):
+        rows, none = np.full(count, 1000), np.zeros(count, bool)
+        most = (rows * np.arange(count)).sum()
+        merged = similarity._merged(rows, none, most)
+        assert merged[-1] + 1 <= similarity.MERGED_CELLS and (np.diff(merged) >= 0).all()
+        assert np.bincount(merged).max() <= 1000 * (count // similarity.MERGED_CELLS + 1)
+        # Where bounds hold, cells stay as they are.
+        assert list(similarity._merged(rows, none, most // 3)) == list(range(count))
+    ball = none.copy()
+    ball[[5, 6, 40]] = True
+    merged = similarity._merged(rows, ball, most)
+    assert all((merged == merged[n]).sum() == 1 for n in (5, 6, 40))
+
+
+def test_tiles_have_every_pair_once(monkeypatch):
+    monkeypatch.setattr(similarity, "BLOCK_ROWS", 7)
+    second = np.arange(50) >= 20
+    for diagonal in (True, False):
+        pairs = []
+        for tile in similarity._Block({"second": second}, np.arange(50), diagonal).tiles():
+            left, right = tile._sides[0], tile._sides[-1]
+            assert max(len(left), len(right)) <= 7
+            pairs += [(i, j) for i in left for j in right if not tile.diagonal or i < j]
+        want = [(i, j) for i in range(50) for j in range(50) if (i < j if diagonal else i < 20 <= j)]
+        assert sorted(pairs) == want
+
+
+def test_merged_cells_have_the_same_pairs_and_clusters(spark, rows, monkeypatch):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(300, 12))
+    x[:40] = x[0] + rng.normal(size=(40, 12)) / 1000
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    data = [(n, [(d, float(v)) for d, v in enumerate(row)], 1) for n, row in enumerate(x)]
+    points = spark.createDataFrame(data, "id long, entries array<struct<dim:int,val:double>>, weight long")
+    dist = np.round(np.maximum(1 - x @ x.T, 0), 4)
+    want = sorted((i, j) for i in range(300) for j in range(i + 1, 300) if dist[i, j] < 0.4)
+    got, kept = [], similarity._merged
+    for merged in (True, False):
+        groups = []
+        monkeypatch.setattr(similarity, "_merged", lambda *a: groups.append(kept(*a) if merged else np.arange(len(a[0]), dtype="int32")) or groups[-1])
+        monkeypatch.setattr(similarity, "MERGED_CELLS", 4)
+        pairs = similarity.cosine_pairs(points, 0.4, anchors=20).collect()
+        assert sorted((r["i"], r["j"]) for r in pairs) == want
+        got.append(rows(dbscan(points, [0.01, 0.4], 3, anchors=20)))
+        assert all((g[-1] + 1 < len(g)) == merged for g in groups)
+    assert got[0] == got[1]
