@@ -6,7 +6,8 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from tidemark.functions.vectors import attribute_layout
-from tidemark.operators.cluster import _ball_radius, connected_components, dbscan
+from tidemark.operators import cluster, similarity
+from tidemark.operators.cluster import _ball_radius, _Links, connected_components, dbscan
 from tidemark.operators.metrics import (
     cluster_quality,
     latest_known_labels,
@@ -14,6 +15,7 @@ from tidemark.operators.metrics import (
     pivot_metrics,
 )
 from tidemark.operators.similarity import assign_cells, cosine_radius, dedupe_vectors, unit_vectors
+from tidemark.plans import groups
 from tidemark.plans.groups import ClusterParams, cluster_endpoints, grid_search
 
 OPTIONS = [{}, {"block_rows": 6}, {"anchors": 5, "block_rows": 9}, {"cells": "prefix"}]
@@ -261,3 +263,69 @@ def test_quality_without_labels(spark):
     metrics, per = cluster_quality(assigned, none)
     assert {r["name"]: r["value"] for r in metrics.collect()} == {"clusters": 1, "clustered": 2, "noise": 1}
     assert {r["name"]: r["value"] for r in per.collect()} == {"size": 2, "labelled": 0}
+
+
+def test_rows_of_a_group_do_not_grow_with_its_blocks(monkeypatch):
+    """One row per point and eps, and fewer links of a point than make it core."""
+    n, least = 400, 4
+    x = np.random.default_rng(4).normal(size=(n, 6))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    cols = {"id": np.arange(n), "weight": np.ones(n, "int64"), "ball": np.array([None] * n), "square": np.ones(n),
+            "head": x, "second": np.zeros(n, bool), "earlier": np.array([None] * n)}
+    eps_values = [0.05, 0.4]
+    for block_rows in (400, 20):
+        monkeypatch.setattr(similarity, "BLOCK_ROWS", block_rows)
+        links = _Links(cols, similarity._nearness("cosine", eps_values, False), 2, least)
+        for tile in similarity._Block(cols, np.arange(n), True).tiles():
+            for block in links.needed(tile):
+                if block.compare(cosine_radius(0.4)):
+                    links.add(block)
+        out = links.rest()
+        rows = sum(len(part["id"]) for part in out)
+        assert rows <= 2 * n + 2 * n * (least - 1)
+        dist = np.round(np.maximum(1 - x @ x.T, 0), 4)
+        near = [(dist < eps) & ~np.eye(n, dtype=bool) for eps in eps_values]
+        for k, part in enumerate(out[2:]):
+            assert dict(zip(part["id"], part["seen"])) == {i: c for i, c in enumerate(near[k].sum(axis=1)) if c}
+
+
+def test_core_points_of_one_cluster_are_not_compared_again(monkeypatch):
+    n = 300
+    x = np.ones((n, 3)) + np.random.default_rng(4).normal(size=(n, 3)) / 100
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    cols = {"id": np.arange(n), "weight": np.ones(n, "int64"), "ball": np.array([None] * n), "square": np.ones(n),
+            "head": x, "second": np.zeros(n, bool), "earlier": np.array([None] * n)}
+    monkeypatch.setattr(similarity, "BLOCK_ROWS", 20)
+    monkeypatch.setattr(cluster, "_TAKEN", 100)
+    links, compared = _Links(cols, similarity._nearness("cosine", [0.1], False), 1, 3), 0
+    for tile in similarity._Block(cols, np.arange(n), True).tiles():
+        for block in links.needed(tile):
+            compared += len(block._sides[0]) * len(block._sides[-1])
+            if block.compare(cosine_radius(0.1)):
+                links.add(block)
+    (single, met) = links.rest()
+    assert compared < 20 * 2 * n and not len(single["id"])
+    assert met["sure"].all() and set(met["other"]) == {0} and len(met["id"]) == n
+
+
+def test_a_small_block_of_the_grid_has_the_same_clusters(spark, monkeypatch):
+    points = points_of(90, seed=8)
+    monkeypatch.setattr(cluster, "_TAKEN", 5)
+    monkeypatch.setattr(cluster, "MATRIX_VALUES", 20)
+    got = dbscan(frame(spark, points).withColumn("weight", F.lit(1)), [0.002, 0.02], 6, anchors=4, block_rows=7).collect()
+    for eps in (0.002, 0.02):
+        want, _ = brute([p for _, p in points], [1] * 90, cosine_near(eps), 6)
+        assert {r["id"]: r["cluster"] for r in got if r["eps"] == eps} == want
+
+
+def test_clusters_of_the_grid_are_found_once(spark, monkeypatch):
+    df = spark.createDataFrame([(str(i), 1, Vectors.dense(1.0, i % 3), "a") for i in range(9)], ["endpoint", "snapshotTimestamp", "sparseFeatures", "label"])
+    plans = []
+
+    def quality(assignments, *args, **options):
+        plans.append(assignments._jdf.queryExecution().optimizedPlan().toString())
+        return cluster_quality(assignments, *args, **options)
+
+    monkeypatch.setattr(groups, "cluster_quality", quality)
+    grid_search(df, "label", (), min_weight=3, eps_grid=(0.1,), distances=("global",), metric="purity")
+    assert len(plans) == 1 and "Join" not in plans[0]

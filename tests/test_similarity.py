@@ -313,3 +313,35 @@ def test_merged_cells_have_the_same_pairs_and_clusters(spark, rows, monkeypatch)
         got.append(rows(dbscan(points, [0.01, 0.4], 3, anchors=20)))
         assert all((g[-1] + 1 < len(g)) == merged for g in groups)
     assert got[0] == got[1]
+
+
+def test_single_precision_decides_nothing(monkeypatch):
+    """Pairs next to the radius are told by double precision, in strips and with many pairs left."""
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(300, 64))
+    x[:60] = x[0] + rng.normal(size=(60, 64)) / 50
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    monkeypatch.setattr(similarity, "_STRIP", 37)
+    near = x @ x.T
+    for least in (*np.sort(near[0, 1:60])[::7], *np.sort(near[np.triu_indices(300, 1)])[-5000::617]):
+        for step in (-1e-12, 1e-12):
+            block = dense_block(x, False)
+            assert block.compare(1 - least + step)
+            i, j = np.nonzero(np.triu(near >= least - step - 1e-9, 1))
+            assert sorted(zip(block.rows, block.cols)) == sorted(zip(i, j))
+    block = similarity._Block(block._cols, np.arange(300), diagonal=True)
+    left = [pair for part in block.without(np.arange(300) < 200) for pair in pairs_of(part)]
+    assert sorted(left) == [(i, j) for i in range(300) for j in range(i + 1, 300) if j >= 200]
+
+
+def pairs_of(block):
+    left, right = block._sides[0], block._sides[-1]
+    return [(min(i, j), max(i, j)) for i in left for j in right if not block.diagonal or i < j]
+
+
+def test_vectors_are_matched_by_hash_first(spark, rows):
+    data = [(n, [(0, float(n % 3)), (1, 1.0)]) for n in range(9)] + [(9, None)]
+    vectors = spark.createDataFrame(data, "id long, entries array<struct<dim:int,val:double>>")
+    found = vector_members(vectors, dedupe_vectors(vectors))
+    assert rows(found) == [(n, n % 3) for n in range(9)]
+    assert "hash" in found._jdf.queryExecution().optimizedPlan().toString()
