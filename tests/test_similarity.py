@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
@@ -345,3 +346,28 @@ def test_vectors_are_matched_by_hash_first(spark, rows):
     found = vector_members(vectors, dedupe_vectors(vectors))
     assert rows(found) == [(n, n % 3) for n in range(9)]
     assert "hash" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_small_cells_are_looked_up_together(spark, monkeypatch):
+    """Few rows at a time, small and large cells, short and long vectors: the same pairs, each once."""
+    data = sparse_vectors(80, 12, seed=11)
+    vectors = unit_vectors(frame(spark, data), "id", "v").where(F.size("entries") > 0).collect()
+    dims = np.array([np.array([e["dim"] for e in r["entries"]]) for r in vectors] + [None], dtype=object)[:-1]
+    vals = np.array([np.array([e["val"] for e in r["entries"]]) for r in vectors] + [None], dtype=object)[:-1]
+    n = len(vectors)
+    earlier = np.array([d[:1] if len(d) > 2 else d[:0] for d in dims] + [None], dtype=object)[:-1]
+    cols = {"dims": dims, "vals": vals, "second": np.zeros(n, bool), "earlier": earlier}
+    edges, small = np.array([0, 30, 31, 50, n]), np.array([True, True, False, True])
+    monkeypatch.setattr(similarity, "_LOOKUPS", 37)
+    got = []
+    lists = {c: similarity._ragged(pa.chunked_array([pa.array(list(cols[c]))])) for c in ("dims", "vals", "earlier")}
+    for block in similarity._small_cells(cols, lists, edges, small, 0.5):
+        got += zip(*block.numbers(), block.distance.round(9))
+    want = []
+    for begin, end in ((0, 30), (50, n)):
+        block = similarity._Block(cols, np.arange(begin, end), diagonal=True)
+        assert block.compare(0.5)
+        want += zip(*block.numbers(), block.distance.round(9))
+    assert np.allclose(sorted(got), sorted(want)) and len(set(got)) == len(got) == len(want) > 0
+    monkeypatch.setattr(similarity, "_SHORT", 2)
+    assert list(similarity._is_small(np.array([1, 2, 3, 1, 1]), np.array([0, 2, 3, 5]))) == [True, False, True]
