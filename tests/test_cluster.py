@@ -329,3 +329,28 @@ def test_clusters_of_the_grid_are_found_once(spark, monkeypatch):
     monkeypatch.setattr(groups, "cluster_quality", quality)
     grid_search(df, "label", (), min_weight=3, eps_grid=(0.1,), distances=("global",), metric="purity")
     assert len(plans) == 1 and "Join" not in plans[0]
+
+
+def test_small_balls_do_not_make_more_cells(spark, monkeypatch):
+    """Where cells are merged, only balls as large as a merged cell stay apart; all keep their leaders."""
+    monkeypatch.setattr(similarity, "MERGED_CELLS", 4)
+    monkeypatch.setattr(similarity, "_OPEN", 0.0)
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(30, 12)).repeat(3, axis=0) + rng.normal(size=(90, 12)) / 1000
+    big = rng.normal(size=12) + rng.normal(size=(50, 12)) / 1000
+    for rows, apart in ((x, 0), (np.concatenate([x, big]), 1)):
+        points = [(i, row.tolist()) for i, row in enumerate(rows)]
+        vectors = frame(spark, points).withColumn("weight", F.lit(1).cast("long"))
+        placed = assign_cells(vectors, cosine_radius(0.65), anchors=30, dense=(_ball_radius("cosine", 0.65), 3))
+        roles = placed.select("leader", F.explode("cells").alias("at"))
+        assert roles.select("at.cell").distinct().count() <= 4 + 2 * apart
+        assert placed.where("leader is not null").count() > len(rows) / 4
+        inner = roles.where(f"at.role = {similarity._INNER}")
+        assert inner.select("at.cell").distinct().count() == apart
+        assert inner.count() >= 50 * apart
+        got = dbscan(vectors, [0.3, 0.65], 3, anchors=30, block_rows=20).collect()
+        for eps in (0.3, 0.65):
+            want, core = brute([p for _, p in points], [1] * len(points), cosine_near(eps), 3)
+            found = sorted((r for r in got if r["eps"] == eps), key=lambda r: r["id"])
+            assert {r["id"]: r["cluster"] for r in found} == want
+            assert [r["core"] for r in found] == core
