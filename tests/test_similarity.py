@@ -282,6 +282,45 @@ def test_open_cells_are_merged_to_a_fixed_number():
     assert all((merged == merged[n]).sum() == 1 for n in (5, 6, 40))
 
 
+def test_few_uneven_cells_are_merged_to_as_many_as_many_even_ones():
+    few = np.array([471, 909, 646, 539, 650, 1357, 909, 1266, 646, 480, 590, 641, 700, 520, 610, 520])
+    many = np.random.default_rng(1).integers(800, 1700, 600)
+    for rows in (few, many):
+        merged = similarity._merged(rows, np.zeros(len(rows), bool), (rows * np.arange(len(rows))).sum())
+        assert merged[0] == 0 and set(np.diff(merged)) <= {0, 1}
+        assert merged[-1] + 1 == similarity.MERGED_CELLS
+
+
+def test_copies_of_a_point_do_not_grow_with_the_points(spark):
+    """Vectors without any structure, of which each could be near each; groups count their rows and compare nothing."""
+
+    class RowsOfGroup:
+        def __init__(self, cols):
+            self.rows = len(cols["id"])
+
+        def needed(self, block):
+            return []
+
+        def overflow(self):
+            return []
+
+        def rest(self):
+            return [{"rows": np.array([self.rows])}]
+
+    copies = []
+    for count in (11_000, 44_000):
+        x = np.random.default_rng(count).normal(size=(count, 64))
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        entry = pa.StructArray.from_arrays([pa.array(np.tile(np.arange(64, dtype="int32"), count)), pa.array(x.ravel())], ["dim", "val"])
+        entries = pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, 64, dtype="int32")), entry)
+        points = spark.createDataFrame(pa.table({"id": np.arange(count), "entries": entries}))
+        radius = cosine_radius(0.65)
+        placed = assign_cells(points, radius)
+        sent = similarity.compare_blocks(placed, RowsOfGroup, "rows bigint", radius, gather=True)
+        copies.append(sent.agg(F.sum("rows")).first()[0] / count)
+    assert max(copies) < similarity.MERGED_CELLS and copies[1] < 1.1 * copies[0], copies
+
+
 def test_tiles_have_every_pair_once(monkeypatch):
     monkeypatch.setattr(similarity, "BLOCK_ROWS", 7)
     second = np.arange(50) >= 20
