@@ -144,6 +144,26 @@ def test_drop_near_duplicates(docs_of):
     assert jaccard_components(docs.limit(0)).count() == 0
 
 
+def test_unlike_texts_are_ruled_out_by_few_bits(monkeypatch, docs_of):
+    """Linked texts all stay likely, however many units and buckets there are; others send only a sample."""
+    monkeypatch.setattr(jaccard, "SAMPLE_BUCKET_BYTES", 2000)
+    monkeypatch.setattr(jaccard, "SAMPLE_UNIT_BYTES", 3000)
+    monkeypatch.setattr(jaccard, "SAMPLE_UNIT_ROWS", 40)
+    rng = random.Random(14)
+    texts = list(enumerate([prose(rng, 80, 3000) for _ in range(300)] + near_copies(rng, 60) + ODD + ["a b", "A  b", "a b c"]))
+    rows = {r.id: r for r in jaccard.signatures(docs_of(texts), "doc_id", "text").collect()}
+    assert len(rows) == len(texts)
+    named = plain_components(texts)
+    sets = defaultdict(set)
+    for (_, text), (_, _, component) in zip(texts, named):
+        sets[component].add(frozenset(shingles(text)))
+    for (i, text), (_, size, component) in zip(texts, named):
+        assert rows[i].n_shingles == size and rows[i].size == len((text or "").encode())
+        assert rows[i].likely or len(sets[component]) == 1
+    assert sum(rows[i].likely for i in range(300)) < 10
+    assert {rows[i].likely for i, t in texts if not shingles(t)} == {False}
+
+
 def test_search_overlaps_equals_all_pairs():
     rng = np.random.default_rng(3)
     base = rng.integers(0, 60, 25)

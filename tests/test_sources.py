@@ -1,8 +1,9 @@
+import time
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from tidemark.session import shared_dir
+from tidemark.session import cut_lineage, shared_dir, stored
 from tidemark.sources.listing import exists, list_keys, list_objects
 from tidemark.sources.raw import discover, minute_prefixes, new_watermark, read_raw
 from tidemark.sources.state import (
@@ -160,6 +161,25 @@ def test_checkpoints_go_to_the_named_folder(spark):
     assert named in shared_dir(spark)
 
 
+def test_written_tables_leave_no_shuffle_files(spark):
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting)
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        return {name for name in disk.getAllBlocks().mkString(" ").split() if name.startswith("shuffle_")}
+
+    for write in (stored, cut_lineage):
+        held = shuffles()
+        written = write(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.sum("id").alias("n")))
+        until = time.time() + 20
+        while shuffles() - held and time.time() < until:
+            time.sleep(0.2)
+        assert not shuffles() - held
+        assert written.count() == 7
+    assert spark.conf.get(setting) == before
+
+
 def test_files_that_land_after_the_listing_wait(spark, tmp_path):
     from datetime import datetime, timedelta
 
