@@ -80,6 +80,21 @@ def test_against_brute_force(spark, options):
         assert [r["core"] for r in sorted(rows, key=lambda r: r["id"])] == core
 
 
+def test_sparse_vectors_are_sent_in_turns(spark, monkeypatch):
+    """Some rows at a time, small and large cells: the same clusters."""
+    points = points_of(60, seed=4, dims=5)
+    vectors = frame(spark, points).withColumn("weight", F.lit(1))
+    want, _ = brute([p for _, p in points], [1] * 60, cosine_near(0.05), 3)
+    sent = []
+    compare = cluster.compare_blocks
+    monkeypatch.setattr(cluster, "compare_blocks", lambda *args, turn, **options: (sent.append(turn), compare(*args, turn=turn, **options))[1])
+    monkeypatch.setattr(similarity, "TURN_ROWS", 100)
+    for block_rows in (None, 11):
+        got = dbscan(vectors, 0.05, 3, cells="prefix", block_rows=block_rows).collect()
+        assert {r["id"]: r["cluster"] for r in got} == want
+    assert sent == [(0, 2), (1, 2)] * 2
+
+
 def test_euclidean_and_faithful(spark):
     points = points_of(50, seed=2)
     vectors = frame(spark, points).withColumn("weight", F.lit(1))

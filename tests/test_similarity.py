@@ -387,6 +387,25 @@ def test_vectors_are_matched_by_hash_first(spark, rows):
     assert "hash" in found._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_members_of_points_that_agree_in_their_hash(spark, rows):
+    """Points of one hash are told apart by their entries; null entries are no point's."""
+    schema = "id long, entries array<struct<dim:int,val:double>>"
+    vectors = spark.createDataFrame([(1, [(0, 1.0)]), (2, [(0, 1.0)]), (3, [(1, 1.0)]), (None, [(1, 1.0)]), (4, None), (5, [(2, 1.0)])], schema)
+    points = spark.createDataFrame([(1, [(0, 1.0)]), (7, [(0, 1.0)]), (3, [(1, 1.0)]), (4, None)], schema)
+    assert rows(vector_members(vectors, points)) == sorted([(1, 1), (1, 7), (2, 1), (2, 7), (3, 3), (None, 3)], key=repr)
+
+
+def test_prefix_cells_take_no_shuffle_of_vectors(spark, plan):
+    """Dimensions of one vector are no cell, rare dimensions come first, and points stay where they are."""
+    data = [(1, {0: 1.0, 1: 1.0, 2: 1.0}), (2, {0: 1.0, 1: 1.0}), (3, {0: 3.0, 4: 4.0}), (4, {5: 1.0}), (None, {0: 1.0})]
+    rows = spark.createDataFrame([(i, Vectors.sparse(6, v)) for i, v in data], ["id", "v"])
+    vectors = unit_vectors(rows, "id", "v")
+    placed = assign_cells(vectors, 0.95, cells="prefix")
+    assert {r["id"]: r["prefix"] for r in placed.collect()} == {1: [1, 0], 2: [1, 0], 3: [0]}
+    assert [[c["cell"] for c in r["cells"]] == r["prefix"] for r in placed.collect()] == [True] * 3
+    assert "Exchange" not in plan(similarity._prefix_cells(vectors, 0.95))
+
+
 def test_small_cells_are_looked_up_together(spark, monkeypatch):
     """Few rows at a time, small and large cells, short and long vectors: the same pairs, each once."""
     data = sparse_vectors(80, 12, seed=11)
