@@ -164,6 +164,19 @@ def test_unlike_texts_are_ruled_out_by_few_bits(monkeypatch, docs_of):
     assert {rows[i].likely for i, t in texts if not shingles(t)} == {False}
 
 
+def test_only_likely_texts_are_sent_whole(docs_of):
+    rng = random.Random(15)
+    one, other = prose(rng, 60, 3000), prose(rng, 60, 3000)
+    docs = docs_of([(1, one), (2, one + " more"), (2, one.upper()), (3, other), (4, other + " more"), (None, one + " end"), (5, None)])
+    signed = jaccard.signatures(docs, "doc_id", "text")
+    assert {(r.id, r.likely) for r in signed.collect()} == {(1, True), (2, True), (3, True), (4, True), (None, True), (5, False)}
+    some = signed.withColumn("likely", F.col("likely") & F.coalesce(F.col("id") < 3, F.lit(True)))
+    sent = jaccard.shared_shingles(docs, "doc_id", "text", some).collect()
+    assert sorted(r.n for r in sent) == [56, 57, 57] and all(len(r.shingles) == 56 for r in sent)
+    assert {r["class"] for r in sent} == {r["class"] for r in some.where("likely").collect()}
+    assert sorted(r.doc_id or 0 for r in drop_near_duplicates(docs).collect()) == [1, 3, 5]
+
+
 def test_search_overlaps_equals_all_pairs():
     rng = np.random.default_rng(3)
     base = rng.integers(0, 60, 25)
